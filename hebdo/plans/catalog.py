@@ -1,0 +1,812 @@
+"""Registered queries over the driver's tables, each with its DuckDB oracle.
+
+Every query reads whole tables (no key subsets, no row caps) and is built
+only from the library's operators.  ``ORACLE_SQL[name]`` states the same
+result in plain SQL for DuckDB, where the tables are views; column names and
+types are aligned (``CAST(... AS BIGINT)`` etc.) so results hash equal.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hebdo.functions import dates as D
+from hebdo.functions.casts import to_double, to_int_truncating, to_text
+from hebdo.functions.text import bytes_to_text, normalize_label, recode
+from hebdo.operators.columns import clean_column_names, select_renamed, typed_null, with_constants
+from hebdo.operators.combine import (distinct_rows, enrich, full_join_on_values, outer_merge_measures,
+                                     union_by_name)
+from hebdo.operators.dedupe import top1_per_group
+from hebdo.operators.filters import (drop_latest_week, drop_week, drop_zero, exclude_values, keep_all,
+                                     keep_equal, keep_on_or_after, keep_values)
+from hebdo.operators.nulls import fill_missing
+from hebdo.operators.quarantine import tag_date_issues
+from hebdo.operators.rollup import frequency_label, rows_per_group, weekly_rollup
+from hebdo.plans import feeds
+from hebdo.plans.normalize import normalize_measure_pair, normalize_pages, normalize_source
+from hebdo.plans.release import archived_weekly_series, current_weekly_series
+from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
+from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None):
+    def wrap(fn: QueryFn) -> QueryFn:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE_SQL[name] = sql.strip()
+        return fn
+    return wrap
+
+
+# ---------------------------------------------------------------------------
+# SQL forms of the stand-in feeds (see plans/feeds.py)
+# ---------------------------------------------------------------------------
+
+ORDERS_REPORTS = """
+orders_reports AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+         o_orderpriority AS country_name,
+         CAST(o_orderdate AS DATE) AS report_date,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 13 END AS new_hospitalization,
+         CASE WHEN day(o_orderdate) <= 7 THEN NULL ELSE o_custkey % 4 END AS new_icu
+  FROM orders)"""
+
+RENDERED_DATES = """
+rendered AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderkey % 6 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00.000'
+              WHEN o_orderkey % 6 = 1 THEN strftime(o_orderdate, '%Y/%m/%d')
+              WHEN o_orderkey % 6 = 2 THEN strftime(o_orderdate, '%m/%d/%Y')
+              WHEN o_orderkey % 6 = 3 THEN strftime(o_orderdate, '%B %-d, %Y')
+              WHEN o_orderkey % 6 = 4 THEN strftime(o_orderdate, '%-d/%-m/%Y')
+              WHEN o_orderkey % 12 = 5 THEN 'not reported'
+              ELSE CAST(year(o_orderdate) AS VARCHAR) || '-02-30' END AS raw_date
+  FROM orders)"""
+
+
+def sql_leading_date(col: str) -> str:
+    """SQL twin of functions.dates.parse_date_leading."""
+    return (f"COALESCE(CAST(try_strptime(regexp_extract({col}, '^\\s*(\\d{{4}}-\\d{{1,2}}-\\d{{1,2}})', 1), '%Y-%m-%d') AS DATE), "
+            f"CAST(try_strptime(regexp_extract({col}, '^\\s*(\\d{{4}}/\\d{{1,2}}/\\d{{1,2}})', 1), '%Y/%m/%d') AS DATE))")
+
+
+def sql_formats(col: str, formats: list[str]) -> str:
+    parts = [f"CAST(try_strptime(trim({col}), '{f}') AS DATE)" for f in formats]
+    return "COALESCE(" + ", ".join(parts) + ")"
+
+
+SQL_MONTH_FIRST = ["%m/%d/%Y", "%m-%d-%Y", "%B %d, %Y", "%b %d, %Y", "%Y-%m-%d"]
+SQL_DAY_FIRST = ["%d/%m/%Y", "%d-%m-%Y", "%d.%m.%Y"]
+
+PARSED_DATES = f"""
+parsed AS (
+  SELECT o_orderkey, raw_date,
+         COALESCE({sql_leading_date('raw_date')}, {sql_formats('raw_date', SQL_MONTH_FIRST)}) AS report_date,
+         {sql_formats('raw_date', SQL_DAY_FIRST)} AS report_date_dmy
+  FROM rendered)"""
+
+WEEK_CODES = """
+codes AS (
+  SELECT o_orderkey,
+         CAST(year(o_orderdate) AS VARCHAR)
+           || lpad(CAST((dayofyear(o_orderdate) - 1) // 7 + 1 AS VARCHAR), 2, '0') AS week_code
+  FROM orders)"""
+
+ORDER_PAGES = """
+order_rows AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS report_date,
+         CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE o_orderkey % 5 END AS value, o_custkey
+  FROM orders),
+page1 AS (SELECT * FROM order_rows WHERE o_orderkey % 2 = 0),
+page2 AS (SELECT * FROM order_rows WHERE o_orderkey % 2 = 1)"""
+
+STATE_FEED = """
+state_feed AS (
+  SELECT l_linenumber,
+         ['CA', 'NY', 'TX', 'PR', 'VI', 'WA', 'OR', 'GU', NULL, 'AS'][l_suppkey % 10 + 1] AS state,
+         strftime(l_shipdate, '%Y-%m-%d') || 'T00:00:00.000' AS date,
+         CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) END
+           AS previous_day_admission_adult_covid_confirmed,
+         CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN 'abc'
+              ELSE CAST(l_linenumber AS VARCHAR) END AS previous_day_admission_pediatric_covid_confirmed
+  FROM lineitem)"""
+
+def state_rows_sql(name: str = "state_rows", extra_where: str = "TRUE") -> str:
+    """SQL twin of normalize.to_report_rows(STATE_SPEC) (before the daily sum)."""
+    return f"""
+{name} AS (
+  SELECT 'United States of America' AS country_name,
+         {sql_leading_date('date')} AS report_date,
+         TRY_CAST(trunc(TRY_CAST(COALESCE(previous_day_admission_adult_covid_confirmed, '0') AS DOUBLE)
+                      + TRY_CAST(COALESCE(previous_day_admission_pediatric_covid_confirmed, '0') AS DOUBLE)) AS BIGINT)
+           AS new_hospitalization
+  FROM state_feed
+  WHERE state NOT IN ('PR', 'VI', 'MP', 'PW', 'FM', 'MH', 'GU', 'AS') AND {extra_where})"""
+
+
+STATE_ROWS = state_rows_sql()
+
+
+WEEKLY_CODE_FEED = """
+weekly_code_feed AS (
+  SELECT CAST(isoyear(ts) AS VARCHAR) || lpad(CAST(weekofyear(ts) AS VARCHAR), 2, '0') AS date,
+         CASE WHEN user_id % 4 = 0 THEN 'ZH' ELSE 'CH' END AS geoRegion,
+         CASE WHEN event_type = 'view' THEN '10-19' ELSE 'all' END AS altersklasse_covid19,
+         CASE WHEN event_type = 'error' THEN 'other' ELSE 'covid' END AS primary_hosp_reason,
+         CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS entries
+  FROM events)"""
+
+
+def sql_iso_monday(year: str, week: str) -> str:
+    m = f"(CAST(date_trunc('week', make_date({year}, 1, 4)) AS DATE) + 7 * ({week} - 1))"
+    return f"CASE WHEN {week} BETWEEN 1 AND 53 AND weekofyear({m}) = {week} THEN {m} END"
+
+
+PLACES = """
+places AS (
+  SELECT n_nationkey, n_name AS ADM0_NAME,
+         CASE r_name WHEN 'AFRICA' THEN 'AFRO' WHEN 'AMERICA' THEN 'AMRO' WHEN 'EUROPE' THEN 'EURO'
+                     WHEN 'MIDDLE EAST' THEN 'EMRO' ELSE r_name END AS WHO_REGION,
+         'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS ISO_3_CODE
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+
+
+# ---------------------------------------------------------------------------
+# Feed specs used by the queries (the test-table twins of plans/sources.py)
+# ---------------------------------------------------------------------------
+
+STATE_SPEC = SourceSpec(
+    name="state_pages",
+    date=DateSpec("date", "leading"),
+    measures=(MeasureSpec("new_hospitalization", ("previous_day_admission_adult_covid_confirmed",
+                                                  "previous_day_admission_pediatric_covid_confirmed")),),
+    country="United States of America",
+    exclude=(("state", feeds.US_TERRITORIES),),
+    fill_missing=True,
+    drop_zero="new_hospitalization",
+)
+
+WEEK_CODE_SPEC = SourceSpec(
+    name="weekly_codes",
+    date=DateSpec("date", "week_code_iso"),
+    measures=(MeasureSpec("new_hospitalization", ("entries",)),),
+    country_column="geoRegion",
+    country_recode=(("CH", "Switzerland"),),
+    equals=(("geoRegion", "CH"), ("altersklasse_covid19", "all"), ("primary_hosp_reason", "covid")),
+    drop_week=53,
+)
+
+
+# ---------------------------------------------------------------------------
+# Weekly rollups
+# ---------------------------------------------------------------------------
+
+@register("weekly_sum_zero_fill", f"""
+WITH {ORDERS_REPORTS}
+SELECT 'orders' AS source, country_name, CAST(date_trunc('week', report_date) AS DATE) AS epiweek,
+       CAST(COALESCE(SUM(COALESCE(new_hospitalization, 0)), 0) AS BIGINT) AS new_hospitalization,
+       CAST(COALESCE(SUM(new_icu), 0) AS BIGINT) AS new_icu
+FROM orders_reports GROUP BY ALL""")
+def weekly_sum_zero_fill(spark, d):
+    r = select_renamed(feeds.orders_reports(spark, d),
+                       {"country_name": "country_name", "report_date": "report_date",
+                        "new_hospitalization": "new_hospitalization", "new_icu": "new_icu"})
+    r = with_constants(fill_missing(r, 0, subset=["new_hospitalization"]), {"source": "orders"})
+    return weekly_rollup(r, ["source", "country_name"], "report_date",
+                         ["new_hospitalization", "new_icu"], null_policy="zero")
+
+
+@register("weekly_sum_null_preserving", f"""
+WITH {ORDERS_REPORTS}
+SELECT country_name, CAST(date_trunc('week', report_date) AS DATE) AS epiweek,
+       CAST(SUM(new_hospitalization) AS BIGINT) AS new_hospitalization,
+       CAST(SUM(new_icu) AS BIGINT) AS new_icu,
+       CAST(count(*) AS BIGINT) AS reports,
+       CASE WHEN count(*) = 1 THEN 'weekly' ELSE 'daily' END AS freq
+FROM orders_reports GROUP BY ALL""")
+def weekly_sum_null_preserving(spark, d):
+    w = weekly_rollup(feeds.orders_reports(spark, d), ["country_name"], "report_date",
+                      ["new_hospitalization", "new_icu"], null_policy="keep", reports_col="reports")
+    return w.withColumn("freq", frequency_label("reports"))
+
+
+@register("week_numbers_all_rules", """
+WITH dates AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders),
+w AS (SELECT report_date, CAST(date_trunc('week', report_date) AS DATE) AS epiweek FROM dates)
+SELECT report_date, epiweek,
+       CAST(year(epiweek) AS INTEGER) AS calendar_year,
+       CAST(weekofyear(epiweek) AS INTEGER) AS iso_week,
+       CAST(isoyear(epiweek) AS INTEGER) AS iso_year,
+       CAST((dayofyear(epiweek) - 1) // 7 + 1 AS INTEGER) AS day_count_week
+FROM w""")
+def week_numbers_all_rules(spark, d):
+    dates = feeds.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("report_date")).distinct()
+    e = F.col("epiweek")
+    return dates.withColumn("epiweek", D.week_start("report_date")).select(
+        "report_date", "epiweek",
+        D.calendar_year(e).alias("calendar_year"), D.iso_week(e).alias("iso_week"),
+        D.iso_year(e).cast("int").alias("iso_year"), D.day_count_week(e).alias("day_count_week"))
+
+
+# ---------------------------------------------------------------------------
+# Week codes
+# ---------------------------------------------------------------------------
+
+@register("week_code_parse_w", f"""
+WITH {WEEK_CODES},
+p AS (SELECT week_code, substr(week_code || '1', 1, 4) AS year_part, substr(week_code || '1', 5, 2) AS week_part,
+             substr(week_code || '1', 7, 1) AS weekday_part FROM codes)
+SELECT week_code, year_part, week_part,
+       make_date(CAST(year_part AS INTEGER), 1, 1)
+         + CAST((8 - isodow(make_date(CAST(year_part AS INTEGER), 1, 1))) % 7
+                + 7 * (CAST(week_part AS INTEGER) - 1) + CAST(weekday_part AS INTEGER) - 1 AS INTEGER) AS report_date,
+       CAST(count(*) AS BIGINT) AS n_orders
+FROM p WHERE CAST(week_part AS INTEGER) <> 53 GROUP BY ALL""")
+def week_code_parse_w(spark, d):
+    codes = feeds.order_week_codes(spark, d).withColumn("with_weekday", F.concat("week_code", F.lit("1")))
+    parts = codes.withColumns({"year_part": F.substring("with_weekday", 1, 4),
+                               "week_part": F.substring("with_weekday", 5, 2),
+                               "weekday_part": F.substring("with_weekday", 7, 1)})
+    parts = drop_week(parts, "week_part", 53)
+    dated = parts.withColumn("report_date", D.date_of_monday_week("year_part", "week_part", "weekday_part"))
+    return dated.groupBy("week_code", "year_part", "week_part", "report_date").agg(
+        F.count(F.lit(1)).alias("n_orders"))
+
+
+@register("week_code_parse_iso", f"""
+WITH {WEEK_CODES},
+p AS (SELECT week_code, substr(week_code, 1, 4) AS year_part, substr(week_code, 5, 2) AS week_part,
+             CAST(substr(week_code, 1, 4) AS INTEGER) AS y, CAST(substr(week_code, 5, 2) AS INTEGER) AS w FROM codes)
+SELECT week_code, year_part, week_part, {sql_iso_monday('y', 'w')} AS report_date, CAST(count(*) AS BIGINT) AS n_orders
+FROM p GROUP BY week_code, year_part, week_part, report_date""")
+def week_code_parse_iso(spark, d):
+    codes = feeds.order_week_codes(spark, d)
+    parts = codes.withColumns({"year_part": D.week_code_year("week_code"),
+                               "week_part": D.week_code_week("week_code")})
+    dated = parts.withColumn("report_date", D.monday_of_iso_week("year_part", "week_part"))
+    return dated.groupBy("week_code", "year_part", "week_part", "report_date").agg(
+        F.count(F.lit(1)).alias("n_orders"))
+
+
+# ---------------------------------------------------------------------------
+# Date parsing and the plausibility split
+# ---------------------------------------------------------------------------
+
+def _parsed_dates(spark, d):
+    raw = feeds.rendered_order_dates(spark, d)
+    return raw.select("o_orderkey", "raw_date",
+                      F.coalesce(D.parse_date_leading("raw_date"), D.parse_month_first("raw_date")).alias("report_date"),
+                      D.parse_day_first("raw_date").alias("report_date_dmy"))
+
+
+@register("date_parse_multiformat", f"""
+WITH {RENDERED_DATES}, {PARSED_DATES}
+SELECT o_orderkey, raw_date, report_date, report_date_dmy, CAST(report_date AS VARCHAR) AS report_date_text
+FROM parsed""")
+def date_parse_multiformat(spark, d):
+    return _parsed_dates(spark, d).withColumn("report_date_text", to_text("report_date"))
+
+
+@register("date_quarantine", f"""
+WITH {RENDERED_DATES}, {PARSED_DATES}
+SELECT o_orderkey, report_date,
+       CASE WHEN report_date IS NULL AND raw_date IS NOT NULL THEN 'unparsed'
+            WHEN report_date IS NULL THEN 'missing'
+            WHEN report_date < DATE '1996-01-01' THEN 'before_min'
+            WHEN report_date > DATE '2000-12-31' THEN 'after_max' END AS date_issue
+FROM parsed""")
+def date_quarantine(spark, d):
+    tagged = tag_date_issues(_parsed_dates(spark, d), "report_date", raw_col="raw_date",
+                             min_date="1996-01-01", max_date="2000-12-31")
+    return tagged.select("o_orderkey", "report_date", "date_issue")
+
+
+@register("epoch_ms_to_date", """
+SELECT event_id, epoch_us(CAST(ts AS TIMESTAMP)) // 1000 AS epoch_ms, CAST(ts AS DATE) AS report_date
+FROM events""")
+def epoch_ms_to_date(spark, d):
+    e = feeds.table(spark, d, "events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("epoch_ms"))
+    return e.withColumn("report_date", D.epoch_ms_to_date("epoch_ms"))
+
+
+# ---------------------------------------------------------------------------
+# Text and casts
+# ---------------------------------------------------------------------------
+
+@register("text_cleanup", """
+WITH raw AS (
+  SELECT c_custkey,
+         ' ' || chr(9) || CASE c_custkey % 3 WHEN 0 THEN upper(c_mktsegment) WHEN 1 THEN lower(c_mktsegment)
+                                              ELSE c_mktsegment END || ' ' || chr(10) AS raw_label
+  FROM customer)
+SELECT c_custkey, raw_label, lower(trim(raw_label, ' ' || chr(9) || chr(10) || chr(13))) AS label,
+       lower(trim(raw_label, ' ' || chr(9) || chr(10) || chr(13))) = 'building' AS is_building
+FROM raw""")
+def text_cleanup(spark, d):
+    c = feeds.table(spark, d, "customer")
+    seg = F.col("c_mktsegment")
+    cased = (F.when(F.col("c_custkey") % 3 == 0, F.upper(seg))
+             .when(F.col("c_custkey") % 3 == 1, F.lower(seg)).otherwise(seg))
+    raw = c.select("c_custkey", F.concat(F.lit(" \t"), cased, F.lit(" \n")).alias("raw_label"))
+    label = normalize_label("raw_label")
+    return raw.select("c_custkey", "raw_label", label.alias("label"), (label == "building").alias("is_building"))
+
+
+@register("safe_casts", """
+WITH raw AS (
+  SELECT o_orderkey,
+         CASE o_orderkey % 5
+           WHEN 0 THEN CAST(o_orderkey % 1000 AS VARCHAR) || '.' || CAST(o_custkey % 10 AS VARCHAR)
+           WHEN 1 THEN ' ' || CAST(o_orderkey % 100 AS VARCHAR) || ' '
+           WHEN 2 THEN 'abc'
+           WHEN 3 THEN '1e20'
+           ELSE '-' || CAST(o_orderkey % 50 AS VARCHAR) || '.7' END AS raw_value
+  FROM orders)
+SELECT o_orderkey, raw_value, TRY_CAST(raw_value AS DOUBLE) AS as_double,
+       TRY_CAST(trunc(TRY_CAST(raw_value AS DOUBLE)) AS INTEGER) AS as_int
+FROM raw""")
+def safe_casts(spark, d):
+    o = feeds.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    raw = (F.when(k % 5 == 0, F.concat((k % 1000).cast("string"), F.lit("."), (F.col("o_custkey") % 10).cast("string")))
+           .when(k % 5 == 1, F.concat(F.lit(" "), (k % 100).cast("string"), F.lit(" ")))
+           .when(k % 5 == 2, F.lit("abc"))
+           .when(k % 5 == 3, F.lit("1e20"))
+           .otherwise(F.concat(F.lit("-"), (k % 50).cast("string"), F.lit(".7"))))
+    r = o.select("o_orderkey", raw.alias("raw_value"))
+    return r.select("o_orderkey", "raw_value", to_double("raw_value").alias("as_double"),
+                    to_int_truncating("raw_value").alias("as_int"))
+
+
+@register("recode_passthrough", """
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM customer)
+SELECT c_custkey, segment,
+       CASE segment WHEN 'AUTOMOBILE' THEN 'AUTO' WHEN 'MACHINERY' THEN 'MACH' ELSE segment END AS segment_code
+FROM c""")
+def recode_passthrough(spark, d):
+    c = feeds.table(spark, d, "customer")
+    seg = feeds.null_if(F.col("c_custkey") % 11 == 0, F.col("c_mktsegment"))
+    r = c.select("c_custkey", seg.alias("segment"))
+    return r.withColumn("segment_code", recode("segment", {"AUTOMOBILE": "AUTO", "MACHINERY": "MACH"}))
+
+
+# ---------------------------------------------------------------------------
+# Slices (F1-F7)
+# ---------------------------------------------------------------------------
+
+@register("slice_exclusion", """
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM customer)
+SELECT c_custkey, segment FROM c WHERE segment NOT IN ('AUTOMOBILE', 'MACHINERY')""")
+def slice_exclusion(spark, d):
+    c = feeds.table(spark, d, "customer")
+    r = c.select("c_custkey", feeds.null_if(F.col("c_custkey") % 9 == 0, F.col("c_mktsegment")).alias("segment"))
+    return exclude_values(r, "segment", ["AUTOMOBILE", "MACHINERY"])
+
+
+@register("slice_inclusion", """
+SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
+WHERE (o_orderstatus = 'F' OR o_orderstatus = 'P') AND o_orderpriority = '1-URGENT'""")
+def slice_inclusion(spark, d):
+    o = feeds.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return keep_equal(keep_values(o, "o_orderstatus", ["F", "P"]), "o_orderpriority", "1-URGENT")
+
+
+@register("slice_membership", """
+WITH s AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS report_date,
+         lpad(CAST((year(o_orderdate) % 100) * 100 + (year(o_orderdate) + 1) % 100 AS VARCHAR), 4, '0') AS season,
+         ' ' || CASE WHEN o_orderkey % 2 = 0 THEN 'Week' ELSE 'Month' END || ' ' AS time_period,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'Overall' ELSE 'Age' END AS strata
+  FROM orders)
+SELECT o_orderkey, season, report_date FROM s
+WHERE lower(trim(time_period)) = 'week' AND TRY_CAST(trunc(TRY_CAST(season AS DOUBLE)) AS INTEGER) IN (9697, 9798)
+  AND strata = 'Overall'""")
+def slice_membership(spark, d):
+    o = feeds.table(spark, d, "orders")
+    y = F.year("o_orderdate")
+    season = F.lpad(((y % 100) * 100 + (y + 1) % 100).cast("string"), 4, "0")
+    period = F.concat(F.lit(" "), F.when(F.col("o_orderkey") % 2 == 0, "Week").otherwise("Month"), F.lit(" "))
+    strata = F.when(F.col("o_orderkey") % 3 == 0, "Overall").otherwise("Age")
+    s = o.select("o_orderkey", F.to_date("o_orderdate").alias("report_date"), season.alias("season"),
+                 period.alias("time_period"), strata.alias("strata"))
+    s = keep_all(s, normalize_label("time_period") == "week",
+                 to_int_truncating("season").isin([9697, 9798]), F.col("strata") == "Overall")
+    return s.select("o_orderkey", "season", "report_date")
+
+
+@register("date_lower_bound", f"""
+WITH {RENDERED_DATES}, {PARSED_DATES}
+SELECT p.o_orderkey, p.report_date, o_orderkey % 13 AS new_hospitalization
+FROM parsed p
+WHERE p.report_date IS NOT NULL AND p.report_date >= DATE '1999-05-04' AND o_orderkey % 13 <> 0""")
+def date_lower_bound(spark, d):
+    p = _parsed_dates(spark, d).select("o_orderkey", "report_date",
+                                        (F.col("o_orderkey") % 13).alias("new_hospitalization"))
+    return drop_zero(keep_on_or_after(p, "report_date", "1999-05-04"), "new_hospitalization")
+
+
+# ---------------------------------------------------------------------------
+# Merging (J1 J2a J2b J3 U1 U2 J4 P5 P9)
+# ---------------------------------------------------------------------------
+
+def _status_sides(spark, d):
+    r = feeds.orders_reports(spark, d)
+    country = feeds.null_if(F.col("o_orderkey") % 17 == 0, F.col("country_name"))
+    left = r.filter(F.col("o_orderstatus") == "F").select(country.alias("country_name"), "report_date",
+                                                          "new_hospitalization")
+    right = r.filter(F.col("o_orderstatus") == "O").select(country.alias("country_name"), "report_date", "new_icu")
+    return left, right
+
+
+@register("two_measure_outer_merge", f"""
+WITH {ORDERS_REPORTS},
+r AS (SELECT CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE country_name END AS country_name, report_date,
+             o_orderstatus, new_hospitalization, new_icu FROM orders_reports),
+l AS (SELECT country_name, report_date, new_hospitalization FROM r WHERE o_orderstatus = 'F'),
+rr AS (SELECT country_name, report_date, new_icu FROM r WHERE o_orderstatus = 'O')
+SELECT COALESCE(l.country_name, rr.country_name) AS country_name,
+       COALESCE(l.report_date, rr.report_date) AS report_date,
+       CAST(COALESCE(SUM(l.new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
+       CAST(COALESCE(SUM(rr.new_icu), 0) AS BIGINT) AS new_icu
+FROM l FULL OUTER JOIN rr
+  ON l.country_name IS NOT DISTINCT FROM rr.country_name AND l.report_date IS NOT DISTINCT FROM rr.report_date
+GROUP BY 1, 2""")
+def two_measure_outer_merge(spark, d):
+    left, right = _status_sides(spark, d)
+    return outer_merge_measures(left, right, ["country_name", "report_date"], null_policy="zero")
+
+
+@register("full_join_on_values", f"""
+WITH {ORDER_PAGES}
+SELECT COALESCE(page1.report_date, page2.report_date) AS report_date, COALESCE(page1.value, page2.value) AS value,
+       CAST(count(*) AS BIGINT) AS n_rows
+FROM page1 FULL OUTER JOIN page2
+  ON page1.report_date IS NOT DISTINCT FROM page2.report_date AND page1.value IS NOT DISTINCT FROM page2.value
+GROUP BY 1, 2""")
+def full_join_on_values_query(spark, d):
+    p1, p2 = feeds.order_pages(spark, d)
+    keys = ["report_date", "value"]          # o_custkey is a non-key column: projected away (P9)
+    return full_join_on_values(p1.select(*keys), p2.select(*keys), keys)
+
+
+@register("union_pages", f"""
+WITH {ORDER_PAGES}
+SELECT report_date, CAST(COALESCE(SUM(value), 0) AS BIGINT) AS new_hospitalization, CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT * FROM page1 UNION ALL SELECT * FROM page2) GROUP BY report_date""")
+def union_pages(spark, d):
+    p1, p2 = feeds.order_pages(spark, d)
+    u = union_by_name(p1, p2)
+    return u.groupBy("report_date").agg(F.coalesce(F.sum("value"), F.lit(0)).alias("new_hospitalization"),
+                                        F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("union_sources", f"""
+WITH {ORDERS_REPORTS}
+SELECT country_name, report_date, new_hospitalization, new_icu FROM orders_reports WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT country_name, report_date, new_hospitalization, CAST(NULL AS BIGINT) FROM orders_reports WHERE o_orderstatus = 'O'
+UNION ALL
+SELECT 'LINE-' || l_returnflag, CAST(l_shipdate AS DATE), CAST(trunc(l_quantity) AS BIGINT), CAST(NULL AS BIGINT)
+FROM lineitem""")
+def union_sources(spark, d):
+    r = feeds.orders_reports(spark, d)
+    a = r.filter(F.col("o_orderstatus") == "F").select("country_name", "report_date", "new_hospitalization", "new_icu")
+    b = r.filter(F.col("o_orderstatus") == "O").select("country_name", "report_date", "new_hospitalization")
+    li = feeds.table(spark, d, "lineitem")
+    c = li.select(F.concat(F.lit("LINE-"), "l_returnflag").alias("country_name"),
+                  F.to_date("l_shipdate").alias("report_date"),
+                  F.col("l_quantity").cast("bigint").alias("new_hospitalization"),
+                  typed_null("bigint").alias("new_icu"))
+    return union_by_name(a, b, c)
+
+
+@register("distinct_reference", """
+SELECT DISTINCT c_nationkey, c_mktsegment FROM customer""")
+def distinct_reference(spark, d):
+    return distinct_rows(feeds.table(spark, d, "customer").select("c_nationkey", "c_mktsegment"))
+
+
+@register("enrich_reference", f"""
+WITH {ORDERS_REPORTS}, {PLACES},
+weekly AS (
+  SELECT n.n_name AS country, CAST(date_trunc('week', r.report_date) AS DATE) AS epiweek,
+         CAST(SUM(r.new_hospitalization) AS BIGINT) AS new_hospitalization
+  FROM orders_reports r JOIN customer c ON r.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  GROUP BY ALL),
+ref AS (SELECT DISTINCT ADM0_NAME AS country, WHO_REGION, ISO_3_CODE FROM places)
+SELECT w.country, w.epiweek, w.new_hospitalization, ref.WHO_REGION, ref.ISO_3_CODE
+FROM weekly w LEFT JOIN ref ON w.country IS NOT DISTINCT FROM ref.country""")
+def enrich_reference(spark, d):
+    r = feeds.orders_reports(spark, d)
+    cust = feeds.table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    nation = feeds.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    rows = (r.join(cust, r["o_custkey"] == cust["c_custkey"])
+             .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
+    weekly = weekly_rollup(rows, ["country"], "report_date", ["new_hospitalization"], null_policy="keep")
+    p = feeds.places(spark, d)
+    ref = union_by_name(p, p).select(F.col("ADM0_NAME").alias("country"), "WHO_REGION", "ISO_3_CODE")
+    return enrich(weekly, ref, "country", how="left", dedupe_reference=True)
+
+
+# ---------------------------------------------------------------------------
+# Top-1, group size, latest week
+# ---------------------------------------------------------------------------
+
+@register("top1_per_group", """
+WITH o AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS report_date,
+                  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 10 END AS value FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY value DESC NULLS LAST, o_orderkey) AS rn FROM o)
+SELECT o_custkey, o_orderkey, report_date, value FROM r WHERE rn = 1""")
+def top1_per_group_query(spark, d):
+    o = feeds.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    rows = o.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("report_date"),
+                    feeds.null_if(k % 7 == 0, k % 10).alias("value"))
+    return top1_per_group(rows, ["o_custkey"], "value", tie_break=["o_orderkey"])
+
+
+EVENTS_WEEKLY = """
+events_weekly AS (
+  SELECT event_type, CAST(date_trunc('week', CAST(ts AS DATE)) AS DATE) AS epiweek,
+         CAST(SUM(CAST(floor(value) AS BIGINT)) AS BIGINT) AS new_hospitalization,
+         CAST(count(*) AS BIGINT) AS reports
+  FROM events GROUP BY ALL)"""
+
+
+def _events_weekly(spark, d):
+    e = feeds.table(spark, d, "events").select(
+        "event_type", F.to_date("ts").alias("report_date"),
+        F.floor("value").cast("bigint").alias("new_hospitalization"))
+    return weekly_rollup(e, ["event_type"], "report_date", ["new_hospitalization"], reports_col="reports")
+
+
+@register("group_size_label", f"""
+WITH {EVENTS_WEEKLY}
+SELECT event_type, epiweek, new_hospitalization, CAST(1 AS BIGINT) AS freq_time, 'weekly' AS freq FROM events_weekly""")
+def group_size_label(spark, d):
+    w = _events_weekly(spark, d).drop("reports")
+    w = rows_per_group(w, ["event_type", "epiweek"], "freq_time")
+    return w.withColumn("freq", frequency_label("freq_time"))
+
+
+@register("drop_latest_week", f"""
+WITH {EVENTS_WEEKLY}
+SELECT event_type, epiweek, new_hospitalization, reports FROM events_weekly
+WHERE epiweek < (SELECT max(epiweek) FROM events_weekly)""")
+def drop_latest_week_query(spark, d):
+    return drop_latest_week(_events_weekly(spark, d), "epiweek")
+
+
+# ---------------------------------------------------------------------------
+# Documents: GeoJSON features, nested JSON records
+# ---------------------------------------------------------------------------
+
+PAGE_SIZE = 200   # events per generated document: bounded, independent of skew
+
+
+@register("geojson_inline", f"""
+SELECT 'page-' || CAST(event_id // {PAGE_SIZE} AS VARCHAR) AS name, event_id, user_id,
+       CAST(ts AS DATE) AS report_date, CAST(floor(value) AS BIGINT) AS new_hospitalization
+FROM events""")
+def geojson_inline(spark, d):
+    e = feeds.table(spark, d, "events")
+    feature = F.struct(F.lit("Feature").alias("type"),
+                       F.struct(F.unix_millis(F.col("ts").cast("timestamp")).alias("Date"),
+                                F.col("event_id"), F.col("user_id"),
+                                F.floor("value").cast("bigint").alias("SUM_no_new_admissions")).alias("properties"))
+    page = F.concat(F.lit("page-"), F.floor(F.col("event_id") / PAGE_SIZE).cast("string"))
+    docs = (e.groupBy(page.alias("name"))
+             .agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
+                                     F.collect_list(feature).alias("features"))).alias("body"))
+             .select("name", F.encode("body", "UTF-8").alias("payload")))
+    props = "Date bigint, event_id bigint, user_id bigint, SUM_no_new_admissions bigint"
+    from pyspark.sql.types import _parse_datatype_string
+    schema = geojson_schema(_parse_datatype_string(props))
+    parsed = docs.select("name", F.from_json(bytes_to_text("payload"), schema).alias("fc"))
+    rows = explode_features(parsed, "fc", keep=["name"])
+    return rows.select("name", "event_id", "user_id", D.epoch_ms_to_date("Date").alias("report_date"),
+                       F.col("SUM_no_new_admissions").alias("new_hospitalization"))
+
+
+@register("json_flatten", f"""
+SELECT event_id, user_id AS "user.user_id", event_type AS "user.event_type",
+       CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k",
+       'page-' || CAST(event_id // {PAGE_SIZE} AS VARCHAR) AS page
+FROM events""")
+def json_flatten(spark, d):
+    e = feeds.table(spark, d, "events")
+    record = F.struct(F.col("event_id"), F.struct("user_id", "event_type").alias("user"),
+                      F.from_json("props", "k bigint").alias("props"))
+    page = F.concat(F.lit("page-"), F.floor(F.col("event_id") / PAGE_SIZE).cast("string"))
+    docs = e.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(record)).alias("body"))
+    schema = "array<struct<event_id: bigint, user: struct<user_id: bigint, event_type: string>, props: struct<k: bigint>>>"
+    records = docs.select("page", F.inline(F.from_json("body", schema)))
+    return flatten_structs(records, sep=".")
+
+
+# ---------------------------------------------------------------------------
+# Measures from parts (P6 P7 N1 N2 F2 F7 via a feed spec), names
+# ---------------------------------------------------------------------------
+
+@register("adult_plus_child", f"""
+WITH {STATE_FEED}, {STATE_ROWS}
+SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization
+FROM state_rows WHERE new_hospitalization <> 0 GROUP BY ALL""")
+def adult_plus_child(spark, d):
+    return normalize_source(feeds.state_feed(spark, d), STATE_SPEC)
+
+
+@register("state_pages_full_join", f"""
+WITH {STATE_FEED}, {state_rows_sql("p1", "l_linenumber % 2 = 1")}, {state_rows_sql("p2", "l_linenumber % 2 = 0")},
+a AS (SELECT * FROM p1 WHERE new_hospitalization <> 0), b AS (SELECT * FROM p2 WHERE new_hospitalization <> 0),
+j AS (SELECT COALESCE(a.country_name, b.country_name) AS country_name, COALESCE(a.report_date, b.report_date) AS report_date,
+             COALESCE(a.new_hospitalization, b.new_hospitalization) AS new_hospitalization
+      FROM a FULL OUTER JOIN b ON a.country_name IS NOT DISTINCT FROM b.country_name
+        AND a.report_date IS NOT DISTINCT FROM b.report_date AND a.new_hospitalization IS NOT DISTINCT FROM b.new_hospitalization)
+SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization
+FROM j GROUP BY ALL""")
+def state_pages_full_join(spark, d):
+    s = feeds.state_feed(spark, d)
+    pages = [s.filter(F.col("l_linenumber") % 2 == 1), s.filter(F.col("l_linenumber") % 2 == 0)]
+    return normalize_pages(pages, STATE_SPEC, mode="full_join_on_values")
+
+
+@register("clean_names", """
+SELECT o_orderkey AS order_key, o_custkey AS cust_key, o_totalprice AS total_price_percent,
+       o_orderpriority AS order_priority, o_orderstatus AS number_status,
+       o_orderdate AS admissions_for_covid_19_in_the_week_ending, o_orderkey AS order_key_2
+FROM orders""")
+def clean_names_query(spark, d):
+    o = feeds.table(spark, d, "orders")
+    awkward = o.select(F.col("o_orderkey").alias("Order Key"), F.col("o_custkey").alias("custKey"),
+                       F.col("o_totalprice").alias("Total Price (%)"), F.col("o_orderpriority").alias("Order-Priority"),
+                       F.col("o_orderstatus").alias("# Status"),
+                       F.col("o_orderdate").alias("Admissions for COVID-19 in the week ending"),
+                       F.col("o_orderkey").alias("Order.Key"))
+    return clean_column_names(awkward)
+
+
+# ---------------------------------------------------------------------------
+# End-to-end: current (X14) and archived (X13) weekly series
+# ---------------------------------------------------------------------------
+
+CURRENT_SQL = f"""
+WITH {ORDERS_REPORTS}, {PLACES},
+nz AS (
+  SELECT p.WHO_REGION, p.ISO_3_CODE, upper(p.ADM0_NAME) AS country, r.report_date,
+         CAST(COALESCE(SUM(r.new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
+         CAST(COALESCE(SUM(r.new_icu), 0) AS BIGINT) AS new_icu,
+         1 AS src_ord, CAST(NULL AS BIGINT) AS row_id
+  FROM orders_reports r JOIN customer c ON r.o_custkey = c.c_custkey JOIN places p ON c.c_nationkey = p.n_nationkey
+  GROUP BY p.WHO_REGION, p.ISO_3_CODE, upper(p.ADM0_NAME), r.report_date),
+cdc AS (
+  SELECT 'AMRO' AS WHO_REGION, 'USA' AS ISO_3_CODE, 'UNITED STATES OF AMERICA' AS country,
+         CAST(ts AS DATE) AS report_date, CAST(trunc(value) AS BIGINT) AS new_hospitalization,
+         CAST(NULL AS BIGINT) AS new_icu, 2 AS src_ord, event_id AS row_id
+  FROM events
+  WHERE lower(trim(' ' || upper(event_type) || ' ')) = 'purchase' AND CAST(ts AS DATE) >= DATE '2024-01-03'),
+u AS (SELECT *, CAST(date_trunc('week', report_date) AS DATE) AS epiweek
+      FROM (SELECT * FROM nz UNION ALL SELECT * FROM cdc)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY epiweek, country
+                               ORDER BY new_hospitalization DESC NULLS LAST, src_ord, report_date, row_id NULLS FIRST) AS rn
+  FROM u)
+SELECT WHO_REGION, ISO_3_CODE, country, epiweek, new_hospitalization, new_icu,
+       CAST(year(epiweek) AS INTEGER) AS iso_year, CAST(weekofyear(epiweek) AS INTEGER) AS iso_week_number
+FROM ranked WHERE rn = 1"""
+
+
+def current_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
+    """The two feeds of the current flow: a daily national feed summed per
+    date (orders by customer nation) and an event-level feed (purchases)."""
+    r = feeds.orders_reports(spark, d)
+    cp = feeds.customer_places(spark, d)
+    rows = r.join(cp, r["o_custkey"] == cp["c_custkey"]).withColumn("country", F.upper("ADM0_NAME"))
+    nz = (rows.groupBy("WHO_REGION", "ISO_3_CODE", "country", "report_date")
+              .agg(F.coalesce(F.sum("new_hospitalization"), F.lit(0)).alias("new_hospitalization"),
+                   F.coalesce(F.sum("new_icu"), F.lit(0)).alias("new_icu")))
+    e = feeds.table(spark, d, "events")
+    label = F.concat(F.lit(" "), F.upper("event_type"), F.lit(" "))
+    cdc = e.select("event_id", label.alias("time_period"), F.to_date("ts").alias("report_date"), "value")
+    cdc = keep_on_or_after(keep_equal(cdc.withColumn("time_period", normalize_label("time_period")),
+                                      "time_period", "purchase"), "report_date", "2024-01-03")
+    cdc = with_constants(cdc.select(F.col("event_id").alias("row_id"), "report_date",
+                                    to_int_truncating("value", "bigint").alias("new_hospitalization")),
+                         {"WHO_REGION": "AMRO", "ISO_3_CODE": "USA", "country": "UNITED STATES OF AMERICA",
+                          "new_icu": typed_null("bigint")})
+    return [nz, cdc]
+
+
+@register("current_release", CURRENT_SQL)
+def current_release(spark, d):
+    return current_weekly_series(current_release_sources(spark, d), row_id_col="row_id")
+
+
+ARCHIVED_SQL = f"""
+WITH {ORDERS_REPORTS}, {PLACES}, {STATE_FEED}, {STATE_ROWS}, {WEEKLY_CODE_FEED},
+base AS (
+  SELECT n.n_name AS country_name, r.report_date, r.o_orderstatus, r.new_hospitalization, r.new_icu
+  FROM orders_reports r JOIN customer c ON r.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+l AS (SELECT country_name, report_date, new_hospitalization FROM base WHERE o_orderstatus <> 'O'),
+rr AS (SELECT country_name, report_date, new_icu FROM base WHERE o_orderstatus = 'O'),
+s1 AS (
+  SELECT COALESCE(l.country_name, rr.country_name) AS country_name, COALESCE(l.report_date, rr.report_date) AS report_date,
+         CAST(COALESCE(SUM(l.new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
+         CAST(COALESCE(SUM(rr.new_icu), 0) AS BIGINT) AS new_icu, 1 AS src_ord
+  FROM l FULL OUTER JOIN rr
+    ON l.country_name IS NOT DISTINCT FROM rr.country_name AND l.report_date IS NOT DISTINCT FROM rr.report_date
+  GROUP BY 1, 2),
+s2 AS (
+  SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
+         CAST(NULL AS BIGINT) AS new_icu, 2 AS src_ord
+  FROM state_rows WHERE new_hospitalization <> 0 GROUP BY 1, 2),
+s3rows AS (
+  SELECT CASE geoRegion WHEN 'CH' THEN 'Switzerland' ELSE geoRegion END AS country_name,
+         {sql_iso_monday('TRY_CAST(substr(date, 1, 4) AS INTEGER)', 'TRY_CAST(substr(date, 5, 2) AS INTEGER)')} AS report_date,
+         TRY_CAST(trunc(TRY_CAST(entries AS DOUBLE)) AS BIGINT) AS new_hospitalization
+  FROM weekly_code_feed
+  WHERE geoRegion = 'CH' AND altersklasse_covid19 = 'all' AND primary_hosp_reason = 'covid'
+    AND TRY_CAST(substr(date, 5, 2) AS INTEGER) <> 53),
+s3 AS (
+  SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
+         CAST(NULL AS BIGINT) AS new_icu, 3 AS src_ord
+  FROM s3rows GROUP BY 1, 2),
+merged AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3),
+daily AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY report_date, country_name
+                                 ORDER BY new_hospitalization DESC NULLS LAST, src_ord) AS rn FROM merged)
+  WHERE rn = 1),
+weekly AS (
+  SELECT country_name, CAST(date_trunc('week', report_date) AS DATE) AS epiweek,
+         CAST(SUM(new_hospitalization) AS BIGINT) AS new_hospitalization, CAST(SUM(new_icu) AS BIGINT) AS new_icu,
+         CAST(count(*) AS BIGINT) AS freq_time
+  FROM daily GROUP BY 1, 2),
+named AS (
+  SELECT CASE country_name
+           WHEN 'United States of America' THEN 'UNITED STATES OF AMERICA' WHEN 'Norway' THEN 'NORWAY'
+           WHEN 'United Kingdom' THEN 'THE UNITED KINGDOM' WHEN 'Switzerland' THEN 'SWITZERLAND'
+           WHEN 'Bulgaria' THEN 'BULGARIA' WHEN 'Ireland' THEN 'IRELAND' WHEN 'New Zealand' THEN 'NEW ZEALAND'
+           WHEN 'Denmark' THEN 'DENMARK' WHEN 'Canada' THEN 'CANADA' WHEN 'Puerto Rico' THEN 'PUERTO RICO'
+           WHEN 'United States Virgin Islands' THEN 'UNITED STATES VIRGIN ISLANDS' ELSE country_name END AS country,
+         CAST(year(epiweek) AS INTEGER) AS iso_year,
+         CAST((dayofyear(epiweek) - 1) // 7 + 1 AS INTEGER) AS iso_week_number,
+         epiweek, CASE WHEN freq_time = 1 THEN 'weekly' ELSE 'daily' END AS freq, freq_time,
+         new_hospitalization, new_icu
+  FROM weekly),
+ref AS (SELECT DISTINCT ADM0_NAME AS country, n_nationkey, WHO_REGION, ISO_3_CODE FROM places),
+joined AS (SELECT named.*, ref.n_nationkey, ref.WHO_REGION, ref.ISO_3_CODE
+           FROM named LEFT JOIN ref ON named.country IS NOT DISTINCT FROM ref.country)
+SELECT * FROM joined WHERE epiweek < (SELECT max(epiweek) FROM joined)"""
+
+
+def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Three feeds: admissions and ICU from two tables merged per date (J1),
+    a state feed delivered in two pages (J2b), a weekly feed keyed by ISO
+    week codes (D6)."""
+    r = feeds.orders_reports(spark, d)
+    cust = feeds.table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    nation = feeds.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("country_name"))
+    base = (r.drop("country_name").join(cust, r["o_custkey"] == cust["c_custkey"])
+             .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
+    left = base.filter(F.col("o_orderstatus") != "O").select("country_name", "report_date", "new_hospitalization")
+    right = base.filter(F.col("o_orderstatus") == "O").select("country_name", "report_date", "new_icu")
+    s1 = outer_merge_measures(left, right, ["country_name", "report_date"], null_policy="zero")
+    state = feeds.state_feed(spark, d)
+    s2 = normalize_pages([state.filter(F.col("l_linenumber") % 2 == 1), state.filter(F.col("l_linenumber") % 2 == 0)],
+                         STATE_SPEC, mode="union")
+    s3 = normalize_source(feeds.weekly_code_feed(spark, d), WEEK_CODE_SPEC)
+    return [s1, s2, s3]
+
+
+@register("archived_release", ARCHIVED_SQL)
+def archived_release(spark, d):
+    return archived_weekly_series(archived_release_sources(spark, d), reference=feeds.places(spark, d),
+                                  reference_key="ADM0_NAME", freq_mode="reports", latest_week="global")
