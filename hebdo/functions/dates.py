@@ -11,6 +11,8 @@ same Monday-based week (see ``WEEK_RULES``):
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,20 +73,52 @@ def week_numbers(c: Column | str, rule: str) -> tuple[Column, Column]:
 def parse_date_leading(c: Column | str) -> Column:
     """A date written ``yyyy-m-d`` or ``yyyy/m/d`` at the start of the text.
 
-    Trailing text (``T00:00:00.000``, a time zone) is ignored; the separator must
-    be the same twice and the year must have four digits, so ``15/01/2023``
-    fails closed (NULL) instead of becoming year 15.
+    Trailing text (``T00:00:00.000``, a time zone) is ignored, as R's
+    ``as.Date`` does; the separator must be the same twice and the year must
+    have four digits, so ``15/01/2023`` fails closed (NULL) instead of
+    becoming year 15.  Text without that shape never reaches the formatter.
     """
     text = _col(c).cast("string")
-    pattern = r"^\s*(\d{4})([-/])(\d{1,2})\2(\d{1,2})(?!\d)"
-    token = F.concat_ws("-", *[F.regexp_extract(text, pattern, i) for i in (1, 3, 4)])
-    return F.try_to_date(token, "yyyy-M-d")
+    token = F.regexp_extract(text, r"^\s*(\d{4}([-/])\d{1,2}\2\d{1,2})", 1)
+    return F.when(token != "", F.try_to_date(F.translate(token, "/", "-"), "yyyy-M-d"))
+
+
+def pattern_shape(fmt: str) -> str:
+    """A regular expression that every text a Spark date pattern can parse
+    matches (it may accept more).  Used to skip the formatter -- whose
+    failures are exceptions inside the JVM -- on text of another shape."""
+    out, i = [], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch == "'":
+            j = fmt.index("'", i + 1)
+            out.append(re.escape(fmt[i + 1:j]) if j > i + 1 else "'")
+            i = j + 1
+            continue
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        n = j - i
+        if ch in "yu":
+            out.append(r"\d{2}" if n == 2 else r"[+-]?\d{1,9}")
+        elif ch in "ML":
+            out.append(r"\d{1,2}" if n <= 2 else r"\p{L}+\.?")
+        elif ch in "dHhmsD":
+            out.append(r"\d{1,3}")
+        elif ch in "Ea":
+            out.append(r"\p{L}+\.?")
+        elif ch.isalpha():
+            out.append(".+?")
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    return "^" + "".join(out) + "$"
 
 
 def parse_date_formats(c: Column | str, formats: tuple[str, ...] | list[str]) -> Column:
     """The first of ``formats`` that matches the whole (trimmed) text."""
     text = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    return F.coalesce(*[F.when(text.rlike(pattern_shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats])
 
 
 def parse_month_first(c: Column | str) -> Column:

@@ -52,8 +52,8 @@ def drop_week(df: DataFrame, week_col: Column | str, week: int = 53) -> DataFram
     return df.filter(_c(week_col).try_cast("int") != week)
 
 
-def drop_latest_week(df: DataFrame, week_col: str = "epiweek",
-                     per: list[str] | None = None, max_broadcast_rows: int = 100_000) -> DataFrame:
+def drop_latest_week(df: DataFrame, week_col: str = "epiweek", per: list[str] | None = None,
+                     max_broadcast_rows: int = 100_000, materialize_input: bool = False) -> DataFrame:
     """keep rows strictly before the latest week.
 
     Global (default): one scalar subquery ``max(week)`` over the whole input, the
@@ -61,7 +61,16 @@ def drop_latest_week(df: DataFrame, week_col: str = "epiweek",
     ``per=[...]``: the latest week of each group instead; the per-group maxima
     are a partial aggregate joined back by key (broadcast only when the number
     of groups is proven small).
+
+    The maximum and the filter both read ``df``; Catalyst pushes the filter
+    into the scans, so without ``materialize_input`` the upstream plan runs
+    twice.  For a weekly result (small) built from a large input, set
+    ``materialize_input=True``: it is checkpointed once to the shared folder.
     """
+    if materialize_input:
+        from hebdo.session import materialize
+
+        df = materialize(df)
     if not per:
         latest = df.select(F.max(week_col)).scalar()
         return df.filter(F.col(week_col) < latest)

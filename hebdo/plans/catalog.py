@@ -581,7 +581,7 @@ WITH {EVENTS_WEEKLY}
 SELECT event_type, epiweek, new_hospitalization, reports FROM events_weekly
 WHERE epiweek < (SELECT max(epiweek) FROM events_weekly)""")
 def drop_latest_week_query(spark, d):
-    return drop_latest_week(_events_weekly(spark, d), "epiweek")
+    return drop_latest_week(_events_weekly(spark, d), "epiweek", materialize_input=True)
 
 
 # ---------------------------------------------------------------------------

@@ -25,6 +25,7 @@ from hebdo.operators.dedupe import top1_per_group
 from hebdo.operators.filters import drop_latest_week
 from hebdo.operators.rollup import add_week_numbers, frequency_label, rows_per_group, weekly_rollup
 from hebdo.plans.specs import OutputSpec
+from hebdo.session import materialize
 from hebdo.sources.sinks import write_parquet, write_single_csv
 
 # The reference's country renaming before the reference join
@@ -88,7 +89,7 @@ def current_weekly_series(sources: list[DataFrame], spec: OutputSpec = OUTPUT_CU
 def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None = None,
                            reference_key: str = "ADM0_NAME", spec: OutputSpec = OUTPUT_ARCHIVED,
                            country_names: dict | None = None, freq_mode: str = "reports",
-                           latest_week: str = "global") -> DataFrame:
+                           latest_week: str = "global", materialize_weekly: bool = True) -> DataFrame:
     """X13 (X15 with one feed) on tidy feeds ``(country_name, report_date, measures)``.
 
     ``freq_mode='reports'`` counts the daily reports inside each week before
@@ -96,6 +97,8 @@ def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None
     ``freq_mode='compat'`` counts rows after the rollup as the reference
     script does (always 1, always "weekly").
     ``latest_week``: 'global' (reference), 'per_country', or 'keep'.
+    ``materialize_weekly`` checkpoints the (small) weekly series once, so the
+    latest-week scan and the final filter do not re-run the feeds.
     """
     merged = combine_sources(sources)
     if "new_icu" not in merged.columns:
@@ -112,6 +115,8 @@ def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None
     weekly = add_week_numbers(weekly, "epiweek", spec.week_rule)
     names = REFERENCE_COUNTRY_NAMES if country_names is None else country_names
     out = weekly.withColumn("country", recode("country_name", names)).select(*spec.columns)
+    if materialize_weekly and latest_week != "keep":
+        out = materialize(out)
     if reference is not None:
         ref = reference.withColumnRenamed(reference_key, "country")
         out = enrich(out, ref, "country", how="left", dedupe_reference=True)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on: UTC so that date casts of instants are
 # stable, ANSI so bad casts fail loudly unless a try_* form is used, AQE for
@@ -25,6 +25,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -57,3 +58,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    Used for small aggregated results that are read more than once (e.g. the
+    weekly series, scanned for its latest week and then filtered), so the
+    large upstream plan runs once and survives executor loss.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
