@@ -137,6 +137,13 @@ def epoch_ms_to_date(c: Column | str) -> Column:
     return F.date_from_unix_date(days.try_cast("int"))
 
 
+def wall_clock_epoch_ms(c: Column | str) -> Column:
+    """Epoch milliseconds of a ``timestamp_ntz`` read as UTC wall-clock time,
+    whatever the session time zone (truncated to the millisecond)."""
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return F.timestamp_diff("MILLISECOND", epoch, _col(c).cast("timestamp_ntz"))
+
+
 def epoch_ms_to_timestamp(c: Column | str) -> Column:
     return F.timestamp_millis(_col(c).try_cast("long"))
 

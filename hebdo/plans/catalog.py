@@ -312,7 +312,7 @@ def date_quarantine(spark, d):
 SELECT event_id, epoch_us(CAST(ts AS TIMESTAMP)) // 1000 AS epoch_ms, CAST(ts AS DATE) AS report_date
 FROM events""")
 def epoch_ms_to_date(spark, d):
-    e = feeds.table(spark, d, "events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("epoch_ms"))
+    e = feeds.table(spark, d, "events").select("event_id", D.wall_clock_epoch_ms("ts").alias("epoch_ms"))
     return e.withColumn("report_date", D.epoch_ms_to_date("epoch_ms"))
 
 
@@ -598,7 +598,7 @@ FROM events""")
 def geojson_inline(spark, d):
     e = feeds.table(spark, d, "events")
     feature = F.struct(F.lit("Feature").alias("type"),
-                       F.struct(F.unix_millis(F.col("ts").cast("timestamp")).alias("Date"),
+                       F.struct(D.wall_clock_epoch_ms("ts").alias("Date"),
                                 F.col("event_id"), F.col("user_id"),
                                 F.floor("value").cast("bigint").alias("SUM_no_new_admissions")).alias("properties"))
     page = F.concat(F.lit("page-"), F.floor(F.col("event_id") / PAGE_SIZE).cast("string"))

@@ -77,12 +77,16 @@ def to_report_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def _with_constants(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    return df.withColumns({k: F.lit(v) for k, v in spec.constants}) if spec.constants else df
+    cols = {k: F.lit(v) for k, v in spec.constants}
+    cols.update({m: F.lit(None).cast("bigint") for m in spec.missing_measures})
+    return df.withColumns(cols) if cols else df
 
 
 def normalize_source(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """One feed -> one tidy row per (country_name, report_date)."""
     rows = to_report_rows(df, spec)
+    if not spec.aggregate_daily:
+        return _with_constants(rows, spec)
     how = {m.name: m.aggregate for m in spec.measures}
     return _with_constants(daily_totals(rows, ["country_name"], "report_date", how, spec.null_policy), spec)
 

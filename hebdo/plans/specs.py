@@ -55,6 +55,8 @@ class SourceSpec:
     min_date: str | None = None                     # F6
     drop_zero: str | None = None                    # F7 on a measure
     null_policy: str = "zero"                       # A1 ('zero') or A2 ('keep')
+    aggregate_daily: bool = True                    # False: keep every report row (no daily sum)
+    missing_measures: tuple[str, ...] = ()          # measures the feed lacks -> typed NULL (P5)
     constants: tuple[tuple[str, object], ...] = ()  # extra constant output columns
 
     @property

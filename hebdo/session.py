@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on: UTC so that date casts of instants are
 # stable, ANSI so bad casts fail loudly unless a try_* form is used, AQE for
-# partition coalescing and skew splitting at run time.
+# partition coalescing and skew splitting at run time.  Broadcasts are never
+# chosen from plan-time size estimates (static threshold off); AQE may still
+# turn a join into a broadcast from the measured size of a finished shuffle
+# stage, and the library broadcasts explicitly only behind a row-count check.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -23,6 +26,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
