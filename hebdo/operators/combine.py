@@ -92,6 +92,12 @@ def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``df`` with a broadcast hint when it provably holds at most ``max_rows``
+    rows; otherwise unchanged, so the planner picks a shuffle join."""
+    return F.broadcast(df) if bounded_row_count(df, max_rows) is not None else df
+
+
 def join_nullsafe(df: DataFrame, other: DataFrame, on: list[str], how: str = "left",
                   max_broadcast_rows: int = 100_000) -> DataFrame:
     """Equi-join on ``on`` where NULL matches NULL; ``other`` is broadcast only
@@ -99,8 +105,7 @@ def join_nullsafe(df: DataFrame, other: DataFrame, on: list[str], how: str = "le
     (with AQE skew handling) is planned."""
     renamed = other.select(*[F.col(k).alias(f"__other_{k}") for k in on],
                            *[c for c in other.columns if c not in on])
-    if bounded_row_count(other, max_broadcast_rows) is not None:
-        renamed = F.broadcast(renamed)
+    renamed = broadcast_if_small(renamed, max_broadcast_rows)
     cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__other_{k}")) for k in on])
     return df.join(renamed, cond, how).drop(*[f"__other_{k}" for k in on])
 

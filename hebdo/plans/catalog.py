@@ -17,14 +17,14 @@ from hebdo.functions import dates as D
 from hebdo.functions.casts import to_double, to_int_truncating, to_text
 from hebdo.functions.text import bytes_to_text, normalize_label, recode
 from hebdo.operators.columns import clean_column_names, select_renamed, typed_null, with_constants
-from hebdo.operators.combine import (distinct_rows, enrich, full_join_on_values, outer_merge_measures,
-                                     union_by_name)
+from hebdo.operators.combine import (broadcast_if_small, distinct_rows, enrich, full_join_on_values,
+                                     outer_merge_measures, union_by_name)
 from hebdo.operators.dedupe import top1_per_group
 from hebdo.operators.filters import (drop_latest_week, drop_week, drop_zero, exclude_values, keep_all,
                                      keep_equal, keep_on_or_after, keep_values)
 from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import tag_date_issues
-from hebdo.operators.rollup import frequency_label, rows_per_group, weekly_rollup
+from hebdo.operators.rollup import add_week_start, frequency_label, rows_per_group, weekly_rollup
 from hebdo.plans import feeds
 from hebdo.plans.normalize import normalize_measure_pair, normalize_pages, normalize_source
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
@@ -524,17 +524,23 @@ ref AS (SELECT DISTINCT ADM0_NAME AS country, WHO_REGION, ISO_3_CODE FROM places
 SELECT w.country, w.epiweek, w.new_hospitalization, ref.WHO_REGION, ref.ISO_3_CODE
 FROM weekly w LEFT JOIN ref ON w.country IS NOT DISTINCT FROM ref.country""")
 def enrich_reference(spark, d):
-    r = feeds.orders_reports(spark, d)
-    cust = feeds.table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    nation = feeds.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    rows = (r.join(cust, r["o_custkey"] == cust["c_custkey"])
-             .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
-    weekly = weekly_rollup(rows, ["country"], "report_date", ["new_hospitalization"], null_policy="keep")
+    # Sum per (customer, week) first: the join then sees one row per customer
+    # and week instead of one per order, and a hot customer is combined map-side.
+    r = add_week_start(feeds.orders_reports(spark, d), "report_date")
+    per_customer = r.groupBy("o_custkey", "epiweek").agg(F.sum("new_hospitalization").alias("new_hospitalization"))
+    cn = join_small_or_shuffle(per_customer, feeds.customer_nations(spark, d, "country"), "o_custkey", "c_custkey")
+    weekly = cn.groupBy("country", "epiweek").agg(F.sum("new_hospitalization").alias("new_hospitalization"))
     p = feeds.places(spark, d)
     ref = union_by_name(p, p).select(F.col("ADM0_NAME").alias("country"), "WHO_REGION", "ISO_3_CODE")
     return enrich(weekly, ref, "country", how="left", dedupe_reference=True)
 
 
+def join_small_or_shuffle(df: DataFrame, dim: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Inner join to a dimension keyed by ``right_key``; broadcast only if small."""
+    dim = broadcast_if_small(dim)
+    return df.join(dim, df[left_key] == dim[right_key]).drop(right_key)
+
+
 # ---------------------------------------------------------------------------
 # Top-1, group size, latest week
 # ---------------------------------------------------------------------------
@@ -707,8 +713,11 @@ def current_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     """The two feeds of the current flow: a daily national feed summed per
     date (orders by customer nation) and an event-level feed (purchases)."""
     r = feeds.orders_reports(spark, d)
-    cp = feeds.customer_places(spark, d)
-    rows = r.join(cp, r["o_custkey"] == cp["c_custkey"]).withColumn("country", F.upper("ADM0_NAME"))
+    # partial sums per (customer, date) before the customer join (exact for sums)
+    per_customer = r.groupBy("o_custkey", "report_date").agg(F.sum("new_hospitalization").alias("new_hospitalization"),
+                                                             F.sum("new_icu").alias("new_icu"))
+    rows = join_small_or_shuffle(per_customer, feeds.customer_places(spark, d), "o_custkey", "c_custkey")
+    rows = rows.withColumn("country", F.upper("ADM0_NAME"))
     nz = (rows.groupBy("WHO_REGION", "ISO_3_CODE", "country", "report_date")
               .agg(F.coalesce(F.sum("new_hospitalization"), F.lit(0)).alias("new_hospitalization"),
                    F.coalesce(F.sum("new_icu"), F.lit(0)).alias("new_icu")))
@@ -791,11 +800,8 @@ def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     """Three feeds: admissions and ICU from two tables merged per date (J1),
     a state feed delivered in two pages (J2b), a weekly feed keyed by ISO
     week codes (D6)."""
-    r = feeds.orders_reports(spark, d)
-    cust = feeds.table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    nation = feeds.table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("country_name"))
-    base = (r.drop("country_name").join(cust, r["o_custkey"] == cust["c_custkey"])
-             .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
+    r = feeds.orders_reports(spark, d).drop("country_name")
+    base = join_small_or_shuffle(r, feeds.customer_nations(spark, d), "o_custkey", "c_custkey")
     left = base.filter(F.col("o_orderstatus") != "O").select("country_name", "report_date", "new_hospitalization")
     right = base.filter(F.col("o_orderstatus") == "O").select("country_name", "report_date", "new_icu")
     s1 = outer_merge_measures(left, right, ["country_name", "report_date"], null_policy="zero")

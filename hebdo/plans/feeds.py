@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from hebdo.functions.dates import day_count_week
 from hebdo.functions.text import recode
+from hebdo.operators.combine import broadcast_if_small
 
 # The eight US territories the state feed excludes.
 US_TERRITORIES = ("PR", "VI", "MP", "PW", "FM", "MH", "GU", "AS")
@@ -117,7 +118,7 @@ def weekly_code_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference places from nation + region (one row per nation)."""
     n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
+    r = broadcast_if_small(table(spark, sf_dir, "region"))
     return (n.join(r, n["n_regionkey"] == r["r_regionkey"])
              .select("n_nationkey", F.col("n_name").alias("ADM0_NAME"),
                      recode("r_name", REGION_CODES).alias("WHO_REGION"),
@@ -125,6 +126,14 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer -> reference place (a dimension as large as ``customer``)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    p = places(spark, sf_dir)
+    p = broadcast_if_small(places(spark, sf_dir))
     return c.join(p, c["c_nationkey"] == p["n_nationkey"]).drop("c_nationkey", "n_nationkey")
+
+
+def customer_nations(spark: SparkSession, sf_dir: str, name_col: str = "country_name") -> DataFrame:
+    """Customer -> nation name."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias(name_col)))
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).drop("c_nationkey", "n_nationkey")
