@@ -29,7 +29,7 @@ from hebdo.plans import feeds
 from hebdo.plans.normalize import normalize_measure_pair, normalize_pages, normalize_source
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
-from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema
+from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema, promote_header_record
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -738,7 +738,12 @@ def current_release(spark, d):
     return current_weekly_series(current_release_sources(spark, d), row_id_col="row_id")
 
 
-ARCHIVED_SQL = f"""
+def archived_sql(feeds_sql: tuple[str, ...] = ("s1", "s2", "s3")) -> str:
+    merged = " UNION ALL ".join(f"SELECT * FROM {f}" for f in feeds_sql)
+    return ARCHIVED_SQL_TEMPLATE.replace("@MERGED@", merged)
+
+
+ARCHIVED_SQL_TEMPLATE = f"""
 WITH {ORDERS_REPORTS}, {PLACES}, {STATE_FEED}, {STATE_ROWS}, {WEEKLY_CODE_FEED},
 base AS (
   SELECT n.n_name AS country_name, r.report_date, r.o_orderstatus, r.new_hospitalization, r.new_icu
@@ -767,7 +772,7 @@ s3 AS (
   SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
          CAST(NULL AS BIGINT) AS new_icu, 3 AS src_ord
   FROM s3rows GROUP BY 1, 2),
-merged AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3),
+merged AS (@MERGED@),
 daily AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY report_date, country_name
@@ -812,7 +817,50 @@ def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     return [s1, s2, s3]
 
 
-@register("archived_release", ARCHIVED_SQL)
+@register("archived_release", archived_sql())
 def archived_release(spark, d):
     return archived_weekly_series(archived_release_sources(spark, d), reference=feeds.places(spark, d),
                                   reference_key="ADM0_NAME", freq_mode="reports", latest_week="global")
+
+
+@register("us_only_release", archived_sql(("s2",)))
+def us_only_release(spark, d):
+    """The archived finalisation over the paged state feed alone."""
+    state = feeds.state_feed(spark, d)
+    s2 = normalize_pages([state.filter(F.col("l_linenumber") % 2 == 1), state.filter(F.col("l_linenumber") % 2 == 0)],
+                         STATE_SPEC, mode="union")
+    return archived_weekly_series([s2], reference=feeds.places(spark, d), reference_key="ADM0_NAME")
+
+
+# ---------------------------------------------------------------------------
+# Header-record promotion (S8): documents whose first record holds the names
+# ---------------------------------------------------------------------------
+
+@register("header_record_promotion", f"""
+SELECT CAST(event_id AS VARCHAR) AS "event_id", event_type AS "event_type", CAST(CAST(ts AS DATE) AS VARCHAR) AS "Дата"
+FROM events""")
+def header_record_promotion(spark, d):
+    names = ["event_id", "event_type", "Дата"]
+    e = feeds.table(spark, d, "events")
+    record = F.array(F.col("event_id").cast("string"), F.col("event_type"), F.to_date("ts").cast("string"))
+    page = F.floor(F.col("event_id") / PAGE_SIZE)
+    header = F.array(*[F.lit(n) for n in names])
+    docs = (e.groupBy(page.alias("page"))
+             .agg(F.to_json(F.concat(F.array(header), F.collect_list(record))).alias("body")))
+    records = docs.select(F.explode(F.from_json("body", "array<array<string>>")).alias("rec"))
+    return promote_header_record(records, "rec", names)
+
+
+# ---------------------------------------------------------------------------
+# The streaming job's weekly window aggregate, run in batch (D1 + A2 + A4b)
+# ---------------------------------------------------------------------------
+
+@register("weekly_window_rollup", f"""
+SELECT CAST(date_trunc('week', ts) AS DATE) AS epiweek, event_type,
+       CAST(SUM(CAST(floor(value) AS BIGINT)) AS BIGINT) AS new_hospitalization, CAST(count(*) AS BIGINT) AS reports
+FROM events GROUP BY ALL""")
+def weekly_window_rollup(spark, d):
+    from hebdo.streaming.weekly_stream import weekly_window_aggregate
+    e = feeds.table(spark, d, "events").select("ts", "event_type",
+                                               F.floor("value").cast("bigint").alias("new_hospitalization"))
+    return weekly_window_aggregate(e, "ts", ["event_type"], ["new_hospitalization"])
