@@ -37,9 +37,10 @@ def keep_all(df: DataFrame, *predicates: Column) -> DataFrame:
 
 
 def keep_on_or_after(df: DataFrame, col: Column | str, first_date: str) -> DataFrame:
-    """valid date and not before ``first_date``."""
-    c = _c(col)
-    return df.filter(c.isNotNull() & (c >= F.lit(first_date).cast("date")))
+    """valid date and not before ``first_date``.  A NULL date makes the
+    comparison NULL, which drops the row, so one comparison covers both tests
+    (and the date expression is evaluated once in the filter)."""
+    return df.filter(_c(col) >= F.lit(first_date).cast("date"))
 
 
 def drop_zero(df: DataFrame, col: Column | str) -> DataFrame:

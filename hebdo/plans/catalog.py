@@ -738,13 +738,8 @@ def current_release(spark, d):
     return current_weekly_series(current_release_sources(spark, d), row_id_col="row_id")
 
 
-def archived_sql(feeds_sql: tuple[str, ...] = ("s1", "s2", "s3")) -> str:
-    merged = " UNION ALL ".join(f"SELECT * FROM {f}" for f in feeds_sql)
-    return ARCHIVED_SQL_TEMPLATE.replace("@MERGED@", merged)
-
-
-ARCHIVED_SQL_TEMPLATE = f"""
-WITH {ORDERS_REPORTS}, {PLACES}, {STATE_FEED}, {STATE_ROWS}, {WEEKLY_CODE_FEED},
+ARCHIVED_FEEDS_SQL = {
+    "s1": (("ORDERS_REPORTS",), f"""
 base AS (
   SELECT n.n_name AS country_name, r.report_date, r.o_orderstatus, r.new_hospitalization, r.new_icu
   FROM orders_reports r JOIN customer c ON r.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
@@ -756,11 +751,13 @@ s1 AS (
          CAST(COALESCE(SUM(rr.new_icu), 0) AS BIGINT) AS new_icu, 1 AS src_ord
   FROM l FULL OUTER JOIN rr
     ON l.country_name IS NOT DISTINCT FROM rr.country_name AND l.report_date IS NOT DISTINCT FROM rr.report_date
-  GROUP BY 1, 2),
+  GROUP BY 1, 2)"""),
+    "s2": (("STATE_FEED", "STATE_ROWS"), f"""
 s2 AS (
   SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
          CAST(NULL AS BIGINT) AS new_icu, 2 AS src_ord
-  FROM state_rows WHERE new_hospitalization <> 0 GROUP BY 1, 2),
+  FROM state_rows WHERE new_hospitalization <> 0 GROUP BY 1, 2)"""),
+    "s3": (("WEEKLY_CODE_FEED",), f"""
 s3rows AS (
   SELECT CASE geoRegion WHEN 'CH' THEN 'Switzerland' ELSE geoRegion END AS country_name,
          {sql_iso_monday('TRY_CAST(substr(date, 1, 4) AS INTEGER)', 'TRY_CAST(substr(date, 5, 2) AS INTEGER)')} AS report_date,
@@ -771,8 +768,10 @@ s3rows AS (
 s3 AS (
   SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
          CAST(NULL AS BIGINT) AS new_icu, 3 AS src_ord
-  FROM s3rows GROUP BY 1, 2),
-merged AS (@MERGED@),
+  FROM s3rows GROUP BY 1, 2)"""),
+}
+
+ARCHIVED_FINISH_SQL = """
 daily AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY report_date, country_name
@@ -801,6 +800,20 @@ joined AS (SELECT named.*, ref.n_nationkey, ref.WHO_REGION, ref.ISO_3_CODE
 SELECT * FROM joined WHERE epiweek < (SELECT max(epiweek) FROM joined)"""
 
 
+def archived_sql(feeds_sql: tuple[str, ...] = ("s1", "s2", "s3")) -> str:
+    """Oracle of the archived flow over the given feeds (only their CTEs)."""
+    shared = {"ORDERS_REPORTS": ORDERS_REPORTS, "STATE_FEED": STATE_FEED, "STATE_ROWS": STATE_ROWS,
+              "WEEKLY_CODE_FEED": WEEKLY_CODE_FEED}
+    needed = []
+    for f in feeds_sql:
+        for part in ARCHIVED_FEEDS_SQL[f][0]:
+            if part not in needed:
+                needed.append(part)
+    ctes = [PLACES] + [shared[n] for n in needed] + [ARCHIVED_FEEDS_SQL[f][1] for f in feeds_sql]
+    merged = " UNION ALL ".join(f"SELECT * FROM {f}" for f in feeds_sql)
+    return "WITH " + ",".join(ctes) + f",\nmerged AS ({merged}),\n" + ARCHIVED_FINISH_SQL.lstrip()
+
+
 def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     """Three feeds: admissions and ICU from two tables merged per date (J1),
     a state feed delivered in two pages (J2b), a weekly feed keyed by ISO
