@@ -32,22 +32,31 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 # --- J1: two measures from two tables on the business key --------------------
 
 def outer_merge_measures(left: DataFrame, right: DataFrame, keys: list[str],
-                         null_policy: str = "zero") -> DataFrame:
+                         null_policy: str = "zero", left_rows: str | None = None,
+                         right_rows: str | None = None) -> DataFrame:
     """Full outer join of two measure tables on ``keys`` (NULL-safe), then the
     per-key sum of every measure, as the reference does.
 
     A left row appears once per matching right row (once if none), so its
     measures are weighted by ``max(right_count, 1)`` and vice versa.  With
     unique keys per side the weights are 1 and this is a plain outer merge.
+
+    ``left_rows`` / ``right_rows`` name a column holding how many raw rows a
+    row stands for, so a side may be pre-aggregated (summed per a finer key)
+    before it is shuffled; the result is the same as on the raw rows.
     """
-    left_measures = [c for c in left.columns if c not in keys]
-    right_measures = [c for c in right.columns if c not in keys]
+    counts = {c for c in (left_rows, right_rows) if c}
+    left_measures = [c for c in left.columns if c not in keys and c not in counts]
+    right_measures = [c for c in right.columns if c not in keys and c not in counts]
     clash = set(left_measures) & set(right_measures)
     if clash:
         raise ValueError(f"measure names on both sides: {sorted(clash)}; project first (P9)")
+    one = F.lit(1).cast("bigint")
     tagged = union_by_name(
-        left.select(*keys, *left_measures, F.lit(1).alias("__left"), F.lit(0).alias("__right")),
-        right.select(*keys, *right_measures, F.lit(0).alias("__left"), F.lit(1).alias("__right")),
+        left.select(*keys, *left_measures, (F.col(left_rows) if left_rows else one).alias("__left"),
+                    F.lit(0).cast("bigint").alias("__right")),
+        right.select(*keys, *right_measures, F.lit(0).cast("bigint").alias("__left"),
+                     (F.col(right_rows) if right_rows else one).alias("__right")),
     )
     sums = [F.sum(m).alias(m) for m in left_measures + right_measures]
     per_key = tagged.groupBy(*keys).agg(F.sum("__left").alias("__n_left"),

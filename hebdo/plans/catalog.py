@@ -818,11 +818,19 @@ def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     """Three feeds: admissions and ICU from two tables merged per date (J1),
     a state feed delivered in two pages (J2b), a weekly feed keyed by ISO
     week codes (D6)."""
-    r = feeds.orders_reports(spark, d).drop("country_name")
-    base = join_small_or_shuffle(r, feeds.customer_nations(spark, d), "o_custkey", "c_custkey")
-    left = base.filter(F.col("o_orderstatus") != "O").select("country_name", "report_date", "new_hospitalization")
-    right = base.filter(F.col("o_orderstatus") == "O").select("country_name", "report_date", "new_icu")
-    s1 = outer_merge_measures(left, right, ["country_name", "report_date"], null_policy="zero")
+    r = feeds.orders_reports(spark, d)
+    # Pre-aggregate per (customer, date, side) with raw row counts before the
+    # customer join; outer_merge_measures weighs by the counts, so the merge
+    # equals the full join of the raw rows.
+    side = F.when(F.col("o_orderstatus") != "O", "admissions").otherwise("icu")
+    per_customer = r.groupBy("o_custkey", "report_date", side.alias("side")).agg(
+        F.sum("new_hospitalization").alias("new_hospitalization"), F.sum("new_icu").alias("new_icu"),
+        F.count(F.lit(1)).alias("n_rows"))
+    base = join_small_or_shuffle(per_customer, feeds.customer_nations(spark, d), "o_custkey", "c_custkey")
+    keys = ["country_name", "report_date"]
+    left = base.filter(F.col("side") == "admissions").select(*keys, "new_hospitalization", "n_rows")
+    right = base.filter(F.col("side") == "icu").select(*keys, "new_icu", "n_rows")
+    s1 = outer_merge_measures(left, right, keys, null_policy="zero", left_rows="n_rows", right_rows="n_rows")
     state = feeds.state_feed(spark, d)
     s2 = normalize_pages([state.filter(F.col("l_linenumber") % 2 == 1), state.filter(F.col("l_linenumber") % 2 == 0)],
                          STATE_SPEC, mode="union")

@@ -119,3 +119,17 @@ def test_full_join_counts_property(spark):
         assert got == len(pairs_full_join(left, right, 2))
         # J2a count = sum of a*b over shared keys + unmatched rows
         assert got == sum(1 for _ in itertools.chain(pairs_full_join(left, right, 2)))
+
+
+def test_outer_merge_pre_aggregated_equals_raw(spark):
+    rnd = random.Random(11)
+    left = [(rnd.choice(["A", "B"]), rnd.choice([1, 2]), rnd.randint(0, 3), rnd.choice([None, 1, 4])) for _ in range(40)]
+    right = [(rnd.choice(["A", "C"]), rnd.choice([1, 2]), rnd.randint(0, 3), rnd.choice([None, 2])) for _ in range(30)]
+    L = spark.createDataFrame(left, "c string, day int, cust int, h bigint")
+    R = spark.createDataFrame(right, "c string, day int, cust int, i bigint")
+    raw = outer_merge_measures(L.drop("cust"), R.drop("cust"), ["c", "day"])
+    Lp = L.groupBy("c", "day", "cust").agg(F.sum("h").alias("h"), F.count(F.lit(1)).alias("n")).drop("cust")
+    Rp = R.groupBy("c", "day", "cust").agg(F.sum("i").alias("i"), F.count(F.lit(1)).alias("n")).drop("cust")
+    pre = outer_merge_measures(Lp, Rp, ["c", "day"], left_rows="n", right_rows="n")
+    key = lambda r: (r["c"], r["day"], r["h"], r["i"])
+    assert sorted(map(key, raw.collect())) == sorted(map(key, pre.collect()))
