@@ -114,12 +114,16 @@ def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None
     weekly = weekly.withColumn("freq", frequency_label("freq_time"))
     weekly = add_week_numbers(weekly, "epiweek", spec.week_rule)
     names = REFERENCE_COUNTRY_NAMES if country_names is None else country_names
-    out = weekly.withColumn("country", recode("country_name", names)).select(*spec.columns)
+    weekly = weekly.withColumn("country", recode("country_name", names))
+    own = [c for c in spec.columns if c in weekly.columns]
+    out = weekly.select(*own)
     if materialize_weekly and latest_week != "keep":
         out = materialize(out)
     if reference is not None:
         ref = reference.withColumnRenamed(reference_key, "country")
         out = enrich(out, ref, "country", how="left", dedupe_reference=True)
+        if len(own) < len(spec.columns):      # the layout names its reference columns (O4)
+            out = out.select(*spec.columns)
     if latest_week == "global":
         out = drop_latest_week(out, "epiweek")
     elif latest_week == "per_country":

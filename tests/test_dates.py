@@ -110,3 +110,24 @@ def test_monday_week_matches_strptime_rule(spark):
     got = {(r["y"], r["w"]): r["m"] for r in df.collect()}
     for (y, w), m in got.items():
         assert m == dt.datetime.strptime(f"{y}{w:02d}1", "%Y%W%w").date()
+
+
+def test_week_start_idempotent_and_monday(spark):
+    import datetime as dt
+    days = [(dt.date(2019, 12, 20) + dt.timedelta(days=i),) for i in range(800)]
+    df = spark.createDataFrame(days, "x date").select(D.week_start(F.col("x")).alias("w"))
+    got = df.select("w", D.week_start(F.col("w")).alias("ww"), F.dayofweek("w").alias("dow")).collect()
+    assert all(r["w"] == r["ww"] and r["dow"] == 2 for r in got)        # Spark: 2 = Monday
+
+
+def test_week_code_mondays(spark):
+    codes = [(f"{y}{w:02d}",) for y in range(1995, 2031) for w in range(1, 54)]
+    df = spark.createDataFrame(codes, "c string")
+    c = F.col("c")
+    out = df.select(D.monday_of_monday_week(D.week_code_year(c), D.week_code_week(c)).alias("a"),
+                    D.monday_of_iso_week(D.week_code_year(c), D.week_code_week(c)).alias("b"))
+    rows = out.collect()
+    assert all(r["a"].weekday() == 0 for r in rows)
+    assert all(r["b"] is None or r["b"].weekday() == 0 for r in rows)
+    # ISO years with 53 weeks in 1995-2030: 1998 2004 2009 2015 2020 2026
+    assert sum(r["b"] is None for r in rows) == 36 - 6

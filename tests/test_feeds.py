@@ -150,3 +150,13 @@ def test_current_release_from_files(spark, landed):
     assert got == [("NEW ZEALAND", "2022-01-03", 7, 1, 2022, 1), ("NEW ZEALAND", "2022-01-10", 2, 0, 2022, 2),
                    ("UNITED STATES OF AMERICA", "2024-04-29", 370, None, 2024, 18),
                    ("UNITED STATES OF AMERICA", "2024-05-06", 378, None, 2024, 19)]
+
+
+def test_legacy_layouts(spark, landed):
+    from hebdo.plans.release import OUTPUT_LEGACY_REGION, OUTPUT_LEGACY_SHORT
+    short = NF.archived_release_from_files(spark, landed, spec=OUTPUT_LEGACY_SHORT)
+    assert short.columns == list(OUTPUT_LEGACY_SHORT.columns) + ["WHO_REGION", "ISO_3_CODE"]
+    region = NF.archived_release_from_files(spark, landed, spec=OUTPUT_LEGACY_REGION)
+    assert region.columns == list(OUTPUT_LEGACY_REGION.columns)
+    dk = [r for r in region.collect() if r["country"] == "DENMARK"]
+    assert [(r["WHO_REGION"], r["ISO_3_CODE"], r["iso_week_number"]) for r in dk] == [("EURO", "DNK", 1)]
