@@ -39,23 +39,27 @@ CH_SLICE = (("geoRegion", "CH"), ("altersklasse_covid19", "all"), ("primary_hosp
 CH_NAMES = (("CH", "Switzerland"),)
 BG_FIELDS = ("Дата", "Новохоспитализирани")
 
+# Reports dated before this (or unparsable) are quarantined, not summed: a
+# parameter of this library, chosen before the first reports of the series.
+PLAUSIBLE = ("2019-12-01", None)
+
 # ---------------------------------------------------------------------------
 # Specs
 # ---------------------------------------------------------------------------
 
 NZ_CURRENT = SourceSpec(
-    name="nz", date=DateSpec(NZ_DATE, "leading"),
+    plausible=PLAUSIBLE, name="nz", date=DateSpec(NZ_DATE, "leading"),
     measures=(MeasureSpec("new_hospitalization", ("hospitalisations",)), MeasureSpec("new_icu", ("icu",))),
     country="NEW ZEALAND", equals=(NZ_SLICE,),
     constants=(("WHO_REGION", "WPRO"), ("ISO_3_CODE", "NZL")))
 
 NZ_ARCHIVED = SourceSpec(
-    name="nz", date=DateSpec(NZ_DATE, "leading"),
+    plausible=PLAUSIBLE, name="nz", date=DateSpec(NZ_DATE, "leading"),
     measures=(MeasureSpec("new_hospitalization", ("hospitalisations",)), MeasureSpec("new_icu", ("icu",))),
     country="New Zealand", equals=(NZ_SLICE,))
 
 CDC_SENTINEL = SourceSpec(
-    name="cdc", date=DateSpec("time", "formats", ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy")),
+    plausible=PLAUSIBLE, name="cdc", date=DateSpec("time", "formats", ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy")),
     measures=(MeasureSpec("new_hospitalization", ("estimate",)),),
     country="UNITED STATES OF AMERICA", labels=("time_period",),
     equals=(("time_period", CDC_PERIOD), ("strata", CDC_STRATA)), include=(("season", CDC_SEASONS),),
@@ -63,13 +67,13 @@ CDC_SENTINEL = SourceSpec(
     constants=(("WHO_REGION", "AMRO"), ("ISO_3_CODE", "USA")))
 
 US_STATES = SourceSpec(
-    name="us_states", date=DateSpec("date", "leading"),
+    plausible=PLAUSIBLE, name="us_states", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_hospitalization", (US_ADULT, US_PAEDIATRIC)),),
     country="United States of America", exclude=(("state", US_TERRITORIES),),
     fill_missing=True, drop_zero="new_hospitalization")
 
 US_TERRITORY_PAGES = SourceSpec(
-    name="pr_vi", date=DateSpec("date", "leading"),
+    plausible=PLAUSIBLE, name="pr_vi", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_hospitalization", (US_ADULT, US_PAEDIATRIC)),),
     country_column="state", country_recode=PR_VI_NAMES, include=(("state", ("PR", "VI")),),
     fill_missing=True, drop_zero="new_hospitalization")
@@ -80,43 +84,43 @@ def switzerland(week_rule: str = "monday_week") -> SourceSpec:
     dropped); ``iso``: the code read as an ISO week (week 53 kept if real)."""
     kind = "week_code_monday" if week_rule == "monday_week" else "week_code_iso"
     return SourceSpec(
-        name="ch", date=DateSpec("date", kind), measures=(MeasureSpec("new_hospitalization", ("entries",)),),
+        plausible=PLAUSIBLE, name="ch", date=DateSpec("date", kind), measures=(MeasureSpec("new_hospitalization", ("entries",)),),
         country_column="geoRegion", country_recode=CH_NAMES, equals=CH_SLICE,
         drop_week=53 if week_rule == "monday_week" else None)
 
 
 UK_ADMISSIONS = SourceSpec(
-    name="uk_hosp", date=DateSpec("date", "leading"),
+    plausible=PLAUSIBLE, name="uk_hosp", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_hospitalization", ("new_admissions",)),), country_column="area_name")
 UK_VENTILATED = SourceSpec(
-    name="uk_icu", date=DateSpec("date", "leading"),
+    plausible=PLAUSIBLE, name="uk_icu", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_icu", ("covid_occupied_mv_beds",)),), country_column="area_name")
 
 IRELAND_ADMISSIONS = SourceSpec(
-    name="ie_hosp", date=DateSpec("Date", "epoch_ms"),
+    plausible=PLAUSIBLE, name="ie_hosp", date=DateSpec("Date", "epoch_ms"),
     measures=(MeasureSpec("new_hospitalization", ("SUM_no_new_admissions_covid19_p",)),), country="Ireland")
 IRELAND_ICU = SourceSpec(
-    name="ie_icu", date=DateSpec("extract", "epoch_ms"),
+    plausible=PLAUSIBLE, name="ie_icu", date=DateSpec("extract", "epoch_ms"),
     measures=(MeasureSpec("new_icu", ("adcconf",)),), country="Ireland")
 
 DENMARK = SourceSpec(
-    name="dk", date=DateSpec("dato", "leading"),
+    plausible=PLAUSIBLE, name="dk", date=DateSpec("dato", "leading"),
     measures=(MeasureSpec("new_hospitalization", ("total",)),), country="Denmark")
 
 NORWAY_ADMISSIONS = SourceSpec(
-    name="no_hosp", date=DateSpec("date", "formats", ("d/M/yyyy",)),
+    plausible=PLAUSIBLE, name="no_hosp", date=DateSpec("date", "formats", ("d/M/yyyy",)),
     measures=(MeasureSpec("new_hospitalization", ("new_hospit",)),), country="Norway")
 NORWAY_ICU = SourceSpec(
-    name="no_icu", date=DateSpec("date", "leading"),
+    plausible=PLAUSIBLE, name="no_icu", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_icu", ("new_icu",)),), country="Norway")
 
 CANADA = SourceSpec(
-    name="ca", date=DateSpec("date", "leading"),
+    plausible=PLAUSIBLE, name="ca", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_hospitalization", ("covid_newother",)), MeasureSpec("new_icu", ("covid_newicu",))),
     country="Canada")
 
 BULGARIA = SourceSpec(
-    name="bg", date=DateSpec(BG_FIELDS[0], "leading"),
+    plausible=PLAUSIBLE, name="bg", date=DateSpec(BG_FIELDS[0], "leading"),
     measures=(MeasureSpec("new_hospitalization", (BG_FIELDS[1],)),), country="Bulgaria")
 
 # ---------------------------------------------------------------------------

@@ -16,6 +16,7 @@ from hebdo.functions.text import normalize_label, recode
 from hebdo.operators.columns import sum_of_columns
 from hebdo.operators.combine import full_join_on_values, outer_merge_measures, union_by_name
 from hebdo.operators.nulls import fill_missing
+from hebdo.operators.quarantine import REASON_COL, tag_date_issues
 from hebdo.operators.rollup import daily_totals
 from hebdo.plans.specs import TIDY_KEYS, DateSpec, SourceSpec
 
@@ -56,8 +57,10 @@ def apply_filters(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return df
 
 
-def to_report_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Filtered, typed, not yet aggregated rows: (country_name, report_date, measures)."""
+def tag_report_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Filtered, typed rows ``(country_name, report_date, measures)``; with
+    ``spec.plausible`` also the raw date text and a ``date_issue`` reason
+    (NULL for a plausible date) -- one plan feeds both sides of Q1."""
     df = apply_filters(df, spec)
     if spec.fill_missing:
         df = fill_missing(df, 0)
@@ -67,15 +70,36 @@ def to_report_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
         country = F.lit(spec.country)
     measures = {m.name: to_int_truncating(sum_of_columns(*[to_double(p) for p in m.parts]), "bigint")
                 for m in spec.measures}
+    raw = [F.col(spec.date.column).cast("string").alias("raw_date")] if spec.plausible else []
     rows = df.select(country.alias("country_name"), parse_report_date(spec.date).alias("report_date"),
-                     *[expr.alias(name) for name, expr in measures.items()])
+                     *[expr.alias(name) for name, expr in measures.items()], *raw)
+    if spec.plausible:
+        first, last = spec.plausible
+        rows = tag_date_issues(rows, "report_date", raw_col="raw_date", min_date=first, max_date=last)
+    return rows
+
+
+def to_report_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Filtered, typed, not yet aggregated rows: (country_name, report_date, measures)."""
+    rows = tag_report_rows(df, spec)
+    if spec.plausible:
+        rows = rows.filter(F.col(REASON_COL).isNull()).drop(REASON_COL, "raw_date")
     if spec.min_date:
-        rows = rows.filter(F.col("report_date").isNotNull() & (F.col("report_date") >= F.lit(spec.min_date).cast("date")))
+        rows = rows.filter(F.col("report_date") >= F.lit(spec.min_date).cast("date"))
     if spec.drop_zero:
         rows = rows.filter(F.col(spec.drop_zero) != 0)
     return rows
 
 
+def quarantined_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Q1: the rows of a feed whose report date is missing, unparsable or
+    outside ``spec.plausible``, with the raw text and the reason."""
+    if not spec.plausible:
+        raise ValueError(f"feed {spec.name!r} has no plausible date range")
+    rows = tag_report_rows(df, spec)
+    return rows.filter(F.col(REASON_COL).isNotNull()).withColumn("feed", F.lit(spec.name))
+
+
 def _with_constants(df: DataFrame, spec: SourceSpec) -> DataFrame:
     cols = {k: F.lit(v) for k, v in spec.constants}
     cols.update({m: F.lit(None).cast("bigint") for m in spec.missing_measures})

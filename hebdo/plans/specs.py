@@ -53,6 +53,7 @@ class SourceSpec:
     drop_week: int | None = None                    # F8 on the week part of a week code
     fill_missing: bool = False                      # N1 before the measures are built
     min_date: str | None = None                     # F6
+    plausible: tuple[str | None, str | None] | None = None  # Q1: (first, last) valid date; others quarantined
     drop_zero: str | None = None                    # F7 on a measure
     null_policy: str = "zero"                       # A1 ('zero') or A2 ('keep')
     aggregate_daily: bool = True                    # False: keep every report row (no daily sum)

@@ -160,3 +160,14 @@ def test_legacy_layouts(spark, landed):
     assert region.columns == list(OUTPUT_LEGACY_REGION.columns)
     dk = [r for r in region.collect() if r["country"] == "DENMARK"]
     assert [(r["WHO_REGION"], r["ISO_3_CODE"], r["iso_week_number"]) for r in dk] == [("EURO", "DNK", 1)]
+
+
+def test_feed_quarantine(spark, tmp_path):
+    from hebdo.plans.normalize import quarantined_rows
+    p = write(tmp_path / "dk_bad.csv", "Dato,Total\n2022-01-03,40\n0015-01-20,5\nnot a date,3\n2022-01-04,1\n")
+    raw = read_csv_text(spark, p)
+    valid = normalize_source(raw, NF.DENMARK)
+    assert tidy(valid) == [("Denmark", "2022-01-03", 40, None), ("Denmark", "2022-01-04", 1, None)]
+    bad = quarantined_rows(raw, NF.DENMARK)
+    assert sorted((r["raw_date"], r["date_issue"], r["feed"]) for r in bad.collect()) == [
+        ("0015-01-20", "before_min", "dk"), ("not a date", "unparsed", "dk")]
