@@ -26,7 +26,7 @@ from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import tag_date_issues
 from hebdo.operators.rollup import add_week_start, frequency_label, rows_per_group, weekly_rollup
 from hebdo.plans import feeds
-from hebdo.plans.normalize import normalize_measure_pair, normalize_pages, normalize_source
+from hebdo.plans.normalize import normalize_pages, normalize_source
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
 from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema, promote_header_record
@@ -282,7 +282,8 @@ def week_code_parse_iso(spark, d):
 def _parsed_dates(spark, d):
     raw = feeds.rendered_order_dates(spark, d)
     return raw.select("o_orderkey", "raw_date",
-                      F.coalesce(D.parse_date_leading("raw_date"), D.parse_month_first("raw_date")).alias("report_date"),
+                      F.coalesce(D.parse_date_leading("raw_date"),
+                                 D.parse_month_first("raw_date")).alias("report_date"),
                       D.parse_day_first("raw_date").alias("report_date_dmy"))
 
 
@@ -632,7 +633,8 @@ def json_flatten(spark, d):
                       F.from_json("props", "k bigint").alias("props"))
     page = F.concat(F.lit("page-"), F.floor(F.col("event_id") / PAGE_SIZE).cast("string"))
     docs = e.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(record)).alias("body"))
-    schema = "array<struct<event_id: bigint, user: struct<user_id: bigint, event_type: string>, props: struct<k: bigint>>>"
+    schema = ("array<struct<event_id: bigint, user: struct<user_id: bigint, event_type: string>, "
+              "props: struct<k: bigint>>>")
     records = docs.select("page", F.inline(F.from_json("body", schema)))
     return flatten_structs(records, sep=".")
 

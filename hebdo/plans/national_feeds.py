@@ -59,7 +59,8 @@ NZ_ARCHIVED = SourceSpec(
     country="New Zealand", equals=(NZ_SLICE,))
 
 CDC_SENTINEL = SourceSpec(
-    plausible=PLAUSIBLE, name="cdc", date=DateSpec("time", "formats", ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy")),
+    plausible=PLAUSIBLE, name="cdc",
+    date=DateSpec("time", "formats", ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy")),
     measures=(MeasureSpec("new_hospitalization", ("estimate",)),),
     country="UNITED STATES OF AMERICA", labels=("time_period",),
     equals=(("time_period", CDC_PERIOD), ("strata", CDC_STRATA)), include=(("season", CDC_SEASONS),),
@@ -84,7 +85,8 @@ def switzerland(week_rule: str = "monday_week") -> SourceSpec:
     dropped); ``iso``: the code read as an ISO week (week 53 kept if real)."""
     kind = "week_code_monday" if week_rule == "monday_week" else "week_code_iso"
     return SourceSpec(
-        plausible=PLAUSIBLE, name="ch", date=DateSpec("date", kind), measures=(MeasureSpec("new_hospitalization", ("entries",)),),
+        plausible=PLAUSIBLE, name="ch", date=DateSpec("date", kind),
+        measures=(MeasureSpec("new_hospitalization", ("entries",)),),
         country_column="geoRegion", country_recode=CH_NAMES, equals=CH_SLICE,
         drop_week=53 if week_rule == "monday_week" else None)
 
