@@ -171,3 +171,17 @@ def test_feed_quarantine(spark, tmp_path):
     bad = quarantined_rows(raw, NF.DENMARK)
     assert sorted((r["raw_date"], r["date_issue"], r["feed"]) for r in bad.collect()) == [
         ("0015-01-20", "before_min", "dk"), ("not a date", "unparsed", "dk")]
+
+
+def test_command_line(spark, landed, tmp_path):
+    from hebdo.__main__ import main
+    out = tmp_path / "csv"
+    main(["current", "--nz", landed.nz, "--cdc", landed.cdc, "--csv", str(out)])
+    text = next(p for p in out.iterdir() if p.name.endswith(".csv")).read_text().splitlines()
+    assert text[0] == "WHO_REGION,ISO_3_CODE,country,epiweek,new_hospitalization,new_icu,iso_year,iso_week_number"
+    assert text[1] == "WPRO,NZL,NEW ZEALAND,2022-01-03,7,1,2022,1"
+    assert text[-1] == "AMRO,USA,UNITED STATES OF AMERICA,2024-05-06,378,,2024,19"
+    main(["archived", "--denmark", landed.denmark, "--canada", landed.canada, "--reference-places",
+          landed.reference_places, "--parquet", str(tmp_path / "pq"), "--latest-week", "keep"])
+    back = spark.read.parquet(str(tmp_path / "pq"))
+    assert sorted((r["country"], r["new_hospitalization"]) for r in back.collect()) == [("CANADA", 41), ("DENMARK", 81)]
