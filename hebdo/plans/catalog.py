@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hebdo.functions import dates as D
 from hebdo.functions.casts import to_double, to_int_truncating, to_text
@@ -30,6 +31,7 @@ from hebdo.plans.normalize import normalize_pages, normalize_source
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
 from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema, promote_header_record
+from hebdo.streaming.weekly_stream import weekly_window_aggregate
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -613,9 +615,9 @@ def geojson_inline(spark, d):
              .agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
                                      F.collect_list(feature).alias("features"))).alias("body"))
              .select("name", F.encode("body", "UTF-8").alias("payload")))
-    props = "Date bigint, event_id bigint, user_id bigint, SUM_no_new_admissions bigint"
-    from pyspark.sql.types import _parse_datatype_string
-    schema = geojson_schema(_parse_datatype_string(props))
+    props = T.StructType([T.StructField(n, T.LongType())
+                          for n in ("Date", "event_id", "user_id", "SUM_no_new_admissions")])
+    schema = geojson_schema(props)
     parsed = docs.select("name", F.from_json(bytes_to_text("payload"), schema).alias("fc"))
     rows = explode_features(parsed, "fc", keep=["name"])
     return rows.select("name", "event_id", "user_id", D.epoch_ms_to_date("Date").alias("report_date"),
@@ -883,7 +885,6 @@ SELECT CAST(date_trunc('week', ts) AS DATE) AS epiweek, event_type,
        CAST(SUM(CAST(floor(value) AS BIGINT)) AS BIGINT) AS new_hospitalization, CAST(count(*) AS BIGINT) AS reports
 FROM events GROUP BY ALL""")
 def weekly_window_rollup(spark, d):
-    from hebdo.streaming.weekly_stream import weekly_window_aggregate
     e = feeds.table(spark, d, "events").select("ts", "event_type",
                                                F.floor("value").cast("bigint").alias("new_hospitalization"))
     return weekly_window_aggregate(e, "ts", ["event_type"], ["new_hospitalization"])
