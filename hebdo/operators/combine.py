@@ -92,6 +92,21 @@ def full_join_on_values(left: DataFrame, right: DataFrame, keys: list[str],
     return per_key.select(*keys, n_rows.alias(count_col))
 
 
+def paged_full_join_on_values(df: DataFrame, keys: list[str], page_col: str, first, second,
+                              count_col: str = "n_rows") -> DataFrame:
+    """J2a for two pages held in one frame (one scan of a page folder, the page
+    in ``page_col``): the same result as ``full_join_on_values`` of the two
+    pages, from one aggregate over one scan.  Rows of other pages are ignored,
+    as the reference's two-page join ignores them."""
+    page = F.col(page_col)
+    per_key = (df.filter(page.isin(first, second))
+                 .groupBy(*keys).agg(F.count_if(page == F.lit(first)).alias("__a"),
+                                     F.count_if(page == F.lit(second)).alias("__b")))
+    a, b = F.col("__a"), F.col("__b")
+    n_rows = F.when((a > 0) & (b > 0), a * b).otherwise(a + b)
+    return per_key.select(*keys, n_rows.alias(count_col))
+
+
 # --- J4: reference enrichment -----------------------------------------------
 
 def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:

@@ -27,7 +27,7 @@ from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import tag_date_issues
 from hebdo.operators.rollup import add_week_start, frequency_label, rows_per_group, weekly_rollup
 from hebdo.plans import feeds
-from hebdo.plans.normalize import normalize_pages, normalize_source
+from hebdo.plans.normalize import normalize_paged, normalize_pages, normalize_source
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
 from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema, promote_header_record
@@ -663,9 +663,9 @@ j AS (SELECT COALESCE(a.country_name, b.country_name) AS country_name, COALESCE(
 SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization
 FROM j GROUP BY ALL""")
 def state_pages_full_join(spark, d):
-    s = feeds.state_feed(spark, d)
-    pages = [s.filter(F.col("l_linenumber") % 2 == 1), s.filter(F.col("l_linenumber") % 2 == 0)]
-    return normalize_pages(pages, STATE_SPEC, mode="full_join_on_values")
+    # both pages come from one scan; the page is told apart by line-number parity
+    state = feeds.state_feed(spark, d).withColumn("page", F.col("l_linenumber") % 2)
+    return normalize_paged(state, STATE_SPEC, "page", 1, 0)
 
 
 @register("clean_names", """
@@ -835,9 +835,8 @@ def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     left = base.filter(F.col("side") == "admissions").select(*keys, "new_hospitalization", "n_rows")
     right = base.filter(F.col("side") == "icu").select(*keys, "new_icu", "n_rows")
     s1 = outer_merge_measures(left, right, keys, null_policy="zero", left_rows="n_rows", right_rows="n_rows")
-    state = feeds.state_feed(spark, d)
-    s2 = normalize_pages([state.filter(F.col("l_linenumber") % 2 == 1), state.filter(F.col("l_linenumber") % 2 == 0)],
-                         STATE_SPEC, mode="union")
+    # both pages in one scan: the union of pages (J2b) is the scan itself
+    s2 = normalize_pages([feeds.state_feed(spark, d)], STATE_SPEC, mode="union")
     s3 = normalize_source(feeds.weekly_code_feed(spark, d), WEEK_CODE_SPEC)
     return [s1, s2, s3]
 
@@ -851,9 +850,7 @@ def archived_release(spark, d):
 @register("us_only_release", archived_sql(("s2",)))
 def us_only_release(spark, d):
     """The archived finalisation over the paged state feed alone."""
-    state = feeds.state_feed(spark, d)
-    s2 = normalize_pages([state.filter(F.col("l_linenumber") % 2 == 1), state.filter(F.col("l_linenumber") % 2 == 0)],
-                         STATE_SPEC, mode="union")
+    s2 = normalize_pages([feeds.state_feed(spark, d)], STATE_SPEC, mode="union")
     return archived_weekly_series([s2], reference=feeds.places(spark, d), reference_key="ADM0_NAME")
 
 

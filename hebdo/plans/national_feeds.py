@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hebdo.plans.normalize import normalize_measure_pair, normalize_pages, normalize_source
+from hebdo.plans.normalize import normalize_measure_pair, normalize_paged, normalize_pages, normalize_source
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
 from hebdo.sources.readers import (read_array_records, read_csv_text, read_geojson, read_json_records,
@@ -158,12 +158,9 @@ class LandedFeeds:
     reference_places: str | None = None
 
 
-def us_state_pages(spark: SparkSession, path: str) -> list[DataFrame]:
-    """Each landed page file as its own frame, in file-name order (for J2a);
-    for J2b the single scan in ``read_landed_payloads`` is enough."""
-    rows = read_landed_payloads(spark, path, STATE_RECORD)
-    pages = sorted(r[0] for r in rows.select("page_file").distinct().collect())
-    return [rows.filter(F.col("page_file") == p) for p in pages]
+def page_names(rows: DataFrame, page_col: str = "page_file") -> list[str]:
+    """Names of the landed pages in file-name order (a listing, one per file)."""
+    return sorted(r[0] for r in rows.select(page_col).distinct().collect())
 
 
 def current_feeds(spark: SparkSession, landed: LandedFeeds) -> list[DataFrame]:
@@ -184,12 +181,14 @@ def archived_feeds(spark: SparkSession, landed: LandedFeeds, us_pages_mode: str
         feeds.append(normalize_source(read_json_records(spark, landed.switzerland, CH_RECORD),
                                       switzerland(switzerland_weeks)))
     if landed.us_states:
+        rows = read_landed_payloads(spark, landed.us_states, STATE_RECORD)   # one scan, page_file column
         if us_pages_mode == "union":
-            pages = [read_landed_payloads(spark, landed.us_states, STATE_RECORD)]
+            feeds.append(normalize_pages([rows], US_STATES))
+            feeds.append(normalize_pages([rows], US_TERRITORY_PAGES))
         else:
-            pages = us_state_pages(spark, landed.us_states)
-        feeds.append(normalize_pages(pages, US_STATES, mode=us_pages_mode))
-        feeds.append(normalize_pages(pages, US_TERRITORY_PAGES, mode=us_pages_mode))
+            first, second = page_names(rows)[:2]
+            feeds.append(normalize_paged(rows, US_STATES, "page_file", first, second))
+            feeds.append(normalize_paged(rows, US_TERRITORY_PAGES, "page_file", first, second))
     if landed.denmark:
         feeds.append(normalize_source(read_csv_text(spark, landed.denmark), DENMARK))
     if landed.nz:

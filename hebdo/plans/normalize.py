@@ -14,7 +14,8 @@ from hebdo.functions import dates as D
 from hebdo.functions.casts import to_double, to_int_truncating
 from hebdo.functions.text import normalize_label, recode
 from hebdo.operators.columns import sum_of_columns
-from hebdo.operators.combine import full_join_on_values, outer_merge_measures, union_by_name
+from hebdo.operators.combine import (full_join_on_values, outer_merge_measures, paged_full_join_on_values,
+                                     union_by_name)
 from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import REASON_COL, tag_date_issues
 from hebdo.operators.rollup import daily_totals
@@ -57,7 +58,7 @@ def apply_filters(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return df
 
 
-def tag_report_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
+def tag_report_rows(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Filtered, typed rows ``(country_name, report_date, measures)``; with
     ``spec.plausible`` also the raw date text and a ``date_issue`` reason
     (NULL for a plausible date) -- one plan feeds both sides of Q1."""
@@ -72,16 +73,17 @@ def tag_report_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
                 for m in spec.measures}
     raw = [F.col(spec.date.column).cast("string").alias("raw_date")] if spec.plausible else []
     rows = df.select(country.alias("country_name"), parse_report_date(spec.date).alias("report_date"),
-                     *[expr.alias(name) for name, expr in measures.items()], *raw)
+                     *[expr.alias(name) for name, expr in measures.items()], *raw, *keep)
     if spec.plausible:
         first, last = spec.plausible
         rows = tag_date_issues(rows, "report_date", raw_col="raw_date", min_date=first, max_date=last)
     return rows
 
 
-def to_report_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Filtered, typed, not yet aggregated rows: (country_name, report_date, measures)."""
-    rows = tag_report_rows(df, spec)
+def to_report_rows(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Filtered, typed, not yet aggregated rows: (country_name, report_date,
+    measures) plus the ``keep`` columns carried through unchanged."""
+    rows = tag_report_rows(df, spec, keep)
     if spec.plausible:
         rows = rows.filter(F.col(REASON_COL).isNull()).drop(REASON_COL, "raw_date")
     if spec.min_date:
@@ -124,6 +126,21 @@ def normalize_measure_pair(left: DataFrame, left_spec: SourceSpec,
     return _with_constants(merged, left_spec)
 
 
+def normalize_paged(df: DataFrame, spec: SourceSpec, page_col: str, first, second) -> DataFrame:
+    """J2a over two pages read in ONE scan (``page_col`` tells them apart):
+    the reference's full join of two pages on (country, date, measure),
+    computed from per-page counts in one aggregate, then summed per date."""
+    if len(spec.measures) != 1:
+        raise ValueError("the page join merges pages of a single measure")
+    m = spec.measures[0].name
+    rows = to_report_rows(df, spec, keep=(page_col,))
+    weighted = paged_full_join_on_values(rows, [*TIDY_KEYS, m], page_col, first, second, "__n")
+    summed = weighted.groupBy(*TIDY_KEYS).agg(F.sum(F.col(m) * F.col("__n")).alias(m))
+    if spec.null_policy == "zero":
+        summed = summed.withColumn(m, F.coalesce(F.col(m), F.lit(0)))
+    return _with_constants(summed, spec)
+
+
 def normalize_pages(pages: list[DataFrame], spec: SourceSpec, mode: str = "union") -> DataFrame:
     """A feed delivered as several pages of the same layout.
 

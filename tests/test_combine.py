@@ -6,7 +6,8 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import d
-from hebdo.operators.combine import (enrich, full_join_on_values, outer_merge_measures, union_by_name)
+from hebdo.operators.combine import (enrich, full_join_on_values, outer_merge_measures, paged_full_join_on_values,
+                                     union_by_name)
 
 
 def pairs_full_join(left, right, key_len):
@@ -133,3 +134,14 @@ def test_outer_merge_pre_aggregated_equals_raw(spark):
     pre = outer_merge_measures(Lp, Rp, ["c", "day"], left_rows="n", right_rows="n")
     key = lambda r: (r["c"], r["day"], r["h"], r["i"])
     assert sorted(map(key, raw.collect())) == sorted(map(key, pre.collect()))
+
+
+def test_paged_full_join_equals_two_frames(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["p1", "p2", "p3"]), rnd.choice(["d1", "d2", None]), rnd.choice([0, 1, None]))
+            for _ in range(60)]
+    df = spark.createDataFrame(rows, "page string, day string, v int")
+    one = paged_full_join_on_values(df, ["day", "v"], "page", "p1", "p2")
+    two = full_join_on_values(df.filter("page = 'p1'").drop("page"), df.filter("page = 'p2'").drop("page"), ["day", "v"])
+    key = lambda r: (r["day"], r["v"], r["n_rows"])
+    assert sorted(map(key, one.collect()), key=str) == sorted(map(key, two.collect()), key=str)

@@ -6,7 +6,7 @@ import pytest
 
 from conftest import d
 from hebdo.plans import national_feeds as NF
-from hebdo.plans.normalize import normalize_pages, normalize_source
+from hebdo.plans.normalize import normalize_paged, normalize_pages, normalize_source
 from hebdo.sources.readers import read_csv_text, read_json_records, read_landed_payloads
 
 
@@ -76,14 +76,19 @@ def tidy(df):
 
 
 def test_us_pages_union_and_full_join(spark, landed):
-    pages = NF.us_state_pages(spark, landed.us_states)
+    rows = read_landed_payloads(spark, landed.us_states, NF.STATE_RECORD)
+    pages = NF.page_names(rows)
     assert len(pages) == 2
-    union = normalize_pages([read_landed_payloads(spark, landed.us_states, NF.STATE_RECORD)], NF.US_STATES)
+    union = normalize_pages([rows], NF.US_STATES)
     assert tidy(union) == [("United States of America", "2022-01-03", 18, None)]
-    joined = normalize_pages(pages, NF.US_STATES, mode="full_join_on_values")
+    joined = normalize_paged(rows, NF.US_STATES, "page_file", *pages)
     assert tidy(joined) == [("United States of America", "2022-01-03", 12, None)]
-    terr = normalize_pages(pages, NF.US_TERRITORY_PAGES, mode="full_join_on_values")
+    split = [rows.filter(rows.page_file == p) for p in pages]
+    assert tidy(normalize_pages(split, NF.US_STATES, mode="full_join_on_values")) == tidy(joined)
+    terr = normalize_paged(rows, NF.US_TERRITORY_PAGES, "page_file", *pages)
     assert tidy(terr) == [("Puerto Rico", "2022-01-03", 18, None), ("United States Virgin Islands", "2022-01-04", 1, None)]
+    compat = NF.archived_feeds(spark, NF.LandedFeeds(us_states=landed.us_states), us_pages_mode="full_join_on_values")
+    assert [tidy(f) for f in compat] == [tidy(joined), tidy(terr)]
 
 
 def test_nz_current(spark, landed):
