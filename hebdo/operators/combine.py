@@ -110,9 +110,18 @@ def paged_full_join_on_values(df: DataFrame, keys: list[str], page_col: str, fir
 # --- J4: reference enrichment -----------------------------------------------
 
 def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None.  Reads no more than
-    ``max_rows + 1`` rows, so the check is cheap even on a huge input."""
-    n = df.limit(max_rows + 1).count()
+    """Row count if it is at most ``max_rows``, else None.
+
+    A top-level limit runs as ``CollectLimit``, which scans partitions
+    incrementally (one, then four times more, ...) and stops once it has
+    ``max_rows + 1`` rows, so the check stays cheap on a table with thousands
+    of partitions (``limit(...).count()`` would start a task per partition).
+    Only a constant column is kept; on a classic session the rows stay in the
+    driver JVM and only their number crosses to Python.
+    """
+    probe = df.select(F.lit(1).alias("one")).limit(max_rows + 1)
+    jdf = getattr(probe, "_jdf", None)
+    n = jdf.collectAsList().size() if jdf is not None else len(probe.collect())
     return n if n <= max_rows else None
 
 
