@@ -58,9 +58,17 @@ def outer_merge_measures(left: DataFrame, right: DataFrame, keys: list[str],
         right.select(*keys, *right_measures, F.lit(0).cast("bigint").alias("__left"),
                      (F.col(right_rows) if right_rows else one).alias("__right")),
     )
+    return merge_side_totals(tagged, keys, left_measures, right_measures, "__left", "__right", null_policy)
+
+
+def merge_side_totals(df: DataFrame, keys: list[str], left_measures: list[str], right_measures: list[str],
+                      left_rows: str, right_rows: str, null_policy: str = "zero") -> DataFrame:
+    """J1 from ONE frame that already holds, per finer key, each side's
+    partial sums and raw row counts (e.g. both sides pre-aggregated in a single
+    pass with conditional sums).  Same result as ``outer_merge_measures``."""
     sums = [F.sum(m).alias(m) for m in left_measures + right_measures]
-    per_key = tagged.groupBy(*keys).agg(F.sum("__left").alias("__n_left"),
-                                        F.sum("__right").alias("__n_right"), *sums)
+    per_key = df.groupBy(*keys).agg(F.sum(left_rows).alias("__n_left"),
+                                    F.sum(right_rows).alias("__n_right"), *sums)
 
     def weighted(m: str, partner: str):
         value = F.col(m) * F.greatest(F.col(partner), F.lit(1))

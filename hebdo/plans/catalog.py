@@ -19,7 +19,7 @@ from hebdo.functions.casts import to_double, to_int_truncating, to_text
 from hebdo.functions.text import bytes_to_text, normalize_label, recode
 from hebdo.operators.columns import clean_column_names, select_renamed, typed_null, with_constants
 from hebdo.operators.combine import (broadcast_if_small, distinct_rows, enrich, full_join_on_values,
-                                     outer_merge_measures, union_by_name)
+                                     merge_side_totals, outer_merge_measures, union_by_name)
 from hebdo.operators.dedupe import top1_per_group
 from hebdo.operators.filters import (drop_latest_week, drop_week, drop_zero, exclude_values, keep_all,
                                      keep_equal, keep_on_or_after, keep_values)
@@ -823,19 +823,19 @@ def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     a state feed delivered in two pages (J2b), a weekly feed keyed by ISO
     week codes (D6)."""
     r = feeds.orders_reports(spark, d)
-    # Pre-aggregate per (customer, date, side) with raw row counts before the
-    # customer join; outer_merge_measures weighs by the counts, so the merge
-    # equals the full join of the raw rows.
-    side = F.when(F.col("o_orderstatus") != "O", "admissions").otherwise("icu")
-    per_customer = r.groupBy("o_custkey", "report_date", side.alias("side")).agg(
-        F.sum("new_hospitalization").alias("new_hospitalization"), F.sum("new_icu").alias("new_icu"),
-        F.count(F.lit(1)).alias("n_rows"))
+    # One pass over orders: per (customer, date) the admissions side (status
+    # F/P) and the ICU side (status O) as conditional sums and raw row counts,
+    # then one customer join; merge_side_totals weighs by the counts, so the
+    # result equals the full join of the raw rows on (country, date).
+    admissions = F.col("o_orderstatus") != "O"
+    per_customer = r.groupBy("o_custkey", "report_date").agg(
+        F.sum(F.when(admissions, F.col("new_hospitalization"))).alias("new_hospitalization"),
+        F.count_if(admissions).alias("n_admissions"),
+        F.sum(F.when(~admissions, F.col("new_icu"))).alias("new_icu"),
+        F.count_if(~admissions).alias("n_icu"))
     base = join_small_or_shuffle(per_customer, feeds.customer_nations(spark, d), "o_custkey", "c_custkey")
-    keys = ["country_name", "report_date"]
-    left = base.filter(F.col("side") == "admissions").select(*keys, "new_hospitalization", "n_rows")
-    right = base.filter(F.col("side") == "icu").select(*keys, "new_icu", "n_rows")
-    s1 = outer_merge_measures(left, right, keys, null_policy="zero", left_rows="n_rows", right_rows="n_rows")
-    # both pages in one scan: the union of pages (J2b) is the scan itself
+    s1 = merge_side_totals(base, ["country_name", "report_date"], ["new_hospitalization"], ["new_icu"],
+                           "n_admissions", "n_icu", null_policy="zero")
     s2 = normalize_pages([feeds.state_feed(spark, d)], STATE_SPEC, mode="union")
     s3 = normalize_source(feeds.weekly_code_feed(spark, d), WEEK_CODE_SPEC)
     return [s1, s2, s3]

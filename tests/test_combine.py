@@ -6,8 +6,8 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import d
-from hebdo.operators.combine import (enrich, full_join_on_values, outer_merge_measures, paged_full_join_on_values,
-                                     union_by_name)
+from hebdo.operators.combine import (enrich, full_join_on_values, merge_side_totals, outer_merge_measures,
+                                     paged_full_join_on_values, union_by_name)
 
 
 def pairs_full_join(left, right, key_len):
@@ -145,3 +145,19 @@ def test_paged_full_join_equals_two_frames(spark):
     two = full_join_on_values(df.filter("page = 'p1'").drop("page"), df.filter("page = 'p2'").drop("page"), ["day", "v"])
     key = lambda r: (r["day"], r["v"], r["n_rows"])
     assert sorted(map(key, one.collect()), key=str) == sorted(map(key, two.collect()), key=str)
+
+
+def test_merge_side_totals_one_pass(spark):
+    rnd = random.Random(13)
+    rows = [(rnd.choice(["A", "B", None]), rnd.choice([1, 2]), rnd.randint(0, 4), rnd.choice(["L", "R"]),
+             rnd.choice([None, 1, 3])) for _ in range(80)]
+    df = spark.createDataFrame(rows, "c string, day int, cust int, side string, v bigint")
+    raw = outer_merge_measures(df.filter("side = 'L'").select("c", "day", F.col("v").alias("h")),
+                               df.filter("side = 'R'").select("c", "day", F.col("v").alias("i")), ["c", "day"])
+    is_left = F.col("side") == "L"
+    totals = df.groupBy("c", "day", "cust").agg(
+        F.sum(F.when(is_left, F.col("v"))).alias("h"), F.count_if(is_left).alias("nl"),
+        F.sum(F.when(~is_left, F.col("v"))).alias("i"), F.count_if(~is_left).alias("nr"))
+    one = merge_side_totals(totals, ["c", "day"], ["h"], ["i"], "nl", "nr")
+    key = lambda r: (r["c"], r["day"], r["h"], r["i"])
+    assert sorted(map(key, raw.collect()), key=str) == sorted(map(key, one.collect()), key=str)
