@@ -89,7 +89,8 @@ def current_weekly_series(sources: list[DataFrame], spec: OutputSpec = OUTPUT_CU
 def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None = None,
                            reference_key: str = "ADM0_NAME", spec: OutputSpec = OUTPUT_ARCHIVED,
                            country_names: dict | None = None, freq_mode: str = "reports",
-                           latest_week: str = "global", materialize_weekly: bool = True) -> DataFrame:
+                           latest_week: str = "global", materialize_weekly: bool = True,
+                           weekly_aggregates: dict[str, str] | None = None) -> DataFrame:
     """X13 (X15 with one feed) on tidy feeds ``(country_name, report_date, measures)``.
 
     ``freq_mode='reports'`` counts the daily reports inside each week before
@@ -99,13 +100,16 @@ def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None
     ``latest_week``: 'global' (reference), 'per_country', or 'keep'.
     ``materialize_weekly`` checkpoints the (small) weekly series once, so the
     latest-week scan and the final filter do not re-run the feeds.
+    ``weekly_aggregates`` sets a measure's weekly aggregate ('sum' for flows,
+    'max' or 'last' for stocks such as occupied beds); default: both summed.
     """
     merged = combine_sources(sources)
     if "new_icu" not in merged.columns:
         merged = merged.withColumn("new_icu", F.lit(None).cast("bigint"))
     daily = top1_per_group(merged, ["report_date", "country_name"], "new_hospitalization",
                            tie_break=[SOURCE_ORDER_COL])
-    weekly = weekly_rollup(daily, ["country_name"], "report_date", ["new_hospitalization", "new_icu"],
+    how = {"new_hospitalization": "sum", "new_icu": "sum", **(weekly_aggregates or {})}
+    weekly = weekly_rollup(daily, ["country_name"], "report_date", how,
                            null_policy="keep", reports_col="freq_time" if freq_mode == "reports" else None)
     if freq_mode == "compat":
         weekly = rows_per_group(weekly, ["country_name", "epiweek"], "freq_time")

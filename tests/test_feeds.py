@@ -190,3 +190,14 @@ def test_command_line(spark, landed, tmp_path):
           landed.reference_places, "--parquet", str(tmp_path / "pq"), "--latest-week", "keep"])
     back = spark.read.parquet(str(tmp_path / "pq"))
     assert sorted((r["country"], r["new_hospitalization"]) for r in back.collect()) == [("CANADA", 41), ("DENMARK", 81)]
+
+
+def test_stock_measure_weekly(spark, landed):
+    feeds = NF.archived_feeds(spark, NF.LandedFeeds(uk_admissions=landed.uk_admissions,
+                                                    uk_ventilated=landed.uk_ventilated))
+    from hebdo.plans.release import archived_weekly_series
+    summed = archived_weekly_series(feeds, latest_week="keep").first()
+    last = archived_weekly_series(feeds, latest_week="keep", weekly_aggregates={"new_icu": "last"}).first()
+    peak = archived_weekly_series(feeds, latest_week="keep", weekly_aggregates={"new_icu": "max"}).first()
+    assert (summed["new_icu"], last["new_icu"], peak["new_icu"]) == (15, 8, 8)
+    assert summed["new_hospitalization"] == last["new_hospitalization"] == 190
