@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hebdo.operators.dedupe import top1_per_group
 from hebdo.operators.rollup import measure_aggregate
 from hebdo.session import checkpoint_dir
 
@@ -63,19 +64,30 @@ def report_stream(spark: SparkSession, path: str, schema: T.StructType | str, fm
 
 
 def weekly_rollup_stream(stream: DataFrame, keys: list[str], measures: list[str], ts_col: str = "report_ts",
-                         watermark: str = "14 days", null_policy: str = "keep") -> DataFrame:
+                         watermark: str = "14 days", null_policy: str = "keep",
+                         dedupe_by: str | None = None, tie_break: tuple[str, ...] = ()) -> DataFrame:
     """Watermarked weekly aggregate; with ``append`` output a week is written
-    exactly once, after ``watermark`` has passed its end."""
-    return weekly_window_aggregate(stream.withWatermark(ts_col, watermark), ts_col, keys, measures, null_policy)
+    exactly once, after ``watermark`` has passed its end.
+
+    ``dedupe_by`` first keeps one report per key and day -- the one with the
+    largest ``dedupe_by`` value (W1, ties by ``tie_break``) -- as a stateful
+    aggregate on (keys, event time), chained before the weekly one: the
+    archived flow's order (de-duplicate per day, then sum per week).
+    """
+    stream = stream.withWatermark(ts_col, watermark)
+    if dedupe_by:
+        stream = top1_per_group(stream, [*keys, ts_col], dedupe_by, tie_break=list(tie_break))
+    return weekly_window_aggregate(stream, ts_col, keys, measures, null_policy)
 
 
 def start_weekly_rollup(spark: SparkSession, source_path: str, schema: T.StructType | str, sink_path: str,
                         keys: list[str], measures: list[str], checkpoint_location: str | None = None,
-                        watermark: str = "14 days", available_now: bool = True, fmt: str = "parquet"):
+                        watermark: str = "14 days", available_now: bool = True, fmt: str = "parquet",
+                        dedupe_by: str | None = None, tie_break: tuple[str, ...] = ()):
     """Run the incremental rollup into a Parquet folder; returns the query handle."""
     location = checkpoint_location or os.path.join(checkpoint_dir(spark), "weekly_rollup_stream")
     weekly = weekly_rollup_stream(report_stream(spark, source_path, schema, fmt), keys, measures,
-                                  watermark=watermark)
+                                  watermark=watermark, dedupe_by=dedupe_by, tie_break=tie_break)
     writer = (weekly.writeStream.format("parquet").outputMode("append")
               .option("path", sink_path).option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -36,3 +36,19 @@ def test_stream_emits_closed_weeks(spark, tmp_path):
     assert out[("A", "2024-01-01")] == (13, 3)
     assert out[("B", "2024-01-08")] == (5, 1)
     assert ("A", "2024-02-19") not in out          # still open: within the watermark
+
+
+def test_stream_daily_dedupe_then_weekly(spark, tmp_path):
+    schema = "country_name string, report_date date, new_hospitalization bigint, src_ord int"
+    src = tmp_path / "landed"
+    spark.createDataFrame([("A", d("2024-01-01"), 1, 1), ("A", d("2024-01-01"), 5, 2), ("A", d("2024-01-03"), 2, 1),
+                           ("B", d("2024-01-02"), None, 1), ("B", d("2024-01-02"), None, 2)], schema
+                          ).write.parquet(str(src / "f1"))
+    spark.createDataFrame([("A", d("2024-02-20"), 7, 1)], schema).write.parquet(str(src / "f2"))
+    q = start_weekly_rollup(spark, str(src) + "/*", schema, str(tmp_path / "out"), ["country_name"],
+                            ["new_hospitalization"], checkpoint_location=str(tmp_path / "ckpt"),
+                            watermark="7 days", dedupe_by="new_hospitalization", tie_break=("src_ord",))
+    q.awaitTermination(120)
+    out = {(r["country_name"], r["epiweek"].isoformat()): (r["new_hospitalization"], r["reports"])
+           for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert out == {("A", "2024-01-01"): (7, 2), ("B", "2024-01-01"): (None, 1)}
