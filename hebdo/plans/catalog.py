@@ -885,3 +885,28 @@ def weekly_window_rollup(spark, d):
     e = feeds.table(spark, d, "events").select("ts", "event_type",
                                                F.floor("value").cast("bigint").alias("new_hospitalization"))
     return weekly_window_aggregate(e, "ts", ["event_type"], ["new_hospitalization"])
+
+
+# ---------------------------------------------------------------------------
+# Stock measures (B10): weekly peak and last reported value
+# ---------------------------------------------------------------------------
+
+@register("weekly_stock_measures", """
+WITH r AS (
+  SELECT event_type, CAST(ts AS DATE) AS report_date,
+         CASE WHEN event_id % 9 = 0 THEN NULL ELSE CAST(floor(value) AS BIGINT) END AS occupied
+  FROM events),
+ranked AS (
+  SELECT event_type, CAST(date_trunc('week', report_date) AS DATE) AS epiweek, occupied,
+         row_number() OVER (PARTITION BY event_type, CAST(date_trunc('week', report_date) AS DATE)
+                            ORDER BY occupied IS NOT NULL DESC, report_date DESC, occupied DESC) AS rn
+  FROM r)
+SELECT event_type, epiweek, max(occupied) AS peak_occupied,
+       max(CASE WHEN rn = 1 THEN occupied END) AS last_occupied
+FROM ranked GROUP BY ALL""")
+def weekly_stock_measures(spark, d):
+    e = feeds.table(spark, d, "events").select(
+        "event_type", F.to_date("ts").alias("report_date"),
+        feeds.null_if(F.col("event_id") % 9 == 0, F.floor("value").cast("bigint")).alias("occupied"))
+    e = e.withColumn("peak_occupied", F.col("occupied")).withColumnRenamed("occupied", "last_occupied")
+    return weekly_rollup(e, ["event_type"], "report_date", {"peak_occupied": "max", "last_occupied": "last"})
