@@ -910,3 +910,19 @@ def weekly_stock_measures(spark, d):
         feeds.null_if(F.col("event_id") % 9 == 0, F.floor("value").cast("bigint")).alias("occupied"))
     e = e.withColumn("peak_occupied", F.col("occupied")).withColumnRenamed("occupied", "last_occupied")
     return weekly_rollup(e, ["event_type"], "report_date", {"peak_occupied": "max", "last_occupied": "last"})
+
+
+@register("drop_latest_week_per_group", f"""
+WITH {ORDERS_REPORTS},
+weekly AS (
+  SELECT o_orderstatus, country_name, CAST(date_trunc('week', report_date) AS DATE) AS epiweek,
+         CAST(SUM(new_hospitalization) AS BIGINT) AS new_hospitalization
+  FROM orders_reports GROUP BY ALL)
+SELECT o_orderstatus, country_name, epiweek, new_hospitalization FROM (
+  SELECT *, max(epiweek) OVER (PARTITION BY o_orderstatus, country_name) AS latest FROM weekly)
+WHERE epiweek < latest""")
+def drop_latest_week_per_group(spark, d):
+    """F9 per group: each (status, priority) series loses its own last week."""
+    weekly = weekly_rollup(feeds.orders_reports(spark, d), ["o_orderstatus", "country_name"], "report_date",
+                           ["new_hospitalization"])
+    return drop_latest_week(weekly, "epiweek", per=["o_orderstatus", "country_name"], materialize_input=True)
