@@ -27,6 +27,8 @@ class DateSpec:
     def __post_init__(self):
         if self.kind not in DATE_KINDS:
             raise ValueError(f"date kind must be one of {DATE_KINDS}")
+        if self.kind == "formats" and not self.formats:
+            raise ValueError("a 'formats' date needs at least one pattern")
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,12 @@ class MeasureSpec:
     parts: tuple[str, ...]
     aggregate: str = "sum"            # sum (flow) | max | last (stock, e.g. occupied beds)
 
+    def __post_init__(self):
+        if not self.parts:
+            raise ValueError(f"measure {self.name!r} needs at least one source column")
+        if self.aggregate not in ("sum", "max", "last"):
+            raise ValueError("aggregate must be 'sum', 'max' or 'last'")
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -60,6 +68,16 @@ class SourceSpec:
     missing_measures: tuple[str, ...] = ()          # measures the feed lacks -> typed NULL (P5)
     constants: tuple[tuple[str, object], ...] = ()  # extra constant output columns
 
+    def __post_init__(self):
+        if (self.country is None) == (self.country_column is None):
+            raise ValueError(f"feed {self.name!r}: give exactly one of country / country_column")
+        if not self.measures:
+            raise ValueError(f"feed {self.name!r} has no measures")
+        if self.null_policy not in ("zero", "keep"):
+            raise ValueError("null_policy must be 'zero' or 'keep'")
+        if self.drop_zero is not None and self.drop_zero not in self.measure_names:
+            raise ValueError(f"drop_zero names an unknown measure {self.drop_zero!r}")
+
     @property
     def measure_names(self) -> tuple[str, ...]:
         return tuple(m.name for m in self.measures)

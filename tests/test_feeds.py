@@ -201,3 +201,18 @@ def test_stock_measure_weekly(spark, landed):
     peak = archived_weekly_series(feeds, latest_week="keep", weekly_aggregates={"new_icu": "max"}).first()
     assert (summed["new_icu"], last["new_icu"], peak["new_icu"]) == (15, 8, 8)
     assert summed["new_hospitalization"] == last["new_hospitalization"] == 190
+
+
+def test_spec_validation():
+    from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
+    m = (MeasureSpec("new_hospitalization", ("x",)),)
+    with pytest.raises(ValueError):
+        SourceSpec(name="a", date=DateSpec("d"), measures=m)                       # no country
+    with pytest.raises(ValueError):
+        SourceSpec(name="a", date=DateSpec("d"), measures=m, country="X", country_column="c")
+    with pytest.raises(ValueError):
+        DateSpec("d", "formats")
+    with pytest.raises(ValueError):
+        MeasureSpec("m", ("x",), aggregate="mean")
+    with pytest.raises(ValueError):
+        SourceSpec(name="a", date=DateSpec("d"), measures=m, country="X", drop_zero="other")
