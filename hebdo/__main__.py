@@ -12,8 +12,9 @@ for local runs.
 from __future__ import annotations
 
 import argparse
-from dataclasses import fields
+from dataclasses import fields, replace
 
+from hebdo.functions.dates import WEEK_RULES
 from hebdo.plans.national_feeds import (LandedFeeds, archived_release_from_files,
                                         current_release_from_files)
 from hebdo.plans.release import (OUTPUT_ARCHIVED, OUTPUT_CURRENT, OUTPUT_LEGACY_REGION, OUTPUT_LEGACY_SHORT,
@@ -32,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--csv", help="folder for the single ordered CSV file")
     p.add_argument("--parquet", help="folder for Parquet partitioned by iso_year")
     p.add_argument("--layout", choices=sorted(LAYOUTS), help="output layout (default: the flow's own)")
+    p.add_argument("--week-rule", choices=sorted(WEEK_RULES), help="year/week numbering (default: the layout's)")
     p.add_argument("--us-pages-mode", choices=["union", "full_join_on_values"], default="union")
     p.add_argument("--switzerland-weeks", choices=["monday_week", "iso"], default="monday_week")
     p.add_argument("--freq-mode", choices=["reports", "compat"], default="reports")
@@ -46,6 +48,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master, app_name=f"hebdo-{args.flow}")
     landed = LandedFeeds(**{f.name: getattr(args, f.name) for f in fields(LandedFeeds)})
     layout = LAYOUTS[args.layout or args.flow]
+    if args.week_rule:
+        layout = replace(layout, week_rule=args.week_rule)
     if args.flow == "current":
         series = current_release_from_files(spark, landed)
     else:

@@ -186,6 +186,12 @@ def test_command_line(spark, landed, tmp_path):
     assert text[0] == "WHO_REGION,ISO_3_CODE,country,epiweek,new_hospitalization,new_icu,iso_year,iso_week_number"
     assert text[1] == "WPRO,NZL,NEW ZEALAND,2022-01-03,7,1,2022,1"
     assert text[-1] == "AMRO,USA,UNITED STATES OF AMERICA,2024-05-06,378,,2024,19"
+    out2 = tmp_path / "csv2"
+    main(["current", "--nz", landed.nz, "--csv", str(out2), "--week-rule", "iso_week_end_year",
+          "--layout", "legacy_short"])
+    text2 = next(p for p in out2.iterdir() if p.name.endswith(".csv")).read_text().splitlines()
+    assert text2[0] == "country,epiweek,new_hospitalization,new_icu,iso_year,iso_week_number"
+    assert text2[1] == "NEW ZEALAND,2022-01-03,7,1,2022,1"
     main(["archived", "--denmark", landed.denmark, "--canada", landed.canada, "--reference-places",
           landed.reference_places, "--parquet", str(tmp_path / "pq"), "--latest-week", "keep"])
     back = spark.read.parquet(str(tmp_path / "pq"))
