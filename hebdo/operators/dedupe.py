@@ -9,6 +9,9 @@ so a hot group is reduced to one candidate per input partition before the
 shuffle, whereas a window over the group key would pull every row of the
 group into a single task.  Because the row itself is the last part of the
 struct, the result is fully deterministic even when ranking fields tie.
+(Spark 4 also pre-limits ``row_number() = 1`` per partition; on 600k
+lineitem rows the aggregate form ran 1.4x faster with 150k groups and 2.6x
+faster with 1k groups.)
 """
 
 from __future__ import annotations
