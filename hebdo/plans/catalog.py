@@ -625,8 +625,8 @@ def geojson_inline(spark, d):
 
 
 @register("json_flatten", f"""
-SELECT event_id, user_id AS "user.user_id", event_type AS "user.event_type",
-       CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k",
+SELECT event_id, user_id AS user_user_id, event_type AS user_event_type,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS props_k,
        'page-' || CAST(event_id // {PAGE_SIZE} AS VARCHAR) AS page
 FROM events""")
 def json_flatten(spark, d):
@@ -638,7 +638,8 @@ def json_flatten(spark, d):
     schema = ("array<struct<event_id: bigint, user: struct<user_id: bigint, event_type: string>, "
               "props: struct<k: bigint>>>")
     records = docs.select("page", F.inline(F.from_json("body", schema)))
-    return flatten_structs(records, sep=".")
+    # "_" rather than R's "." so that no output name needs quoting downstream
+    return flatten_structs(records, sep="_")
 
 
 # ---------------------------------------------------------------------------

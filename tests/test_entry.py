@@ -60,6 +60,8 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [c[0] for c in res.description]
     drows = res.fetchall()
     srows = [tuple(r) for r in sdf.collect()]
+    sdf.select(*sorted(sdf.columns)).limit(1).collect()     # every name selectable as is
+    assert len(set(sdf.columns)) == len(sdf.columns)
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert canon(sdf.columns, srows) == canon(dcols, drows)
