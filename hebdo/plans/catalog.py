@@ -597,7 +597,9 @@ def drop_latest_week_query(spark, d):
 # Documents: GeoJSON features, nested JSON records
 # ---------------------------------------------------------------------------
 
-PAGE_SIZE = 200   # events per generated document: bounded, independent of skew
+# Events per generated document.  Pages are ranges of event_id, the table's key,
+# so every document holds at most PAGE_SIZE events whatever the value skew.
+PAGE_SIZE = 200
 
 
 @register("geojson_inline", f"""
