@@ -375,7 +375,7 @@ SELECT c_custkey, segment,
 FROM c""")
 def recode_passthrough(spark, d):
     c = feeds.table(spark, d, "customer")
-    seg = feeds.null_if(F.col("c_custkey") % 11 == 0, F.col("c_mktsegment"))
+    seg = feeds.null_when(F.col("c_custkey") % 11 == 0, F.col("c_mktsegment"))
     r = c.select("c_custkey", seg.alias("segment"))
     return r.withColumn("segment_code", recode("segment", {"AUTOMOBILE": "AUTO", "MACHINERY": "MACH"}))
 
@@ -389,7 +389,7 @@ WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktseg
 SELECT c_custkey, segment FROM c WHERE segment NOT IN ('AUTOMOBILE', 'MACHINERY')""")
 def slice_exclusion(spark, d):
     c = feeds.table(spark, d, "customer")
-    r = c.select("c_custkey", feeds.null_if(F.col("c_custkey") % 9 == 0, F.col("c_mktsegment")).alias("segment"))
+    r = c.select("c_custkey", feeds.null_when(F.col("c_custkey") % 9 == 0, F.col("c_mktsegment")).alias("segment"))
     return exclude_values(r, "segment", ["AUTOMOBILE", "MACHINERY"])
 
 
@@ -441,7 +441,7 @@ def date_lower_bound(spark, d):
 
 def _status_sides(spark, d):
     r = feeds.orders_reports(spark, d)
-    country = feeds.null_if(F.col("o_orderkey") % 17 == 0, F.col("country_name"))
+    country = feeds.null_when(F.col("o_orderkey") % 17 == 0, F.col("country_name"))
     left = r.filter(F.col("o_orderstatus") == "F").select(country.alias("country_name"), "report_date",
                                                           "new_hospitalization")
     right = r.filter(F.col("o_orderstatus") == "O").select(country.alias("country_name"), "report_date", "new_icu")
@@ -557,7 +557,7 @@ def top1_per_group_query(spark, d):
     o = feeds.table(spark, d, "orders")
     k = F.col("o_orderkey")
     rows = o.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("report_date"),
-                    feeds.null_if(k % 7 == 0, k % 10).alias("value"))
+                    feeds.null_when(k % 7 == 0, k % 10).alias("value"))
     return top1_per_group(rows, ["o_custkey"], "value", tie_break=["o_orderkey"])
 
 
@@ -910,7 +910,7 @@ FROM ranked GROUP BY ALL""")
 def weekly_stock_measures(spark, d):
     e = feeds.table(spark, d, "events").select(
         "event_type", F.to_date("ts").alias("report_date"),
-        feeds.null_if(F.col("event_id") % 9 == 0, F.floor("value").cast("bigint")).alias("occupied"))
+        feeds.null_when(F.col("event_id") % 9 == 0, F.floor("value").cast("bigint")).alias("occupied"))
     e = e.withColumn("peak_occupied", F.col("occupied")).withColumnRenamed("occupied", "last_occupied")
     return weekly_rollup(e, ["event_type"], "report_date", {"peak_occupied": "max", "last_occupied": "last"})
 

@@ -49,7 +49,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def null_if(cond: Column, value: Column) -> Column:
+def null_when(cond: Column, value: Column) -> Column:
     return F.when(~cond, value)
 
 
@@ -63,8 +63,8 @@ def orders_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus",
         F.col("o_orderpriority").alias("country_name"),
         F.to_date("o_orderdate").alias("report_date"),
-        null_if(k % 7 == 0, k % 13).alias("new_hospitalization"),
-        null_if(F.dayofmonth("o_orderdate") <= 7, F.col("o_custkey") % 4).alias("new_icu"))
+        null_when(k % 7 == 0, k % 13).alias("new_hospitalization"),
+        null_when(F.dayofmonth("o_orderdate") <= 7, F.col("o_custkey") % 4).alias("new_icu"))
 
 
 def rendered_order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,7 @@ def order_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     rows = o.select(k, F.to_date("o_orderdate").alias("report_date"),
-                    null_if(k % 23 == 0, k % 5).alias("value"), F.col("o_custkey"))
+                    null_when(k % 23 == 0, k % 5).alias("value"), F.col("o_custkey"))
     return rows.filter(k % 2 == 0), rows.filter(k % 2 == 1)
 
 
@@ -104,7 +104,7 @@ def state_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     codes = F.array(*[F.lit(c) for c in STATE_CODES])
     state = F.element_at(codes, (F.col("l_suppkey") % 10 + 1).cast("int"))
-    adult = null_if(F.col("l_linenumber") == 3, F.col("l_quantity").cast("bigint").cast("string"))
+    adult = null_when(F.col("l_linenumber") == 3, F.col("l_quantity").cast("bigint").cast("string"))
     key = F.col("l_orderkey")
     paediatric = (F.when(key % 11 == 0, F.lit(None).cast("string"))
                   .when(key % 13 == 0, F.lit("abc"))
