@@ -139,6 +139,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if bounded_row_count(df, max_rows) is not None else df
 
 
+def join_facts_to_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                            group_keys: list[str], sum_cols: list[str],
+                            max_broadcast_rows: int = 100_000) -> DataFrame:
+    """Inner-join fact rows to a dimension, for a later sum over the result.
+
+    A dimension proven small is broadcast and the raw facts are joined
+    map-side (no shuffle before the caller's aggregate).  Otherwise the facts
+    are first summed per ``group_keys`` (which must include ``fact_key``) --
+    a partial+final aggregate that shrinks the join input and combines a hot
+    key map-side -- and then shuffle-joined.  Both give the same sums of
+    ``sum_cols`` per any grouping coarser than ``group_keys``.
+    """
+    if bounded_row_count(dim, max_broadcast_rows) is not None:
+        joined = facts.join(F.broadcast(dim), facts[fact_key] == dim[dim_key])
+    else:
+        pre = facts.groupBy(*group_keys).agg(*[F.sum(c).alias(c) for c in sum_cols])
+        joined = pre.join(dim, pre[fact_key] == dim[dim_key])
+    return joined.drop(dim_key)
+
+
 def join_nullsafe(df: DataFrame, other: DataFrame, on: list[str], how: str = "left",
                   max_broadcast_rows: int = 100_000) -> DataFrame:
     """Equi-join on ``on`` where NULL matches NULL; ``other`` is broadcast only

@@ -19,7 +19,8 @@ from hebdo.functions.casts import to_double, to_int_truncating, to_text
 from hebdo.functions.text import bytes_to_text, normalize_label, recode
 from hebdo.operators.columns import clean_column_names, select_renamed, typed_null, with_constants
 from hebdo.operators.combine import (broadcast_if_small, distinct_rows, enrich, full_join_on_values,
-                                     merge_side_totals, outer_merge_measures, union_by_name)
+                                     join_facts_to_dimension, merge_side_totals, outer_merge_measures,
+                                     union_by_name)
 from hebdo.operators.dedupe import top1_per_group
 from hebdo.operators.filters import (drop_latest_week, drop_week, drop_zero, exclude_values, keep_all,
                                      keep_equal, keep_on_or_after, keep_values)
@@ -527,23 +528,16 @@ ref AS (SELECT DISTINCT ADM0_NAME AS country, WHO_REGION, ISO_3_CODE FROM places
 SELECT w.country, w.epiweek, w.new_hospitalization, ref.WHO_REGION, ref.ISO_3_CODE
 FROM weekly w LEFT JOIN ref ON w.country IS NOT DISTINCT FROM ref.country""")
 def enrich_reference(spark, d):
-    # Sum per (customer, week) first: the join then sees one row per customer
-    # and week instead of one per order, and a hot customer is combined map-side.
-    r = add_week_start(feeds.orders_reports(spark, d), "report_date")
-    per_customer = r.groupBy("o_custkey", "epiweek").agg(F.sum("new_hospitalization").alias("new_hospitalization"))
-    cn = join_small_or_shuffle(per_customer, feeds.customer_nations(spark, d, "country"), "o_custkey", "c_custkey")
+    r = add_week_start(feeds.orders_reports(spark, d), "report_date").select("o_custkey", "epiweek",
+                                                                              "new_hospitalization")
+    cn = join_facts_to_dimension(r, feeds.customer_nations(spark, d, "country"), "o_custkey", "c_custkey",
+                                 ["o_custkey", "epiweek"], ["new_hospitalization"])
     weekly = cn.groupBy("country", "epiweek").agg(F.sum("new_hospitalization").alias("new_hospitalization"))
     p = feeds.places(spark, d)
     ref = union_by_name(p, p).select(F.col("ADM0_NAME").alias("country"), "WHO_REGION", "ISO_3_CODE")
     return enrich(weekly, ref, "country", how="left", dedupe_reference=True)
 
 
-def join_small_or_shuffle(df: DataFrame, dim: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Inner join to a dimension keyed by ``right_key``; broadcast only if small."""
-    dim = broadcast_if_small(dim)
-    return df.join(dim, df[left_key] == dim[right_key]).drop(right_key)
-
-
 # ---------------------------------------------------------------------------
 # Top-1, group size, latest week
 # ---------------------------------------------------------------------------
@@ -719,11 +713,9 @@ FROM ranked WHERE rn = 1"""
 def current_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     """The two feeds of the current flow: a daily national feed summed per
     date (orders by customer nation) and an event-level feed (purchases)."""
-    r = feeds.orders_reports(spark, d)
-    # partial sums per (customer, date) before the customer join (exact for sums)
-    per_customer = r.groupBy("o_custkey", "report_date").agg(F.sum("new_hospitalization").alias("new_hospitalization"),
-                                                             F.sum("new_icu").alias("new_icu"))
-    rows = join_small_or_shuffle(per_customer, feeds.customer_places(spark, d), "o_custkey", "c_custkey")
+    r = feeds.orders_reports(spark, d).select("o_custkey", "report_date", "new_hospitalization", "new_icu")
+    rows = join_facts_to_dimension(r, feeds.customer_places(spark, d), "o_custkey", "c_custkey",
+                                   ["o_custkey", "report_date"], ["new_hospitalization", "new_icu"])
     rows = rows.withColumn("country", F.upper("ADM0_NAME"))
     nz = (rows.groupBy("WHO_REGION", "ISO_3_CODE", "country", "report_date")
               .agg(F.coalesce(F.sum("new_hospitalization"), F.lit(0)).alias("new_hospitalization"),
@@ -826,17 +818,20 @@ def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
     a state feed delivered in two pages (J2b), a weekly feed keyed by ISO
     week codes (D6)."""
     r = feeds.orders_reports(spark, d)
-    # One pass over orders: per (customer, date) the admissions side (status
-    # F/P) and the ICU side (status O) as conditional sums and raw row counts,
-    # then one customer join; merge_side_totals weighs by the counts, so the
-    # result equals the full join of the raw rows on (country, date).
+    # One pass over orders: each row carries the admissions side (status F/P)
+    # and the ICU side (status O) as conditional measures and 0/1 row counts;
+    # they are summed per (customer, date) only if the customer join must
+    # shuffle.  merge_side_totals weighs by the counts, so the result equals
+    # the full join of the raw rows on (country, date).
     admissions = F.col("o_orderstatus") != "O"
-    per_customer = r.groupBy("o_custkey", "report_date").agg(
-        F.sum(F.when(admissions, F.col("new_hospitalization"))).alias("new_hospitalization"),
-        F.count_if(admissions).alias("n_admissions"),
-        F.sum(F.when(~admissions, F.col("new_icu"))).alias("new_icu"),
-        F.count_if(~admissions).alias("n_icu"))
-    base = join_small_or_shuffle(per_customer, feeds.customer_nations(spark, d), "o_custkey", "c_custkey")
+    sides = r.select("o_custkey", "report_date",
+                     F.when(admissions, F.col("new_hospitalization")).alias("new_hospitalization"),
+                     admissions.cast("bigint").alias("n_admissions"),
+                     F.when(~admissions, F.col("new_icu")).alias("new_icu"),
+                     (~admissions).cast("bigint").alias("n_icu"))
+    base = join_facts_to_dimension(sides, feeds.customer_nations(spark, d), "o_custkey", "c_custkey",
+                                   ["o_custkey", "report_date"],
+                                   ["new_hospitalization", "n_admissions", "new_icu", "n_icu"])
     s1 = merge_side_totals(base, ["country_name", "report_date"], ["new_hospitalization"], ["new_icu"],
                            "n_admissions", "n_icu", null_policy="zero")
     s2 = normalize_pages([feeds.state_feed(spark, d)], STATE_SPEC, mode="union")

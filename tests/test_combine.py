@@ -6,8 +6,8 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import d
-from hebdo.operators.combine import (enrich, full_join_on_values, merge_side_totals, outer_merge_measures,
-                                     paged_full_join_on_values, union_by_name)
+from hebdo.operators.combine import (enrich, full_join_on_values, join_facts_to_dimension, merge_side_totals,
+                                     outer_merge_measures, paged_full_join_on_values, union_by_name)
 
 
 def pairs_full_join(left, right, key_len):
@@ -161,3 +161,18 @@ def test_merge_side_totals_one_pass(spark):
     one = merge_side_totals(totals, ["c", "day"], ["h"], ["i"], "nl", "nr")
     key = lambda r: (r["c"], r["day"], r["h"], r["i"])
     assert sorted(map(key, raw.collect()), key=str) == sorted(map(key, one.collect()), key=str)
+
+
+def test_join_facts_to_dimension_both_paths(spark):
+    rnd = random.Random(17)
+    facts = spark.createDataFrame([(rnd.randint(0, 9), rnd.randint(1, 3), rnd.choice([None, 1, 2]))
+                                   for _ in range(200)], "cust int, day int, v bigint")
+    dim = spark.createDataFrame([(c, f"N{c % 3}") for c in range(9)], "ckey int, nation string")
+    results = []
+    for max_rows in (100, 0):          # broadcast path, then pre-aggregate + shuffle path
+        j = join_facts_to_dimension(facts, dim, "cust", "ckey", ["cust", "day"], ["v"], max_broadcast_rows=max_rows)
+        agg = j.groupBy("nation", "day").agg(F.sum("v").alias("v"))
+        results.append(sorted((r["nation"], r["day"], r["v"]) for r in agg.collect()))
+        plan = j._jdf.queryExecution().sparkPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (max_rows > 0)
+    assert results[0] == results[1]
