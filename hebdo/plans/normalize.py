@@ -102,6 +102,42 @@ def quarantined_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return rows.filter(F.col(REASON_COL).isNotNull()).withColumn("feed", F.lit(spec.name))
 
 
+VALID = "valid"
+
+
+def normalize_with_quarantine(df: DataFrame, spec: SourceSpec, staging_path: str | None = None
+                              ) -> tuple[DataFrame, DataFrame]:
+    """(tidy daily rows, quarantined rows) from ONE pass over the raw feed.
+
+    The typed, tagged rows are written once as Parquet partitioned by
+    ``date_issue`` (to ``staging_path``, by default a fresh folder under the
+    shared checkpoint folder); the valid partition is then aggregated and the
+    others are the quarantine -- both read with partition pruning, so the raw
+    files are parsed once and the lineage is cut.
+    """
+    if not spec.plausible:
+        raise ValueError(f"feed {spec.name!r} has no plausible date range")
+    if staging_path is None:
+        import os
+        import uuid
+
+        from hebdo.session import checkpoint_dir
+        staging_path = os.path.join(checkpoint_dir(df.sparkSession), f"staged-{spec.name}-{uuid.uuid4().hex}")
+    tagged = tag_report_rows(df, spec).withColumn(REASON_COL, F.coalesce(F.col(REASON_COL), F.lit(VALID)))
+    tagged.write.mode("overwrite").partitionBy(REASON_COL).parquet(staging_path)
+    staged = df.sparkSession.read.parquet(staging_path)
+    rows = staged.filter(F.col(REASON_COL) == VALID).drop(REASON_COL, "raw_date")
+    if spec.min_date:
+        rows = rows.filter(F.col("report_date") >= F.lit(spec.min_date).cast("date"))
+    if spec.drop_zero:
+        rows = rows.filter(F.col(spec.drop_zero) != 0)
+    if spec.aggregate_daily:
+        how = {m.name: m.aggregate for m in spec.measures}
+        rows = daily_totals(rows, ["country_name"], "report_date", how, spec.null_policy)
+    quarantined = staged.filter(F.col(REASON_COL) != VALID).withColumn("feed", F.lit(spec.name))
+    return _with_constants(rows, spec), quarantined
+
+
 def _with_constants(df: DataFrame, spec: SourceSpec) -> DataFrame:
     cols = {k: F.lit(v) for k, v in spec.constants}
     cols.update({m: F.lit(None).cast("bigint") for m in spec.missing_measures})

@@ -222,3 +222,14 @@ def test_spec_validation():
         MeasureSpec("m", ("x",), aggregate="mean")
     with pytest.raises(ValueError):
         SourceSpec(name="a", date=DateSpec("d"), measures=m, country="X", drop_zero="other")
+
+
+def test_normalize_with_quarantine_one_pass(spark, tmp_path):
+    from hebdo.plans.normalize import normalize_with_quarantine, quarantined_rows
+    p = write(tmp_path / "dk_bad2.csv", "Dato,Total\n2022-01-03,40\n0015-01-20,5\nnot a date,3\n2022-01-03,1\n")
+    raw = read_csv_text(spark, p)
+    valid, bad = normalize_with_quarantine(raw, NF.DENMARK, str(tmp_path / "staged"))
+    assert tidy(valid) == tidy(normalize_source(raw, NF.DENMARK)) == [("Denmark", "2022-01-03", 41, None)]
+    key = lambda r: (r["raw_date"], r["date_issue"], r["feed"])
+    assert sorted(map(key, bad.collect())) == sorted(map(key, quarantined_rows(raw, NF.DENMARK).collect()))
+    assert "PartitionFilters: [isnotnull(date_issue" in bad._jdf.queryExecution().executedPlan().toString()
