@@ -21,7 +21,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from hebdo.operators.combine import full_join_on_values, outer_merge_measures  # noqa: E402
+from hebdo.operators.combine import (full_join_on_values, join_facts_to_dimension,  # noqa: E402
+                                     outer_merge_measures)
 from hebdo.operators.dedupe import top1_per_group  # noqa: E402
 from hebdo.operators.rollup import weekly_rollup  # noqa: E402
 from hebdo.plans import feeds  # noqa: E402
@@ -34,12 +35,19 @@ def main():
     spark = build_session("local[8]", 16, extra={"spark.eventLog.enabled": "true",
                                                  "spark.eventLog.dir": f"file://{log_dir}",
                                                  "spark.eventLog.compress": "false",
-                                                 "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+                                                 "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                                 # measure shuffle joins as they run at scale: no runtime broadcast
+                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
     r = feeds.orders_reports(spark, sf_dir)
     hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit("HOT")).otherwise(F.col("country_name"))
     # spread over 16 input partitions, as a distributed scan would be
     skewed = r.withColumn("country_name", hot).repartition(16)
     rows = skewed.count()
+    # a hot customer instead: every third order belongs to customer 0
+    hot_customer = (r.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0).cast("bigint"))
+                                 .otherwise(F.col("o_custkey")))
+                     .select("o_custkey", "report_date", "new_hospitalization").repartition(16))
+    customers = feeds.customer_nations(spark, sf_dir).repartition(16)
     cases = {
         "top1_per_group": top1_per_group(skewed, ["country_name"], "new_hospitalization", tie_break=["o_orderkey"]),
         "weekly_rollup": weekly_rollup(skewed, ["country_name"], "report_date", ["new_hospitalization"]),
@@ -49,6 +57,11 @@ def main():
         "full_join_on_values": full_join_on_values(
             skewed.filter("o_orderkey % 2 = 0").select("country_name"),
             skewed.filter("o_orderkey % 2 = 1").select("country_name"), ["country_name"]),
+        "join_facts_to_dimension (shuffle path, hot customer)": join_facts_to_dimension(
+            hot_customer, customers, "o_custkey", "c_custkey", ["o_custkey", "report_date"],
+            ["new_hospitalization"], max_broadcast_rows=0),
+        "raw sort-merge join (contrast, hot customer)": hot_customer.join(
+            customers, hot_customer["o_custkey"] == customers["c_custkey"]),
         "window_row_number_eq_1": skewed.withColumn(
             "rn", F.row_number().over(Window.partitionBy("country_name")
                                       .orderBy(F.desc_nulls_last("new_hospitalization"), "o_orderkey")))
@@ -82,7 +95,7 @@ def main():
         # the last stage of the job is the reduce side of the operator's own shuffle
         stages = sorted(sid for sid in task_reads if stage_group.get(sid) == group)
         worst = max(task_reads[stages[-1]]) if stages else 0
-        print(f"{name:32s} largest reduce task read {worst:,} shuffled records")
+        print(f"{name:52s} largest reduce task read {worst:,} shuffled records")
 
 
 if __name__ == "__main__":
