@@ -7,6 +7,9 @@ aggregate per (country, report date).
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import REASON_COL, tag_date_issues
 from hebdo.operators.rollup import daily_totals
 from hebdo.plans.specs import TIDY_KEYS, DateSpec, SourceSpec
+from hebdo.session import checkpoint_dir
 
 
 def parse_report_date(spec: DateSpec) -> Column:
@@ -118,10 +122,6 @@ def normalize_with_quarantine(df: DataFrame, spec: SourceSpec, staging_path: str
     if not spec.plausible:
         raise ValueError(f"feed {spec.name!r} has no plausible date range")
     if staging_path is None:
-        import os
-        import uuid
-
-        from hebdo.session import checkpoint_dir
         staging_path = os.path.join(checkpoint_dir(df.sparkSession), f"staged-{spec.name}-{uuid.uuid4().hex}")
     tagged = tag_report_rows(df, spec).withColumn(REASON_COL, F.coalesce(F.col(REASON_COL), F.lit(VALID)))
     tagged.write.mode("overwrite").partitionBy(REASON_COL).parquet(staging_path)
