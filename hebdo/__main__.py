@@ -40,12 +40,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--latest-week", choices=["global", "per_country", "keep"], default="global")
     p.add_argument("--include-bulgaria", action="store_true")
     p.add_argument("--master", default=None)
+    p.add_argument("--shuffle-partitions", type=int, default=None,
+                   help="upper bound of shuffle partitions; AQE coalesces small ones")
+    p.add_argument("--partition-bytes", default=None, help="target task input size, e.g. 256m")
     return p
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = build_session(args.master, app_name=f"hebdo-{args.flow}")
+    spark = build_session(args.master, args.shuffle_partitions, app_name=f"hebdo-{args.flow}",
+                          partition_bytes=args.partition_bytes)
     landed = LandedFeeds(**{f.name: getattr(args, f.name) for f in fields(LandedFeeds)})
     layout = LAYOUTS[args.layout or args.flow]
     if args.week_rule:

@@ -35,8 +35,15 @@ SESSION_DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "hebdo", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "hebdo", extra: dict | None = None,
+                  partition_bytes: str | None = None) -> SparkSession:
+    """Session with ``SESSION_DEFAULTS``.  ``partition_bytes`` (e.g. "256m")
+    sizes both scan splits and AQE's post-shuffle partitions, so every task's
+    input fits executor memory without spilling at any scale."""
     builder = SparkSession.builder.appName(app_name)
+    if partition_bytes:
+        builder = (builder.config("spark.sql.files.maxPartitionBytes", partition_bytes)
+                   .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", partition_bytes))
     if master:
         builder = builder.master(master)
     for key, value in SESSION_DEFAULTS.items():
