@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from hebdo.functions import dates as D
 from hebdo.functions.casts import to_double, to_int_truncating, to_text
 from hebdo.functions.text import bytes_to_text, normalize_label, recode
-from hebdo.operators.columns import clean_column_names, select_renamed, typed_null, with_constants
+from hebdo.operators.columns import (clean_column_names, project_for_join, select_renamed, typed_null,
+                                    with_constants)
 from hebdo.operators.combine import (broadcast_if_small, distinct_rows, enrich, full_join_on_values,
                                      join_facts_to_dimension, merge_side_totals, outer_merge_measures,
                                      union_by_name)
@@ -476,8 +477,10 @@ FROM page1 FULL OUTER JOIN page2
 GROUP BY 1, 2""")
 def full_join_on_values_query(spark, d):
     p1, p2 = feeds.order_pages(spark, d)
-    keys = ["report_date", "value"]          # o_custkey is a non-key column: projected away (P9)
-    return full_join_on_values(p1.select(*keys), p2.select(*keys), keys)
+    keys = ["report_date", "value"]
+    # o_custkey / o_orderkey are non-key columns on both pages; projecting
+    # to the key first means no same-named columns meet in the join
+    return full_join_on_values(project_for_join(p1, keys, []), project_for_join(p2, keys, []), keys)
 
 
 @register("union_pages", f"""
