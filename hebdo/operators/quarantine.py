@@ -32,6 +32,27 @@ def date_issue(date_col: Column | str, raw_col: Column | str | None = None,
     return reason
 
 
+def date_in_range(date_col: Column | str, min_date: str | None = None, max_date: str | None = None) -> Column:
+    """TRUE for a non-NULL date inside [min_date, max_date], else FALSE/NULL.
+
+    The date expression is referenced exactly ONCE.  Catalyst pushes a filter
+    below the projection that computes the date and inlines the expression
+    once per reference, so with a parsed date every extra reference is
+    another parse of every row.  With both bounds the range test is written
+    as |2 (d - lo) - span| <= span, which needs ``d`` only once.
+    """
+    d = F.col(date_col) if isinstance(date_col, str) else date_col
+    if min_date and max_date:
+        lo = F.lit(min_date).cast("date")
+        span = F.datediff(F.lit(max_date).cast("date"), lo)
+        return F.abs(F.datediff(d, lo) * 2 - span) <= span
+    if min_date:
+        return d >= F.lit(min_date).cast("date")
+    if max_date:
+        return d <= F.lit(max_date).cast("date")
+    return d.isNotNull()
+
+
 def tag_date_issues(df: DataFrame, date_col: str, raw_col: str | None = None,
                     min_date: str | None = None, max_date: str | None = None,
                     reason_col: str = REASON_COL) -> DataFrame:

@@ -20,7 +20,7 @@ from hebdo.operators.columns import sum_of_columns
 from hebdo.operators.combine import (full_join_on_values, outer_merge_measures, paged_full_join_on_values,
                                      union_by_name)
 from hebdo.operators.nulls import fill_missing
-from hebdo.operators.quarantine import REASON_COL, tag_date_issues
+from hebdo.operators.quarantine import REASON_COL, date_in_range, tag_date_issues
 from hebdo.operators.rollup import daily_totals
 from hebdo.plans.specs import TIDY_KEYS, DateSpec, SourceSpec
 from hebdo.session import checkpoint_dir
@@ -62,10 +62,8 @@ def apply_filters(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return df
 
 
-def tag_report_rows(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Filtered, typed rows ``(country_name, report_date, measures)``; with
-    ``spec.plausible`` also the raw date text and a ``date_issue`` reason
-    (NULL for a plausible date) -- one plan feeds both sides of Q1."""
+def _report_columns(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Filtered, typed rows ``(country_name, report_date, measures, *keep)``."""
     df = apply_filters(df, spec)
     if spec.fill_missing:
         df = fill_missing(df, 0)
@@ -76,8 +74,23 @@ def tag_report_rows(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ())
     measures = {m.name: to_int_truncating(sum_of_columns(*[to_double(p) for p in m.parts]), "bigint")
                 for m in spec.measures}
     raw = [F.col(spec.date.column).cast("string").alias("raw_date")] if spec.plausible else []
-    rows = df.select(country.alias("country_name"), parse_report_date(spec.date).alias("report_date"),
+    return df.select(country.alias("country_name"), parse_report_date(spec.date).alias("report_date"),
                      *[expr.alias(name) for name, expr in measures.items()], *raw, *keep)
+
+
+def _valid_range(spec: SourceSpec) -> tuple[str | None, str | None]:
+    """[first, last] valid report date: the plausible range narrowed by F6."""
+    first, last = spec.plausible or (None, None)
+    if spec.min_date:
+        first = max(first, spec.min_date) if first else spec.min_date
+    return first, last
+
+
+def tag_report_rows(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed rows with, when ``spec.plausible`` is set, the raw date text and a
+    ``date_issue`` reason (NULL for a plausible date) -- one plan feeds both
+    sides of Q1."""
+    rows = _report_columns(df, spec, keep)
     if spec.plausible:
         first, last = spec.plausible
         rows = tag_date_issues(rows, "report_date", raw_col="raw_date", min_date=first, max_date=last)
@@ -86,12 +99,18 @@ def tag_report_rows(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ())
 
 def to_report_rows(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Filtered, typed, not yet aggregated rows: (country_name, report_date,
-    measures) plus the ``keep`` columns carried through unchanged."""
-    rows = tag_report_rows(df, spec, keep)
+    measures) plus the ``keep`` columns carried through unchanged.
+
+    Q1 and F6 are one range filter that names the parsed date once (see
+    ``date_in_range``), so the date is parsed once in the filter Catalyst
+    pushes down and once in the projection -- not once per reason.
+    """
+    rows = _report_columns(df, spec, keep)
+    first, last = _valid_range(spec)
+    if spec.plausible or spec.min_date:
+        rows = rows.filter(date_in_range("report_date", first, last))
     if spec.plausible:
-        rows = rows.filter(F.col(REASON_COL).isNull()).drop(REASON_COL, "raw_date")
-    if spec.min_date:
-        rows = rows.filter(F.col("report_date") >= F.lit(spec.min_date).cast("date"))
+        rows = rows.drop("raw_date")
     if spec.drop_zero:
         rows = rows.filter(F.col(spec.drop_zero) != 0)
     return rows
@@ -102,8 +121,10 @@ def quarantined_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
     outside ``spec.plausible``, with the raw text and the reason."""
     if not spec.plausible:
         raise ValueError(f"feed {spec.name!r} has no plausible date range")
-    rows = tag_report_rows(df, spec)
-    return rows.filter(F.col(REASON_COL).isNotNull()).withColumn("feed", F.lit(spec.name))
+    first, last = spec.plausible
+    rows = _report_columns(df, spec).filter(~F.coalesce(date_in_range("report_date", first, last), F.lit(False)))
+    return (tag_date_issues(rows, "report_date", raw_col="raw_date", min_date=first, max_date=last)
+            .withColumn("feed", F.lit(spec.name)))
 
 
 VALID = "valid"
