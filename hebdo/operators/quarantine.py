@@ -62,10 +62,15 @@ def tag_date_issues(df: DataFrame, date_col: str, raw_col: str | None = None,
 def split_plausible(df: DataFrame, date_col: str, raw_col: str | None = None,
                     min_date: str | None = None, max_date: str | None = None,
                     reason_col: str = REASON_COL) -> tuple[DataFrame, DataFrame]:
-    """(valid rows without the reason column, quarantined rows with it)."""
-    tagged = tag_date_issues(df, date_col, raw_col, min_date, max_date, reason_col)
-    valid = tagged.filter(F.col(reason_col).isNull()).drop(reason_col)
-    return valid, tagged.filter(F.col(reason_col).isNotNull())
+    """(valid rows, quarantined rows with a reason).
+
+    Both sides filter with ``date_in_range`` -- one reference to the date --
+    and only the quarantined side computes the reason, in a projection.
+    """
+    inside = date_in_range(date_col, min_date, max_date)
+    valid = df.filter(inside)
+    rejected = df.filter(~F.coalesce(inside, F.lit(False)))
+    return valid, tag_date_issues(rejected, date_col, raw_col, min_date, max_date, reason_col)
 
 
 def date_issue_counts(tagged: DataFrame, reason_col: str = REASON_COL) -> DataFrame:
