@@ -233,3 +233,19 @@ def test_normalize_with_quarantine_one_pass(spark, tmp_path):
     key = lambda r: (r["raw_date"], r["date_issue"], r["feed"])
     assert sorted(map(key, bad.collect())) == sorted(map(key, quarantined_rows(raw, NF.DENMARK).collect()))
     assert "PartitionFilters: [isnotnull(date_issue" in bad._jdf.queryExecution().executedPlan().toString()
+
+
+def test_command_line_archived_options(spark, landed, tmp_path):
+    from hebdo.__main__ import main
+    out = tmp_path / "arch"
+    main(["archived", "--us-states", landed.us_states, "--switzerland", landed.switzerland,
+          "--bulgaria", landed.bulgaria, "--reference-places", landed.reference_places,
+          "--us-pages-mode", "full_join_on_values", "--switzerland-weeks", "iso", "--include-bulgaria",
+          "--freq-mode", "compat", "--latest-week", "keep", "--parquet", str(out)])
+    got = {(r["country"], r["epiweek"].isoformat()): (r["new_hospitalization"], r["freq"], r["freq_time"])
+           for r in spark.read.parquet(str(out)).collect()}
+    assert got[("UNITED STATES OF AMERICA", "2022-01-03")] == (12, "weekly", 1)     # two-page join: 12
+    assert got[("PUERTO RICO", "2022-01-03")] == (18, "weekly", 1)
+    assert got[("SWITZERLAND", "2019-12-30")] == (10, "weekly", 1)                # ISO reading of 202001
+    assert got[("SWITZERLAND", "2020-12-28")] == (99, "weekly", 1)                # ISO week 53 kept
+    assert got[("BULGARIA", "2022-01-03")] == (12, "weekly", 1)
