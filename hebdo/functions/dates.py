@@ -83,10 +83,13 @@ def parse_date_leading(c: Column | str) -> Column:
     return F.when(token != "", F.try_to_date(F.translate(token, "/", "-"), "yyyy-M-d"))
 
 
-def pattern_shape(fmt: str) -> str:
+def pattern_shape(fmt: str) -> str | None:
     """A regular expression that every text a Spark date pattern can parse
     matches (it may accept more).  Used to skip the formatter -- whose
-    failures are exceptions inside the JVM -- on text of another shape."""
+    failures are exceptions inside the JVM -- on text of another shape.
+    None for patterns with optional sections (``[...]``): no guard then."""
+    if "[" in fmt.replace("'['", "") or "]" in fmt.replace("']'", ""):
+        return None
     out, i = [], 0
     while i < len(fmt):
         ch = fmt[i]
@@ -118,7 +121,13 @@ def pattern_shape(fmt: str) -> str:
 def parse_date_formats(c: Column | str, formats: tuple[str, ...] | list[str]) -> Column:
     """The first of ``formats`` that matches the whole (trimmed) text."""
     text = F.trim(_col(c).cast("string"))
-    return F.coalesce(*[F.when(text.rlike(pattern_shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats])
+
+    def attempt(fmt: str) -> Column:
+        shape = pattern_shape(fmt)
+        parsed = F.try_to_date(text, fmt)
+        return parsed if shape is None else F.when(text.rlike(shape), parsed)
+
+    return F.coalesce(*[attempt(fmt) for fmt in formats])
 
 
 def parse_month_first(c: Column | str) -> Column:

@@ -131,3 +131,14 @@ def test_week_code_mondays(spark):
     assert all(r["b"] is None or r["b"].weekday() == 0 for r in rows)
     # ISO years with 53 weeks in 1995-2030: 1998 2004 2009 2015 2020 2026
     assert sum(r["b"] is None for r in rows) == 36 - 6
+
+
+def test_optional_section_pattern_is_not_guarded(spark):
+    assert D.pattern_shape("yyyy-MM-dd[ HH:mm]") is None
+    got = spark.createDataFrame([("2024-05-04",), ("2024-05-04 10:30",)], "x string").select(
+        D.parse_date_formats(F.col("x"), ("yyyy-MM-dd[ HH:mm]",)).alias("d")).collect()
+    assert [r["d"] for r in got] == [d("2024-05-04"), d("2024-05-04")]
+
+
+def test_case_insensitive_month_names(spark):
+    assert one(spark, D.parse_month_first(F.col("x")), "may 4, 2024") == d("2024-05-04")
