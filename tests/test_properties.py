@@ -65,3 +65,15 @@ def test_leading_date_matches_brute_force(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = [r["d"] for r in df.select(parse_date_leading(F.col("x")).alias("d")).collect()]
     assert got == [brute_leading(t) for t in texts]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.dates(dt.date(1900, 1, 1), dt.date(2099, 12, 31)), min_size=1, max_size=30))
+def test_guarded_formats_round_trip(spark, days):
+    """Text that Spark writes with a shipped pattern is parsed back by the
+    guarded parser: the shape guard never rejects a parsable text."""
+    from hebdo.functions.dates import DAY_FIRST_FORMATS, MONTH_FIRST_FORMATS, parse_date_formats
+    df = spark.createDataFrame([(x,) for x in days], "d date")
+    for fmt in MONTH_FIRST_FORMATS + DAY_FIRST_FORMATS:
+        back = df.select("d", parse_date_formats(F.date_format("d", fmt), (fmt,)).alias("p")).collect()
+        assert all(r["p"] == r["d"] for r in back), fmt
