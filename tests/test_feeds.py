@@ -249,3 +249,15 @@ def test_command_line_archived_options(spark, landed, tmp_path):
     assert got[("SWITZERLAND", "2019-12-30")] == (10, "weekly", 1)                # ISO reading of 202001
     assert got[("SWITZERLAND", "2020-12-28")] == (99, "weekly", 1)                # ISO week 53 kept
     assert got[("BULGARIA", "2022-01-03")] == (12, "weekly", 1)
+
+
+def test_numeric_json_tokens_read_as_text(spark, tmp_path):
+    p = write(tmp_path / "ch_num.json", json.dumps([
+        {"geoRegion": "CH", "altersklasse_covid19": "all", "primary_hosp_reason": "covid", "date": 202001,
+         "entries": 10},
+        {"geoRegion": "CH", "altersklasse_covid19": "all", "primary_hosp_reason": "covid", "date": 202002,
+         "entries": 12.0}]))
+    raw = read_json_records(spark, p, NF.CH_RECORD)
+    assert sorted((r["date"], r["entries"]) for r in raw.collect()) == [("202001", "10"), ("202002", "12.0")]
+    assert tidy(normalize_source(raw, NF.switzerland("iso"))) == [("Switzerland", "2019-12-30", 10, None),
+                                                                 ("Switzerland", "2020-01-06", 12, None)]
