@@ -47,19 +47,25 @@ PLAUSIBLE = ("2019-12-01", None)
 # Specs
 # ---------------------------------------------------------------------------
 
-NZ_CURRENT = SourceSpec(
-    plausible=PLAUSIBLE, name="nz", date=DateSpec(NZ_DATE, "leading"),
+
+def national_spec(**fields) -> SourceSpec:
+    """A ``SourceSpec`` with the shared plausible date range (Q1)."""
+    return SourceSpec(plausible=PLAUSIBLE, **fields)
+
+
+NZ_CURRENT = national_spec(
+    name="nz", date=DateSpec(NZ_DATE, "leading"),
     measures=(MeasureSpec("new_hospitalization", ("hospitalisations",)), MeasureSpec("new_icu", ("icu",))),
     country="NEW ZEALAND", equals=(NZ_SLICE,),
     constants=(("WHO_REGION", "WPRO"), ("ISO_3_CODE", "NZL")))
 
-NZ_ARCHIVED = SourceSpec(
-    plausible=PLAUSIBLE, name="nz", date=DateSpec(NZ_DATE, "leading"),
+NZ_ARCHIVED = national_spec(
+    name="nz", date=DateSpec(NZ_DATE, "leading"),
     measures=(MeasureSpec("new_hospitalization", ("hospitalisations",)), MeasureSpec("new_icu", ("icu",))),
     country="New Zealand", equals=(NZ_SLICE,))
 
-CDC_SENTINEL = SourceSpec(
-    plausible=PLAUSIBLE, name="cdc",
+CDC_SENTINEL = national_spec(
+    name="cdc",
     date=DateSpec("time", "formats", ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy")),
     measures=(MeasureSpec("new_hospitalization", ("estimate",)),),
     country="UNITED STATES OF AMERICA", labels=("time_period",),
@@ -67,14 +73,14 @@ CDC_SENTINEL = SourceSpec(
     min_date=CDC_FIRST_DATE, aggregate_daily=False, missing_measures=("new_icu",),
     constants=(("WHO_REGION", "AMRO"), ("ISO_3_CODE", "USA")))
 
-US_STATES = SourceSpec(
-    plausible=PLAUSIBLE, name="us_states", date=DateSpec("date", "leading"),
+US_STATES = national_spec(
+    name="us_states", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_hospitalization", (US_ADULT, US_PAEDIATRIC)),),
     country="United States of America", exclude=(("state", US_TERRITORIES),),
     fill_missing=True, drop_zero="new_hospitalization")
 
-US_TERRITORY_PAGES = SourceSpec(
-    plausible=PLAUSIBLE, name="pr_vi", date=DateSpec("date", "leading"),
+US_TERRITORY_PAGES = national_spec(
+    name="pr_vi", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_hospitalization", (US_ADULT, US_PAEDIATRIC)),),
     country_column="state", country_recode=PR_VI_NAMES, include=(("state", ("PR", "VI")),),
     fill_missing=True, drop_zero="new_hospitalization")
@@ -84,45 +90,45 @@ def switzerland(week_rule: str = "monday_week") -> SourceSpec:
     """``monday_week``: the reference's ``%W`` reading of the code (week 53
     dropped); ``iso``: the code read as an ISO week (week 53 kept if real)."""
     kind = "week_code_monday" if week_rule == "monday_week" else "week_code_iso"
-    return SourceSpec(
-        plausible=PLAUSIBLE, name="ch", date=DateSpec("date", kind),
+    return national_spec(
+        name="ch", date=DateSpec("date", kind),
         measures=(MeasureSpec("new_hospitalization", ("entries",)),),
         country_column="geoRegion", country_recode=CH_NAMES, equals=CH_SLICE,
         drop_week=53 if week_rule == "monday_week" else None)
 
 
-UK_ADMISSIONS = SourceSpec(
-    plausible=PLAUSIBLE, name="uk_hosp", date=DateSpec("date", "leading"),
+UK_ADMISSIONS = national_spec(
+    name="uk_hosp", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_hospitalization", ("new_admissions",)),), country_column="area_name")
-UK_VENTILATED = SourceSpec(
-    plausible=PLAUSIBLE, name="uk_icu", date=DateSpec("date", "leading"),
+UK_VENTILATED = national_spec(
+    name="uk_icu", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_icu", ("covid_occupied_mv_beds",)),), country_column="area_name")
 
-IRELAND_ADMISSIONS = SourceSpec(
-    plausible=PLAUSIBLE, name="ie_hosp", date=DateSpec("Date", "epoch_ms"),
+IRELAND_ADMISSIONS = national_spec(
+    name="ie_hosp", date=DateSpec("Date", "epoch_ms"),
     measures=(MeasureSpec("new_hospitalization", ("SUM_no_new_admissions_covid19_p",)),), country="Ireland")
-IRELAND_ICU = SourceSpec(
-    plausible=PLAUSIBLE, name="ie_icu", date=DateSpec("extract", "epoch_ms"),
+IRELAND_ICU = national_spec(
+    name="ie_icu", date=DateSpec("extract", "epoch_ms"),
     measures=(MeasureSpec("new_icu", ("adcconf",)),), country="Ireland")
 
-DENMARK = SourceSpec(
-    plausible=PLAUSIBLE, name="dk", date=DateSpec("dato", "leading"),
+DENMARK = national_spec(
+    name="dk", date=DateSpec("dato", "leading"),
     measures=(MeasureSpec("new_hospitalization", ("total",)),), country="Denmark")
 
-NORWAY_ADMISSIONS = SourceSpec(
-    plausible=PLAUSIBLE, name="no_hosp", date=DateSpec("date", "formats", ("d/M/yyyy",)),
+NORWAY_ADMISSIONS = national_spec(
+    name="no_hosp", date=DateSpec("date", "formats", ("d/M/yyyy",)),
     measures=(MeasureSpec("new_hospitalization", ("new_hospit",)),), country="Norway")
-NORWAY_ICU = SourceSpec(
-    plausible=PLAUSIBLE, name="no_icu", date=DateSpec("date", "leading"),
+NORWAY_ICU = national_spec(
+    name="no_icu", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_icu", ("new_icu",)),), country="Norway")
 
-CANADA = SourceSpec(
-    plausible=PLAUSIBLE, name="ca", date=DateSpec("date", "leading"),
+CANADA = national_spec(
+    name="ca", date=DateSpec("date", "leading"),
     measures=(MeasureSpec("new_hospitalization", ("covid_newother",)), MeasureSpec("new_icu", ("covid_newicu",))),
     country="Canada")
 
-BULGARIA = SourceSpec(
-    plausible=PLAUSIBLE, name="bg", date=DateSpec(BG_FIELDS[0], "leading"),
+BULGARIA = national_spec(
+    name="bg", date=DateSpec(BG_FIELDS[0], "leading"),
     measures=(MeasureSpec("new_hospitalization", (BG_FIELDS[1],)),), country="Bulgaria")
 
 # ---------------------------------------------------------------------------
