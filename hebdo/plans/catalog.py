@@ -8,6 +8,7 @@ types are aligned (``CAST(... AS BIGINT)`` etc.) so results hash equal.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import tag_date_issues
 from hebdo.operators.rollup import add_week_start, frequency_label, rows_per_group, weekly_rollup
 from hebdo.plans import feeds
-from hebdo.plans.normalize import normalize_paged, normalize_pages, normalize_source
+from hebdo.plans.normalize import normalize_paged, normalize_pages, normalize_source, quarantined_rows
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
 from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema, promote_header_record
@@ -122,11 +123,11 @@ state_feed AS (
               ELSE CAST(l_linenumber AS VARCHAR) END AS previous_day_admission_pediatric_covid_confirmed
   FROM lineitem)"""
 
-def state_rows_sql(name: str = "state_rows", extra_where: str = "TRUE") -> str:
+def state_rows_sql(name: str = "state_rows", extra_where: str = "TRUE", extra_cols: str = "") -> str:
     """SQL twin of normalize.to_report_rows(STATE_SPEC) (before the daily sum)."""
     return f"""
 {name} AS (
-  SELECT 'United States of America' AS country_name,
+  SELECT 'United States of America' AS country_name, {extra_cols}
          {sql_leading_date('date')} AS report_date,
          TRY_CAST(trunc(TRY_CAST(COALESCE(previous_day_admission_adult_covid_confirmed, '0') AS DOUBLE)
                       + TRY_CAST(COALESCE(previous_day_admission_pediatric_covid_confirmed, '0') AS DOUBLE)) AS BIGINT)
@@ -927,3 +928,39 @@ def drop_latest_week_per_group(spark, d):
     weekly = weekly_rollup(feeds.orders_reports(spark, d), ["o_orderstatus", "country_name"], "report_date",
                            ["new_hospitalization"])
     return drop_latest_week(weekly, "epiweek", per=["o_orderstatus", "country_name"], materialize_input=True)
+
+
+# ---------------------------------------------------------------------------
+# A feed with a plausible date window (Q1 inside normalize_source)
+# ---------------------------------------------------------------------------
+
+STATE_SPEC_WINDOWED = dataclasses.replace(STATE_SPEC, name="state_windowed",
+                                          plausible=("1995-03-01", "2001-06-30"))
+
+STATE_WINDOW_ROWS = f"""
+{STATE_FEED},
+{state_rows_sql("all_rows", "TRUE", "date AS raw_date,")}"""
+
+
+@register("feed_plausible_window", f"""
+WITH {STATE_WINDOW_ROWS}
+SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization
+FROM all_rows
+WHERE report_date BETWEEN DATE '1995-03-01' AND DATE '2001-06-30' AND new_hospitalization <> 0
+GROUP BY ALL""")
+def feed_plausible_window(spark, d):
+    return normalize_source(feeds.state_feed(spark, d), STATE_SPEC_WINDOWED)
+
+
+@register("feed_quarantine", f"""
+WITH {STATE_WINDOW_ROWS}
+SELECT country_name, report_date, new_hospitalization, raw_date,
+       CASE WHEN report_date IS NULL AND raw_date IS NOT NULL THEN 'unparsed'
+            WHEN report_date IS NULL THEN 'missing'
+            WHEN report_date < DATE '1995-03-01' THEN 'before_min'
+            WHEN report_date > DATE '2001-06-30' THEN 'after_max' END AS date_issue,
+       'state_windowed' AS feed
+FROM all_rows
+WHERE report_date IS NULL OR report_date NOT BETWEEN DATE '1995-03-01' AND DATE '2001-06-30'""")
+def feed_quarantine(spark, d):
+    return quarantined_rows(feeds.state_feed(spark, d), STATE_SPEC_WINDOWED)
