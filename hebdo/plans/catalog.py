@@ -964,3 +964,49 @@ FROM all_rows
 WHERE report_date IS NULL OR report_date NOT BETWEEN DATE '1995-03-01' AND DATE '2001-06-30'""")
 def feed_quarantine(spark, d):
     return quarantined_rows(feeds.state_feed(spark, d), STATE_SPEC_WINDOWED)
+
+
+# ---------------------------------------------------------------------------
+# A sentinel-style feed through a spec: labels, integer membership, month-first
+# dates, a lower bound, row-level output (no daily sum), typed missing measure
+# ---------------------------------------------------------------------------
+
+SENTINEL_SPEC = SourceSpec(
+    name="sentinel", date=DateSpec("time", "formats", ("M/d/yyyy",)),
+    measures=(MeasureSpec("new_hospitalization", ("estimate",)),),
+    country="UNITED STATES OF AMERICA", labels=("time_period",),
+    equals=(("time_period", "week"), ("strata", "Overall")), include=(("season", (2324, 2425)),),
+    min_date="2024-01-05", aggregate_daily=False, missing_measures=("new_icu",),
+    constants=(("WHO_REGION", "AMRO"), ("ISO_3_CODE", "USA")))
+
+
+def sentinel_feed(spark: SparkSession, d: str) -> DataFrame:
+    e = feeds.table(spark, d, "events")
+    k = F.col("event_id")
+    return e.select(
+        F.when(k % 4 == 0, "2223").otherwise("2324").alias("season"),
+        F.concat(F.lit(" "), F.when(k % 3 == 0, "Month").otherwise("Week"), F.lit(" ")).alias("time_period"),
+        F.when(k % 10 == 0, "n/a").otherwise(F.floor(F.col("value") * 10).cast("string")).alias("estimate"),
+        F.when(F.col("user_id") % 5 == 0, "Age").otherwise("Overall").alias("strata"),
+        F.date_format("ts", "MM/dd/yyyy").alias("time"))
+
+
+@register("sentinel_feed_rows", """
+WITH s AS (
+  SELECT CASE WHEN event_id % 4 = 0 THEN '2223' ELSE '2324' END AS season,
+         ' ' || CASE WHEN event_id % 3 = 0 THEN 'Month' ELSE 'Week' END || ' ' AS time_period,
+         CASE WHEN event_id % 10 = 0 THEN 'n/a' ELSE CAST(CAST(floor(value * 10) AS BIGINT) AS VARCHAR) END AS estimate,
+         CASE WHEN user_id % 5 = 0 THEN 'Age' ELSE 'Overall' END AS strata,
+         strftime(ts, '%m/%d/%Y') AS time
+  FROM events),
+t AS (
+  SELECT 'UNITED STATES OF AMERICA' AS country_name, CAST(try_strptime(trim(time), '%m/%d/%Y') AS DATE) AS report_date,
+         TRY_CAST(trunc(TRY_CAST(estimate AS DOUBLE)) AS BIGINT) AS new_hospitalization
+  FROM s
+  WHERE lower(trim(time_period)) = 'week' AND strata = 'Overall'
+    AND TRY_CAST(trunc(TRY_CAST(season AS DOUBLE)) AS INTEGER) IN (2324, 2425))
+SELECT country_name, report_date, new_hospitalization, CAST(NULL AS BIGINT) AS new_icu,
+       'AMRO' AS WHO_REGION, 'USA' AS ISO_3_CODE
+FROM t WHERE report_date >= DATE '2024-01-05'""")
+def sentinel_feed_rows(spark, d):
+    return normalize_source(sentinel_feed(spark, d), SENTINEL_SPEC)
