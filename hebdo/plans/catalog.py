@@ -30,7 +30,8 @@ from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import tag_date_issues
 from hebdo.operators.rollup import add_week_start, frequency_label, rows_per_group, weekly_rollup
 from hebdo.plans import feeds
-from hebdo.plans.normalize import normalize_paged, normalize_pages, normalize_source, quarantined_rows
+from hebdo.plans.normalize import (normalize_measure_pair, normalize_paged, normalize_pages, normalize_source,
+                                   quarantined_rows)
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
 from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema, promote_header_record
@@ -1010,3 +1011,48 @@ SELECT country_name, report_date, new_hospitalization, CAST(NULL AS BIGINT) AS n
 FROM t WHERE report_date >= DATE '2024-01-05'""")
 def sentinel_feed_rows(spark, d):
     return normalize_source(sentinel_feed(spark, d), SENTINEL_SPEC)
+
+
+# ---------------------------------------------------------------------------
+# A feed published as two tables (admissions / ICU) through two specs
+# ---------------------------------------------------------------------------
+
+PAIR_ADMISSIONS = SourceSpec(
+    name="pair_admissions", date=DateSpec("date", "leading"),
+    measures=(MeasureSpec("new_hospitalization", ("admissions",)),), country_column="area")
+PAIR_ICU = SourceSpec(
+    name="pair_icu", date=DateSpec("date", "formats", ("d/M/yyyy",)),
+    measures=(MeasureSpec("new_icu", ("icu",)),), country_column="area")
+
+
+def pair_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    o = feeds.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    admissions = o.filter(F.col("o_orderstatus") != "O").select(
+        F.col("o_orderpriority").alias("area"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        feeds.null_when(k % 7 == 0, (k % 13).cast("string")).alias("admissions"))
+    icu = o.filter(F.col("o_orderstatus") == "O").select(
+        F.col("o_orderpriority").alias("area"), F.date_format("o_orderdate", "d/M/yyyy").alias("date"),
+        feeds.null_when(F.dayofmonth("o_orderdate") <= 7, (F.col("o_custkey") % 4).cast("string")).alias("icu"))
+    return admissions, icu
+
+
+@register("measure_pair_feed", """
+WITH l AS (
+  SELECT o_orderpriority AS country_name, CAST(o_orderdate AS DATE) AS report_date,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 13 END AS new_hospitalization
+  FROM orders WHERE o_orderstatus <> 'O'),
+r AS (
+  SELECT o_orderpriority AS country_name, CAST(o_orderdate AS DATE) AS report_date,
+         CASE WHEN day(o_orderdate) <= 7 THEN NULL ELSE o_custkey % 4 END AS new_icu
+  FROM orders WHERE o_orderstatus = 'O')
+SELECT COALESCE(l.country_name, r.country_name) AS country_name,
+       COALESCE(l.report_date, r.report_date) AS report_date,
+       CAST(COALESCE(SUM(l.new_hospitalization), 0) AS BIGINT) AS new_hospitalization,
+       CAST(COALESCE(SUM(r.new_icu), 0) AS BIGINT) AS new_icu
+FROM l FULL OUTER JOIN r
+  ON l.country_name IS NOT DISTINCT FROM r.country_name AND l.report_date IS NOT DISTINCT FROM r.report_date
+GROUP BY 1, 2""")
+def measure_pair_feed(spark, d):
+    admissions, icu = pair_tables(spark, d)
+    return normalize_measure_pair(admissions, PAIR_ADMISSIONS, icu, PAIR_ICU)
