@@ -164,9 +164,10 @@ class LandedFeeds:
     reference_places: str | None = None
 
 
-def page_names(rows: DataFrame, page_col: str = "page_file") -> list[str]:
-    """Names of the landed pages in file-name order (a listing, one per file)."""
-    return sorted(r[0] for r in rows.select(page_col).distinct().collect())
+def page_names(rows: DataFrame, page_col: str = "page_file", n: int = 2) -> list[str]:
+    """The first ``n`` landed pages in file-name order -- a top-n in Spark, so
+    only ``n`` names reach the driver however many pages were landed."""
+    return [r[0] for r in rows.select(page_col).distinct().orderBy(page_col).limit(n).collect()]
 
 
 def current_feeds(spark: SparkSession, landed: LandedFeeds) -> list[DataFrame]:
@@ -192,7 +193,7 @@ def archived_feeds(spark: SparkSession, landed: LandedFeeds, us_pages_mode: str
             feeds.append(normalize_pages([rows], US_STATES))
             feeds.append(normalize_pages([rows], US_TERRITORY_PAGES))
         else:
-            first, second = page_names(rows)[:2]
+            first, second = page_names(rows, n=2)
             feeds.append(normalize_paged(rows, US_STATES, "page_file", first, second))
             feeds.append(normalize_paged(rows, US_TERRITORY_PAGES, "page_file", first, second))
     if landed.denmark:
