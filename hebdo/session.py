@@ -60,16 +60,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder: the context's, else ``spark.checkpoint.dir``
+    from the session; only when neither is set (local runs, tests) a fresh
+    local folder.  ``spark.checkpoint.dir`` is a core setting that cannot be
+    changed on a running session, so the fallback goes to the context."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="hebdo-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+        sc.setCheckpointDir(configured)
+    else:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="hebdo-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
