@@ -261,3 +261,11 @@ def test_numeric_json_tokens_read_as_text(spark, tmp_path):
     assert sorted((r["date"], r["entries"]) for r in raw.collect()) == [("202001", "10"), ("202002", "12.0")]
     assert tidy(normalize_source(raw, NF.switzerland("iso"))) == [("Switzerland", "2019-12-30", 10, None),
                                                                  ("Switzerland", "2020-01-06", 12, None)]
+
+
+def test_normalize_with_quarantine_default_staging(spark, tmp_path):
+    from hebdo.plans.normalize import normalize_with_quarantine
+    p = write(tmp_path / "dk_bad3.csv", "Dato,Total\n2022-01-03,40\nnot a date,3\n")
+    valid, bad = normalize_with_quarantine(read_csv_text(spark, p), NF.DENMARK)
+    assert tidy(valid) == [("Denmark", "2022-01-03", 40, None)]
+    assert [r["date_issue"] for r in bad.collect()] == ["unparsed"]
