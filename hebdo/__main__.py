@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--shuffle-partitions", type=int, default=None,
                    help="upper bound of shuffle partitions; AQE coalesces small ones")
     p.add_argument("--partition-bytes", default=None, help="target task input size, e.g. 256m")
+    p.add_argument("--explain", action="store_true", help="print the formatted plan instead of writing")
     return p
 
 
@@ -61,6 +62,9 @@ def main(argv: list[str] | None = None) -> None:
             spark, landed, spec=layout, us_pages_mode=args.us_pages_mode,
             switzerland_weeks=args.switzerland_weeks, include_bulgaria=args.include_bulgaria,
             freq_mode=args.freq_mode, latest_week=args.latest_week)
+    if args.explain:
+        series.explain("formatted")
+        return
     publish(series, layout, csv_path=args.csv, parquet_path=args.parquet)
 
 

@@ -269,3 +269,10 @@ def test_normalize_with_quarantine_default_staging(spark, tmp_path):
     valid, bad = normalize_with_quarantine(read_csv_text(spark, p), NF.DENMARK)
     assert tidy(valid) == [("Denmark", "2022-01-03", 40, None)]
     assert [r["date_issue"] for r in bad.collect()] == ["unparsed"]
+
+
+def test_command_line_explain(spark, landed, capsys):
+    from hebdo.__main__ import main
+    main(["current", "--nz", landed.nz, "--cdc", landed.cdc, "--explain"])
+    out = capsys.readouterr().out
+    assert "Physical Plan" in out and "SortAggregate" in out
