@@ -11,7 +11,6 @@ from hebdo.plans import feeds
 from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema, promote_header_record
 
 from hebdo.plans.catalog.registry import register
-from hebdo.plans.catalog.dates import epoch_ms_to_date
 
 
 # ---------------------------------------------------------------------------

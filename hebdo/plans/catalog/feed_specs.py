@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from hebdo.operators.filters import drop_week, drop_zero
-from hebdo.operators.nulls import fill_missing
 from hebdo.plans import feeds
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
 
 
 # ---------------------------------------------------------------------------
-# Feed specs used by the queries (the test-table twins of plans/sources.py)
+# Feed specs used by the queries (test-table twins of plans/national_feeds.py)
 # ---------------------------------------------------------------------------
 
 STATE_SPEC = SourceSpec(

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from hebdo.plans import feeds
-
-from hebdo.plans.catalog.feed_specs import STATE_SPEC
-
-
 # ---------------------------------------------------------------------------
 # SQL forms of the stand-in feeds (see plans/feeds.py)
 # ---------------------------------------------------------------------------

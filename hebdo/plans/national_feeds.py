@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hebdo.plans.normalize import normalize_measure_pair, normalize_paged, normalize_pages, normalize_source
