@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.week_rule:
         layout = replace(layout, week_rule=args.week_rule)
     if args.flow == "current":
-        series = current_release_from_files(spark, landed)
+        series = current_release_from_files(spark, landed, layout)
     else:
         series = archived_release_from_files(
             spark, landed, spec=layout, us_pages_mode=args.us_pages_mode,

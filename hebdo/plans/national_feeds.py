@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from hebdo.plans.normalize import normalize_measure_pair, normalize_paged, normalize_pages, normalize_source
-from hebdo.plans.release import archived_weekly_series, current_weekly_series
-from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
+from hebdo.plans.release import OUTPUT_CURRENT, archived_weekly_series, current_weekly_series
+from hebdo.plans.specs import DateSpec, MeasureSpec, OutputSpec, SourceSpec
 from hebdo.sources.readers import (read_array_records, read_csv_text, read_geojson, read_json_records,
                                    read_landed_payloads)
 
@@ -216,9 +216,10 @@ def archived_feeds(spark: SparkSession, landed: LandedFeeds, us_pages_mode: str
     return feeds
 
 
-def current_release_from_files(spark: SparkSession, landed: LandedFeeds) -> DataFrame:
-    """The current published series (O1) from landed NZ + CDC files."""
-    return current_weekly_series(current_feeds(spark, landed))
+def current_release_from_files(spark: SparkSession, landed: LandedFeeds,
+                               spec: OutputSpec = OUTPUT_CURRENT) -> DataFrame:
+    """The current published series (O1 by default) from landed NZ + CDC files."""
+    return current_weekly_series(current_feeds(spark, landed), spec)
 
 
 def archived_release_from_files(spark: SparkSession, landed: LandedFeeds, **options) -> DataFrame:

@@ -143,9 +143,13 @@ def ordered(df: DataFrame, spec: OutputSpec) -> DataFrame:
 def publish(df: DataFrame, spec: OutputSpec, csv_path: str | None = None,
             parquet_path: str | None = None) -> None:
     """Single ordered CSV for the published series, and/or Parquet
-    partitioned by year for downstream readers."""
+    partitioned by year for downstream readers.  The layout's columns come
+    first, in its order, followed by any further columns of the series (the
+    reference columns the archived layout appends)."""
+    columns = [c for c in spec.columns if c in df.columns] + [c for c in df.columns if c not in spec.columns]
+    out = df.select(*columns)
     if csv_path:
-        write_single_csv(df.select(*spec.columns), csv_path, list(spec.order_by))
+        write_single_csv(out, csv_path, list(spec.order_by))
     if parquet_path:
-        year = "iso_year" if "iso_year" in spec.columns else None
-        write_parquet(df.select(*spec.columns), parquet_path, [year] if year else None)
+        year = "iso_year" if "iso_year" in columns else None
+        write_parquet(out, parquet_path, [year] if year else None)

@@ -276,3 +276,14 @@ def test_command_line_explain(spark, landed, capsys):
     main(["current", "--nz", landed.nz, "--cdc", landed.cdc, "--explain"])
     out = capsys.readouterr().out
     assert "Physical Plan" in out and "SortAggregate" in out
+
+
+def test_archived_csv_keeps_reference_columns(spark, landed, tmp_path):
+    from hebdo.__main__ import main
+    out = tmp_path / "arch_csv"
+    main(["archived", "--denmark", landed.denmark, "--reference-places", landed.reference_places,
+          "--latest-week", "keep", "--csv", str(out)])
+    text = next(p for p in out.iterdir() if p.name.endswith(".csv")).read_text().splitlines()
+    assert text[0] == ("country,iso_year,iso_week_number,epiweek,freq,freq_time,new_hospitalization,new_icu,"
+                       "WHO_REGION,ISO_3_CODE")
+    assert text[1] == "DENMARK,2022,1,2022-01-03,daily,2,81,,EURO,DNK"
