@@ -164,6 +164,9 @@ def join_nullsafe(df: DataFrame, other: DataFrame, on: list[str], how: str = "le
     """Equi-join on ``on`` where NULL matches NULL; ``other`` is broadcast only
     after ``bounded_row_count`` proves it small, otherwise a shuffle join
     (with AQE skew handling) is planned."""
+    clash = (set(df.columns) & set(other.columns)) - set(on)
+    if clash:
+        raise ValueError(f"non-key columns on both sides: {sorted(clash)}; project first (P9)")
     renamed = other.select(*[F.col(k).alias(f"__other_{k}") for k in on],
                            *[c for c in other.columns if c not in on])
     renamed = broadcast_if_small(renamed, max_broadcast_rows)

@@ -176,3 +176,11 @@ def test_join_facts_to_dimension_both_paths(spark):
         plan = j._jdf.queryExecution().sparkPlan().toString()
         assert ("BroadcastHashJoin" in plan) == (max_rows > 0)
     assert results[0] == results[1]
+
+
+def test_enrich_rejects_clashing_columns(spark):
+    import pytest
+    df = spark.createDataFrame([("CH", 1)], "country string, h int")
+    ref = spark.createDataFrame([("CH", 2)], "country string, h int")
+    with pytest.raises(ValueError):
+        enrich(df, ref, "country")
