@@ -14,6 +14,7 @@ Weeks: Spark's event-time windows are aligned to 1970-01-01 (a Thursday);
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,8 +85,18 @@ def start_weekly_rollup(spark: SparkSession, source_path: str, schema: T.StructT
                         keys: list[str], measures: list[str], checkpoint_location: str | None = None,
                         watermark: str = "14 days", available_now: bool = True, fmt: str = "parquet",
                         dedupe_by: str | None = None, tie_break: tuple[str, ...] = ()):
-    """Run the incremental rollup into a Parquet folder; returns the query handle."""
-    location = checkpoint_location or os.path.join(checkpoint_dir(spark), "weekly_rollup_stream")
+    """Run the incremental rollup into a Parquet folder; returns the query handle.
+
+    The default checkpoint location is stable across application restarts --
+    under the configured ``spark.checkpoint.dir`` (not the per-application
+    folder Spark creates inside it), keyed by the sink path -- so a restarted
+    job resumes from its last committed batch.
+    """
+    if checkpoint_location is None:
+        root = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+        key = hashlib.sha1(sink_path.encode("utf-8")).hexdigest()[:16]
+        checkpoint_location = os.path.join(root, "hebdo-streams", f"weekly-rollup-{key}")
+    location = checkpoint_location
     weekly = weekly_rollup_stream(report_stream(spark, source_path, schema, fmt), keys, measures,
                                   watermark=watermark, dedupe_by=dedupe_by, tie_break=tie_break)
     writer = (weekly.writeStream.format("parquet").outputMode("append")

@@ -52,3 +52,18 @@ def test_stream_daily_dedupe_then_weekly(spark, tmp_path):
     out = {(r["country_name"], r["epiweek"].isoformat()): (r["new_hospitalization"], r["reports"])
            for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert out == {("A", "2024-01-01"): (7, 2), ("B", "2024-01-01"): (None, 1)}
+
+
+def test_default_stream_checkpoint_is_stable(spark, tmp_path):
+    """Two runs on the same sink share the default checkpoint: the second
+    resumes and emits nothing new for already-committed weeks."""
+    src = tmp_path / "landed"
+    spark.createDataFrame([("A", d("2024-01-01"), 1), ("A", d("2024-02-20"), 2)], SCHEMA).write.parquet(str(src / "f1"))
+    sink = str(tmp_path / "out")
+    for _ in range(2):
+        q = start_weekly_rollup(spark, str(src) + "/*", SCHEMA, sink, ["country_name"], ["new_hospitalization"],
+                                watermark="7 days")
+        q.awaitTermination(120)
+    rows = spark.read.parquet(sink).collect()
+    assert [(r["country_name"], r["epiweek"].isoformat(), r["new_hospitalization"]) for r in rows] == [
+        ("A", "2024-01-01", 1)]
