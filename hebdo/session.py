@@ -64,7 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     from the session; only when neither is set (local runs, tests) a fresh
     local folder.  ``spark.checkpoint.dir`` is a core setting that cannot be
     changed on a running session, so the fallback goes to the context."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -49,3 +49,16 @@ def test_session_defaults_are_applied(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert SESSION_DEFAULTS["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+
+
+def test_checkpoint_dir_without_a_context():
+    class _NoContext(_Session):
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no JVM context (Spark Connect)")
+
+        @sparkContext.setter
+        def sparkContext(self, value):
+            pass
+
+    assert checkpoint_dir(_NoContext({"spark.checkpoint.dir": "s3://shared/ckpt"})) == "s3://shared/ckpt"
