@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     for f in fields(LandedFeeds):
         p.add_argument("--" + f.name.replace("_", "-"), dest=f.name, default=None)
     p.add_argument("--csv", help="folder for the single ordered CSV file")
+    p.add_argument("--csv-file", help="one named CSV file, e.g. out/historical_clean_data.csv")
     p.add_argument("--parquet", help="folder for Parquet partitioned by iso_year")
     p.add_argument("--layout", choices=sorted(LAYOUTS), help="output layout (default: the flow's own)")
     p.add_argument("--week-rule", choices=sorted(WEEK_RULES), help="year/week numbering (default: the layout's)")
@@ -65,7 +66,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.explain:
         series.explain("formatted")
         return
-    publish(series, layout, csv_path=args.csv, parquet_path=args.parquet)
+    publish(series, layout, csv_path=args.csv, parquet_path=args.parquet, csv_file=args.csv_file)
 
 
 if __name__ == "__main__":

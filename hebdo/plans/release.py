@@ -26,7 +26,7 @@ from hebdo.operators.filters import drop_latest_week
 from hebdo.operators.rollup import add_week_numbers, frequency_label, rows_per_group, weekly_rollup
 from hebdo.plans.specs import OutputSpec
 from hebdo.session import materialize
-from hebdo.sources.sinks import write_parquet, write_single_csv
+from hebdo.sources.sinks import write_csv_file, write_parquet, write_single_csv
 
 # The reference's country renaming before the reference join
 # (archived flow), in its order.
@@ -141,7 +141,7 @@ def ordered(df: DataFrame, spec: OutputSpec) -> DataFrame:
 
 
 def publish(df: DataFrame, spec: OutputSpec, csv_path: str | None = None,
-            parquet_path: str | None = None) -> None:
+            parquet_path: str | None = None, csv_file: str | None = None) -> None:
     """Single ordered CSV for the published series, and/or Parquet
     partitioned by year for downstream readers.  The layout's columns come
     first, in its order, followed by any further columns of the series (the
@@ -150,6 +150,8 @@ def publish(df: DataFrame, spec: OutputSpec, csv_path: str | None = None,
     out = df.select(*columns)
     if csv_path:
         write_single_csv(out, csv_path, list(spec.order_by))
+    if csv_file:
+        write_csv_file(out, csv_file, list(spec.order_by))
     if parquet_path:
         year = "iso_year" if "iso_year" in columns else None
         write_parquet(out, parquet_path, [year] if year else None)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -13,6 +15,28 @@ def write_single_csv(df: DataFrame, path: str, order_by: list[str]) -> None:
        .write.mode("overwrite").option("header", True).csv(path))
 
 
+def write_csv_file(df: DataFrame, file_path: str, order_by: list[str]) -> None:
+    """One named CSV file (``.../historical_clean_data.csv``) instead of a
+    folder: the single ordered part is written to a sibling staging folder
+    and renamed onto ``file_path`` with the Hadoop FileSystem of that path
+    (local, HDFS or object store alike)."""
+    spark = df.sparkSession
+    staging = f"{file_path}.staging-{uuid.uuid4().hex}"
+    write_single_csv(df, staging, order_by)
+    jvm = spark._jvm
+    path_cls = jvm.org.apache.hadoop.fs.Path
+    target, folder = path_cls(file_path), path_cls(staging)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise RuntimeError(f"expected one CSV part in {staging}, found {len(parts)}")
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(parts[0], target):
+        raise RuntimeError(f"could not move {parts[0]} to {file_path}")
+    fs.delete(folder, True)      # the staging folder this function created
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Parquet, partitioned (e.g. by ``iso_year``) so readers prune by year."""
     writer = df.write.mode("overwrite")

@@ -8,7 +8,7 @@ from conftest import d
 from hebdo.sources.readers import (explode_features, flatten_structs, geojson_schema, read_array_records,
                                    read_csv, read_csv_text, read_geojson, read_json_records,
                                    read_landed_payloads, read_pages)
-from hebdo.sources.sinks import write_parquet, write_single_csv
+from hebdo.sources.sinks import write_csv_file, write_parquet, write_single_csv
 
 
 def write(path, text, binary=False):
@@ -99,3 +99,16 @@ def test_single_csv_roundtrip(spark, tmp_path):
     write_parquet(df.withColumn("iso_year", df.epiweek.substr(1, 4)), str(tmp_path / "pq"), ["iso_year"])
     assert sorted(p.name for p in (tmp_path / "pq").iterdir() if p.name.startswith("iso_year")) == [
         "iso_year=2020", "iso_year=2024"]
+
+
+def test_named_csv_file(spark, tmp_path):
+    df = spark.createDataFrame([("NZ", d("2024-04-29"), 369, None), ("NZ", d("2020-01-20"), 1, 0)],
+                               "country string, epiweek date, new_hospitalization int, new_icu int")
+    target = tmp_path / "clean" / "historical_clean_data.csv"
+    write_csv_file(df, str(target), ["epiweek", "country"])
+    write_csv_file(df, str(target), ["epiweek", "country"])          # overwrite in place
+    assert target.is_file()
+    assert target.read_text() == ("country,epiweek,new_hospitalization,new_icu\n"
+                                  "NZ,2020-01-20,1,0\nNZ,2024-04-29,369,\n")
+    assert sorted(p.name for p in (tmp_path / "clean").iterdir() if not p.name.startswith(".")) == [
+        "historical_clean_data.csv"]
