@@ -287,3 +287,11 @@ def test_archived_csv_keeps_reference_columns(spark, landed, tmp_path):
     assert text[0] == ("country,iso_year,iso_week_number,epiweek,freq,freq_time,new_hospitalization,new_icu,"
                        "WHO_REGION,ISO_3_CODE")
     assert text[1] == "DENMARK,2022,1,2022-01-03,daily,2,81,,EURO,DNK"
+
+
+def test_command_line_named_csv(spark, landed, tmp_path):
+    from hebdo.__main__ import main
+    target = tmp_path / "data" / "clean" / "historical_clean_data.csv"
+    main(["current", "--nz", landed.nz, "--cdc", landed.cdc, "--csv-file", str(target)])
+    text = target.read_text().splitlines()
+    assert text[0].startswith("WHO_REGION,ISO_3_CODE,country,epiweek") and len(text) == 5
