@@ -160,7 +160,7 @@ def join_facts_to_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim
 
 
 def join_nullsafe(df: DataFrame, other: DataFrame, on: list[str], how: str = "left",
-                  max_broadcast_rows: int = 100_000) -> DataFrame:
+                  max_broadcast_rows: int = 100_000, broadcast: bool | None = None) -> DataFrame:
     """Equi-join on ``on`` where NULL matches NULL; ``other`` is broadcast only
     after ``bounded_row_count`` proves it small, otherwise a shuffle join
     (with AQE skew handling) is planned."""
@@ -169,7 +169,10 @@ def join_nullsafe(df: DataFrame, other: DataFrame, on: list[str], how: str = "le
         raise ValueError(f"non-key columns on both sides: {sorted(clash)}; project first (P9)")
     renamed = other.select(*[F.col(k).alias(f"__other_{k}") for k in on],
                            *[c for c in other.columns if c not in on])
-    renamed = broadcast_if_small(renamed, max_broadcast_rows)
+    if broadcast is None:
+        renamed = broadcast_if_small(renamed, max_broadcast_rows)
+    elif broadcast:
+        renamed = F.broadcast(renamed)
     cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__other_{k}")) for k in on])
     return df.join(renamed, cond, how).drop(*[f"__other_{k}" for k in on])
 
@@ -180,5 +183,8 @@ def enrich(df: DataFrame, reference: DataFrame, on: list[str] | str, how: str =
     rows are removed first; different rows for one key still fan out, as a
     left join does."""
     keys = [on] if isinstance(on, str) else list(on)
+    # the raw reference bounds its de-duplicated form: probe the cheap scan,
+    # not the distinct (which would need its shuffle just for the check)
+    small = bounded_row_count(reference, max_broadcast_rows) is not None
     ref = distinct_rows(reference) if dedupe_reference else reference
-    return join_nullsafe(df, ref, keys, how=how, max_broadcast_rows=max_broadcast_rows)
+    return join_nullsafe(df, ref, keys, how=how, broadcast=small)
