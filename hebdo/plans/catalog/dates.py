@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.functions import dates as D
@@ -28,7 +29,7 @@ SELECT week_code, year_part, week_part,
                 + 7 * (CAST(week_part AS INTEGER) - 1) + CAST(weekday_part AS INTEGER) - 1 AS INTEGER) AS report_date,
        CAST(count(*) AS BIGINT) AS n_orders
 FROM p WHERE CAST(week_part AS INTEGER) <> 53 GROUP BY ALL""")
-def week_code_parse_w(spark, d):
+def week_code_parse_w(spark: SparkSession, d: str) -> DataFrame:
     codes = feeds.order_week_codes(spark, d).withColumn("with_weekday", F.concat("week_code", F.lit("1")))
     parts = codes.withColumns({"year_part": F.substring("with_weekday", 1, 4),
                                "week_part": F.substring("with_weekday", 5, 2),
@@ -45,7 +46,7 @@ p AS (SELECT week_code, substr(week_code, 1, 4) AS year_part, substr(week_code,
              CAST(substr(week_code, 1, 4) AS INTEGER) AS y, CAST(substr(week_code, 5, 2) AS INTEGER) AS w FROM codes)
 SELECT week_code, year_part, week_part, {sql_iso_monday('y', 'w')} AS report_date, CAST(count(*) AS BIGINT) AS n_orders
 FROM p GROUP BY week_code, year_part, week_part, report_date""")
-def week_code_parse_iso(spark, d):
+def week_code_parse_iso(spark: SparkSession, d: str) -> DataFrame:
     codes = feeds.order_week_codes(spark, d)
     parts = codes.withColumns({"year_part": D.week_code_year("week_code"),
                                "week_part": D.week_code_week("week_code")})
@@ -58,7 +59,7 @@ def week_code_parse_iso(spark, d):
 # Date parsing and the plausibility split
 # ---------------------------------------------------------------------------
 
-def _parsed_dates(spark, d):
+def _parsed_dates(spark: SparkSession, d: str) -> DataFrame:
     raw = feeds.rendered_order_dates(spark, d)
     return raw.select("o_orderkey", "raw_date",
                       F.coalesce(D.parse_date_leading("raw_date"),
@@ -70,7 +71,7 @@ def _parsed_dates(spark, d):
 WITH {RENDERED_DATES}, {PARSED_DATES}
 SELECT o_orderkey, raw_date, report_date, report_date_dmy, CAST(report_date AS VARCHAR) AS report_date_text
 FROM parsed""")
-def date_parse_multiformat(spark, d):
+def date_parse_multiformat(spark: SparkSession, d: str) -> DataFrame:
     return _parsed_dates(spark, d).withColumn("report_date_text", to_text("report_date"))
 
 
@@ -82,7 +83,7 @@ SELECT o_orderkey, report_date,
             WHEN report_date < DATE '1996-01-01' THEN 'before_min'
             WHEN report_date > DATE '2000-12-31' THEN 'after_max' END AS date_issue
 FROM parsed""")
-def date_quarantine(spark, d):
+def date_quarantine(spark: SparkSession, d: str) -> DataFrame:
     tagged = tag_date_issues(_parsed_dates(spark, d), "report_date", raw_col="raw_date",
                              min_date="1996-01-01", max_date="2000-12-31")
     return tagged.select("o_orderkey", "report_date", "date_issue")
@@ -91,7 +92,7 @@ def date_quarantine(spark, d):
 @register("epoch_ms_to_date", """
 SELECT event_id, epoch_us(CAST(ts AS TIMESTAMP)) // 1000 AS epoch_ms, CAST(ts AS DATE) AS report_date
 FROM events""")
-def epoch_ms_to_date(spark, d):
+def epoch_ms_to_date(spark: SparkSession, d: str) -> DataFrame:
     e = feeds.table(spark, d, "events").select("event_id", D.wall_clock_epoch_ms("ts").alias("epoch_ms"))
     return e.withColumn("report_date", D.epoch_ms_to_date("epoch_ms"))
 

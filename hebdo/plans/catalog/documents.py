@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +27,7 @@ PAGE_SIZE = 200
 SELECT 'page-' || CAST(event_id // {PAGE_SIZE} AS VARCHAR) AS name, event_id, user_id,
        CAST(ts AS DATE) AS report_date, CAST(floor(value) AS BIGINT) AS new_hospitalization
 FROM events""")
-def geojson_inline(spark, d):
+def geojson_inline(spark: SparkSession, d: str) -> DataFrame:
     e = feeds.table(spark, d, "events")
     feature = F.struct(F.lit("Feature").alias("type"),
                        F.struct(D.wall_clock_epoch_ms("ts").alias("Date"),
@@ -51,7 +52,7 @@ SELECT event_id, user_id AS user_user_id, event_type AS user_event_type,
        CAST(json_extract(props, '$.k') AS BIGINT) AS props_k,
        'page-' || CAST(event_id // {PAGE_SIZE} AS VARCHAR) AS page
 FROM events""")
-def json_flatten(spark, d):
+def json_flatten(spark: SparkSession, d: str) -> DataFrame:
     e = feeds.table(spark, d, "events")
     record = F.struct(F.col("event_id"), F.struct("user_id", "event_type").alias("user"),
                       F.from_json("props", "k bigint").alias("props"))
@@ -71,7 +72,7 @@ def json_flatten(spark, d):
 @register("header_record_promotion", f"""
 SELECT CAST(event_id AS VARCHAR) AS "event_id", event_type AS "event_type", CAST(CAST(ts AS DATE) AS VARCHAR) AS "Дата"
 FROM events""")
-def header_record_promotion(spark, d):
+def header_record_promotion(spark: SparkSession, d: str) -> DataFrame:
     names = ["event_id", "event_type", "Дата"]
     e = feeds.table(spark, d, "events")
     record = F.array(F.col("event_id").cast("string"), F.col("event_type"), F.to_date("ts").cast("string"))

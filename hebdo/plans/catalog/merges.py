@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.operators.columns import project_for_join, typed_null
@@ -18,7 +19,7 @@ from hebdo.plans.catalog.sql import ORDERS_REPORTS, ORDER_PAGES, PLACES
 # Merging (J1 J2a J2b J3 U1 U2 J4 P5 P9)
 # ---------------------------------------------------------------------------
 
-def _status_sides(spark, d):
+def _status_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     r = feeds.orders_reports(spark, d)
     country = feeds.null_when(F.col("o_orderkey") % 17 == 0, F.col("country_name"))
     left = r.filter(F.col("o_orderstatus") == "F").select(country.alias("country_name"), "report_date",
@@ -40,7 +41,7 @@ SELECT COALESCE(l.country_name, rr.country_name) AS country_name,
 FROM l FULL OUTER JOIN rr
   ON l.country_name IS NOT DISTINCT FROM rr.country_name AND l.report_date IS NOT DISTINCT FROM rr.report_date
 GROUP BY 1, 2""")
-def two_measure_outer_merge(spark, d):
+def two_measure_outer_merge(spark: SparkSession, d: str) -> DataFrame:
     left, right = _status_sides(spark, d)
     return outer_merge_measures(left, right, ["country_name", "report_date"], null_policy="zero")
 
@@ -52,7 +53,7 @@ SELECT COALESCE(page1.report_date, page2.report_date) AS report_date, COALESCE(p
 FROM page1 FULL OUTER JOIN page2
   ON page1.report_date IS NOT DISTINCT FROM page2.report_date AND page1.value IS NOT DISTINCT FROM page2.value
 GROUP BY 1, 2""")
-def full_join_on_values_query(spark, d):
+def full_join_on_values_query(spark: SparkSession, d: str) -> DataFrame:
     p1, p2 = feeds.order_pages(spark, d)
     keys = ["report_date", "value"]
     # o_custkey / o_orderkey are non-key columns on both pages; projecting
@@ -64,7 +65,7 @@ def full_join_on_values_query(spark, d):
 WITH {ORDER_PAGES}
 SELECT report_date, CAST(COALESCE(SUM(value), 0) AS BIGINT) AS new_hospitalization, CAST(count(*) AS BIGINT) AS n_rows
 FROM (SELECT * FROM page1 UNION ALL SELECT * FROM page2) GROUP BY report_date""")
-def union_pages(spark, d):
+def union_pages(spark: SparkSession, d: str) -> DataFrame:
     p1, p2 = feeds.order_pages(spark, d)
     u = union_by_name(p1, p2)
     return u.groupBy("report_date").agg(F.coalesce(F.sum("value"), F.lit(0)).alias("new_hospitalization"),
@@ -79,7 +80,7 @@ SELECT country_name, report_date, new_hospitalization, CAST(NULL AS BIGINT) FROM
 UNION ALL
 SELECT 'LINE-' || l_returnflag, CAST(l_shipdate AS DATE), CAST(trunc(l_quantity) AS BIGINT), CAST(NULL AS BIGINT)
 FROM lineitem""")
-def union_sources(spark, d):
+def union_sources(spark: SparkSession, d: str) -> DataFrame:
     r = feeds.orders_reports(spark, d)
     a = r.filter(F.col("o_orderstatus") == "F").select("country_name", "report_date", "new_hospitalization", "new_icu")
     b = r.filter(F.col("o_orderstatus") == "O").select("country_name", "report_date", "new_hospitalization")
@@ -93,7 +94,7 @@ def union_sources(spark, d):
 
 @register("distinct_reference", """
 SELECT DISTINCT c_nationkey, c_mktsegment FROM customer""")
-def distinct_reference(spark, d):
+def distinct_reference(spark: SparkSession, d: str) -> DataFrame:
     return distinct_rows(feeds.table(spark, d, "customer").select("c_nationkey", "c_mktsegment"))
 
 
@@ -107,7 +108,7 @@ weekly AS (
 ref AS (SELECT DISTINCT ADM0_NAME AS country, WHO_REGION, ISO_3_CODE FROM places)
 SELECT w.country, w.epiweek, w.new_hospitalization, ref.WHO_REGION, ref.ISO_3_CODE
 FROM weekly w LEFT JOIN ref ON w.country IS NOT DISTINCT FROM ref.country""")
-def enrich_reference(spark, d):
+def enrich_reference(spark: SparkSession, d: str) -> DataFrame:
     r = add_week_start(feeds.orders_reports(spark, d), "report_date").select("o_custkey", "epiweek",
                                                                               "new_hospitalization")
     cn = join_facts_to_dimension(r, feeds.customer_nations(spark, d, "country"), "o_custkey", "c_custkey",

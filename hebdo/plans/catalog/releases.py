@@ -72,7 +72,7 @@ def current_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
 
 
 @register("current_release", CURRENT_SQL)
-def current_release(spark, d):
+def current_release(spark: SparkSession, d: str) -> DataFrame:
     return current_weekly_series(current_release_sources(spark, d), row_id_col="row_id")
 
 
@@ -179,13 +179,13 @@ def archived_release_sources(spark: SparkSession, d: str) -> list[DataFrame]:
 
 
 @register("archived_release", archived_sql())
-def archived_release(spark, d):
+def archived_release(spark: SparkSession, d: str) -> DataFrame:
     return archived_weekly_series(archived_release_sources(spark, d), reference=feeds.places(spark, d),
                                   reference_key="ADM0_NAME", freq_mode="reports", latest_week="global")
 
 
 @register("us_only_release", archived_sql(("s2",)))
-def us_only_release(spark, d):
+def us_only_release(spark: SparkSession, d: str) -> DataFrame:
     """The archived finalisation over the paged state feed alone."""
     s2 = normalize_pages([feeds.state_feed(spark, d)], STATE_SPEC, mode="union")
     return archived_weekly_series([s2], reference=feeds.places(spark, d), reference_key="ADM0_NAME")

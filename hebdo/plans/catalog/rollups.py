@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.functions import dates as D
@@ -27,7 +28,7 @@ SELECT 'orders' AS source, country_name, CAST(date_trunc('week', report_date) AS
        CAST(COALESCE(SUM(COALESCE(new_hospitalization, 0)), 0) AS BIGINT) AS new_hospitalization,
        CAST(COALESCE(SUM(new_icu), 0) AS BIGINT) AS new_icu
 FROM orders_reports GROUP BY ALL""")
-def weekly_sum_zero_fill(spark, d):
+def weekly_sum_zero_fill(spark: SparkSession, d: str) -> DataFrame:
     r = select_renamed(feeds.orders_reports(spark, d),
                        {"country_name": "country_name", "report_date": "report_date",
                         "new_hospitalization": "new_hospitalization", "new_icu": "new_icu"})
@@ -44,7 +45,7 @@ SELECT country_name, CAST(date_trunc('week', report_date) AS DATE) AS epiweek,
        CAST(count(*) AS BIGINT) AS reports,
        CASE WHEN count(*) = 1 THEN 'weekly' ELSE 'daily' END AS freq
 FROM orders_reports GROUP BY ALL""")
-def weekly_sum_null_preserving(spark, d):
+def weekly_sum_null_preserving(spark: SparkSession, d: str) -> DataFrame:
     w = weekly_rollup(feeds.orders_reports(spark, d), ["country_name"], "report_date",
                       ["new_hospitalization", "new_icu"], null_policy="keep", reports_col="reports")
     return w.withColumn("freq", frequency_label("reports"))
@@ -59,7 +60,7 @@ SELECT report_date, epiweek,
        CAST(isoyear(epiweek) AS INTEGER) AS iso_year,
        CAST((dayofyear(epiweek) - 1) // 7 + 1 AS INTEGER) AS day_count_week
 FROM w""")
-def week_numbers_all_rules(spark, d):
+def week_numbers_all_rules(spark: SparkSession, d: str) -> DataFrame:
     dates = feeds.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("report_date")).distinct()
     e = F.col("epiweek")
     return dates.withColumn("epiweek", D.week_start("report_date")).select(
@@ -77,7 +78,7 @@ WITH o AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS report_dat
                   CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 10 END AS value FROM orders),
 r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY value DESC NULLS LAST, o_orderkey) AS rn FROM o)
 SELECT o_custkey, o_orderkey, report_date, value FROM r WHERE rn = 1""")
-def top1_per_group_query(spark, d):
+def top1_per_group_query(spark: SparkSession, d: str) -> DataFrame:
     o = feeds.table(spark, d, "orders")
     k = F.col("o_orderkey")
     rows = o.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("report_date"),
@@ -93,7 +94,7 @@ events_weekly AS (
   FROM events GROUP BY ALL)"""
 
 
-def _events_weekly(spark, d):
+def _events_weekly(spark: SparkSession, d: str) -> DataFrame:
     e = feeds.table(spark, d, "events").select(
         "event_type", F.to_date("ts").alias("report_date"),
         F.floor("value").cast("bigint").alias("new_hospitalization"))
@@ -103,7 +104,7 @@ def _events_weekly(spark, d):
 @register("group_size_label", f"""
 WITH {EVENTS_WEEKLY}
 SELECT event_type, epiweek, new_hospitalization, CAST(1 AS BIGINT) AS freq_time, 'weekly' AS freq FROM events_weekly""")
-def group_size_label(spark, d):
+def group_size_label(spark: SparkSession, d: str) -> DataFrame:
     w = _events_weekly(spark, d).drop("reports")
     w = rows_per_group(w, ["event_type", "epiweek"], "freq_time")
     return w.withColumn("freq", frequency_label("freq_time"))
@@ -113,7 +114,7 @@ def group_size_label(spark, d):
 WITH {EVENTS_WEEKLY}
 SELECT event_type, epiweek, new_hospitalization, reports FROM events_weekly
 WHERE epiweek < (SELECT max(epiweek) FROM events_weekly)""")
-def drop_latest_week_query(spark, d):
+def drop_latest_week_query(spark: SparkSession, d: str) -> DataFrame:
     return drop_latest_week(_events_weekly(spark, d), "epiweek", materialize_input=True)
 
 
@@ -125,7 +126,7 @@ def drop_latest_week_query(spark, d):
 SELECT CAST(date_trunc('week', ts) AS DATE) AS epiweek, event_type,
        CAST(SUM(CAST(floor(value) AS BIGINT)) AS BIGINT) AS new_hospitalization, CAST(count(*) AS BIGINT) AS reports
 FROM events GROUP BY ALL""")
-def weekly_window_rollup(spark, d):
+def weekly_window_rollup(spark: SparkSession, d: str) -> DataFrame:
     e = feeds.table(spark, d, "events").select("ts", "event_type",
                                                F.floor("value").cast("bigint").alias("new_hospitalization"))
     return weekly_window_aggregate(e, "ts", ["event_type"], ["new_hospitalization"])
@@ -148,7 +149,7 @@ ranked AS (
 SELECT event_type, epiweek, max(occupied) AS peak_occupied,
        max(CASE WHEN rn = 1 THEN occupied END) AS last_occupied
 FROM ranked GROUP BY ALL""")
-def weekly_stock_measures(spark, d):
+def weekly_stock_measures(spark: SparkSession, d: str) -> DataFrame:
     e = feeds.table(spark, d, "events").select(
         "event_type", F.to_date("ts").alias("report_date"),
         feeds.null_when(F.col("event_id") % 9 == 0, F.floor("value").cast("bigint")).alias("occupied"))
@@ -165,7 +166,7 @@ weekly AS (
 SELECT o_orderstatus, country_name, epiweek, new_hospitalization FROM (
   SELECT *, max(epiweek) OVER (PARTITION BY o_orderstatus, country_name) AS latest FROM weekly)
 WHERE epiweek < latest""")
-def drop_latest_week_per_group(spark, d):
+def drop_latest_week_per_group(spark: SparkSession, d: str) -> DataFrame:
     """F9 per group: each (status, priority) series loses its own last week."""
     weekly = weekly_rollup(feeds.orders_reports(spark, d), ["o_orderstatus", "country_name"], "report_date",
                            ["new_hospitalization"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.functions.casts import to_int_truncating
@@ -22,7 +23,7 @@ from hebdo.plans.catalog.dates import _parsed_dates
 @register("slice_exclusion", """
 WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS segment FROM customer)
 SELECT c_custkey, segment FROM c WHERE segment NOT IN ('AUTOMOBILE', 'MACHINERY')""")
-def slice_exclusion(spark, d):
+def slice_exclusion(spark: SparkSession, d: str) -> DataFrame:
     c = feeds.table(spark, d, "customer")
     r = c.select("c_custkey", feeds.null_when(F.col("c_custkey") % 9 == 0, F.col("c_mktsegment")).alias("segment"))
     return exclude_values(r, "segment", ["AUTOMOBILE", "MACHINERY"])
@@ -31,7 +32,7 @@ def slice_exclusion(spark, d):
 @register("slice_inclusion", """
 SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
 WHERE (o_orderstatus = 'F' OR o_orderstatus = 'P') AND o_orderpriority = '1-URGENT'""")
-def slice_inclusion(spark, d):
+def slice_inclusion(spark: SparkSession, d: str) -> DataFrame:
     o = feeds.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return keep_equal(keep_values(o, "o_orderstatus", ["F", "P"]), "o_orderpriority", "1-URGENT")
 
@@ -46,7 +47,7 @@ WITH s AS (
 SELECT o_orderkey, season, report_date FROM s
 WHERE lower(trim(time_period)) = 'week' AND TRY_CAST(trunc(TRY_CAST(season AS DOUBLE)) AS INTEGER) IN (9697, 9798)
   AND strata = 'Overall'""")
-def slice_membership(spark, d):
+def slice_membership(spark: SparkSession, d: str) -> DataFrame:
     o = feeds.table(spark, d, "orders")
     y = F.year("o_orderdate")
     season = F.lpad(((y % 100) * 100 + (y + 1) % 100).cast("string"), 4, "0")
@@ -64,7 +65,7 @@ WITH {RENDERED_DATES}, {PARSED_DATES}
 SELECT p.o_orderkey, p.report_date, o_orderkey % 13 AS new_hospitalization
 FROM parsed p
 WHERE p.report_date IS NOT NULL AND p.report_date >= DATE '1999-05-04' AND o_orderkey % 13 <> 0""")
-def date_lower_bound(spark, d):
+def date_lower_bound(spark: SparkSession, d: str) -> DataFrame:
     p = _parsed_dates(spark, d).select("o_orderkey", "report_date",
                                         (F.col("o_orderkey") % 13).alias("new_hospitalization"))
     return drop_zero(keep_on_or_after(p, "report_date", "1999-05-04"), "new_hospitalization")

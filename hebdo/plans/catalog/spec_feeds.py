@@ -25,7 +25,7 @@ from hebdo.plans.catalog.feed_specs import STATE_SPEC
 WITH {STATE_FEED}, {STATE_ROWS}
 SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization
 FROM state_rows WHERE new_hospitalization <> 0 GROUP BY ALL""")
-def adult_plus_child(spark, d):
+def adult_plus_child(spark: SparkSession, d: str) -> DataFrame:
     return normalize_source(feeds.state_feed(spark, d), STATE_SPEC)
 
 
@@ -38,7 +38,7 @@ j AS (SELECT COALESCE(a.country_name, b.country_name) AS country_name, COALESCE(
         AND a.report_date IS NOT DISTINCT FROM b.report_date AND a.new_hospitalization IS NOT DISTINCT FROM b.new_hospitalization)
 SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization
 FROM j GROUP BY ALL""")
-def state_pages_full_join(spark, d):
+def state_pages_full_join(spark: SparkSession, d: str) -> DataFrame:
     # both pages come from one scan; the page is told apart by line-number parity
     state = feeds.state_feed(spark, d).withColumn("page", F.col("l_linenumber") % 2)
     return normalize_paged(state, STATE_SPEC, "page", 1, 0)
@@ -49,7 +49,7 @@ SELECT o_orderkey AS order_key, o_custkey AS cust_key, o_totalprice AS total_pri
        o_orderpriority AS order_priority, o_orderstatus AS number_status,
        o_orderdate AS admissions_for_covid_19_in_the_week_ending, o_orderkey AS order_key_2
 FROM orders""")
-def clean_names_query(spark, d):
+def clean_names_query(spark: SparkSession, d: str) -> DataFrame:
     o = feeds.table(spark, d, "orders")
     awkward = o.select(F.col("o_orderkey").alias("Order Key"), F.col("o_custkey").alias("custKey"),
                        F.col("o_totalprice").alias("Total Price (%)"), F.col("o_orderpriority").alias("Order-Priority"),
@@ -77,7 +77,7 @@ SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS
 FROM all_rows
 WHERE report_date BETWEEN DATE '1995-03-01' AND DATE '2001-06-30' AND new_hospitalization <> 0
 GROUP BY ALL""")
-def feed_plausible_window(spark, d):
+def feed_plausible_window(spark: SparkSession, d: str) -> DataFrame:
     return normalize_source(feeds.state_feed(spark, d), STATE_SPEC_WINDOWED)
 
 
@@ -91,7 +91,7 @@ SELECT country_name, report_date, new_hospitalization, raw_date,
        'state_windowed' AS feed
 FROM all_rows
 WHERE report_date IS NULL OR report_date NOT BETWEEN DATE '1995-03-01' AND DATE '2001-06-30'""")
-def feed_quarantine(spark, d):
+def feed_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return quarantined_rows(feeds.state_feed(spark, d), STATE_SPEC_WINDOWED)
 
 
@@ -137,7 +137,7 @@ t AS (
 SELECT country_name, report_date, new_hospitalization, CAST(NULL AS BIGINT) AS new_icu,
        'AMRO' AS WHO_REGION, 'USA' AS ISO_3_CODE
 FROM t WHERE report_date >= DATE '2024-01-05'""")
-def sentinel_feed_rows(spark, d):
+def sentinel_feed_rows(spark: SparkSession, d: str) -> DataFrame:
     return normalize_source(sentinel_feed(spark, d), SENTINEL_SPEC)
 
 
@@ -181,6 +181,6 @@ SELECT COALESCE(l.country_name, r.country_name) AS country_name,
 FROM l FULL OUTER JOIN r
   ON l.country_name IS NOT DISTINCT FROM r.country_name AND l.report_date IS NOT DISTINCT FROM r.report_date
 GROUP BY 1, 2""")
-def measure_pair_feed(spark, d):
+def measure_pair_feed(spark: SparkSession, d: str) -> DataFrame:
     admissions, icu = pair_tables(spark, d)
     return normalize_measure_pair(admissions, PAIR_ADMISSIONS, icu, PAIR_ICU)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.functions.casts import to_double, to_int_truncating
@@ -24,7 +25,7 @@ WITH raw AS (
 SELECT c_custkey, raw_label, lower(trim(raw_label, ' ' || chr(9) || chr(10) || chr(13))) AS label,
        lower(trim(raw_label, ' ' || chr(9) || chr(10) || chr(13))) = 'building' AS is_building
 FROM raw""")
-def text_cleanup(spark, d):
+def text_cleanup(spark: SparkSession, d: str) -> DataFrame:
     c = feeds.table(spark, d, "customer")
     seg = F.col("c_mktsegment")
     cased = (F.when(F.col("c_custkey") % 3 == 0, F.upper(seg))
@@ -47,7 +48,7 @@ WITH raw AS (
 SELECT o_orderkey, raw_value, TRY_CAST(raw_value AS DOUBLE) AS as_double,
        TRY_CAST(trunc(TRY_CAST(raw_value AS DOUBLE)) AS INTEGER) AS as_int
 FROM raw""")
-def safe_casts(spark, d):
+def safe_casts(spark: SparkSession, d: str) -> DataFrame:
     o = feeds.table(spark, d, "orders")
     k = F.col("o_orderkey")
     raw = (F.when(k % 5 == 0, F.concat((k % 1000).cast("string"), F.lit("."), (F.col("o_custkey") % 10).cast("string")))
@@ -65,7 +66,7 @@ WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktse
 SELECT c_custkey, segment,
        CASE segment WHEN 'AUTOMOBILE' THEN 'AUTO' WHEN 'MACHINERY' THEN 'MACH' ELSE segment END AS segment_code
 FROM c""")
-def recode_passthrough(spark, d):
+def recode_passthrough(spark: SparkSession, d: str) -> DataFrame:
     c = feeds.table(spark, d, "customer")
     seg = feeds.null_when(F.col("c_custkey") % 11 == 0, F.col("c_mktsegment"))
     r = c.select("c_custkey", seg.alias("segment"))
