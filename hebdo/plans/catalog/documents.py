@@ -10,7 +10,6 @@ from hebdo.functions import dates as D
 from hebdo.functions.text import bytes_to_text
 from hebdo.plans import feeds
 from hebdo.sources.readers import explode_features, flatten_structs, geojson_schema, promote_header_record
-
 from hebdo.plans.catalog.registry import register
 
 

@@ -10,7 +10,6 @@ from hebdo.operators.combine import (distinct_rows, enrich, full_join_on_values,
                                      outer_merge_measures, union_by_name)
 from hebdo.operators.rollup import add_week_start
 from hebdo.plans import feeds
-
 from hebdo.plans.catalog.registry import register
 from hebdo.plans.catalog.sql import ORDERS_REPORTS, ORDER_PAGES, PLACES
 

@@ -13,7 +13,6 @@ from hebdo.operators.filters import keep_equal, keep_on_or_after
 from hebdo.plans import feeds
 from hebdo.plans.normalize import normalize_pages, normalize_source
 from hebdo.plans.release import archived_weekly_series, current_weekly_series
-
 from hebdo.plans.catalog.registry import register
 from hebdo.plans.catalog.sql import ORDERS_REPORTS, PLACES, STATE_FEED, STATE_ROWS, WEEKLY_CODE_FEED, sql_iso_monday
 from hebdo.plans.catalog.feed_specs import STATE_SPEC, WEEK_CODE_SPEC

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.functions import dates as D
 from hebdo.operators.columns import select_renamed, with_constants
 from hebdo.operators.dedupe import top1_per_group
 from hebdo.operators.filters import drop_latest_week
@@ -13,7 +12,6 @@ from hebdo.operators.nulls import fill_missing
 from hebdo.operators.rollup import frequency_label, rows_per_group, weekly_rollup
 from hebdo.plans import feeds
 from hebdo.streaming.weekly_stream import weekly_window_aggregate
-
 from hebdo.plans.catalog.registry import register
 from hebdo.plans.catalog.sql import ORDERS_REPORTS
 
@@ -51,24 +49,6 @@ def weekly_sum_null_preserving(spark: SparkSession, d: str) -> DataFrame:
     return w.withColumn("freq", frequency_label("reports"))
 
 
-@register("week_numbers_all_rules", """
-WITH dates AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders),
-w AS (SELECT report_date, CAST(date_trunc('week', report_date) AS DATE) AS epiweek FROM dates)
-SELECT report_date, epiweek,
-       CAST(year(epiweek) AS INTEGER) AS calendar_year,
-       CAST(weekofyear(epiweek) AS INTEGER) AS iso_week,
-       CAST(isoyear(epiweek) AS INTEGER) AS iso_year,
-       CAST((dayofyear(epiweek) - 1) // 7 + 1 AS INTEGER) AS day_count_week
-FROM w""")
-def week_numbers_all_rules(spark: SparkSession, d: str) -> DataFrame:
-    dates = feeds.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("report_date")).distinct()
-    e = F.col("epiweek")
-    return dates.withColumn("epiweek", D.week_start("report_date")).select(
-        "report_date", "epiweek",
-        D.calendar_year(e).alias("calendar_year"), D.iso_week(e).alias("iso_week"),
-        D.iso_year(e).cast("int").alias("iso_year"), D.day_count_week(e).alias("day_count_week"))
-
-
 # ---------------------------------------------------------------------------
 # Top-1, group size, latest week
 # ---------------------------------------------------------------------------

@@ -10,7 +10,6 @@ from hebdo.functions.text import normalize_label
 from hebdo.operators.filters import (drop_zero, exclude_values, keep_all, keep_equal, keep_on_or_after,
                                      keep_values)
 from hebdo.plans import feeds
-
 from hebdo.plans.catalog.registry import register
 from hebdo.plans.catalog.sql import PARSED_DATES, RENDERED_DATES
 from hebdo.plans.catalog.dates import _parsed_dates

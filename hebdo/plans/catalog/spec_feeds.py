@@ -11,7 +11,6 @@ from hebdo.operators.columns import clean_column_names
 from hebdo.plans import feeds
 from hebdo.plans.normalize import normalize_measure_pair, normalize_paged, normalize_source, quarantined_rows
 from hebdo.plans.specs import DateSpec, MeasureSpec, SourceSpec
-
 from hebdo.plans.catalog.registry import register
 from hebdo.plans.catalog.sql import STATE_FEED, STATE_ROWS, state_rows_sql
 from hebdo.plans.catalog.feed_specs import STATE_SPEC

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from hebdo.functions.casts import to_double, to_int_truncating
 from hebdo.functions.text import normalize_label, recode
 from hebdo.plans import feeds
-
 from hebdo.plans.catalog.registry import register
 
 
