@@ -62,3 +62,9 @@ def test_checkpoint_dir_without_a_context():
             pass
 
     assert checkpoint_dir(_NoContext({"spark.checkpoint.dir": "s3://shared/ckpt"})) == "s3://shared/ckpt"
+
+
+def test_package_exports_resolve():
+    import hebdo
+    missing = [name for name in hebdo.__all__ if not hasattr(hebdo, name)]
+    assert not missing
