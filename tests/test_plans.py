@@ -35,3 +35,16 @@ def test_top1_and_merges_combine_map_side(spark):
     for name in ("top1_per_group", "two_measure_outer_merge", "full_join_on_values"):
         plan = physical(E.queries()[name](spark, SF))
         assert "partial_" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+WIDE = {"lineitem": 11, "orders": 6, "events": 6}
+READS_EVERY_COLUMN = {("clean_names", "orders")}     # renames every column by design
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_scans_read_only_needed_columns(spark, name):
+    """Column pruning reaches the Parquet scans of the wide tables."""
+    plan = physical(E.queries()[name](spark, SF))
+    for cols, table in re.findall(r"FileScan parquet \[([^\]]*)\].*?/(\w+)\.parquet", plan):
+        if table in WIDE and (name, table) not in READS_EVERY_COLUMN:
+            assert len(cols.split(",")) < WIDE[table], f"{name} reads every column of {table}"
