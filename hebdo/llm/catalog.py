@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hebdo.llm import decontaminate as wu_manber
+from hebdo.llm import decontaminate as wu_manber, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -30,3 +31,17 @@ def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = wu_manber.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return wu_manber.hit_digest(hits, ["doc_id"]).drop("hit_spans", "items")
+
+
+def fold(doc_id: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``: the rows that labels are held out by."""
+    return F.expr(f"pmod(crc32(cast(cast(`{doc_id}` as string) as binary)), {parts})")
+
+
+@query("op1_quality_bradley_terry")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), fold("id", 5) != 0)
+    scored = quality.with_scores(docs, model, ["doc_id"])
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("quality_score").alias("score"),
+                         (F.col("quality_score") >= quality.CUT).cast("int").alias("predicted"))
