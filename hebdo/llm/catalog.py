@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import decontaminate as wu_manber, quality
+from hebdo.llm import decontaminate as wu_manber, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -45,3 +45,12 @@ def op1(spark, sf_dir):
     scored = quality.with_scores(docs, model, ["doc_id"])
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("quality_score").alias("score"),
                          (F.col("quality_score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+@query("op8_toxicity_subword_bags")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold("id", 4) != 2)
+    scored = toxicity.with_scores(docs, model, ["doc_id"])
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), F.col("toxic_score").alias("score"),
+                         (F.col("toxic_score") >= toxicity.CUT).cast("int").alias("predicted"))

@@ -1,9 +1,11 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
-A bag is a run of at most ``SEGMENT`` words of one text.  Its features are the
-byte n-grams (lengths ``GRAMS``, with word-boundary marks) of its lower-cased
-words, hashed to buckets; the bag's vector is the average of their embeddings
-and a linear softmax over two classes reads it.  Embeddings and softmax are
+A bag is a run of at most ``SEGMENT`` words of one text, each distinct word
+once.  Its features are the byte n-grams (lengths ``GRAMS``, with
+word-boundary marks) of its lower-cased words, hashed to buckets; the bag's
+vector is the average of their embeddings (a bag with fewer than ``LEAST``
+features is filled up with the zero vector) and a linear softmax over two
+classes reads it.  Embeddings and softmax are
 trained together in numpy by mini-batch Adagrad, so a misspelling that was
 never seen still shares most of its n-gram vectors with its model word.  A
 text scores as its most toxic bag, so a few words count as much in a long
@@ -36,12 +38,13 @@ from pyspark.sql import functions as F
 from hebdo.llm.bytescan import ALNUM_WORDS, LOWER, Words, mix, text_blocks
 
 SAMPLE_ROWS = 3_000             # of each class
-SAMPLE_BYTES = 12 << 20         # of each class
+SAMPLE_BYTES = 9 << 20          # of each class
 SEGMENT = 16
 GRAMS = (3, 4, 5)
+LEAST = 120
 BITS = 17
 DIM = 8
-EPOCHS = 2
+BAGS_SEEN = 120_000             # bags that each round trains on, in 2 to 24 epochs
 ROUNDS = 3
 CUT = 0.3
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -73,7 +76,14 @@ class Grams:
         bags = -(-counts // SEGMENT)
         bounds = np.concatenate(([0], np.cumsum(bags)))
         nth = np.arange(len(self.words)) - np.repeat(self.words.bounds[:-1], counts)
-        return np.repeat(bounds[:-1], counts) + nth // SEGMENT, bounds
+        bag = np.repeat(bounds[:-1], counts) + nth // SEGMENT
+        bits = np.uint64(max(1, int(bounds[-1]).bit_length()))
+        key = (bag.astype(np.uint64) << (np.uint64(64) - bits)) | (self.words.hashes() >> bits)
+        order = np.argsort(key, kind="stable")
+        again = np.zeros(len(key), dtype=bool)
+        again[order[1:]] = key[order[1:]] == key[order[:-1]]
+        self.size = np.where(again, 0, self.size)               # a repeated word of a bag has no grams
+        return bag, bounds
 
     def bag_grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Buckets in bag order, bag of each bucket, each row's bag bounds."""
@@ -106,7 +116,7 @@ class Model:
     def bag_logits(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         total = np.add.reduceat(self.unit[ids].astype(np.float64), starts)
         size = np.diff(np.concatenate((starts, [len(ids)])))
-        return total / size + (self.bias[1] - self.bias[0])
+        return total / np.maximum(size, LEAST) + (self.bias[1] - self.bias[0])
 
     def block_scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = len(offsets) - 1
@@ -124,7 +134,7 @@ class Model:
         n_bags = int(bounds[-1])
         if n_bags:
             value = np.bincount(bag, weights=per_word, minlength=n_bags) / np.maximum(
-                np.bincount(bag, weights=counts, minlength=n_bags), 1) + (self.bias[1] - self.bias[0])
+                np.bincount(bag, weights=counts, minlength=n_bags), LEAST) + (self.bias[1] - self.bias[0])
             some = np.flatnonzero(np.diff(bounds))
             logit[some] = np.maximum.reduceat(value, bounds[some])
         return 1.0 / (1.0 + np.exp(-np.clip(logit - self.shift, -40, 40)))
@@ -134,7 +144,7 @@ def _train(ids: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarra
            batch: int = 512) -> Model:
     """Joint Adagrad on embeddings and softmax over bags (ids[starts[i]:starts[i + 1]])."""
     ends = np.concatenate((starts[1:], [len(ids)]))
-    embed = rng.normal(0, 0.1, (1 << BITS, DIM)).astype(np.float32)
+    embed = rng.normal(0, 0.02, (1 << BITS, DIM)).astype(np.float32)
     weights, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, dtype=np.float32)
     seen = np.full((1 << BITS, 1), 1e-6, dtype=np.float32)
     seen_w, seen_b = np.full((DIM, 2), 1e-6, np.float32), np.full(2, 1e-6, np.float32)
@@ -146,14 +156,15 @@ def _train(ids: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarra
             size = (ends - starts)[rows]
             at = np.repeat(starts[rows] - np.concatenate(([0], np.cumsum(size)))[:-1], size) + np.arange(size.sum())
             g, cut = ids[at], np.concatenate(([0], np.cumsum(size)))[:-1]
-            h = np.add.reduceat(embed[g], cut, axis=0) / size[:, None]
+            scale = 1.0 / np.maximum(size, LEAST)[:, None]
+            h = np.add.reduceat(embed[g], cut, axis=0) * scale
             z = h @ weights + bias
             z -= z.max(axis=1, keepdims=True)
             p = np.exp(z)
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(rows)), y[rows]] -= 1
             p *= (weight[rows] / len(rows) * 16)[:, None]
-            dh = (p @ weights.T) / size[:, None]
+            dh = (p @ weights.T) * scale
             grad_w, grad_b = h.T @ p, p.sum(axis=0)
             kinds, inverse = np.unique(g, return_inverse=True)
             owner = np.repeat(np.arange(len(rows)), size)
@@ -177,14 +188,16 @@ def fit(ids: np.ndarray, starts: np.ndarray, doc: np.ndarray, y_doc: np.ndarray,
     weight = np.where(y == 1, (y == 0).sum() / max(1, (y == 1).sum()), 1.0).clip(0.2, 5).astype(np.float32)
     model = Model()
     for r in range(ROUNDS):
-        model = _train(ids, starts, y, weight, rng, EPOCHS)
+        model = _train(ids, starts, y, weight, rng, int(np.clip(-(-BAGS_SEEN // len(starts)), 2, 24)))
         logits = model.bag_logits(ids, starts)
         level = np.quantile(logits[y_doc[doc] == 0], 0.999)
         best = np.full(len(y_doc), -np.inf)
         np.maximum.at(best, doc, logits)
         toxic = y_doc[doc] == 1
         chosen = toxic & ((logits > level) | (logits >= best[doc]))
-        weight = np.where(toxic, chosen * min(20.0, (~toxic).sum() / max(1, chosen.sum())), 1.0).astype(np.float32)
+        y = chosen.astype(np.int64)                 # the other bags of a toxic document read as clean
+        weight = np.where(chosen, min(20.0, (~chosen).sum() / max(1, chosen.sum())), 1.0).astype(np.float32)
+        weight[toxic & ~chosen] = 0.3
     good, bad = np.sort(best[y_doc == 0]), np.sort(best[y_doc == 1])
     # the cut that separates the labelled documents best; it reads CUT
     grid = np.unique(np.concatenate((good[-max(1, len(good) // 10):], bad)))
