@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import decontaminate as wu_manber, quality, toxicity
+from hebdo.llm import decontaminate as wu_manber, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -54,3 +54,11 @@ def op8(spark, sf_dir):
     scored = toxicity.with_scores(docs, model, ["doc_id"])
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), F.col("toxic_score").alias("score"),
                          (F.col("toxic_score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
+@query("op7_simhash_near_dedup")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
