@@ -17,12 +17,11 @@ above nearly all bags of clean documents (its highest one at least).
 
 Fitting uses at most about ``SAMPLE_ROWS`` labelled rows chosen by a hash of
 the id (documented bound; toxic rows come first because they are rare), of
-which only hashed features of at most ``SAMPLE_BYTES`` of text come to the
-driver.  Scoring covers every row and its whole text.
+which at most ``SAMPLE_BYTES`` of text a class come to the driver.  Scoring covers every row and its whole text.
 
 Cases: a null, empty or wordless text has no bag and gets the score of an
 empty bag; null labels are ignored; repeated label rows of an id use the
-smallest label; with one class only every score is 0.0; other columns may be
+smallest label, repeated document rows its smallest text; with one class only every score is 0.0; other columns may be
 kept.
 """
 
@@ -114,7 +113,7 @@ class Model:
         return out
 
     def bag_logits(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        total = np.add.reduceat(self.unit[ids].astype(np.float64), starts)
+        total = np.add.reduceat(self.unit[ids], starts).astype(np.float64)
         size = np.diff(np.concatenate((starts, [len(ids)])))
         return total / np.maximum(size, LEAST) + (self.bias[1] - self.bias[0])
 
@@ -218,42 +217,27 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
         share = F.when(F.col("y") == y, F.lit(min(1_000_000, int(rows / n * 1_000_000)))).otherwise(share)
     chosen = known.where(F.pmod(F.xxhash64("id", F.lit(23)), F.lit(1_000_000)) < share)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
-    sample = texts.join(F.broadcast(chosen), "id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, y = b.column("id").to_pylist(), b.column("y").to_pylist()
-            out = []
-            for lo, data, offsets in text_blocks(b.column("t")):
-                grams, owner, bounds = Grams(data, offsets).bag_grams()
-                sizes = np.bincount(owner, minlength=int(bounds[-1]))
-                at = np.concatenate(([0], np.cumsum(sizes)))
-                for i in range(len(offsets) - 1):
-                    s = slice(bounds[i], bounds[i + 1])
-                    out.append((ids[lo + i], y[lo + i], sizes[s].astype(np.int32).tobytes(),
-                                grams[at[bounds[i]]:at[bounds[i + 1]]].astype(np.int32).tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
-                    names=["id", "y", "sizes", "grams"])
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t"))
 
     # a bounded number of bytes of each class: rows in hash order while their text fits
     lengths = sample.select("id", "y", F.octet_length("t").alias("n")).toPandas()
     lengths["key"] = lengths["id"].map(lambda i: (int(i) * 2654435761) & 0xFFFFFFFF)
-    lengths = lengths.sort_values(["key", "id"]).drop_duplicates("id")
+    lengths = lengths.sort_values(["key", "id"])
     fits = lengths[lengths.groupby("y")["n"].cumsum() <= SAMPLE_BYTES]
     if not len(fits):
         return Model()
-    wanted = docs.sparkSession.createDataFrame(fits[["id", "y"]], "id bigint, y int")
-    got = texts.join(F.broadcast(wanted), "id").mapInArrow(run, "id bigint, y int, sizes binary, grams binary")
-    got = got.orderBy("id").toPandas()
-    sizes = [np.frombuffer(v, dtype=np.int32) for v in got["sizes"]]
-    doc = np.repeat(np.arange(len(sizes)), [len(v) for v in sizes])
-    flat = np.concatenate(sizes).astype(np.int64)
-    ids = np.concatenate([np.frombuffer(v, dtype=np.int32) for v in got["grams"]])
-    some = flat > 0
-    starts = np.concatenate(([0], np.cumsum(flat)))[:-1][some]
-    return fit(ids, starts, doc[some], got["y"].to_numpy())
+    wanted = docs.sparkSession.createDataFrame(fits[["id"]], "id bigint")
+    got = sample.join(F.broadcast(wanted), "id").orderBy("id").toPandas()
+    grams, sizes, doc = [], [], []
+    for lo, data, offsets in text_blocks(pa.array(got.pop("t"), pa.string())):
+        found, owner, bounds = Grams(data, offsets).bag_grams()
+        grams.append(found)
+        sizes.append(np.bincount(owner, minlength=int(bounds[-1])))
+        doc.append(lo + np.repeat(np.arange(len(offsets) - 1), np.diff(bounds)))
+    sizes, doc = np.concatenate(sizes), np.concatenate(doc)
+    some = sizes > 0
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1][some]
+    return fit(np.concatenate(grams), starts, doc[some], got["y"].to_numpy())
 
 
 def with_scores(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
