@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import decontaminate as wu_manber, quality, simhash, toxicity
+from hebdo.llm import decontaminate as wu_manber, quality, simhash, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -62,3 +62,9 @@ def op7(spark, sf_dir):
     found = simhash.near_duplicates(docs)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@query("op5_suffix_array_dedup")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.digest(docs).drop("removed")
