@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import decontaminate as wu_manber, quality, simhash, suffix_dedup, toxicity
+from hebdo.llm import decontaminate as wu_manber, quality, simhash, suffix_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -68,3 +69,11 @@ def op7(spark, sf_dir):
 def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.digest(docs).drop("removed")
+
+
+@query("op9_token_id_files")
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = token_files.scratch_path(spark, "token-files")
+    token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_digest(spark, path)
