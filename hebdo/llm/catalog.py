@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import decontaminate as wu_manber, quality, simhash, suffix_dedup, token_files, toxicity
+from hebdo.llm import decontaminate as wu_manber
+from hebdo.llm import quality, sentencepiece_fst, simhash, suffix_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -77,3 +78,9 @@ def op9(spark, sf_dir):
     path = token_files.scratch_path(spark, "token-files")
     token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_digest(spark, path)
+
+
+@query("op2_sentencepiece_transducer")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_fst.encode_and_check(docs, public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])

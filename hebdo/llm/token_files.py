@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hebdo.llm.bytescan import SPACE_WORDS, Words, text_blocks
+from hebdo.llm.word_memory import WordMemory
 from hebdo.session import checkpoint_dir
 
 END_ID = 2
 BLOCK = 1 << 20
-REMEMBER = 1_200_000            # words, about 40 bytes each
 CALL_WORDS = 1_000
 LONG_WORD = 256
 FILE_BYTES = 32 << 20
@@ -45,7 +45,7 @@ _WORKER: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Ids of words: sorted word hashes and a flat id array per generation of words."""
+    """The tokenizer and the words it has encoded so far."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"            # a task has one core
@@ -57,15 +57,11 @@ class WordEncoder:
         seam = self._encode(["a \x00 b"])[0]
         plain = self._encode(["a", "b", "a b"])
         self.seam = seam[len(plain[0])] if plain[0] + plain[1] == plain[2] and len(seam) == len(plain[2]) + 1 else None
-        self.forget()
+        self.memory = WordMemory(self.encode_words)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def forget(self) -> None:
-        self.known, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
     def encode_words(self, data: np.ndarray, start: np.ndarray,
                      end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flat ids, place of each word's ids in them, their number); many words to a library call."""
@@ -101,44 +97,9 @@ class WordEncoder:
             total += len(ids)
         return np.concatenate(flat) if flat else np.zeros(0, np.uint32), at, count
 
-    def _learn(self, words: Words, kinds: np.ndarray, example: np.ndarray) -> None:
-        spot = np.searchsorted(self.known, kinds)
-        new = np.ones(len(kinds), dtype=bool)
-        inside = spot < len(self.known)
-        new[inside] = self.known[spot[inside]] != kinds[inside]
-        if new.any():
-            at = example[new]
-            flat, place, count = self.encode_words(words.data, words.start[at], words.end[at])
-            spot = spot[new]
-            self.known = np.insert(self.known, spot, kinds[new])
-            self.at = np.insert(self.at, spot, place + len(self.flat))
-            self.size = np.insert(self.size, spot, count)
-            self.flat = np.concatenate((self.flat, flat))
-
     def encode_block(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in order, row offsets); every row ends with ``end_id``."""
-        words = Words(_lowered(data), offsets, SPACE_WORDS)
-        hashes = words.hashes()
-        if len(self.known) > REMEMBER:
-            self.forget()
-        order = np.argsort(hashes)
-        ranked = hashes[order]
-        first = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, bool)
-        kinds = ranked[first]
-        self._learn(words, kinds, order[first])
-        spot = np.empty(len(hashes), dtype=np.int64)
-        spot[order] = np.searchsorted(self.known, kinds)[np.cumsum(first) - 1]
-        size, source = self.size[spot], self.at[spot]
-        total = np.concatenate(([0], np.cumsum(size)))
-        per_row = total[words.bounds[1:]] - total[words.bounds[:-1]]
-        row_at = np.concatenate(([0], np.cumsum(per_row + 1)))
-        shift = np.repeat(np.arange(len(per_row)), words.counts())       # end ids written before a word
-        out = np.full(int(row_at[-1]), end_id, dtype=np.uint32)
-        begin = total[:-1] + shift
-        delta = np.repeat(source - begin, size)
-        target = np.repeat(begin - total[:-1], size) + np.arange(int(total[-1]))
-        out[target] = self.flat[target + delta]
-        return out, row_at
+        return self.memory.rows(Words(_lowered(data), offsets, SPACE_WORDS), end_id)
 
 
 def _lowered(data: np.ndarray) -> np.ndarray:
