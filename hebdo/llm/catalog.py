@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.llm import decontaminate as wu_manber
-from hebdo.llm import quality, sentencepiece_fst, simhash, suffix_dedup, token_files, toxicity
+from hebdo.llm import quality, rules, sentencepiece_fst, simhash, suffix_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -84,3 +84,35 @@ def op9(spark, sf_dir):
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_fst.encode_and_check(docs, public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d),
+p AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM m WHERE len(w) >= 8),
+v AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS g FROM p),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM v) x WHERE c > 1),
+c AS (SELECT doc_id, CAST(count(DISTINCT i + k) AS BIGINT) AS n FROM r, (SELECT unnest(range(0, 8)) AS k) ks
+      GROUP BY doc_id),
+a AS (SELECT m.doc_id, n_words, word_chars, n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+             coalesce(c.n, 0) AS n_repeat_words
+      FROM m LEFT JOIN c ON m.doc_id = c.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR n_symbols * 12 > word_chars
+            OR (n_dup_lines * 2 > n_lines AND n_dup_lines >= 3)
+            OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 16 * n_words))) AS kept
+FROM a
+"""
+
+
+@query("op6_quality_rule_ledger", OP6_SQL)
+def op6(spark, sf_dir):
+    rows = rules.ledger(table(spark, sf_dir, "documents"), ["doc_id"])
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       rules.failed(rules.BASE).alias("base_failed"), (~rules.failed(rules.CURRENT)).alias("kept"))

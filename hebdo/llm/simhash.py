@@ -209,11 +209,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(id, fp, component): each row's fingerprint and the smallest id reachable over links."""
     signed = materialize(with_fingerprints(docs, doc_id, text, shingle))
     classes = materialize(signed.where("id is not null").groupBy("fp").agg(F.min("id").alias("id")))
-    linked = components(links(classes, radius), "a", "b")
+    # an id whose rows have several fingerprints is one node: it links their classes
+    several = signed.groupBy("id").agg(F.min("fp").alias("f0"), F.max("fp").alias("f1")).where("f0 <> f1").select(
+        F.col("id").alias("b"))
+    shared = several.join(signed, several["b"] == signed["id"]).select("b", "fp").distinct()
+    shared = shared.join(classes.select("fp", F.col("id").alias("a")), "fp").select("a", "b")
+    linked = components(links(classes, radius).unionByName(shared), "a", "b")
     classes = classes.join(linked, classes["id"] == linked["node"], "left").select(
         "fp", F.coalesce("component", "id").alias("component"))
     same = signed.join(classes, "fp", "left")
-    # rows of one id with different texts are one node: the smallest component of any of them
     return same.select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
 
 
