@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.llm import decontaminate as wu_manber
-from hebdo.llm import quality, rules, sentencepiece_fst, simhash, suffix_dedup, token_files, toxicity
+from hebdo.llm import chat, quality, rules, sentencepiece_fst, simhash, suffix_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -116,3 +116,50 @@ def op6(spark, sf_dir):
     rows = rules.ledger(table(spark, sf_dir, "documents"), ["doc_id"])
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        rules.failed(rules.BASE).alias("base_failed"), (~rules.failed(rules.CURRENT)).alias("kept"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(replace(text, '\', '\\'), '### ', '\h'), '</turn>', '\e') AS body,
+             replace(replace(replace(replace(role, '\', '\\'), '### ', '\h'), '</turn>', '\e'), chr(10), '\n') AS r,
+             len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM c),
+f AS (SELECT *, length(body) + length(r) + 6 + 8 AS size, i = 0 AND role = 'system' AS sys FROM e),
+s AS (SELECT conv_id, max(CASE WHEN sys THEN tokens ELSE 0 END) AS sys_tokens,
+             max(CASE WHEN sys THEN size ELSE 0 END) AS sys_size, max(CASE WHEN sys THEN 1 ELSE 0 END) AS n_sys
+      FROM f GROUP BY conv_id),
+t AS (SELECT f.*, s.sys_tokens, s.sys_size, s.n_sys, greatest(1, 768 - s.sys_tokens) AS room,
+             CASE WHEN f.sys THEN 0 ELSE f.tokens END AS k FROM f JOIN s ON f.conv_id = s.conv_id),
+g AS (SELECT conv_id, i, k AS used, 0 AS w FROM t WHERE i = 0
+      UNION ALL
+      SELECT t.conv_id, t.i, CASE WHEN g.used > 0 AND g.used + t.k > t.room THEN t.k ELSE g.used + t.k END,
+             CASE WHEN g.used > 0 AND g.used + t.k > t.room THEN g.w + 1 ELSE g.w END
+      FROM g JOIN t ON t.conv_id = g.conv_id AND t.i = g.i + 1),
+starts AS (SELECT conv_id, w, min(i) AS i FROM g WHERE w > 0 GROUP BY conv_id, w),
+back AS (SELECT a.conv_id, a.w, t.size, t.sys_size,
+                sum(t.tokens) OVER (PARTITION BY a.conv_id, a.w ORDER BY t.i DESC) AS reach
+         FROM starts a JOIN t ON t.conv_id = a.conv_id AND t.i < a.i AND t.i >= t.n_sys),
+extra AS (SELECT conv_id, sum(size) AS n FROM back WHERE reach <= 256 GROUP BY conv_id),
+again AS (SELECT starts.conv_id, sum(s.sys_size) AS n FROM starts JOIN s ON s.conv_id = starts.conv_id
+          GROUP BY starts.conv_id),
+o AS (SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+             CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+             sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+             sum(size) AS n FROM t GROUP BY conv_id)
+SELECT o.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
+       CAST(o.n + coalesce(extra.n, 0) + coalesce(again.n, 0) AS BIGINT) AS formatted_chars
+FROM o LEFT JOIN extra ON extra.conv_id = o.conv_id LEFT JOIN again ON again.conv_id = o.conv_id
+"""
+
+
+@query("op3_chat_budgeted_windows", OP3_SQL)
+def op3(spark, sf_dir):
+    said = "\\### Assistant: </turn> ok"
+    added = spark.sql("SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, :said AS text UNION ALL "
+                      "SELECT -7L, 1L, 'assistant', :said", args={"said": said})
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.digest(chat.read_back(chat.windows(rows)))

@@ -182,8 +182,8 @@ def with_scores(docs: DataFrame, model: Ranker, keep: list[str], text: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(text_scores(model, b.column(text)))],
-                                             names=[*keep, "quality_score"])
+            scores = pa.array(text_scores(model, b.column(text)))
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [scores], names=[*keep, "quality_score"])
     return docs.mapInArrow(run, schema)
 
 

@@ -72,7 +72,8 @@ def measured(docs: DataFrame, keep: list[str], text: str = "text", window: int =
         *names("n_words", "word_chars", "n_symbols"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.expr(f"case when size(wh) < {window} then cast(array() as array<bigint>) else "
-               f"transform(sequence(1, size(wh) - {window - 1}), i -> xxhash64(slice(wh, i, {window}))) end").alias("h"))
+               f"transform(sequence(1, size(wh) - {window - 1}), i -> xxhash64(slice(wh, i, {window}))) end"
+               ).alias("h"))
     plain = names("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines")
     w = w.select(*plain, F.expr(
         "case when size(array_distinct(h)) = size(h) then cast(array() as array<struct<x: bigint, i: int>>) "
