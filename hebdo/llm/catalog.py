@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.llm import decontaminate as wu_manber
-from hebdo.llm import chat, quality, rules, sentencepiece_fst, simhash, suffix_dedup, token_files, toxicity
+from hebdo.llm import chat, licenses, quality, rules, sentencepiece_fst, simhash, suffix_dedup, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -163,3 +163,9 @@ def op3(spark, sf_dir):
                       "SELECT -7L, 1L, 'assistant', :said", args={"said": said})
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return chat.digest(chat.read_back(chat.windows(rows)))
+
+
+@query("op4_license_signature_rules")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, ["doc_id"]).drop("detections")
