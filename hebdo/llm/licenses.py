@@ -114,8 +114,10 @@ FRAMES = (
 
 #: Texts that grant or reserve without a license's name: label, priority, keywords, pattern.
 NOTICES = (
-    ("mit", 95, ("permission", "charge"), r"permission is hereby granted free of charge to any person obtaining a copy"),
-    ("isc", 95, ("permission", "purpose"), r"permission to use copy modify and or distribute this software for any purpose"),
+    ("mit", 95, ("permission", "charge"), r"permission is hereby granted free of charge to any person "
+                                          r"obtaining a copy"),
+    ("isc", 95, ("permission", "purpose"), r"permission to use copy modify and or distribute this software "
+                                           r"for any purpose"),
     ("bsd", 95, ("redistribution", "binary"), r"redistribution and use in source and binary forms with or without "
                                               r"modification are permitted"),
     ("public-domain", 65, ("domain",), r"(?:released |dedicated |placed )?(?:in|into|to) the public domain"),

@@ -223,7 +223,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each group: the rows whose id is the group's smallest."""
-    found = near_duplicates(docs, doc_id, text, shingle, radius)
-    keepers = found.where("id = component").select(F.col("id").alias("_keeper")).distinct()
-    return docs.join(keepers, F.col(doc_id).cast("long") == F.col("_keeper"), "left_semi")
+    """``docs`` with one document of each group: the row whose id is the group's smallest.
+
+    Where an id has several rows, the least of them (by text, then the other columns) stays; rows
+    without an id go."""
+    found = materialize(near_duplicates(docs, doc_id, text, shingle, radius))
+    keepers = found.where("id = component").groupBy(F.col("id").alias("_keeper")).agg(F.count("*").alias("_rows"))
+    kept = docs.join(keepers.select("_keeper"), F.col(doc_id).cast("long") == F.col("_keeper"), "left_semi")
+    if not keepers.where("_rows > 1").head(1):
+        return kept
+    rest = [c for c in docs.columns if c not in (doc_id, text)]
+    order = F.struct(text, *[F.col(c) for c in rest])
+    least = kept.groupBy(doc_id).agg(F.min(order).alias("_row"))
+    return least.select(*[F.col(c) if c == doc_id else F.col(f"_row.{c}").alias(c) for c in docs.columns])
