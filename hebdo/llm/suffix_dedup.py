@@ -51,8 +51,8 @@ from hebdo.llm.bytescan import mix, prefix_sums, row_blocks, utf8_buffer
 
 WINDOW = 50
 GRAM = 25
-BATCH_BYTES = 6 << 20
-BUCKET_BYTES = 32 << 20
+BATCH_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
 SPLIT = 4096
 MESSAGE = "bucket bigint, batch bigint, kind int, body binary"
 
@@ -61,14 +61,14 @@ class Stretches:
     """The sample of one block: anchor gram, stretch and window digits."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int):
-        self.window, n, gram = window, len(data), min(GRAM, window)
-        self.sums, self.down = prefix_sums(data)
-        self.first = self.last = self.at = self.doc = np.zeros(0, np.int64)
-        self.gram = np.zeros(0, np.uint64)
+        self.data, self.window, n, gram = data, window, len(data), min(GRAM, window)
+        self.first = self.last = self.doc = np.zeros(0, np.int64)
+        self.gram = self.digit = np.zeros(0, np.uint64)
         if n < window:
             return
+        sums, down = prefix_sums(data)
         bits = np.uint64(n.bit_length())
-        h = mix((self.sums[gram:] - self.sums[:-gram]) * self.down[:n - gram + 1])
+        h = mix((sums[gram:] - sums[:-gram]) * down[:n - gram + 1])
         low = ((h >> bits) << bits) | np.arange(len(h), dtype=np.uint64)
         width, have = window - gram + 1, 1
         while have < width:                                       # sliding minimum over a window's grams
@@ -84,21 +84,23 @@ class Stretches:
         at = at[start]
         begin = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1]))))
         end = np.concatenate((begin[1:], [len(start)])) - 1
-        self.first, self.last, self.at, self.doc = start[begin], start[end], at[begin], doc[begin]
-        self.gram = h[self.at]
+        self.first, self.last, self.doc, at = start[begin], start[end], doc[begin], at[begin]
+        self.gram = h[at]
+        # second digit: the tokens of the whole stretch and the anchor's place in it
+        whole = (sums[self.last + window] - sums[self.first]) * down[self.first]
+        shape = (at - self.first) * window * 2 + (self.last - self.first) + 1
+        self.digit = mix(whole ^ mix(shape.astype(np.uint64)))
 
-    def digit(self) -> np.ndarray:
-        """Second digit: the tokens of the whole stretch and the anchor's place in it."""
-        h = (self.sums[self.last + self.window] - self.sums[self.first]) * self.down[self.first]
-        shape = (self.at - self.first) * self.window * 2 + (self.last - self.first) + 1
-        return mix(h ^ mix(shape.astype(np.uint64)))
+    def __len__(self) -> int:
+        return len(self.first)
 
     def windows(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Third digits of the stretches ``k``: position in k, start, digit of each window."""
+        sums, down = prefix_sums(self.data)
         size = self.last[k] - self.first[k] + 1
         owner = np.repeat(np.arange(len(k)), size)
         start = np.repeat(self.first[k] - np.concatenate(([0], np.cumsum(size)))[:-1], size) + np.arange(size.sum())
-        return owner, start, mix((self.sums[start + self.window] - self.sums[start]) * self.down[start])
+        return owner, start, mix((sums[start + self.window] - sums[start]) * down[start])
 
 
 class Batch:
@@ -121,16 +123,16 @@ class Batch:
         self.row = self._all(lambda b, lo: b.doc + lo, np.int64)
         self.doc = rank[self.row] if len(self.row) else self.row
         self.gram = self._all(lambda b, lo: b.gram, np.uint64)
-        self.digit = self._all(lambda b, lo: b.digit() if len(b.at) else b.gram, np.uint64)
+        self.digit = self._all(lambda b, lo: b.digit, np.uint64)
         base = [int(self.offsets[lo]) for lo in self.row_of_block]
         self.first = self._all(lambda b, lo: b.first + int(self.offsets[lo]), np.int64)
         self.last = self._all(lambda b, lo: b.last + int(self.offsets[lo]), np.int64)
-        self.block = np.repeat(np.arange(len(base)), [len(b.at) for b in self.blocks]) if base else self.row
+        self.block = np.repeat(np.arange(len(base)), [len(b) for b in self.blocks]) if base else self.row
         use = self.doc >= 0
         if not use.all():
             for name in ("row", "doc", "gram", "digit", "first", "last", "block"):
                 setattr(self, name, getattr(self, name)[use])
-        self.within = np.concatenate([np.arange(len(b.at)) for b in self.blocks])[use] if base else self.row
+        self.within = np.concatenate([np.arange(len(b)) for b in self.blocks])[use] if base else self.row
         self.grams, self.gram_no = np.unique(self.gram, return_inverse=True)
 
     def _all(self, get, kind) -> np.ndarray:
@@ -245,17 +247,14 @@ class Passes:
     def sort_grams(self, key, table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         parts = [np.frombuffer(r["body"], dtype=np.uint32) for r in rows]
-        size = [len(p) for p in parts]
-        digit, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), size)
-        order = np.argsort(digit, kind="stable")
-        d, o = digit[order], owner[order]
-        group = np.cumsum(np.concatenate(([True], d[1:] != d[:-1]))) - 1
-        lo, hi = _extremes(group, o, int(group[-1]) + 1)
-        shared = np.empty(len(digit), dtype=bool)
-        shared[order] = (lo != hi)[group]
-        ends = np.cumsum(size)
-        return _messages([(r["bucket"], r["batch"], ANSWER, _bits(shared[e - n:e]))
-                          for r, n, e in zip(rows, size, ends.tolist())])
+        ranked = np.sort(np.concatenate(parts))                   # a batch sends a digit once
+        again = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+        last = max(len(again) - 1, 0)
+
+        def shared(digits: np.ndarray) -> np.ndarray:
+            spot = np.minimum(np.searchsorted(again, digits), last)
+            return again[spot] == digits if len(again) else np.zeros(len(digits), bool)
+        return _messages([(r["bucket"], r["batch"], ANSWER, _bits(shared(p))) for r, p in zip(rows, parts)])
 
     # pass 2
     def send_stretches(self, key, docs: pa.Table, table: pa.Table) -> pa.Table:
