@@ -164,10 +164,13 @@ def _place():
     return F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("nth")
 
 
-def _starts(rows: DataFrame) -> DataFrame:
-    """Adds ``start``: tokens of all documents before this one, in file and row order."""
+def _starts(rows: DataFrame, path: str) -> DataFrame:
+    """Adds ``start``: tokens of all documents before this one, in file and row order.
+
+    The files' totals come from the token counts alone, whatever else ``rows`` reads."""
     earlier = Window.orderBy(F.length("file_name"), "file_name").rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy("file_name").agg(F.sum("n_tokens").alias("file_tokens"))      # one row a file
+    counts = rows.sparkSession.read.parquet(path).select("n_tokens", _place()[0])
+    totals = counts.groupBy("file_name").agg(F.sum("n_tokens").alias("file_tokens"))    # one row a file
     before = totals.select("file_name", F.coalesce(F.sum("file_tokens").over(earlier), F.lit(0)).alias("file_start"))
     inside = Window.partitionBy("file_name").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("row_start", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
@@ -177,7 +180,7 @@ def _starts(rows: DataFrame) -> DataFrame:
 def read_offsets(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, n_tokens, start) of every document; reads the metadata columns only."""
     rows = spark.read.parquet(path).select("doc_id", "n_tokens", *_place())
-    return _starts(rows).select("doc_id", "n_tokens", "start")
+    return _starts(rows, path).select("doc_id", "n_tokens", "start")
 
 
 def read_digest(spark: SparkSession, path: str) -> DataFrame:
@@ -193,7 +196,7 @@ def read_digest(spark: SparkSession, path: str) -> DataFrame:
                                              names=["doc_id", "n_tokens", "file_name", "nth", "ids_crc32"])
     rows = spark.read.parquet(path).select("doc_id", "ids", *_place())
     rows = rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, file_name string, nth bigint, ids_crc32 bigint")
-    return _starts(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return _starts(rows, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
