@@ -12,14 +12,17 @@ for local runs.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from dataclasses import fields, replace
 
 from hebdo.functions.dates import WEEK_RULES
-from hebdo.plans.national_feeds import (LandedFeeds, archived_release_from_files,
-                                        current_release_from_files)
+from hebdo.operators.quarantine import date_issue_counts
+from hebdo.plans.national_feeds import (LandedFeeds, archived_release_from_files, current_release_from_files,
+                                        rejected_from_files)
 from hebdo.plans.release import (OUTPUT_ARCHIVED, OUTPUT_CURRENT, OUTPUT_LEGACY_REGION, OUTPUT_LEGACY_SHORT,
                                  publish)
 from hebdo.session import build_session
+from hebdo.sources.sinks import write_parquet
 
 LAYOUTS = {"current": OUTPUT_CURRENT, "archived": OUTPUT_ARCHIVED,
            "legacy_short": OUTPUT_LEGACY_SHORT, "legacy_region": OUTPUT_LEGACY_REGION}
@@ -40,6 +43,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--freq-mode", choices=["reports", "compat"], default="reports")
     p.add_argument("--latest-week", choices=["global", "per_country", "keep"], default="global")
     p.add_argument("--include-bulgaria", action="store_true")
+    p.add_argument("--last-date", default=dt.datetime.now(dt.timezone.utc).date().isoformat(),
+                   help="last plausible report date, yyyy-mm-dd (default: today); later reports are rejected")
+    p.add_argument("--quarantine", help="folder for the rejected rows (Parquet); their counts are printed")
+    p.add_argument("--checkpoint-dir", help="shared folder for checkpoints (needed on a cluster unless "
+                                            "spark.checkpoint.dir is set)")
     p.add_argument("--master", default=None)
     p.add_argument("--shuffle-partitions", type=int, default=None,
                    help="upper bound of shuffle partitions; AQE coalesces small ones")
@@ -52,20 +60,30 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(args.master, args.shuffle_partitions, app_name=f"hebdo-{args.flow}",
                           partition_bytes=args.partition_bytes)
+    if args.checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
     landed = LandedFeeds(**{f.name: getattr(args, f.name) for f in fields(LandedFeeds)})
     layout = LAYOUTS[args.layout or args.flow]
     if args.week_rule:
         layout = replace(layout, week_rule=args.week_rule)
     if args.flow == "current":
-        series = current_release_from_files(spark, landed, layout)
+        feed_options = {"last_date": args.last_date}
+        series = current_release_from_files(spark, landed, layout, **feed_options)
     else:
+        feed_options = {"last_date": args.last_date, "switzerland_weeks": args.switzerland_weeks,
+                        "include_bulgaria": args.include_bulgaria}
         series = archived_release_from_files(
-            spark, landed, spec=layout, us_pages_mode=args.us_pages_mode,
-            switzerland_weeks=args.switzerland_weeks, include_bulgaria=args.include_bulgaria,
-            freq_mode=args.freq_mode, latest_week=args.latest_week)
+            spark, landed, spec=layout, us_pages_mode=args.us_pages_mode, freq_mode=args.freq_mode,
+            latest_week=args.latest_week, **feed_options)
     if args.explain:
         series.explain("formatted")
         return
+    if args.quarantine:
+        write_parquet(rejected_from_files(spark, landed, args.flow, **feed_options), args.quarantine)
+        counts = date_issue_counts(spark.read.parquet(args.quarantine).withColumnRenamed("date_issue", "reason"),
+                                   "reason")
+        for reason, n in sorted(map(tuple, counts.collect())):
+            print(f"rejected: {n} rows, {reason}")
     publish(series, layout, csv_path=args.csv, parquet_path=args.parquet, csv_file=args.csv_file)
 
 

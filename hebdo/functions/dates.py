@@ -21,7 +21,7 @@ from hebdo.functions.casts import _col
 MS_PER_DAY = 86_400_000
 
 # Accepted layouts for the parsers below (Spark datetime patterns).
-MONTH_FIRST_FORMATS = ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy", "yyyy-M-d")
+MONTH_FIRST_FORMATS = ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy", "M/d/yy", "M-d-yy")
 DAY_FIRST_FORMATS = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy")
 
 
@@ -103,7 +103,7 @@ def pattern_shape(fmt: str) -> str | None:
             j += 1
         n = j - i
         if ch in "yu":
-            out.append(r"\d{2}" if n == 2 else r"[+-]?\d{1,9}")
+            out.append(r"\d{2}" if n == 2 else rf"[+-]?\d{{{n},9}}")
         elif ch in "ML":
             out.append(r"\d{1,2}" if n <= 2 else r"\p{L}+\.?")
         elif ch in "dHhmsD":
@@ -125,6 +125,8 @@ def parse_date_formats(c: Column | str, formats: tuple[str, ...] | list[str]) ->
     def attempt(fmt: str) -> Column:
         shape = pattern_shape(fmt)
         parsed = F.try_to_date(text, fmt)
+        if re.search("(?<!y)yy(?!y)", fmt):          # two digits: 69-99 are of the last century
+            parsed = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed)
         return parsed if shape is None else F.when(text.rlike(shape), parsed)
 
     return F.coalesce(*[attempt(fmt) for fmt in formats])
@@ -153,10 +155,6 @@ def wall_clock_epoch_ms(c: Column | str) -> Column:
     return F.timestamp_diff("MILLISECOND", epoch, _col(c).cast("timestamp_ntz"))
 
 
-def epoch_ms_to_timestamp(c: Column | str) -> Column:
-    return F.timestamp_millis(_col(c).try_cast("long"))
-
-
 # --- D5/D6: year+week codes ---------------------------------------------------
 
 def week_code_year(c: Column | str) -> Column:

@@ -23,11 +23,17 @@ def clean_name(name: str) -> str:
 
 
 def clean_names(names: list[str]) -> list[str]:
-    """Clean every name; repeated results get ``_2``, ``_3`` ... in order."""
+    """Clean every name; repeated results get ``_2``, ``_3`` ... in order, the
+    first of them that no other column has.  Letters without a base letter in
+    Unicode (``\u00e6``, ``\u00f8``, ``\u00df``, other scripts) stay as they are."""
     seen: dict[str, int] = {}
-    out = []
+    out: list[str] = []
     for name in names:
         base = clean_name(name)
         seen[base] = seen.get(base, 0) + 1
-        out.append(base if seen[base] == 1 else f"{base}_{seen[base]}")
+        unique = base if seen[base] == 1 else f"{base}_{seen[base]}"
+        while unique in out:
+            seen[base] += 1
+            unique = f"{base}_{seen[base]}"
+        out.append(unique)
     return out

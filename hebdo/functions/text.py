@@ -20,16 +20,6 @@ def normalize_label(c: Column | str) -> Column:
     return F.lower(trim_all(c))
 
 
-def substring_1based(c: Column | str, start: int, length: int) -> Column:
-    """``substr(x, start, start+length-1)`` with 1-based positions."""
-    return F.substring(_col(c), start, length)
-
-
-def concat_text(*parts: Column | str) -> Column:
-    """T4: concatenate; literals must be passed as ``F.lit``."""
-    return F.concat(*[_col(p) for p in parts])
-
-
 def recode(c: Column | str, mapping: Mapping[str, str]) -> Column:
     """T5: replace listed values, pass every other value (and NULL) through.
 

@@ -100,19 +100,16 @@ def full_join_on_values(left: DataFrame, right: DataFrame, keys: list[str],
     return per_key.select(*keys, n_rows.alias(count_col))
 
 
-def paged_full_join_on_values(df: DataFrame, keys: list[str], page_col: str, first, second,
+def paged_full_join_on_values(df: DataFrame, keys: list[str], page_col: str,
                               count_col: str = "n_rows") -> DataFrame:
-    """J2a for two pages held in one frame (one scan of a page folder, the page
-    in ``page_col``): the same result as ``full_join_on_values`` of the two
-    pages, from one aggregate over one scan.  Rows of other pages are ignored,
-    as the reference's two-page join ignores them."""
-    page = F.col(page_col)
-    per_key = (df.filter(page.isin(first, second))
-                 .groupBy(*keys).agg(F.count_if(page == F.lit(first)).alias("__a"),
-                                     F.count_if(page == F.lit(second)).alias("__b")))
-    a, b = F.col("__a"), F.col("__b")
-    n_rows = F.when((a > 0) & (b > 0), a * b).otherwise(a + b)
-    return per_key.select(*keys, n_rows.alias(count_col))
+    """J2a for any number of pages held in one frame (one scan of a page folder,
+    the page in ``page_col``): the rows that chained full joins of all pages on
+    ``keys`` give for a key are the product of its counts on the pages that
+    hold it.  Two aggregates, no join; one page gives its own counts."""
+    per_page = df.groupBy(*keys, page_col).agg(F.count(F.lit(1)).alias("__n"))
+    counts = per_page.groupBy(*keys).agg(F.collect_list("__n").alias("__counts"))    # one number a page
+    rows = F.aggregate("__counts", F.lit(1).cast("bigint"), lambda a, n: a * n)
+    return counts.select(*keys, rows.alias(count_col))
 
 
 # --- J4: reference enrichment -----------------------------------------------
@@ -133,26 +130,47 @@ def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+MAX_BROADCAST_ROW_BYTES = 1_024
+
+
+def provably_small(df: DataFrame, max_rows: int = 100_000) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows whose text and nested
+    columns, at their widest, take at most ``MAX_BROADCAST_ROW_BYTES`` a row of
+    that bound.  The widths are only read once the row count has passed."""
+    n = bounded_row_count(df, max_rows)
+    if n is None:
+        return False
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary", "array", "map")]
+    if not texts or n == 0:
+        return True
+    widths = [F.max(F.octet_length(F.col(f"`{c}`").cast("string"))) for c in texts]
+    widest = df.agg(*widths).first()
+    return sum(w or 0 for w in widest) * n <= max_rows * MAX_BROADCAST_ROW_BYTES
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``df`` with a broadcast hint when it provably holds at most ``max_rows``
-    rows; otherwise unchanged, so the planner picks a shuffle join."""
-    return F.broadcast(df) if bounded_row_count(df, max_rows) is not None else df
+    """``df`` with a broadcast hint when it is provably small in rows and bytes;
+    otherwise unchanged, so the planner picks a shuffle join."""
+    return F.broadcast(df) if provably_small(df, max_rows) else df
 
 
 def join_facts_to_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                             group_keys: list[str], sum_cols: list[str],
-                            max_broadcast_rows: int = 100_000) -> DataFrame:
+                            max_broadcast_rows: int = 100_000, pre_aggregate: bool = False) -> DataFrame:
     """Inner-join fact rows to a dimension, for a later sum over the result.
 
     A dimension proven small is broadcast and the raw facts are joined
-    map-side (no shuffle before the caller's aggregate).  Otherwise the facts
-    are first summed per ``group_keys`` (which must include ``fact_key``) --
-    a partial+final aggregate that shrinks the join input and combines a hot
-    key map-side -- and then shuffle-joined.  Both give the same sums of
-    ``sum_cols`` per any grouping coarser than ``group_keys``.
+    map-side (no shuffle before the caller's aggregate).  Otherwise they are
+    shuffle-joined, and AQE splits skewed partitions.  ``pre_aggregate`` sums
+    the facts per ``group_keys`` (which must include ``fact_key``) first: worth
+    its extra shuffle where a known hot key repeats within ``group_keys``.  All
+    give the same sums of ``sum_cols`` per any grouping coarser than
+    ``group_keys``.
     """
-    if bounded_row_count(dim, max_broadcast_rows) is not None:
+    if provably_small(dim, max_broadcast_rows):
         joined = facts.join(F.broadcast(dim), facts[fact_key] == dim[dim_key])
+    elif not pre_aggregate:
+        joined = facts.join(dim, facts[fact_key] == dim[dim_key])
     else:
         pre = facts.groupBy(*group_keys).agg(*[F.sum(c).alias(c) for c in sum_cols])
         joined = pre.join(dim, pre[fact_key] == dim[dim_key])
@@ -185,6 +203,6 @@ def enrich(df: DataFrame, reference: DataFrame, on: list[str] | str, how: str =
     keys = [on] if isinstance(on, str) else list(on)
     # the raw reference bounds its de-duplicated form: probe the cheap scan,
     # not the distinct (which would need its shuffle just for the check)
-    small = bounded_row_count(reference, max_broadcast_rows) is not None
+    small = provably_small(reference, max_broadcast_rows)
     ref = distinct_rows(reference) if dedupe_reference else reference
     return join_nullsafe(df, ref, keys, how=how, broadcast=small)

@@ -57,14 +57,13 @@ def drop_week(df: DataFrame, week_col: Column | str, week: int = 53) -> DataFram
 
 
 def drop_latest_week(df: DataFrame, week_col: str = "epiweek", per: list[str] | None = None,
-                     max_broadcast_rows: int = 100_000, materialize_input: bool = False) -> DataFrame:
+                     materialize_input: bool = False) -> DataFrame:
     """keep rows strictly before the latest week.
 
     Global (default): one scalar subquery ``max(week)`` over the whole input, the
     reference behaviour -- a source that stops earlier keeps its own last week.
     ``per=[...]``: the latest week of each group instead; the per-group maxima
-    are a partial aggregate joined back by key (broadcast only when the number
-    of groups is proven small).
+    are a partial aggregate joined back by key.
 
     The maximum and the filter both read ``df``; Catalyst pushes the filter
     into the scans, so without ``materialize_input`` the upstream plan runs
@@ -77,5 +76,6 @@ def drop_latest_week(df: DataFrame, week_col: str = "epiweek", per: list[str] |
         latest = df.select(F.max(week_col)).scalar()
         return df.filter(F.col(week_col) < latest)
     latest = df.groupBy(*per).agg(F.max(week_col).alias("__latest_week"))
-    joined = join_nullsafe(df, latest, per, how="inner", max_broadcast_rows=max_broadcast_rows)
+    # no size probe: it would run the input once more; AQE decides from the measured size
+    joined = join_nullsafe(df, latest, per, how="inner", broadcast=False)
     return joined.filter(F.col(week_col) < F.col("__latest_week")).drop("__latest_week")

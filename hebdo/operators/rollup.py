@@ -104,8 +104,3 @@ def frequency_label(count_col: str, single: str = "weekly", several: str = "dail
     """``weekly`` when one report made up the week, ``daily`` otherwise."""
     c = F.col(count_col)
     return F.when(c.isNull(), F.lit(None).cast("string")).when(c == 1, single).otherwise(several)
-
-
-def latest_value(df: DataFrame, col: str) -> Column:
-    """A3: global maximum as a scalar subquery (no driver round trip, no cross join)."""
-    return df.select(F.max(col)).scalar()

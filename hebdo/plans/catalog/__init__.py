@@ -19,6 +19,7 @@ from hebdo.plans.catalog import merges  # noqa: F401
 from hebdo.plans.catalog import documents  # noqa: F401
 from hebdo.plans.catalog import spec_feeds  # noqa: F401
 from hebdo.plans.catalog import releases  # noqa: F401
+from hebdo.plans.catalog import national  # noqa: F401
 from hebdo.plans.catalog.registry import ORACLE_SQL, QUERIES, register
 
 

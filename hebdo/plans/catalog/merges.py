@@ -21,7 +21,7 @@ from hebdo.plans.catalog.sql import ORDERS_REPORTS, ORDER_PAGES, PLACES
 def _status_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     r = feeds.orders_reports(spark, d)
     country = feeds.null_when(F.col("o_orderkey") % 17 == 0, F.col("country_name"))
-    left = r.filter(F.col("o_orderstatus") == "F").select(country.alias("country_name"), "report_date",
+    left = r.filter(F.col("o_orderstatus") != "O").select(country.alias("country_name"), "report_date",
                                                           "new_hospitalization")
     right = r.filter(F.col("o_orderstatus") == "O").select(country.alias("country_name"), "report_date", "new_icu")
     return left, right
@@ -31,7 +31,7 @@ def _status_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 WITH {ORDERS_REPORTS},
 r AS (SELECT CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE country_name END AS country_name, report_date,
              o_orderstatus, new_hospitalization, new_icu FROM orders_reports),
-l AS (SELECT country_name, report_date, new_hospitalization FROM r WHERE o_orderstatus = 'F'),
+l AS (SELECT country_name, report_date, new_hospitalization FROM r WHERE o_orderstatus <> 'O'),
 rr AS (SELECT country_name, report_date, new_icu FROM r WHERE o_orderstatus = 'O')
 SELECT COALESCE(l.country_name, rr.country_name) AS country_name,
        COALESCE(l.report_date, rr.report_date) AS report_date,
@@ -73,7 +73,7 @@ def union_pages(spark: SparkSession, d: str) -> DataFrame:
 
 @register("union_sources", f"""
 WITH {ORDERS_REPORTS}
-SELECT country_name, report_date, new_hospitalization, new_icu FROM orders_reports WHERE o_orderstatus = 'F'
+SELECT country_name, report_date, new_hospitalization, new_icu FROM orders_reports WHERE o_orderstatus <> 'O'
 UNION ALL
 SELECT country_name, report_date, new_hospitalization, CAST(NULL AS BIGINT) FROM orders_reports WHERE o_orderstatus = 'O'
 UNION ALL
@@ -81,7 +81,7 @@ SELECT 'LINE-' || l_returnflag, CAST(l_shipdate AS DATE), CAST(trunc(l_quantity)
 FROM lineitem""")
 def union_sources(spark: SparkSession, d: str) -> DataFrame:
     r = feeds.orders_reports(spark, d)
-    a = r.filter(F.col("o_orderstatus") == "F").select("country_name", "report_date", "new_hospitalization", "new_icu")
+    a = r.filter(F.col("o_orderstatus") != "O").select("country_name", "report_date", "new_hospitalization", "new_icu")
     b = r.filter(F.col("o_orderstatus") == "O").select("country_name", "report_date", "new_hospitalization")
     li = feeds.table(spark, d, "lineitem")
     c = li.select(F.concat(F.lit("LINE-"), "l_returnflag").alias("country_name"),

@@ -83,7 +83,9 @@ def _events_weekly(spark: SparkSession, d: str) -> DataFrame:
 
 @register("group_size_label", f"""
 WITH {EVENTS_WEEKLY}
-SELECT event_type, epiweek, new_hospitalization, CAST(1 AS BIGINT) AS freq_time, 'weekly' AS freq FROM events_weekly""")
+SELECT event_type, epiweek, new_hospitalization, freq_time,
+       CASE WHEN freq_time = 1 THEN 'weekly' WHEN freq_time > 1 THEN 'daily' END AS freq
+FROM (SELECT *, count(*) OVER (PARTITION BY event_type, epiweek) AS freq_time FROM events_weekly)""")
 def group_size_label(spark: SparkSession, d: str) -> DataFrame:
     w = _events_weekly(spark, d).drop("reports")
     w = rows_per_group(w, ["event_type", "epiweek"], "freq_time")

@@ -28,19 +28,30 @@ def adult_plus_child(spark: SparkSession, d: str) -> DataFrame:
     return normalize_source(feeds.state_feed(spark, d), STATE_SPEC)
 
 
+def _chained_pages_sql(n: int) -> str:
+    """Full joins of the state pages p1..pn on (country, date, value), one after the other."""
+    keys = ("country_name", "report_date", "new_hospitalization")
+    parts = [state_rows_sql(f"p{i}", f"l_linenumber % {n} = {i - 1}") for i in range(1, n + 1)]
+    chain = ["j1 AS (SELECT * FROM p1 WHERE new_hospitalization <> 0)"]
+    for i in range(2, n + 1):
+        both = ", ".join(f"COALESCE(a.{k}, b.{k}) AS {k}" for k in keys)
+        on = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
+        chain.append(f"j{i} AS (SELECT {both} FROM j{i - 1} a FULL OUTER JOIN "
+                     f"(SELECT * FROM p{i} WHERE new_hospitalization <> 0) b ON {on})")
+    return ",".join(parts) + ",\n" + ",\n".join(chain)
+
+
+STATE_PAGES = 4
+
+
 @register("state_pages_full_join", f"""
-WITH {STATE_FEED}, {state_rows_sql("p1", "l_linenumber % 2 = 1")}, {state_rows_sql("p2", "l_linenumber % 2 = 0")},
-a AS (SELECT * FROM p1 WHERE new_hospitalization <> 0), b AS (SELECT * FROM p2 WHERE new_hospitalization <> 0),
-j AS (SELECT COALESCE(a.country_name, b.country_name) AS country_name, COALESCE(a.report_date, b.report_date) AS report_date,
-             COALESCE(a.new_hospitalization, b.new_hospitalization) AS new_hospitalization
-      FROM a FULL OUTER JOIN b ON a.country_name IS NOT DISTINCT FROM b.country_name
-        AND a.report_date IS NOT DISTINCT FROM b.report_date AND a.new_hospitalization IS NOT DISTINCT FROM b.new_hospitalization)
+WITH {STATE_FEED}, {_chained_pages_sql(STATE_PAGES)}
 SELECT country_name, report_date, CAST(COALESCE(SUM(new_hospitalization), 0) AS BIGINT) AS new_hospitalization
-FROM j GROUP BY ALL""")
+FROM j{STATE_PAGES} GROUP BY ALL""")
 def state_pages_full_join(spark: SparkSession, d: str) -> DataFrame:
-    # both pages come from one scan; the page is told apart by line-number parity
-    state = feeds.state_feed(spark, d).withColumn("page", F.col("l_linenumber") % 2)
-    return normalize_paged(state, STATE_SPEC, "page", 1, 0)
+    # all pages come from one scan; the line number tells the page
+    state = feeds.state_feed(spark, d).withColumn("page", F.col("l_linenumber") % STATE_PAGES)
+    return normalize_paged(state, STATE_SPEC, "page")
 
 
 @register("clean_names", """

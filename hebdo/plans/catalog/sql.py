@@ -39,7 +39,7 @@ def sql_formats(col: str, formats: list[str]) -> str:
     return "COALESCE(" + ", ".join(parts) + ")"
 
 
-SQL_MONTH_FIRST = ["%m/%d/%Y", "%m-%d-%Y", "%B %d, %Y", "%b %d, %Y", "%Y-%m-%d"]
+SQL_MONTH_FIRST = ["%m/%d/%Y", "%m-%d-%Y", "%B %d, %Y", "%b %d, %Y"]
 SQL_DAY_FIRST = ["%d/%m/%Y", "%d-%m-%Y", "%d.%m.%Y"]
 
 PARSED_DATES = f"""

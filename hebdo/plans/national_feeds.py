@@ -9,12 +9,17 @@ unchanged on these feeds or on any other feed described by a ``SourceSpec``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hebdo.plans.normalize import normalize_measure_pair, normalize_paged, normalize_pages, normalize_source
+from hebdo.functions.dates import MONTH_FIRST_FORMATS
+from hebdo.operators.combine import union_by_name
+from hebdo.plans.feeds import US_TERRITORIES
+from hebdo.plans.normalize import (normalize_measure_pair, normalize_paged, normalize_pages, normalize_source,
+                                   quarantined_rows)
 from hebdo.plans.release import OUTPUT_CURRENT, archived_weekly_series, current_weekly_series
 from hebdo.plans.specs import DateSpec, MeasureSpec, OutputSpec, SourceSpec
 from hebdo.sources.readers import (read_array_records, read_csv_text, read_geojson, read_json_records,
@@ -30,7 +35,6 @@ CDC_SEASONS = (2324, 2425)
 CDC_PERIOD = "week"
 CDC_STRATA = "Overall"
 CDC_FIRST_DATE = "2024-05-04"
-US_TERRITORIES = ("PR", "VI", "MP", "PW", "FM", "MH", "GU", "AS")
 US_ADULT = "previous_day_admission_adult_covid_confirmed"
 US_PAEDIATRIC = "previous_day_admission_pediatric_covid_confirmed"
 PR_VI_NAMES = (("PR", "Puerto Rico"), ("VI", "United States Virgin Islands"))
@@ -38,8 +42,10 @@ CH_SLICE = (("geoRegion", "CH"), ("altersklasse_covid19", "all"), ("primary_hosp
 CH_NAMES = (("CH", "Switzerland"),)
 BG_FIELDS = ("Дата", "Новохоспитализирани")
 
-# Reports dated before this (or unparsable) are quarantined, not summed: a
-# parameter of this library, chosen before the first reports of the series.
+# Reports dated outside this range (or unparsable) are rejected, not summed: a
+# parameter of this library.  The first date lies before the first reports of
+# the series; the last one is given by the caller (``last_date``), because one
+# report with a date in the far future would otherwise be the latest week.
 PLAUSIBLE = ("2019-12-01", None)
 
 # ---------------------------------------------------------------------------
@@ -65,7 +71,7 @@ NZ_ARCHIVED = national_spec(
 
 CDC_SENTINEL = national_spec(
     name="cdc",
-    date=DateSpec("time", "formats", ("M/d/yyyy", "M-d-yyyy", "MMMM d, yyyy", "MMM d, yyyy")),
+    date=DateSpec("time", "formats", MONTH_FIRST_FORMATS),
     measures=(MeasureSpec("new_hospitalization", ("estimate",)),),
     country="UNITED STATES OF AMERICA", labels=("time_period",),
     equals=(("time_period", CDC_PERIOD), ("strata", CDC_STRATA)), include=(("season", CDC_SEASONS),),
@@ -85,6 +91,22 @@ US_TERRITORY_PAGES = national_spec(
     fill_missing=True, drop_zero="new_hospitalization")
 
 
+# Both US series from one scan of the pages: the country is derived from the state.
+US_PAGES = national_spec(
+    name="us_pages", date=DateSpec("date", "leading"),
+    measures=(MeasureSpec("new_hospitalization", (US_ADULT, US_PAEDIATRIC)),),
+    country_column="us_country", fill_missing=True, drop_zero="new_hospitalization")
+
+
+def with_us_country(pages: DataFrame) -> DataFrame:
+    """State rows with the country they count for; rows of other territories or no state go."""
+    state = F.col("state")
+    country = F.when(~state.isin(*US_TERRITORIES), F.lit(US_STATES.country))
+    for code, name in PR_VI_NAMES:
+        country = country.when(state == code, F.lit(name))
+    return pages.withColumn("us_country", country).where("us_country IS NOT NULL")
+
+
 def switzerland(week_rule: str = "monday_week") -> SourceSpec:
     """``monday_week``: the reference's ``%W`` reading of the code (week 53
     dropped); ``iso``: the code read as an ISO week (week 53 kept if real)."""
@@ -139,9 +161,10 @@ CDC_RECORD = T.StructType([T.StructField(n, T.StringType()) for n in
 STATE_RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("state", "date", US_ADULT, US_PAEDIATRIC)])
 CH_RECORD = T.StructType([T.StructField(n, T.StringType()) for n in
                           ("geoRegion", "altersklasse_covid19", "primary_hosp_reason", "date", "entries")])
-IE_HOSP_PROPS = T.StructType([T.StructField("Date", T.LongType()),
-                              T.StructField("SUM_no_new_admissions_covid19_p", T.LongType())])
-IE_ICU_PROPS = T.StructType([T.StructField("extract", T.LongType()), T.StructField("adcconf", T.LongType())])
+# properties as text: a number may be written 30, 30.0 or "30"; the casts come with the spec
+IE_HOSP_PROPS = T.StructType([T.StructField("Date", T.StringType()),
+                              T.StructField("SUM_no_new_admissions_covid19_p", T.StringType())])
+IE_ICU_PROPS = T.StructType([T.StructField("extract", T.StringType()), T.StructField("adcconf", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -163,69 +186,104 @@ class LandedFeeds:
     reference_places: str | None = None
 
 
-def page_names(rows: DataFrame, page_col: str = "page_file", n: int = 2) -> list[str]:
-    """The first ``n`` landed pages in file-name order -- a top-n in Spark, so
-    only ``n`` names reach the driver however many pages were landed."""
-    return [r[0] for r in rows.select(page_col).distinct().orderBy(page_col).limit(n).collect()]
+def bounded(spec: SourceSpec, last_date: str | None) -> SourceSpec:
+    """The spec with the last plausible report date set."""
+    return replace(spec, plausible=(spec.plausible[0], last_date)) if last_date else spec
 
 
-def current_feeds(spark: SparkSession, landed: LandedFeeds) -> list[DataFrame]:
-    """X1 + X2, shaped for ``current_weekly_series`` (``country`` column)."""
+def current_tables(spark: SparkSession, landed: LandedFeeds,
+                   last_date: str | None = None) -> list[tuple[DataFrame, SourceSpec]]:
+    """X1 + X2: each landed table of the current flow with its spec."""
     out = []
     if landed.nz:
-        out.append(normalize_source(read_csv_text(spark, landed.nz), NZ_CURRENT))
+        out.append((read_csv_text(spark, landed.nz), NZ_CURRENT))
     if landed.cdc:
-        out.append(normalize_source(read_json_records(spark, landed.cdc, CDC_RECORD), CDC_SENTINEL))
-    return [df.withColumnRenamed("country_name", "country") for df in out]
+        out.append((read_json_records(spark, landed.cdc, CDC_RECORD), CDC_SENTINEL))
+    return [(df, bounded(spec, last_date)) for df, spec in out]
 
 
-def archived_feeds(spark: SparkSession, landed: LandedFeeds, us_pages_mode: str = "union",
-                   switzerland_weeks: str = "monday_week", include_bulgaria: bool = False) -> list[DataFrame]:
-    """X1b, X3-X10 (+X11 when asked) as tidy frames, in the reference's merge order."""
-    feeds = []
+def archived_tables(spark: SparkSession, landed: LandedFeeds, switzerland_weeks: str = "monday_week",
+                    include_bulgaria: bool = False,
+                    last_date: str | None = None) -> dict[str, list[tuple[DataFrame, SourceSpec]]]:
+    """X1b, X3-X10 (+X11 when asked): the landed tables with their specs, by feed, in the reference's merge order."""
+    out: dict[str, list[tuple[DataFrame, SourceSpec]]] = {}
     if landed.switzerland:
-        feeds.append(normalize_source(read_json_records(spark, landed.switzerland, CH_RECORD),
-                                      switzerland(switzerland_weeks)))
+        out["switzerland"] = [(read_json_records(spark, landed.switzerland, CH_RECORD),
+                               switzerland(switzerland_weeks))]
     if landed.us_states:
-        rows = read_landed_payloads(spark, landed.us_states, STATE_RECORD)   # one scan, page_file column
-        if us_pages_mode == "union":
-            feeds.append(normalize_pages([rows], US_STATES))
-            feeds.append(normalize_pages([rows], US_TERRITORY_PAGES))
-        else:
-            first, second = page_names(rows, n=2)
-            feeds.append(normalize_paged(rows, US_STATES, "page_file", first, second))
-            feeds.append(normalize_paged(rows, US_TERRITORY_PAGES, "page_file", first, second))
+        out["us_pages"] = [(with_us_country(read_landed_payloads(spark, landed.us_states, STATE_RECORD)), US_PAGES)]
     if landed.denmark:
-        feeds.append(normalize_source(read_csv_text(spark, landed.denmark), DENMARK))
+        out["denmark"] = [(read_csv_text(spark, landed.denmark), DENMARK)]
     if landed.nz:
-        feeds.append(normalize_source(read_csv_text(spark, landed.nz), NZ_ARCHIVED))
+        out["nz"] = [(read_csv_text(spark, landed.nz), NZ_ARCHIVED)]
     if landed.uk_admissions and landed.uk_ventilated:
-        feeds.append(normalize_measure_pair(read_csv_text(spark, landed.uk_admissions), UK_ADMISSIONS,
-                                            read_csv_text(spark, landed.uk_ventilated), UK_VENTILATED))
+        out["uk"] = [(read_csv_text(spark, landed.uk_admissions), UK_ADMISSIONS),
+                     (read_csv_text(spark, landed.uk_ventilated), UK_VENTILATED)]
     if landed.ireland_admissions and landed.ireland_icu:
-        feeds.append(normalize_measure_pair(read_geojson(spark, landed.ireland_admissions, IE_HOSP_PROPS),
-                                            IRELAND_ADMISSIONS,
-                                            read_geojson(spark, landed.ireland_icu, IE_ICU_PROPS), IRELAND_ICU))
+        out["ireland"] = [(read_geojson(spark, landed.ireland_admissions, IE_HOSP_PROPS), IRELAND_ADMISSIONS),
+                          (read_geojson(spark, landed.ireland_icu, IE_ICU_PROPS), IRELAND_ICU)]
     if landed.norway_admissions and landed.norway_icu:
-        feeds.append(normalize_measure_pair(read_csv_text(spark, landed.norway_admissions), NORWAY_ADMISSIONS,
-                                            read_csv_text(spark, landed.norway_icu), NORWAY_ICU))
+        out["norway"] = [(read_csv_text(spark, landed.norway_admissions), NORWAY_ADMISSIONS),
+                         (read_csv_text(spark, landed.norway_icu), NORWAY_ICU)]
     if landed.canada:
-        feeds.append(normalize_source(read_csv_text(spark, landed.canada), CANADA))
+        out["canada"] = [(read_csv_text(spark, landed.canada), CANADA)]
     if include_bulgaria and landed.bulgaria:
-        feeds.append(normalize_source(read_array_records(spark, landed.bulgaria, list(BG_FIELDS)), BULGARIA))
+        out["bulgaria"] = [(read_array_records(spark, landed.bulgaria, list(BG_FIELDS)), BULGARIA)]
+    return {name: [(df, bounded(spec, last_date)) for df, spec in tables] for name, tables in out.items()}
+
+
+def current_feeds(spark: SparkSession, landed: LandedFeeds, last_date: str | None = None) -> list[DataFrame]:
+    """X1 + X2, shaped for ``current_weekly_series`` (``country`` column)."""
+    return [normalize_source(df, spec).withColumnRenamed("country_name", "country")
+            for df, spec in current_tables(spark, landed, last_date)]
+
+
+def archived_feeds(spark: SparkSession, landed: LandedFeeds, us_pages_mode: str = "union",
+                   switzerland_weeks: str = "monday_week", include_bulgaria: bool = False,
+                   last_date: str | None = None) -> list[DataFrame]:
+    """X1b, X3-X10 (+X11 when asked) as tidy frames, in the reference's merge order."""
+    if us_pages_mode not in ("union", "full_join_on_values"):
+        raise ValueError("us_pages_mode must be 'union' or 'full_join_on_values'")
+    feeds = []
+    for name, tables in archived_tables(spark, landed, switzerland_weeks, include_bulgaria, last_date).items():
+        (df, spec), *other = tables
+        if other:
+            feeds.append(normalize_measure_pair(df, spec, *other[0]))
+        elif name == "us_pages" and us_pages_mode == "full_join_on_values":
+            feeds.append(normalize_paged(df, spec, "page_file"))
+        elif name == "us_pages":
+            feeds.append(normalize_pages([df], spec))
+        else:
+            feeds.append(normalize_source(df, spec))
     return feeds
 
 
-def current_release_from_files(spark: SparkSession, landed: LandedFeeds,
-                               spec: OutputSpec = OUTPUT_CURRENT) -> DataFrame:
+def rejected_rows(tables: list[tuple[DataFrame, SourceSpec]]) -> DataFrame:
+    """Q1: every row that the flows leave out for its report date, with feed, raw date and reason.
+
+    ``tables``: as ``current_tables`` or the values of ``archived_tables`` give them."""
+    rows = union_by_name([quarantined_rows(df, spec) for df, spec in tables])
+    return rows.select("feed", "country_name", "raw_date", "report_date", "date_issue",
+                       *[c for c in ("new_hospitalization", "new_icu") if c in rows.columns])
+
+
+def current_release_from_files(spark: SparkSession, landed: LandedFeeds, spec: OutputSpec = OUTPUT_CURRENT,
+                               last_date: str | None = None) -> DataFrame:
     """The current published series (O1 by default) from landed NZ + CDC files."""
-    return current_weekly_series(current_feeds(spark, landed), spec)
+    return current_weekly_series(current_feeds(spark, landed, last_date), spec)
 
 
 def archived_release_from_files(spark: SparkSession, landed: LandedFeeds, **options) -> DataFrame:
     """The archived multi-country series (O2 + reference columns)."""
-    feed_opts = {k: options.pop(k) for k in ("us_pages_mode", "switzerland_weeks", "include_bulgaria")
+    feed_opts = {k: options.pop(k) for k in ("us_pages_mode", "switzerland_weeks", "include_bulgaria", "last_date")
                  if k in options}
     feeds = archived_feeds(spark, landed, **feed_opts)
     reference = read_csv_text(spark, landed.reference_places, clean=False) if landed.reference_places else None
     return archived_weekly_series(feeds, reference=reference, reference_key="ADM0_NAME", **options)
+
+
+def rejected_from_files(spark: SparkSession, landed: LandedFeeds, flow: str, **options) -> DataFrame:
+    """The rejected rows of the ``current`` or ``archived`` flow over landed files."""
+    if flow == "current":
+        return rejected_rows(current_tables(spark, landed, **options))
+    return rejected_rows([t for tables in archived_tables(spark, landed, **options).values() for t in tables])

@@ -17,8 +17,7 @@ from hebdo.functions import dates as D
 from hebdo.functions.casts import to_double, to_int_truncating
 from hebdo.functions.text import normalize_label, recode
 from hebdo.operators.columns import sum_of_columns
-from hebdo.operators.combine import (full_join_on_values, outer_merge_measures, paged_full_join_on_values,
-                                     union_by_name)
+from hebdo.operators.combine import outer_merge_measures, paged_full_join_on_values, union_by_name
 from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import REASON_COL, date_in_range, tag_date_issues
 from hebdo.operators.rollup import daily_totals
@@ -177,21 +176,37 @@ def normalize_source(df: DataFrame, spec: SourceSpec) -> DataFrame:
 def normalize_measure_pair(left: DataFrame, left_spec: SourceSpec,
                            right: DataFrame, right_spec: SourceSpec) -> DataFrame:
     """A feed published as two tables (e.g. admissions and ICU) merged on
-    (country, report date) the way a full join followed by a sum does it."""
-    merged = outer_merge_measures(to_report_rows(left, left_spec), to_report_rows(right, right_spec),
-                                  list(TIDY_KEYS), null_policy=left_spec.null_policy)
-    return _with_constants(merged, left_spec)
-
-
-def normalize_paged(df: DataFrame, spec: SourceSpec, page_col: str, first, second) -> DataFrame:
-    """J2a over two pages read in ONE scan (``page_col`` tells them apart):
-    the reference's full join of two pages on (country, date, measure),
-    computed from per-page counts in one aggregate, then summed per date."""
-    if len(spec.measures) != 1:
-        raise ValueError("the page join merges pages of a single measure")
-    m = spec.measures[0].name
+    (country, report date).
+
+    Summed measures are merged the way a full join followed by a sum does it.
+    As soon as a measure has another aggregate (a stock: ``max``, ``last``),
+    each side is first brought to one row per key with its own aggregates.
+    Each side's measures follow its own missing-value policy."""
+    sides = [(to_report_rows(left, left_spec), left_spec), (to_report_rows(right, right_spec), right_spec)]
+    if any(m.aggregate != "sum" for _, spec in sides for m in spec.measures):
+        sides = [(daily_totals(rows, ["country_name"], "report_date", {m.name: m.aggregate for m in spec.measures},
+                               spec.null_policy), spec) for rows, spec in sides]
+    merged = outer_merge_measures(sides[0][0], sides[1][0], list(TIDY_KEYS), null_policy="keep")
+    filled = {m.name: F.coalesce(F.col(m.name), F.lit(0)) for _, spec in sides if spec.null_policy == "zero"
+              for m in spec.measures}
+    merged = merged.withColumns(filled) if filled else merged
+    return _with_constants(_with_constants(merged, right_spec), left_spec)
+
+
+def _only_summed(spec: SourceSpec) -> str:
+    """The one measure of a feed whose pages are joined on its values."""
+    if len(spec.measures) != 1 or spec.measures[0].aggregate != "sum":
+        raise ValueError("the page join merges pages of a single summed measure")
+    return spec.measures[0].name
+
+
+def normalize_paged(df: DataFrame, spec: SourceSpec, page_col: str) -> DataFrame:
+    """J2a over all pages of ONE scan (``page_col`` tells them apart): the
+    reference's full join of the pages on (country, date, measure), computed
+    from per-page counts, then summed per date."""
+    m = _only_summed(spec)
     rows = to_report_rows(df, spec, keep=(page_col,))
-    weighted = paged_full_join_on_values(rows, [*TIDY_KEYS, m], page_col, first, second, "__n")
+    weighted = paged_full_join_on_values(rows, [*TIDY_KEYS, m], page_col, "__n")
     summed = weighted.groupBy(*TIDY_KEYS).agg(F.sum(F.col(m) * F.col("__n")).alias(m))
     if spec.null_policy == "zero":
         summed = summed.withColumn(m, F.coalesce(F.col(m), F.lit(0)))
@@ -206,20 +221,12 @@ def normalize_pages(pages: list[DataFrame], spec: SourceSpec, mode: str = "union
     (country, date, measure) of the pages -- duplicated values multiply, single
     repeats collapse.  Only for reproducing old outputs; needs one measure.
     """
-    rows = [to_report_rows(p, spec) for p in pages]
-    how = {m.name: m.aggregate for m in spec.measures}
     if mode == "union":
+        rows = [to_report_rows(p, spec) for p in pages]
+        how = {m.name: m.aggregate for m in spec.measures}
         return _with_constants(daily_totals(union_by_name(rows), ["country_name"], "report_date",
                                             how, spec.null_policy), spec)
     if mode != "full_join_on_values":
         raise ValueError("mode must be 'union' or 'full_join_on_values'")
-    if len(spec.measures) != 1 or len(rows) != 2:
-        raise ValueError("full_join_on_values merges two pages of a single measure")
-    m = spec.measures[0].name
-    keys = [*TIDY_KEYS, m]
-    weighted = full_join_on_values(rows[0], rows[1], keys, "__n")
-    summed = (weighted.groupBy(*TIDY_KEYS)
-              .agg(F.sum(F.col(m) * F.col("__n")).alias(m)))
-    if spec.null_policy == "zero":
-        summed = summed.withColumn(m, F.coalesce(F.col(m), F.lit(0)))
-    return _with_constants(summed, spec)
+    tagged = [p.withColumn("__page", F.lit(i)) for i, p in enumerate(pages)]
+    return normalize_paged(union_by_name(tagged), spec, "__page")

@@ -123,15 +123,16 @@ def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None
     out = weekly.select(*own)
     if materialize_weekly and latest_week != "keep":
         out = materialize(out)
+    # a left join can't change the latest week, so it is dropped before the reference is read
+    if latest_week == "global":
+        out = drop_latest_week(out, "epiweek")
+    elif latest_week == "per_country":
+        out = drop_latest_week(out, "epiweek", per=["country"])
     if reference is not None:
         ref = reference.withColumnRenamed(reference_key, "country")
         out = enrich(out, ref, "country", how="left", dedupe_reference=True)
         if len(own) < len(spec.columns):      # the layout names its reference columns (O4)
             out = out.select(*spec.columns)
-    if latest_week == "global":
-        out = drop_latest_week(out, "epiweek")
-    elif latest_week == "per_country":
-        out = drop_latest_week(out, "epiweek", per=["country"])
     return out
 
 
@@ -148,6 +149,8 @@ def publish(df: DataFrame, spec: OutputSpec, csv_path: str | None = None,
     reference columns the archived layout appends)."""
     columns = [c for c in spec.columns if c in df.columns] + [c for c in df.columns if c not in spec.columns]
     out = df.select(*columns)
+    if sum(map(bool, (csv_path, csv_file, parquet_path))) > 1:
+        out = materialize(out)               # the published series is small: run the flow once for all sinks
     if csv_path:
         write_single_csv(out, csv_path, list(spec.order_by))
     if csv_file:

@@ -9,6 +9,7 @@ set (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +62,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the context's, else ``spark.checkpoint.dir``
-    from the session; only when neither is set (local runs, tests) a fresh
-    local folder.  ``spark.checkpoint.dir`` is a core setting that cannot be
-    changed on a running session, so the fallback goes to the context."""
+    from the session.  When neither is set, a session with a local master (tests,
+    local runs) gets a fresh local folder and any other raises: executors of a
+    cluster could not read each other's checkpoints there."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 -- Spark Connect: the server owns the checkpoint folder
@@ -74,6 +75,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
+    elif not re.match(r"local(\[[^\]]*\])?$", getattr(sc, "master", "local")):
+        raise RuntimeError("set spark.checkpoint.dir (or --checkpoint-dir) to a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="hebdo-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     return sc.getCheckpointDir()

@@ -11,6 +11,8 @@ read by one task; many pages/files are read in parallel.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,19 +38,78 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return spark.read.schema(schema).option("header", header).options(**options).csv(path)
 
 
+CORRUPT_COL = "__unparsed"
+ISSUE_COL = "page_issue"
+
+
+def _checked_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str, multi_line: bool,
+                  page_col: str) -> DataFrame:
+    """Records with their file and, for what is not a record of the schema, the reason.
+
+    A file that is not JSON, one whose records have none of the schema's fields
+    (an error object instead of the records) and an empty file each give one
+    row with ``page_issue``; an empty array gives no row."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT_COL, T.StringType())])
+    rows = (spark.read.schema(full).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL).json(path))
+    nothing = F.lit(True)
+    for f in schema.fields:
+        nothing = nothing & F.col(f"`{f.name}`").isNull()
+    issue = F.when(F.col(CORRUPT_COL).isNotNull(), "not JSON of this layout").when(nothing, "no field of the layout")
+    rows = rows.withColumns({page_col: F.col("_metadata.file_path"), ISSUE_COL: issue}).drop(CORRUPT_COL)
+    empty = empty_files(spark, path)
+    if not empty:
+        return rows
+    issues = spark.createDataFrame([(f, "empty file") for f in empty], f"`{page_col}` string, {ISSUE_COL} string")
+    return rows.unionByName(issues, allowMissingColumns=True)
+
+
+def empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files of a path without a byte.  Spark's scans skip them, so the listing is compared with
+    what a scan of file names sees; both hold one name a landed file."""
+    files = spark.read.format("binaryFile").load(path)
+    plain = lambda name: re.sub("^file:/+", "file:/", name)  # noqa: E731  both spellings occur for local files
+    listed = {plain(name) for name in files.inputFiles()}
+    return sorted(listed - {plain(r[0]) for r in files.select("_metadata.file_path").collect()})
+
+
+def _without_bad_pages(rows: DataFrame, page_col: str) -> DataFrame:
+    """The records; the query fails with the file's name at the first row that has an issue."""
+    message = F.concat(F.lit("bad page "), F.col(page_col), F.lit(": "), F.col(ISSUE_COL))
+    bad = F.col(ISSUE_COL).isNotNull()
+    return rows.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop(ISSUE_COL)
+
+
 def read_json_records(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
                       multi_line: bool = True, flatten: bool = False, sep: str = ".") -> DataFrame:
-    """A JSON array of records (or JSON lines with ``multi_line=False``)."""
-    df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    """A JSON array of records (or JSON lines with ``multi_line=False``).
+
+    Anything that can't be read as such records fails the query (see ``read_pages``)."""
+    df = read_pages(spark, path, schema, multi_line, page_col="__file").drop("__file")
     return flatten_structs(df, sep) if flatten else df
 
 
 def read_pages(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
                multi_line: bool = True, page_col: str = PAGE_COL) -> DataFrame:
     """S3: every landed page of a paged API in one scan (a directory or glob),
-    with the page's file path as a column -- no page is silently lost."""
-    df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    return df.withColumn(page_col, F.col("_metadata.file_path"))
+    with the page's file path as a column.  A truncated, empty or wrong-shape
+    page fails the query with its name; ``page_issues`` lists such pages."""
+    return _without_bad_pages(_checked_json(spark, path, schema, multi_line, page_col), page_col)
+
+
+def page_issues(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
+                multi_line: bool = True, page_col: str = PAGE_COL) -> DataFrame:
+    """Quarantine form of ``read_pages``: (page file, issue, n_records) of the pages it would fail on."""
+    rows = _checked_json(spark, path, schema, multi_line, page_col).where(F.col(ISSUE_COL).isNotNull())
+    return rows.groupBy(page_col, ISSUE_COL).agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def read_good_pages(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
+                    multi_line: bool = True, page_col: str = PAGE_COL) -> DataFrame:
+    """The records of all pages without those ``page_issues`` reports."""
+    rows = _checked_json(spark, path, schema, multi_line, page_col)
+    return rows.where(F.col(ISSUE_COL).isNull()).drop(ISSUE_COL)
 
 
 def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
@@ -92,9 +153,12 @@ def explode_features(df: DataFrame, collection_col: str, keep: list[str] | None
 
 def read_geojson(spark: SparkSession, path: str | list[str], properties: T.StructType,
                  top_level: T.StructType | None = None, sep: str | None = None) -> DataFrame:
-    """GeoJSON FeatureCollection files -> one row per feature."""
+    """GeoJSON FeatureCollection files -> one row per feature; a file without features fails the query."""
     schema = geojson_schema(properties, top_level)
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = read_pages(spark, path, schema, page_col="__file")
+    bad = F.col("features").isNull()
+    message = F.concat(F.lit("no features in "), F.col("__file"))
+    raw = raw.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     keep = [f.name for f in top_level.fields] if top_level else []
     packed = raw.select(*keep, F.struct("features").alias("__fc"))
     return explode_features(packed, "__fc", keep, sep)
@@ -102,15 +166,11 @@ def read_geojson(spark: SparkSession, path: str | list[str], properties: T.Struc
 
 def read_landed_payloads(spark: SparkSession, path: str | list[str], record_schema: T.StructType,
                          page_col: str = PAGE_COL) -> DataFrame:
-    """T6 + S2 + S3: raw response bodies landed as bytes -> text -> records.
+    """T6 + S2 + S3: response bodies landed as files -> records, as ``fromJSON(rawToChar(body))``.
 
-    Mirrors ``fromJSON(rawToChar(body))``: each file is one JSON array of
-    records; every file (page) is parsed by its own task.
-    """
-    raw = spark.read.format("binaryFile").load(path)
-    text = bytes_to_text(F.col("content"))
-    parsed = F.from_json(text, T.ArrayType(record_schema))
-    return raw.select(F.col("path").alias(page_col), F.inline(parsed))
+    The JSON reader decodes and streams each file's records, so a page needs no
+    array of its records in memory; bad pages fail as in ``read_pages``."""
+    return read_pages(spark, path, record_schema, page_col=page_col)
 
 
 def promote_header_record(df: DataFrame, array_col: str, names: list[str]) -> DataFrame:
@@ -128,8 +188,17 @@ def promote_header_record(df: DataFrame, array_col: str, names: list[str]) -> Da
 
 
 def read_array_records(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
-    """S8 from files: a JSON array of string arrays, header record first."""
+    """S8 from files: a JSON array of string arrays, header record first.
+
+    A file that is not such an array fails the query with its name.  An array of
+    arrays can't be streamed by the JSON reader: one file is one value in its
+    task (2 GB at most)."""
+    empty = empty_files(spark, path)
+    if empty:
+        raise ValueError(f"bad page {empty[0]}: empty file")
     raw = spark.read.format("binaryFile").load(path)
-    rows = raw.select(F.explode(F.from_json(bytes_to_text(F.col("content")),
-                                            T.ArrayType(T.ArrayType(T.StringType())))).alias("__rec"))
-    return promote_header_record(rows, "__rec", names)
+    records = F.from_json(bytes_to_text(F.col("content")), T.ArrayType(T.ArrayType(T.StringType())))
+    rows = raw.select(F.col("path").alias("__file"), records.alias("__recs"))
+    message = F.concat(F.lit("bad page "), F.col("__file"), F.lit(": not an array of records"))
+    rows = rows.filter(F.when(F.col("__recs").isNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return promote_header_record(rows.select(F.explode("__recs").alias("__rec")), "__rec", names)

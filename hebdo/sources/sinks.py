@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 
 def write_single_csv(df: DataFrame, path: str, order_by: list[str]) -> None:
     """One CSV file with a header, NULL as an empty field, rows in ``order_by``
-    order.  Meant for the published weekly series (countries x weeks rows);
+    order (one task sorts them, so no range exchange is needed).  Meant for the published weekly series (countries x weeks rows);
     large outputs go to ``write_parquet``."""
-    (df.orderBy(*order_by).coalesce(1)
+    (df.coalesce(1).sortWithinPartitions(*order_by)
        .write.mode("overwrite").option("header", True).csv(path))
 
 
@@ -30,11 +30,15 @@ def write_csv_file(df: DataFrame, file_path: str, order_by: list[str]) -> None:
     parts = [st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().startswith("part-")]
     if len(parts) != 1:
         raise RuntimeError(f"expected one CSV part in {staging}, found {len(parts)}")
-    if fs.exists(target):
-        fs.delete(target, False)
+    # the old file steps aside until the new one is in place
+    aside = path_cls(f"{staging}/previous") if fs.exists(target) else None
+    if aside is not None and not fs.rename(target, aside):
+        raise RuntimeError(f"could not replace {file_path}")
     if not fs.rename(parts[0], target):
+        if aside is not None:
+            fs.rename(aside, target)
         raise RuntimeError(f"could not move {parts[0]} to {file_path}")
-    fs.delete(folder, True)      # the staging folder this function created
+    fs.delete(folder, True)      # the staging folder this function created, with the old file
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

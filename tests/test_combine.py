@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import d
@@ -136,15 +137,22 @@ def test_outer_merge_pre_aggregated_equals_raw(spark):
     assert sorted(map(key, raw.collect())) == sorted(map(key, pre.collect()))
 
 
-def test_paged_full_join_equals_two_frames(spark):
+@pytest.mark.parametrize("n_pages", [1, 2, 3, 11])
+def test_paged_full_join_equals_chained_joins(spark, n_pages):
     rnd = random.Random(5)
-    rows = [(rnd.choice(["p1", "p2", "p3"]), rnd.choice(["d1", "d2", None]), rnd.choice([0, 1, None]))
-            for _ in range(60)]
-    df = spark.createDataFrame(rows, "page string, day string, v int")
-    one = paged_full_join_on_values(df, ["day", "v"], "page", "p1", "p2")
-    two = full_join_on_values(df.filter("page = 'p1'").drop("page"), df.filter("page = 'p2'").drop("page"), ["day", "v"])
-    key = lambda r: (r["day"], r["v"], r["n_rows"])
-    assert sorted(map(key, one.collect()), key=str) == sorted(map(key, two.collect()), key=str)
+    rows = [(rnd.randrange(n_pages), rnd.choice(["d1", "d2", None]), rnd.choice([0, 1, None])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "page int, day string, v int")
+    got = {(r["day"], r["v"]): r["n_rows"] for r in paged_full_join_on_values(df, ["day", "v"], "page").collect()}
+    joined = [r[1:] for r in rows if r[0] == 0]
+    for p in range(1, n_pages):
+        joined = [a or b for a, b in pairs_full_join(joined, [r[1:] for r in rows if r[0] == p], 2)]
+    want = {}
+    for key in joined:
+        want[key[:2]] = want.get(key[:2], 0) + 1
+    assert got == want
+    if n_pages == 2:
+        two = full_join_on_values(df.filter("page = 0").drop("page"), df.filter("page = 1").drop("page"), ["day", "v"])
+        assert got == {(r["day"], r["v"]): r["n_rows"] for r in two.collect()}
 
 
 def test_merge_side_totals_one_pass(spark):

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from hebdo.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -19,9 +19,9 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
-    plan = physical(E.queries()[name](spark, SF))
+    plan = physical(QUERIES[name](spark, SF))
     for node in FORBIDDEN:
         assert node not in plan, f"{name} uses {node}"
     if "Window" in plan:
@@ -33,7 +33,7 @@ def test_plan_shape(spark, name):
 
 def test_top1_and_merges_combine_map_side(spark):
     for name in ("top1_per_group", "two_measure_outer_merge", "full_join_on_values"):
-        plan = physical(E.queries()[name](spark, SF))
+        plan = physical(QUERIES[name](spark, SF))
         assert "partial_" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
 
 
@@ -41,10 +41,10 @@ WIDE = {"lineitem": 11, "orders": 6, "events": 6}
 READS_EVERY_COLUMN = {("clean_names", "orders")}     # renames every column by design
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_scans_read_only_needed_columns(spark, name):
     """Column pruning reaches the Parquet scans of the wide tables."""
-    plan = physical(E.queries()[name](spark, SF))
+    plan = physical(QUERIES[name](spark, SF))
     for cols, table in re.findall(r"FileScan parquet \[([^\]]*)\].*?/(\w+)\.parquet", plan):
         if table in WIDE and (name, table) not in READS_EVERY_COLUMN:
             assert len(cols.split(",")) < WIDE[table], f"{name} reads every column of {table}"

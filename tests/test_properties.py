@@ -76,4 +76,6 @@ def test_guarded_formats_round_trip(spark, days):
     df = spark.createDataFrame([(x,) for x in days], "d date")
     for fmt in MONTH_FIRST_FORMATS + DAY_FIRST_FORMATS:
         back = df.select("d", parse_date_formats(F.date_format("d", fmt), (fmt,)).alias("p")).collect()
+        if "yy" in fmt and "yyyy" not in fmt:        # two digits name one century only
+            back = [r for r in back if 1969 <= r["d"].year <= 2068]
         assert all(r["p"] == r["d"] for r in back), fmt
