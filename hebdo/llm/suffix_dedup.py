@@ -23,8 +23,8 @@ repeats and sends each distinct digit once, so a string that a third of all
 documents share costs one entry a batch.  The leading bits of a digit choose
 its bucket (the first radix pass); a bucket sorts its entries and answers each
 batch with bits, in the order in which the batch sent them.  Batches and
-buckets hold a fixed number of bytes, whatever the size of the input, and all
-passes read one shuffle of the texts.
+buckets stand for a bounded number of bytes, whatever the size of the input,
+and all passes read one shuffle of the texts.
 
 Digits are 64-bit hashes of their tokens: two different strings would have to
 agree in bucket bits and digit (pass 2: in both digits) to be confused.
@@ -52,7 +52,9 @@ from hebdo.llm.bytescan import mix, prefix_sums, row_blocks, utf8_buffer
 WINDOW = 50
 GRAM = 25
 BATCH_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
+BUCKETS = 1024                  # more only when a bucket would pass LARGE_BUCKET bytes of text
+LARGE_BUCKET = 64 << 20
 SPLIT = 4096
 MESSAGE = "bucket bigint, batch bigint, kind int, body binary"
 
@@ -420,7 +422,8 @@ def repeated(docs: DataFrame, doc_id: str, text: str, finish, schema: T.StructTy
              batch_bytes: int = BATCH_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Run the passes; ``finish(passes, batch, gone, docs table)`` makes the rows of a batch."""
     dealt, name, total = batched(docs, doc_id, text, batch_bytes)
-    bits = max(0, (max(1, -(-total // bucket_bytes)) - 1).bit_length())
+    buckets = max(1, min(BUCKETS, -(-total // bucket_bytes)), -(-total // LARGE_BUCKET))
+    bits = (buckets - 1).bit_length()
     run = Passes(doc_id, text, window, bits)
     by_batch = dealt.groupBy(name)                                # one shuffle of the texts serves every pass
 
