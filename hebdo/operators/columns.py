@@ -46,3 +46,12 @@ def project_for_join(df: DataFrame, keys: list[str], keep: list[str]) -> DataFra
     """Project to the key and the needed measures before a join so that no
     same-named non-key column can collide (no ``.x`` / ``.y`` suffixes)."""
     return df.select(*keys, *[c for c in keep if c not in keys])
+
+
+def computed_once(df: DataFrame, *cols: Column | str) -> DataFrame:
+    """A projection whose expressions are evaluated once a row, whatever reads
+    them.  Catalyst pushes a filter below a plain projection and inlines the
+    filtered expression there, so an expensive one (a parsed date) would run
+    again for every reference.  A one-element ``inline`` is where that stops;
+    filters that need no computed column belong before it."""
+    return df.select(F.inline(F.array(F.struct(*cols))))

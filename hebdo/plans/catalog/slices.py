@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hebdo.functions import dates as D
 from hebdo.functions.casts import to_int_truncating
 from hebdo.functions.text import normalize_label
+from hebdo.operators.columns import computed_once
 from hebdo.operators.filters import (drop_zero, exclude_values, keep_all, keep_equal, keep_on_or_after,
                                      keep_values)
 from hebdo.plans import feeds
 from hebdo.plans.catalog.registry import register
 from hebdo.plans.catalog.sql import PARSED_DATES, RENDERED_DATES
-from hebdo.plans.catalog.dates import _parsed_dates
 
 
 # ---------------------------------------------------------------------------
@@ -65,8 +66,10 @@ SELECT p.o_orderkey, p.report_date, o_orderkey % 13 AS new_hospitalization
 FROM parsed p
 WHERE p.report_date IS NOT NULL AND p.report_date >= DATE '1999-05-04' AND o_orderkey % 13 <> 0""")
 def date_lower_bound(spark: SparkSession, d: str) -> DataFrame:
-    p = _parsed_dates(spark, d).select("o_orderkey", "report_date",
-                                        (F.col("o_orderkey") % 13).alias("new_hospitalization"))
-    return drop_zero(keep_on_or_after(p, "report_date", "1999-05-04"), "new_hospitalization")
+    raw = feeds.rendered_order_dates(spark, d).withColumn("new_hospitalization", F.col("o_orderkey") % 13)
+    date = F.coalesce(D.parse_date_leading("raw_date"), D.parse_month_first("raw_date"))
+    p = computed_once(drop_zero(raw, "new_hospitalization"), "o_orderkey", date.alias("report_date"),
+                      "new_hospitalization")
+    return keep_on_or_after(p, "report_date", "1999-05-04")
 
 

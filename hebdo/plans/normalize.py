@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hebdo.functions import dates as D
 from hebdo.functions.casts import to_double, to_int_truncating
 from hebdo.functions.text import normalize_label, recode
-from hebdo.operators.columns import sum_of_columns
+from hebdo.operators.columns import computed_once, sum_of_columns
 from hebdo.operators.combine import outer_merge_measures, paged_full_join_on_values, union_by_name
 from hebdo.operators.nulls import fill_missing
 from hebdo.operators.quarantine import REASON_COL, date_in_range, tag_date_issues
@@ -73,8 +73,9 @@ def _report_columns(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ())
     measures = {m.name: to_int_truncating(sum_of_columns(*[to_double(p) for p in m.parts]), "bigint")
                 for m in spec.measures}
     raw = [F.col(spec.date.column).cast("string").alias("raw_date")] if spec.plausible else []
-    return df.select(country.alias("country_name"), parse_report_date(spec.date).alias("report_date"),
-                     *[expr.alias(name) for name, expr in measures.items()], *raw, *keep)
+    project = computed_once if spec.plausible or spec.min_date else DataFrame.select
+    return project(df, country.alias("country_name"), parse_report_date(spec.date).alias("report_date"),
+                   *[expr.alias(name) for name, expr in measures.items()], *raw, *keep)
 
 
 def _valid_range(spec: SourceSpec) -> tuple[str | None, str | None]:
@@ -100,9 +101,8 @@ def to_report_rows(df: DataFrame, spec: SourceSpec, keep: tuple[str, ...] = ())
     """Filtered, typed, not yet aggregated rows: (country_name, report_date,
     measures) plus the ``keep`` columns carried through unchanged.
 
-    Q1 and F6 are one range filter that names the parsed date once (see
-    ``date_in_range``), so the date is parsed once in the filter Catalyst
-    pushes down and once in the projection -- not once per reason.
+    The slice filters run first, then the date is parsed once
+    (``computed_once``), then Q1 and F6 are one range filter over it.
     """
     rows = _report_columns(df, spec, keep)
     first, last = _valid_range(spec)
