@@ -17,8 +17,9 @@ from hebdo.plans.catalog.registry import register
 # Documents: GeoJSON features, nested JSON records
 # ---------------------------------------------------------------------------
 
-# Events per generated document.  Pages are ranges of event_id, the table's key,
-# so every document holds at most PAGE_SIZE events whatever the value skew.
+# Every event is a document of one feature or record, made in its own row: no
+# shuffle to build stand-in documents.  Documents of many features are read from
+# files in the tests.  The page names ranges of event_id.
 PAGE_SIZE = 200
 
 
@@ -33,10 +34,8 @@ def geojson_inline(spark: SparkSession, d: str) -> DataFrame:
                                 F.col("event_id"), F.col("user_id"),
                                 F.floor("value").cast("bigint").alias("SUM_no_new_admissions")).alias("properties"))
     page = F.concat(F.lit("page-"), F.floor(F.col("event_id") / PAGE_SIZE).cast("string"))
-    docs = (e.groupBy(page.alias("name"))
-             .agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
-                                     F.collect_list(feature).alias("features"))).alias("body"))
-             .select("name", F.encode("body", "UTF-8").alias("payload")))
+    body = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features")))
+    docs = e.select(page.alias("name"), F.encode(body, "UTF-8").alias("payload"))
     props = T.StructType([T.StructField(n, T.LongType())
                           for n in ("Date", "event_id", "user_id", "SUM_no_new_admissions")])
     schema = geojson_schema(props)
@@ -56,7 +55,7 @@ def json_flatten(spark: SparkSession, d: str) -> DataFrame:
     record = F.struct(F.col("event_id"), F.struct("user_id", "event_type").alias("user"),
                       F.from_json("props", "k bigint").alias("props"))
     page = F.concat(F.lit("page-"), F.floor(F.col("event_id") / PAGE_SIZE).cast("string"))
-    docs = e.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(record)).alias("body"))
+    docs = e.select(page.alias("page"), F.to_json(F.array(record)).alias("body"))
     schema = ("array<struct<event_id: bigint, user: struct<user_id: bigint, event_type: string>, "
               "props: struct<k: bigint>>>")
     records = docs.select("page", F.inline(F.from_json("body", schema)))
@@ -75,10 +74,8 @@ def header_record_promotion(spark: SparkSession, d: str) -> DataFrame:
     names = ["event_id", "event_type", "Дата"]
     e = feeds.table(spark, d, "events")
     record = F.array(F.col("event_id").cast("string"), F.col("event_type"), F.to_date("ts").cast("string"))
-    page = F.floor(F.col("event_id") / PAGE_SIZE)
     header = F.array(*[F.lit(n) for n in names])
-    docs = (e.groupBy(page.alias("page"))
-             .agg(F.to_json(F.concat(F.array(header), F.collect_list(record))).alias("body")))
+    docs = e.select(F.to_json(F.array(header, record)).alias("body"))
     records = docs.select(F.explode(F.from_json("body", "array<array<string>>")).alias("rec"))
     return promote_header_record(records, "rec", names)
 
