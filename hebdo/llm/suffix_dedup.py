@@ -56,6 +56,8 @@ BUCKET_BYTES = 4 << 20
 BUCKETS = 1024                  # more only when a bucket would pass LARGE_BUCKET bytes of text
 LARGE_BUCKET = 64 << 20
 SPLIT = 4096
+CUTS = 3
+SPREAD = np.uint64(0xD6E8FEB86659FD93)
 MESSAGE = "bucket bigint, batch bigint, kind int, body binary"
 
 
@@ -87,7 +89,7 @@ class Stretches:
         begin = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1]))))
         end = np.concatenate((begin[1:], [len(start)])) - 1
         self.first, self.last, self.doc, at = start[begin], start[end], doc[begin], at[begin]
-        self.gram = h[at]
+        self.gram = mix(h[at] * SPREAD)                           # an anchor's own hash is small: it was the least
         # second digit: the tokens of the whole stretch and the anchor's place in it
         whole = (sums[self.last + window] - sums[self.first]) * down[self.first]
         shape = (at - self.first) * window * 2 + (self.last - self.first) + 1
@@ -386,35 +388,31 @@ def _free_name(df: DataFrame, name: str) -> str:
 
 
 def batched(docs: DataFrame, doc_id: str, text: str, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, str, int]:
-    """``docs`` with a batch number that grows with the id, its name, and the total bytes.
+    """``docs`` with a batch number that never falls as the id grows, its name, and the total bytes.
 
     The id range is cut evenly; cells that hold much more than a batch are cut
-    again until they do not (or hold one id)."""
-    name = _free_name(docs, "batch_no")
-    key = F.col(doc_id).cast("long")
+    again, up to ``CUTS`` times (ids may be sparse and clustered)."""
+    name, more = _free_name(docs, "batch_no"), _free_name(docs, "batch_cuts")
+    key = F.col(doc_id).cast("double")                            # rounding keeps the order, and equal ids equal
     size = F.coalesce(F.octet_length(text), F.lit(0))
     s = docs.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.sum(size).alias("n")).first()
-    lo, hi, total = s["lo"] or 0, s["hi"] or 0, int(s["n"] or 0)
-    cells = max(1, -(-total // batch_bytes))
-    width = max(1, -(-(hi - lo + 1) // cells))
-    number = F.expr(f"(cast(`{doc_id}` as bigint) - {lo}L) div {width}L")
-    start = lambda cell: cell * width + lo
-    out = docs.withColumn(name, F.coalesce(number, F.lit(0).cast("long")))
-    while width > 1:
-        large = [(r[name], min(SPLIT, -(-r["n"] // batch_bytes))) for r in
-                 out.groupBy(name).agg(F.sum(size).alias("n")).where(F.col("n") > 4 * batch_bytes).collect()]
-        if not large:
+    lo, hi, total = s["lo"] or 0.0, s["hi"] or 0.0, int(s["n"] or 0)
+    width = max(1.0, (hi - lo + 1) / max(1, -(-total // batch_bytes)))
+    place = (key - F.lit(lo)) / F.lit(width)                      # the cell, and the place inside it
+    out = docs.withColumn(name, F.coalesce(F.floor(place), F.lit(0)).cast("long"))
+    scale = 1
+    for _ in range(CUTS):
+        large = [(r[name],) for r in out.groupBy(name).agg(F.sum(size).alias("n"))
+                 .where(F.col("n") > 4 * batch_bytes).collect()]
+        if not large or width <= 1:
             break
-        cuts = docs.sparkSession.createDataFrame(large, f"{name} bigint, _cuts bigint")
-        inner = -(-width // SPLIT)
-        offset = key - start(F.col(name))
-        part = F.least(F.lit(SPLIT - 1), F.floor(offset / F.lit(inner)))
-        out = out.join(F.broadcast(cuts), name, "left").withColumn(name, F.coalesce(
-            F.when(F.col("_cuts").isNotNull(), F.col(name) * SPLIT + part).otherwise(F.col(name) * SPLIT),
-            F.lit(0).cast("long"))).select(*docs.columns, name)
-        old_start, old_width = start, width
-        start = lambda cell, f=old_start, w=inner: f(F.floor(cell / SPLIT)) + (cell % SPLIT) * w
-        width = 1 if old_width <= SPLIT else inner
+        scale, width = scale * SPLIT, width / SPLIT
+        finer = F.floor(place * F.lit(float(scale))).cast("long")
+        coarse = F.col(name) * SPLIT
+        cuts = docs.sparkSession.createDataFrame([(n, 1) for n, in large], f"`{name}` bigint, `{more}` int")
+        out = out.join(F.broadcast(cuts), name, "left").withColumn(
+            name, F.when(F.col(more).isNotNull(), F.greatest(coarse, F.least(finer, coarse + SPLIT - 1)))
+            .otherwise(coarse)).select(*docs.columns, name)
     return out, name, total
 
 
