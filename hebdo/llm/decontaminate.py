@@ -33,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.llm.bytescan import ALNUM_WORDS, LOWER, Words, mix, text_blocks, word_hash, word_texts
+from hebdo.llm.names import check_free, free_name
 
 WINDOW = 10
 SEGMENT = 64
 TABLE_BITS = 16
-BLOCK_ITEM_BYTES = 16 << 20
+BLOCK_ITEM_BYTES = 2 << 20
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -204,6 +205,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
                    keep: list[str] | None = None, item_block_bytes: int = BLOCK_ITEM_BYTES) -> DataFrame:
     """The columns ``keep`` (default: all) of ``docs`` and a binary state column
     that holds each row's hits (see ``hit_digest``)."""
+    check_free(docs.columns, [state])
     out = docs.withColumn(state, F.lit(None).cast("binary"))
     passes, blocks = _item_blocks(benchmark, item, item_text, item_block_bytes)
     for k, items in enumerate(blocks):
@@ -218,6 +220,8 @@ DIGEST = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, con
 
 def hit_digest(hits: DataFrame, keep: list[str], state: str = "benchmark_state") -> DataFrame:
     """The columns ``keep`` plus word counts, item digests, covered word spans and item ids."""
+    names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans", "items"]
+    check_free(keep, names)
     head = hits.select(*keep, state)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in head.schema.fields if f.name != state)
     width = len(keep)
@@ -235,14 +239,13 @@ def hit_digest(hits: DataFrame, keep: list[str], state: str = "benchmark_state")
                 pa.array([[{"first": a, "end": b} for a, b in s] for _, s, _ in out],
                          pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
                 pa.array(ids, pa.list_(pa.string()))]
-            names = list(keep) + ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans", "items"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
     return head.mapInArrow(run, f"{schema}, {DIGEST}")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; same columns."""
-    state = options.get("state", "benchmark_state")
-    hits = benchmark_hits(docs, benchmark, **options)
+    state = free_name(docs, "benchmark_state")
+    hits = benchmark_hits(docs, benchmark, state=state, **options)
     # the state holds the word count, then the number of covered spans, eight bytes each
-    return hits.where(f"substring({state}, 9, 8) = X'0000000000000000'").drop(state)
+    return hits.where(f"substring(`{state}`, 9, 8) = X'0000000000000000'").drop(state)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from hebdo.llm.bytescan import ALNUM_WORDS, LOWER, Words, text_blocks, word_hash
+from hebdo.llm.names import check_free
 
 #: Phrases that are always counted, and their labels.
 BASE_PHRASES = {
@@ -247,12 +248,14 @@ def score(found: list[dict], base: set[str]) -> float:
 
 
 _WORKER: list[Scanner] = []
+NAMES_MADE = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections"]
 RESULT = "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, " \
          "score double, detections array<struct<label:string,priority:int,first:int,end:int>>"
 
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and per row: word count, base places, labels, score and the detections (word intervals)."""
+    check_free(keep, NAMES_MADE)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,6 +276,5 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
                        pa.array([",".join(sorted(s)) for s in labels], pa.string()),
                        pa.array([score(x["found"], s) for x, s in zip(got, base)], pa.float64()),
                        pa.array([x["found"] for x in got], detection)]
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + columns, names=[
-                *keep, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections"])
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + columns, names=[*keep, *NAMES_MADE])
     return docs.mapInArrow(run, f"{fields}, {RESULT}")

@@ -15,7 +15,7 @@ to the driver, texts never do.  Scoring covers every row and its whole text.
 
 Cases: a null or empty text has all-zero measurements and gets the score of
 that row; labels that are null are ignored; repeated label rows of an id use
-the smallest label; with one class only, or no labels, every score is 1.0;
+the smallest label, repeated document rows its smallest text; with one class only, or no labels, every score is 1.0;
 other columns pass through.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.llm.bytescan import LOWER, SPACE_WORDS, Words, mix, text_blocks
+from hebdo.llm.names import check_free, free_name
 
 SAMPLE_ROWS = 20_000
 N_PAIRS = 20_000
@@ -146,14 +147,17 @@ def text_scores(model: Ranker, column: pa.Array) -> np.ndarray:
 
 def label_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int,
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(text, label) of about ``rows`` labelled documents chosen by id hash; ``usable`` filters ids."""
+    """(id, y, t) of about ``rows`` labelled documents chosen by id hash; ``usable`` filters ids.
+
+    An id has one row, with its smallest label and text."""
     known = (labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("id"))
              .agg(F.min(label).cast("int").alias("y")).where(usable))
     total = known.count()
     if total > rows:
         share = F.lit(int(rows / total * 1_000_000))
         known = known.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1_000_000)) < share)
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(known), "id")
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(F.broadcast(known), "id")
+    return texts.groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "quality",
@@ -176,17 +180,20 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
     return Ranker.fit(x, got["y"].to_numpy())
 
 
-def with_scores(docs: DataFrame, model: Ranker, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``quality_score`` of every row."""
-    schema = docs.select(*keep).schema.add("quality_score", "double")
+def with_scores(docs: DataFrame, model: Ranker, keep: list[str], text: str = "text",
+                score: str = "quality_score") -> DataFrame:
+    """The columns ``keep`` and the score of every row."""
+    check_free(keep, [score])
+    schema = docs.select(*keep).schema.add(score, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores = pa.array(text_scores(model, b.column(text)))
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [scores], names=[*keep, "quality_score"])
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [scores], names=[*keep, score])
     return docs.mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, model: Ranker, text: str = "text") -> DataFrame:
     """``docs`` without the rows scored below ``CUT``; same columns."""
-    return with_scores(docs, model, docs.columns, text).where(F.col("quality_score") >= CUT).drop("quality_score")
+    score = free_name(docs, "quality_score")
+    return with_scores(docs, model, docs.columns, text, score).where(F.col(score) >= CUT).drop(score)

@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hebdo.llm.names import check_free
+
 WINDOW = 8
 BREAKS = "[\\x20\\x09-\\x0D]+"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
@@ -56,6 +58,8 @@ CURRENT = POLICIES[-1]
 
 def measured(docs: DataFrame, keep: list[str], text: str = "text", window: int = WINDOW) -> DataFrame:
     """``keep`` and the measurements of every text."""
+    check_free(keep, [*MEASURES, "failed_bits"])
+
     def names(*more: str) -> list:
         return [F.col(f"kept.{c}").alias(c) for c in keep] if more == ("out",) else ["kept", *more]
 

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from hebdo.llm.bytescan import LOWER, SPACE_WORDS, Words, text_blocks
 from hebdo.llm.components import components
+from hebdo.llm.names import free_name
 from hebdo.session import materialize
 
 SHINGLE = 3
@@ -228,11 +229,12 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     Where an id has several rows, the least of them (by text, then the other columns) stays; rows
     without an id go."""
     found = materialize(near_duplicates(docs, doc_id, text, shingle, radius))
-    keepers = found.where("id = component").groupBy(F.col("id").alias("_keeper")).agg(F.count("*").alias("_rows"))
-    kept = docs.join(keepers.select("_keeper"), F.col(doc_id).cast("long") == F.col("_keeper"), "left_semi")
-    if not keepers.where("_rows > 1").head(1):
+    keeper, row = free_name(docs, "keeper"), free_name(docs, "least_row")
+    keepers = found.where("id = component").groupBy(F.col("id").alias(keeper)).agg(F.count("*").alias("n"))
+    kept = docs.join(keepers.select(keeper), F.col(doc_id).cast("long") == F.col(keeper), "left_semi")
+    if not keepers.where("n > 1").head(1):
         return kept
     rest = [c for c in docs.columns if c not in (doc_id, text)]
     order = F.struct(text, *[F.col(c) for c in rest])
-    least = kept.groupBy(doc_id).agg(F.min(order).alias("_row"))
-    return least.select(*[F.col(c) if c == doc_id else F.col(f"_row.{c}").alias(c) for c in docs.columns])
+    least = kept.groupBy(doc_id).agg(F.min(order).alias(row))
+    return least.select(*[F.col(c) if c == doc_id else F.col(row)[c].alias(c) for c in docs.columns])

@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hebdo.llm.bytescan import mix, prefix_sums, row_blocks, utf8_buffer
+from hebdo.llm.names import free_name
 
 WINDOW = 50
 GRAM = 25
@@ -381,18 +382,12 @@ class Passes:
         return out
 
 
-def _free_name(df: DataFrame, name: str) -> str:
-    while name in df.columns:
-        name = "_" + name
-    return name
-
-
 def batched(docs: DataFrame, doc_id: str, text: str, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, str, int]:
     """``docs`` with a batch number that never falls as the id grows, its name, and the total bytes.
 
     The id range is cut evenly; cells that hold much more than a batch are cut
     again, up to ``CUTS`` times (ids may be sparse and clustered)."""
-    name, more = _free_name(docs, "batch_no"), _free_name(docs, "batch_cuts")
+    name, more = free_name(docs, "batch_no"), free_name(docs, "batch_cuts")
     key = F.col(doc_id).cast("double")                            # rounding keeps the order, and equal ids equal
     size = F.coalesce(F.octet_length(text), F.lit(0))
     s = docs.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.sum(size).alias("n")).first()

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.llm.bytescan import ALNUM_WORDS, LOWER, Words, mix, text_blocks
+from hebdo.llm.names import check_free
 
 SAMPLE_ROWS = 3_000             # of each class
 SAMPLE_BYTES = 9 << 20          # of each class
@@ -242,6 +243,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
 
 def with_scores(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` and ``toxic_score`` of every row."""
+    check_free(keep, ["toxic_score"])
     slim = model.slim()
     schema = docs.select(*keep).schema.add("toxic_score", "double")
 

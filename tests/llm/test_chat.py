@@ -22,7 +22,8 @@ def made(seed):
         n = rng.choice([1, 2, 3, 40])
         for t in range(n):
             role = "system" if t == 0 and c % 2 else rng.choice(["user", "assistant", "tool\nx", ":\n", None])
-            rows.append((c, t, role, rng.choice([None, "", " ".join(rng.choice(bits) for _ in range(rng.randint(0, 40)))])))
+            text = " ".join(rng.choice(bits) for _ in range(rng.randint(0, 40)))
+            rows.append((c, t, role, rng.choice([None, "", text])))
     return rows + rows[:3] + [(None, None, "user", "no id")]
 
 

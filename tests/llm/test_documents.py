@@ -26,9 +26,14 @@ def texts(seed, n, longest=60, words=WORDS):
     return [" ".join(rng.choice(words) for _ in range(rng.randint(0, longest))) for _ in range(n)]
 
 
-def frame(spark, rows, schema="doc_id bigint, text string, extra string, batch_no int, id int, t string"):
+CLASHES = ["batch_no", "batch_cuts", "id", "fp", "keeper", "least_row", "quality_score", "benchmark_state", "bucket",
+           "kept", "w", "y", "component", "batch", "kind", "body"]
+
+
+def frame(spark, rows):
     """Rows of (id, text) with columns whose names operators use inside."""
-    return spark.createDataFrame([(i, t, "e", 1, 2, "clash") for i, t in rows], schema).repartition(3)
+    schema = "doc_id bigint, text string, extra string, t string, " + ", ".join(f"{c} int" for c in CLASHES)
+    return spark.createDataFrame([(i, t, "e", "clash", *[7] * len(CLASHES)) for i, t in rows], schema).repartition(3)
 
 
 def empty(spark):
@@ -41,15 +46,18 @@ def test_decontamination_matches_brute_force(spark):
     docs = [(i, t) for i, t in enumerate(ODD + texts(3, 60) + [" ".join(WORDS * 300)] + ["alpha beta"] * 2)]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     for size in (1 << 20, 40):                          # one pass, and several passes over the items
-        hits = decontaminate.benchmark_hits(frame(spark, docs), bench, keep=["doc_id", "extra"], item_block_bytes=size)
+        hits = decontaminate.benchmark_hits(frame(spark, docs), bench, keep=["doc_id", "extra"], state="found",
+                                            item_block_bytes=size)
         got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"])
-               for r in decontaminate.hit_digest(hits, ["doc_id"]).collect()}
+               for r in decontaminate.hit_digest(hits, ["doc_id"], "found").collect()}
         assert [got[i] for i, _ in docs] == brute.decontamination([t for _, t in docs], items)
     clean = decontaminate.decontaminate(frame(spark, docs), bench)
     assert clean.columns == frame(spark, docs).columns
     assert {r["doc_id"] for r in clean.collect()} == {i for i, _ in docs if not got[i][1]}
-    none = decontaminate.benchmark_hits(empty(spark), bench)
-    assert decontaminate.hit_digest(none, ["doc_id"]).count() == 0
+    none = decontaminate.benchmark_hits(empty(spark), bench, state="found")
+    assert decontaminate.hit_digest(none, ["doc_id"], "found").count() == 0
+    with pytest.raises(ValueError):                    # a column of the caller's has the state's name
+        decontaminate.benchmark_hits(empty(spark), bench)
     assert decontaminate.decontaminate(frame(spark, docs), bench.limit(0)).count() == len(docs)
 
 
@@ -81,7 +89,8 @@ def test_simhash_cuts_large_tiles(spark):
     classes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in rows], "fp bigint, id bigint")
     want = brute.simhash_groups(rows)
     for tile in (4096, 3):
-        got = {r["node"]: r["component"] for r in simhash.components(simhash.links(classes, tile=tile), "a", "b").collect()}
+        found = simhash.components(simhash.links(classes, tile=tile), "a", "b")
+        got = {r["node"]: r["component"] for r in found.collect()}
         assert {i: got.get(i, i) for i, _ in rows} == want
 
 
