@@ -38,12 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from hebdo.llm.bytescan import Words, text_blocks
+from hebdo.llm.names import check_free
 from hebdo.llm.word_memory import WordMemory
 
 META = "▁"
 BLOCK = 1 << 20
 PAIR = 1 << 20
-REMEMBER_PAIRS = 2_000_000
+REMEMBER_RUNS = 900_000
+REMEMBER_PAIRS = 500_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
 _WORKER: dict[str, Transducer] = {}
 
@@ -73,7 +75,7 @@ class Transducer:
         self.longest = max(map(len, self.ids))
         self.histories: dict[int, tuple | None] = {}
         self.seams: dict[int, bool] = {}
-        self.memory = WordMemory(self.encode_words)
+        self.memory = WordMemory(self.encode_words, REMEMBER_RUNS)
         raw = [self._bytes_of(i, p) for i, p in enumerate(model.pieces)]
         self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
         self.raw_at = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
@@ -213,6 +215,7 @@ def _plain(column: pa.Array) -> pa.Array:
 
 def encode(docs: DataFrame, model: str, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` and ``piece_ids`` of every row."""
+    check_free(keep, ["piece_ids"])
     schema = docs.select(*keep).schema.add("piece_ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,6 +231,7 @@ def encode(docs: DataFrame, model: str, keep: list[str], text: str = "text") ->
 
 def decode(rows: DataFrame, model: str, keep: list[str], ids: str = "piece_ids", text: str = "text") -> DataFrame:
     """The columns ``keep`` and the decoded ``text`` of every row (null ids: empty)."""
+    check_free(keep, [text])
     schema = rows.select(*keep).schema.add(text, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,6 +250,7 @@ def decode(rows: DataFrame, model: str, keep: list[str], ids: str = "piece_ids",
 
 def encode_and_check(docs: DataFrame, model: str, keep: list[str], text: str = "text") -> DataFrame:
     """``encode`` plus n_ids and ``round_trip``: decoding the ids gives the text (spaces for meta symbols)."""
+    check_free(keep, ["piece_ids", "n_ids", "round_trip"])
     schema = docs.select(*keep).schema.add("piece_ids", T.ArrayType(T.IntegerType())).add("n_ids", "long").add(
         "round_trip", "boolean")
 
