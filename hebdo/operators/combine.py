@@ -114,38 +114,24 @@ def paged_full_join_on_values(df: DataFrame, keys: list[str], page_col: str,
 
 # --- J4: reference enrichment -----------------------------------------------
 
-def bounded_row_count(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None.
-
-    A top-level limit runs as ``CollectLimit``, which scans partitions
-    incrementally (one, then four times more, ...) and stops once it has
-    ``max_rows + 1`` rows, so the check stays cheap on a table with thousands
-    of partitions (``limit(...).count()`` would start a task per partition).
-    Only a constant column is kept; on a classic session the rows stay in the
-    driver JVM and only their number crosses to Python.
-    """
-    probe = df.select(F.lit(1).alias("one")).limit(max_rows + 1)
-    jdf = getattr(probe, "_jdf", None)
-    n = jdf.collectAsList().size() if jdf is not None else len(probe.collect())
-    return n if n <= max_rows else None
-
-
 MAX_BROADCAST_ROW_BYTES = 1_024
 
 
 def provably_small(df: DataFrame, max_rows: int = 100_000) -> bool:
-    """Whether ``df`` holds at most ``max_rows`` rows whose text and nested
-    columns, at their widest, take at most ``MAX_BROADCAST_ROW_BYTES`` a row of
-    that bound.  The widths are only read once the row count has passed."""
-    n = bounded_row_count(df, max_rows)
-    if n is None:
-        return False
-    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary", "array", "map")]
-    if not texts or n == 0:
-        return True
-    widths = [F.max(F.octet_length(F.col(f"`{c}`").cast("string"))) for c in texts]
-    widest = df.agg(*widths).first()
-    return sum(w or 0 for w in widest) * n <= max_rows * MAX_BROADCAST_ROW_BYTES
+    """Whether ``df`` holds at most ``max_rows`` rows of together at most
+    ``max_rows`` x ``MAX_BROADCAST_ROW_BYTES`` bytes.
+
+    One top-level limit over row widths: it runs as ``CollectLimit``, which
+    scans partitions incrementally (one, then four times more, ...) and stops
+    once it has ``max_rows + 1`` rows, so the check stays cheap on a table with
+    thousands of partitions and sends one number a row."""
+    width = F.lit(0)
+    for f in df.schema.fields:
+        nested = f.dataType.typeName() in ("string", "binary", "array", "map", "struct")
+        size = F.octet_length(F.col(f"`{f.name}`").cast("string")) if nested else F.lit(8)
+        width = width + F.coalesce(size, F.lit(0))
+    widths = [r[0] for r in df.select(width.cast("bigint").alias("w")).limit(max_rows + 1).collect()]
+    return len(widths) <= max_rows and sum(widths) <= max_rows * MAX_BROADCAST_ROW_BYTES
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
@@ -180,7 +166,7 @@ def join_facts_to_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim
 def join_nullsafe(df: DataFrame, other: DataFrame, on: list[str], how: str = "left",
                   max_broadcast_rows: int = 100_000, broadcast: bool | None = None) -> DataFrame:
     """Equi-join on ``on`` where NULL matches NULL; ``other`` is broadcast only
-    after ``bounded_row_count`` proves it small, otherwise a shuffle join
+    after ``provably_small`` says so, otherwise a shuffle join
     (with AQE skew handling) is planned."""
     clash = (set(df.columns) & set(other.columns)) - set(on)
     if clash:

@@ -74,9 +74,9 @@ JOINING = ["enrich_reference", "current_release", "archived_release", "us_only_r
 @pytest.mark.parametrize("name", JOINING)
 def test_large_dimension_path_matches_oracle(spark, duck, name, monkeypatch):
     """The same queries with every size probe failing: no broadcasts, facts
-    pre-aggregated and shuffle-joined -- the path taken at scale."""
+    shuffle-joined -- the path taken at scale."""
     import hebdo.operators.combine as combine
-    monkeypatch.setattr(combine, "bounded_row_count", lambda df, max_rows: None)
+    monkeypatch.setattr(combine, "provably_small", lambda df, max_rows=0: False)
     sdf = E.queries()[name](spark, SF)
     assert "BroadcastHashJoin" not in sdf._jdf.queryExecution().sparkPlan().toString()
     res = duck.execute(E.oracle_sql()[name])
