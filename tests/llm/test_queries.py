@@ -1,13 +1,20 @@
 """Registered queries: SQL oracles at sf0.001, contracts of the others, the pipeline's stages."""
 
 import os
+import zlib
 
 import duckdb
+import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
+from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline
+from hebdo.llm import licenses
 from hebdo.llm.catalog import ORACLE_SQL, QUERIES
+from tests.llm import brute
 from tests.test_entry import SF, canon
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -68,3 +75,56 @@ def test_stages_take_empty_tables_and_more_columns(spark, stage):
     assert out.count() == 0
     if stage < 4:
         assert out.columns == docs.columns
+
+
+@pytest.fixture(scope="module")
+def texts():
+    con = duckdb.connect()
+    return con.execute(f"SELECT doc_id, text FROM read_parquet('{SF}/documents.parquet') ORDER BY doc_id").fetchall()
+
+
+def collected(spark, name, *columns):
+    return {r["doc_id"]: tuple(r[c] for c in columns) for r in QUERIES[name](spark, SF).collect()}
+
+
+def test_op5_matches_brute_force(spark, texts):
+    got = collected(spark, "op5_suffix_array_dedup", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(got.values()) == sorted(brute.suffix_dedup(texts))
+
+
+def test_op7_matches_brute_force(spark, texts):
+    prints = [(i, brute.simhash(t)) for i, t in texts]
+    want = brute.simhash_groups(prints)
+    got = collected(spark, "op7_simhash_near_dedup", "fingerprint", "component_id")
+    assert got == {i: (format(f, "016x"), want[i]) for i, f in prints}
+
+
+def test_op10_matches_brute_force(spark, texts):
+    items = duckdb.connect().execute(f"SELECT item_id, text FROM read_parquet('{SF}/benchmark.parquet')").fetchall()
+    want = brute.decontamination([t for _, t in texts], items)
+    got = collected(spark, "op10_benchmark_decontamination", "n_words", "n_hit", "n_items", "items_sha256",
+                    "contaminated")
+    assert got == {i: (*w, w[1] > 0) for (i, _), w in zip(texts, want)}
+
+
+def test_op2_and_op9_match_the_libraries(spark, texts):
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = collected(spark, "op2_sentencepiece_transducer", "piece_ids", "round_trip")
+    assert {i: (list(ids), ok) for i, (ids, ok) in got.items()} == {i: (sp.encode(t or ""), True) for i, t in texts}
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    start, want = 0, {}
+    for i, text in texts:
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        want[i] = (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert collected(spark, "op9_token_id_files", "start", "n_tokens", "ids_crc32") == want
+
+
+def test_op4_base_columns_match_brute_force(spark, texts):
+    got = collected(spark, "op4_license_signature_rules", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    for i, text in texts:
+        w = brute.words(text)
+        at = sorted((k, label) for p, label in licenses.BASE_PHRASES.items() for k in range(len(w))
+                    if w[k:k + len(p.split())] == p.split())
+        ends = (at[0][0], at[-1][0]) if at else (None, None)
+        assert got[i] == (len(w), len(at), *ends, ",".join(sorted({label for _, label in at})))
