@@ -38,7 +38,7 @@ from hebdo.llm.bytescan import ALNUM_WORDS, LOWER, Words, mix, text_blocks
 from hebdo.llm.names import check_free
 
 SAMPLE_ROWS = 3_000             # of each class
-SAMPLE_BYTES = 9 << 20          # of each class
+SAMPLE_BYTES = 7 << 20          # of each class
 SEGMENT = 16
 GRAMS = (3, 4, 5)
 LEAST = 120
@@ -114,8 +114,12 @@ class Model:
         return out
 
     def bag_logits(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        total = np.add.reduceat(self.unit[ids], starts).astype(np.float64)
         size = np.diff(np.concatenate((starts, [len(ids)])))
+        total = np.empty(len(starts))
+        for lo in range(0, len(starts), 4096):                    # a slice of the grams at a time
+            s = starts[lo:lo + 4096]
+            stop = s[-1] + size[lo + len(s) - 1]
+            total[lo:lo + len(s)] = np.add.reduceat(self.unit[ids[s[0]:stop]].astype(np.float64), s - s[0])
         return total / np.maximum(size, LEAST) + (self.bias[1] - self.bias[0])
 
     def block_scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -235,10 +239,16 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
         grams.append(found)
         sizes.append(np.bincount(owner, minlength=int(bounds[-1])))
         doc.append(lo + np.repeat(np.arange(len(offsets) - 1), np.diff(bounds)))
-    sizes, doc = np.concatenate(sizes), np.concatenate(doc)
+    sizes, doc, y = np.concatenate(sizes), np.concatenate(doc), got["y"].to_numpy()
+    ids = np.empty(int(sizes.sum()), dtype=np.int32)
+    at = 0
+    while grams:                                                  # one copy of the sample's grams at a time
+        part = grams.pop(0)
+        ids[at:at + len(part)] = part
+        at += len(part)
     some = sizes > 0
     starts = np.concatenate(([0], np.cumsum(sizes)))[:-1][some]
-    return fit(np.concatenate(grams), starts, doc[some], got["y"].to_numpy())
+    return fit(ids, starts, doc[some], y)
 
 
 def with_scores(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
