@@ -17,7 +17,10 @@ above nearly all bags of clean documents (its highest one at least).
 
 Fitting uses at most about ``SAMPLE_ROWS`` labelled rows chosen by a hash of
 the id (documented bound; toxic rows come first because they are rare), of
-which at most ``SAMPLE_BYTES`` of text a class come to the driver.  Scoring covers every row and its whole text.
+which at most ``SAMPLE_BYTES`` of text a class come to the driver.  A text of
+more than ``SHARE_BYTES`` counts with whole bags, chosen by hash up to that
+share, so no text ends the sample and at least 31 parts of 32 of the bytes are
+used where there is as much text.  Scoring covers every row and its whole text.
 
 Cases: a null, empty or wordless text has no bag and gets the score of an
 empty bag; null labels are ignored; repeated label rows of an id use the
@@ -39,6 +42,7 @@ from hebdo.llm.names import check_free
 
 SAMPLE_ROWS = 3_000             # of each class
 SAMPLE_BYTES = 7 << 20          # of each class
+SHARE_BYTES = SAMPLE_BYTES // 32    # of each text
 SEGMENT = 16
 GRAMS = (3, 4, 5)
 LEAST = 120
@@ -212,6 +216,37 @@ def fit(ids: np.ndarray, starts: np.ndarray, doc: np.ndarray, y_doc: np.ndarray,
     return model
 
 
+def _share(raw: bytes, limit: int) -> str:
+    """Whole bags of a text, in their order, chosen by hash while their words fit; a text of longer
+    bags only gives the beginning of its shortest one."""
+    data = np.frombuffer(raw, dtype=np.uint8)
+    words = Words(LOWER[data], np.array([0, len(data)]), ALNUM_WORDS)
+    if not len(words):
+        return ""
+    first = np.arange(0, len(words), SEGMENT)
+    size = np.add.reduceat(words.end - words.start + 1, first)
+    order = np.argsort(mix((np.arange(len(first)).astype(np.uint64) + np.uint64(1)) * _BASE), kind="stable")
+    order = order[size[order] <= limit]
+    chosen = np.sort(order[np.cumsum(size[order]) <= limit])
+    if not len(chosen):
+        chosen = np.array([int(np.argmin(size))])
+    parts = [words.data[s:e].tobytes() for at in first[chosen].tolist()
+             for s, e in zip(words.start[at:at + SEGMENT].tolist(), words.end[at:at + SEGMENT].tolist())]
+    return b" ".join(parts)[:limit].decode("utf-8", "ignore")
+
+
+def _shared(rows: DataFrame, limit: int) -> DataFrame:
+    """(id, y, t) with texts of at most ``limit`` bytes: longer ones become whole bags of theirs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            buffers = [t.as_buffer() if t.is_valid else None for t in b.column("t")]
+            texts = [t if t is None else t.to_pybytes().decode() if t.size <= limit else _share(t.to_pybytes(), limit)
+                     for t in buffers]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(texts, pa.string())],
+                                             names=["id", "y", "t"])
+    return rows.select("id", "y", "t").mapInArrow(run, rows.select("id", "y", "t").schema)
+
+
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic",
           rows: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text") -> Model:
     known = (labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("id"))
@@ -224,15 +259,18 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t"))
 
-    # a bounded number of bytes of each class: rows in hash order while their text fits
+    # a bounded number of bytes of each class: rows in hash order while their shares fit
     lengths = sample.select("id", "y", F.octet_length("t").alias("n")).toPandas()
     lengths["key"] = lengths["id"].map(lambda i: (int(i) * 2654435761) & 0xFFFFFFFF)
     lengths = lengths.sort_values(["key", "id"])
+    lengths["n"] = lengths["n"].clip(upper=SHARE_BYTES)
     fits = lengths[lengths.groupby("y")["n"].cumsum() <= SAMPLE_BYTES]
+    if set(fits["y"]) != set(lengths.dropna(subset="n")["y"]):
+        raise RuntimeError("no text of a labelled class fits the sample")
     if not len(fits):
         return Model()
     wanted = docs.sparkSession.createDataFrame(fits[["id"]], "id bigint")
-    got = sample.join(F.broadcast(wanted), "id").orderBy("id").toPandas()
+    got = _shared(sample.join(F.broadcast(wanted), "id"), SHARE_BYTES).orderBy("id").toPandas()
     grams, sizes, doc = [], [], []
     for lo, data, offsets in text_blocks(pa.array(got.pop("t"), pa.string())):
         found, owner, bounds = Grams(data, offsets).bag_grams()
