@@ -76,7 +76,7 @@ def op5(spark, sf_dir):
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = token_files.scratch_path(spark, "token-files")
-    token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"), control_ids=True)
     return token_files.read_digest(spark, path)
 
 

@@ -15,7 +15,9 @@ remembers words up to a bound.  The encoded words travel to the library as
 one text, joined by a NUL word, whose token marks the seams.
 
 Cases: a null or empty text has only the end id; control strings of the
-tokenizer inside a text are ordinary text; words with a NUL and very long
+tokenizer inside a text are ordinary text, or with ``control_ids`` the control
+ids that the untouched library gives (as written: other letter cases are
+ordinary text); words with a NUL and very long
 words are encoded on their own; equal ids keep all their rows, in the order
 of their text; rows without an id come first; an empty table gives an empty result.
 """
@@ -25,14 +27,14 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hebdo.llm.bytescan import SPACE_WORDS, Words, text_blocks
+from hebdo.llm.bytescan import LOWER, SPACE_WORDS, Words, text_blocks
 from hebdo.llm.word_memory import WordMemory
 from hebdo.session import checkpoint_dir
 
@@ -41,17 +43,21 @@ BLOCK = 1 << 20
 CALL_WORDS = 1_000
 LONG_WORD = 256
 FILE_BYTES = 32 << 20
-_WORKER: dict[str, WordEncoder] = {}
+_WORKER: dict[tuple[str, bool], WordEncoder] = {}
 
 
 class WordEncoder:
     """The tokenizer and the words it has encoded so far."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, control_ids: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"            # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values() if control_ids else []
+        if any(t.lstrip or t.rstrip or t.single_word or t.content.split() != [t.content] for t in added):
+            raise ValueError("a control string reaches beyond its word")
+        self.controls = [t.content.lower().encode() for t in added]
+        self.tokenizer.encode_special_tokens = not control_ids
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         seam = self._encode(["a \x00 b"])[0]
@@ -99,17 +105,24 @@ class WordEncoder:
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in order, row offsets); every row ends with ``end_id``."""
-        return self.memory.rows(Words(_lowered(data), offsets, SPACE_WORDS), end_id)
+        return self.memory.rows(Words(_lowered(data, self.controls), offsets, SPACE_WORDS), end_id)
 
 
-def _lowered(data: np.ndarray) -> np.ndarray:
+def _lowered(data: np.ndarray, controls: Iterable[bytes] = ()) -> np.ndarray:
     """The bytes with A-Z and capital Latin-1 letters in lower case, in words of nothing but
     ASCII and Latin-1 letters.  The tokenizer lower-cases too, so fewer words are distinct;
-    other words stay, because composition of marks comes before the lower case there."""
+    other words stay, because composition of marks comes before the lower case there, and so
+    do words that hold one of ``controls`` in any letter case, which count as written."""
     after = np.empty(len(data), dtype=bool)
     after[:1] = False
     after[1:] = data[:-1] == 0xC3
     odd = (data >= 0x80) & (data != 0xC3) & ~after
+    raw = LOWER[data].tobytes() if controls else b""
+    for c in controls:
+        at = raw.find(c)
+        while at >= 0:
+            odd[at] = True
+            at = raw.find(c, at + len(c))
     capital = (data >= 0x41) & (data <= 0x5A) | after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
     if odd.any():
         word = np.cumsum(~SPACE_WORDS[data])                      # bytes of one word share a number
@@ -117,17 +130,17 @@ def _lowered(data: np.ndarray) -> np.ndarray:
     return np.where(capital, data + 0x20, data)
 
 
-def _encoder(path: str) -> WordEncoder:
-    if path not in _WORKER:
-        _WORKER[path] = WordEncoder(path)
-    return _WORKER[path]
+def _encoder(path: str, control_ids: bool) -> WordEncoder:
+    if (path, control_ids) not in _WORKER:
+        _WORKER[path, control_ids] = WordEncoder(path, control_ids)
+    return _WORKER[path, control_ids]
 
 
 def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-            end_id: int = END_ID) -> DataFrame:
+            end_id: int = END_ID, control_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) of every row, row order and partitioning unchanged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, control_ids)
         for b in batches:
             for lo, data, offsets in text_blocks(b.column("t"), BLOCK):
                 ids, at = encoder.encode_block(data, offsets, end_id)
@@ -141,17 +154,19 @@ def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text",
                       end_id: int = END_ID, files: int | None = None, encoding: str = "delta",
-                      row_group_bytes: int = 8 << 20, page_bytes: int = 256 << 10) -> None:
+                      row_group_bytes: int = 8 << 20, page_bytes: int = 256 << 10,
+                      control_ids: bool = False) -> None:
     """Encode ``docs`` and write them in ascending id order, one file per id range.
 
-    ``files`` defaults to one per ``FILE_BYTES`` of text; ``encoding`` is "delta" or "dictionary"."""
+    ``files`` defaults to one per ``FILE_BYTES`` of text; ``encoding`` is "delta" or "dictionary";
+    ``control_ids`` leaves control strings to the library's default."""
     if encoding not in ("delta", "dictionary"):
         raise ValueError(f"unknown encoding {encoding!r}")
     if files is None:
         size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
         files = max(1, -(-int(size) // FILE_BYTES))
     ordered = docs.select(doc_id, text).repartitionByRange(files, doc_id).sortWithinPartitions(doc_id, text)
-    (encoded(ordered, tokenizer, doc_id, text, end_id).write.mode("error")
+    (encoded(ordered, tokenizer, doc_id, text, end_id, control_ids).write.mode("error")
      .option("compression", "zstd")
      .option("parquet.writer.version", "v2" if encoding == "delta" else "v1")
      .option("parquet.enable.dictionary", str(encoding == "dictionary").lower())

@@ -1,9 +1,15 @@
 """Inputs named by the second review: the whole job on texts, names and ids the given tables do not hold."""
 
+import zlib
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
 from hebdo.llm import toxicity
 from hebdo.llm.bytescan import ALNUM_WORDS, word_texts
-from hebdo.llm.catalog import fold
-from tests.llm.test_documents import WORDS, frame, labelled
+from hebdo.llm.catalog import QUERIES, fold
+from tests.llm.test_documents import ODD, WORDS, frame, labelled
 
 
 def test_toxicity_sample_goes_on_after_a_text_above_its_limit(spark, monkeypatch):
@@ -34,3 +40,19 @@ def test_toxicity_share_holds_whole_bags():
     assert 0 < len(b" ".join(got)) <= 900
     assert all(b" ".join(got[k:k + n]) in bags for k in range(0, len(got), n))
     assert toxicity._share(b"... ", 900) == "" and toxicity._share("é".encode() * 900, 901) == "é" * 450
+
+
+def test_op9_control_strings_as_in_the_untouched_library(spark, tmp_path):
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = list(enumerate(ODD + [
+        "a <|endoftext|> b", "A<|startoftext|>B<|endoftext|><|endoftext|>c", "<|ENDOFTEXT|> <|EndOfText|>É X",
+        "x<|endoftext|>\x00y", "\x00<|startoftext|>", "Ü" * 400 + "<|endoftext|>" + "Z" * 400, "<|endoftext|",
+        "É<|endoftext|>É\u0301 Q", "<|endoftext|>"]))
+    folder = str(tmp_path / "sf")
+    frame(spark, rows).select("doc_id", "text").write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op9_token_id_files"](spark, folder).collect()}
+    start = 0
+    for i, x in rows:
+        ids = np.array(t.encode(x or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids)), x
+        start += len(ids)
