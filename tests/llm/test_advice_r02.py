@@ -1,12 +1,15 @@
 """Inputs named by the second review: the whole job on texts, names and ids the given tables do not hold."""
 
+import itertools
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
-from hebdo.llm import toxicity
+from hebdo.llm import licenses, toxicity
 from hebdo.llm.bytescan import ALNUM_WORDS, word_texts
 from hebdo.llm.catalog import QUERIES, fold
 from tests.llm.test_documents import ODD, WORDS, frame, labelled
@@ -56,3 +59,79 @@ def test_op9_control_strings_as_in_the_untouched_library(spark, tmp_path):
         ids = np.array(t.encode(x or "", add_special_tokens=False).ids + [2], dtype="<u4")
         assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids)), x
         start += len(ids)
+
+
+def spelled(tree):
+    """Strings of a parsed expression: every branch, options with and without, sets by each first letter."""
+    parts = []
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            parts.append([chr(arg)])
+        elif name == "IN":
+            parts.append([chr(v if str(o) == "LITERAL" else v[0]) for o, v in arg])
+        elif name == "BRANCH":
+            parts.append([x for branch in arg[1] for x in spelled(branch)])
+        elif name == "SUBPATTERN":
+            parts.append(spelled(arg[3]))
+        elif name == "MAX_REPEAT":
+            once = spelled(arg[2])
+            parts.append(([""] if arg[0] == 0 else []) + once)
+        else:
+            assert name == "ASSERT_NOT", name
+    return ["".join(x) for x in itertools.product(*parts)]
+
+
+def spellings(pattern):
+    return spelled(re._parser.parse(pattern))
+
+
+def implied(pattern, keyword):
+    return all(set(licenses.keyword_words(keyword)) & set(x.split()) for x in spellings(pattern))
+
+
+def test_license_keywords_are_in_every_alternative_of_their_pattern():
+    for label, keyword, name in licenses.NAMES:
+        assert implied(licenses.name_pattern(name), keyword), (label, name)
+    for frame_name, _, keys, pattern in licenses.FRAMES:
+        assert all(implied(pattern.replace("{name}", "name"), k) for k in keys), frame_name
+    for label, _, keys, pattern in licenses.NOTICES:
+        assert all(implied(pattern, k) for k in keys), pattern
+
+
+GNU = "you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published by " \
+      "the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+
+
+@pytest.mark.parametrize("text,label", [
+    ("Licensed under the Open Software License 3.0", "osl"),
+    ("Released under the Zero-Clause BSD license", "0bsd"),
+    (GNU.format("", 3), "gpl-3"), (GNU.format("", 2), "gpl-2"), (GNU.format("Lesser", 2.1), "lgpl-2"),
+    (GNU.format("Affero", 3), "agpl-3"),
+    ("licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License", "cc-by-nc-sa"),
+    ("Creative Commons Attribution-NoDerivatives 4.0 International", "cc-by-nd"),
+    ("licensed under a Creative Commons license", "cc"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "gpl-3"),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", "lgpl-2"),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3", "agpl-3"),
+    ("Apache License\nVersion 2.0, January 2004", "apache-2"), ("Mozilla Public License Version 2.0", "mpl-2"),
+    ("Eclipse Public License - v 2.0", "epl"), ("Boost Software License - Version 1.0", "boost"),
+    ("CC0 1.0 Universal", "cc0"), ("Released under the GPL", "gpl"), ("under the GNU LGPL", "lgpl"),
+    ("under the Apache License", "apache"), ("under a BSD-style license", "bsd"), ("under an MIT license", "mit"),
+    ("under an Apache v2 license", "apache-2"), ("License: GPLv2+", "gpl-2"), ("License: LGPLv2.1", "lgpl-2"),
+    ("licensed under the AGPLv3", "agpl-3"), ("MPLv2 license", "mpl-2"),
+    ("Do What The Heck You Want To Public License", "wtfpl"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+])
+def test_license_rules_know_names_headers_and_titles(text, label):
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    found = licenses.Scanner().scan(data, np.array([0, len(data)]))[0]["found"]
+    assert {d["label"] for d in found} == {label}
+
+
+@pytest.mark.parametrize("text", ["the Apache 2 server got a boost", "open software for the general public",
+                                  "the library is under a tree", "mit der Zeit", "new software licenses"])
+def test_license_rules_leave_other_texts_alone(text):
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    assert licenses.Scanner().scan(data, np.array([0, len(data)]))[0]["found"] == []
