@@ -6,8 +6,8 @@ stages but the last return the columns of ``docs``; a stage may be followed by
 a Parquet write and a read of what it returned.
 
 Columns that are not used by a stage pass through.  A null or empty text is a
-document like any other; rows that share an id are judged one by one, except
-by the near-duplicate stage, for which an id is one document.
+document like any other; rows without an id and rows that share one are judged
+one by one, by the near-duplicate stage too, which goes by their texts.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    return simhash.keep_one(docs)
+    """One row of each group of near-duplicates: the one with the smallest id, rows without an id last."""
+    return simhash.keep_one_text(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

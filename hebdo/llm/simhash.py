@@ -238,3 +238,49 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     order = F.struct(text, *[F.col(c) for c in rest])
     least = kept.groupBy(doc_id).agg(F.min(order).alias(row))
     return least.select(*[F.col(c) if c == doc_id else F.col(row)[c].alias(c) for c in docs.columns])
+
+
+def _tagged(docs: DataFrame, text: str, name: str, shingle: int) -> DataFrame:
+    """``docs`` and the fingerprint of every row, as column ``name``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts = [fingerprints(d, o, shingle) for _, d, o in text_blocks(b.column(text))]
+            fp = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))],
+                                             names=[*b.schema.names, name])
+    return docs.mapInArrow(run, docs.select("*", F.lit(0).cast("long").alias(name)).schema)
+
+
+def keep_one_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                  radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicate texts: the one with the smallest id.
+
+    Groups are components of fingerprints alone, so rows without an id and different texts of one id
+    stay unless they are near-duplicates.  Null ids come last; rows of one id in one group are told
+    apart by text, then the other columns."""
+    signed = materialize(with_fingerprints(docs, doc_id, text, shingle))
+    classes = signed.select("fp", F.col("fp").alias("id")).distinct()
+    linked = components(links(materialize(classes), radius), "a", "b")
+    found = signed.join(linked, signed["fp"] == linked["node"], "left").select(
+        "id", "fp", F.coalesce("component", "fp").alias("component"))
+    keepers = materialize(found.groupBy("component").agg(F.min("id").alias("keeper")))
+    repeated = materialize(signed.where("id is not null").groupBy("id").count().where("count > 1").select("id"))
+
+    key, fp, row = free_name(docs, "keeper"), free_name(docs, "fp"), free_name(docs, "least_row")
+    number = F.col(doc_id).cast("long")
+    sure = keepers.where("keeper is not null").join(repeated, keepers["keeper"] == repeated["id"], "left_anti")
+    kept = docs.join(sure.select(F.col("keeper").alias(key)), number == F.col(key), "left_semi")
+    if not repeated.head(1) and not keepers.where("keeper is null").head(1):
+        return kept
+    # an id that does not name one row: its groups choose among its rows by their own fingerprints
+    again = docs.join(repeated.select(F.col("id").alias(key)), number == F.col(key), "left_semi")
+    unsure = _tagged(docs.where(number.isNull()).unionByName(again), text, fp, shingle)
+    groups = found.select("fp", "component").distinct().join(keepers, "component").join(
+        repeated, F.col("keeper") == repeated["id"], "left").where("keeper is null or id is not null")
+    group = F.struct(*[F.col(c) for c in ("fp", "component", "keeper")])
+    groups = groups.select(group.alias(row))
+    rest = [c for c in docs.columns if c not in (doc_id, text)]
+    order = F.struct(text, *rest, doc_id)
+    least = unsure.join(groups, (unsure[fp] == groups[row]["fp"]) & number.eqNullSafe(groups[row]["keeper"])).groupBy(
+        groups[row]["component"].alias(key)).agg(F.min(order).alias(row))
+    return kept.unionByName(least.select(*[F.col(row)[c].alias(c) for c in docs.columns]))

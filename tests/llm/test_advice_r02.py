@@ -9,10 +9,12 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from hebdo.llm import licenses, toxicity
 from hebdo.llm.bytescan import ALNUM_WORDS, word_texts
 from hebdo.llm.catalog import QUERIES, fold
-from tests.llm.test_documents import ODD, WORDS, frame, labelled
+from tests.llm import brute
+from tests.llm.test_documents import ODD, WORDS, frame, labelled, texts
 
 
 def test_toxicity_sample_goes_on_after_a_text_above_its_limit(spark, monkeypatch):
@@ -135,3 +137,29 @@ def test_license_rules_know_names_headers_and_titles(text, label):
 def test_license_rules_leave_other_texts_alone(text):
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     assert licenses.Scanner().scan(data, np.array([0, len(data)]))[0]["found"] == []
+
+
+def test_near_duplicate_stage_goes_by_texts_not_ids(spark):
+    base = texts(21, 14, 200)
+    base = [b + " " + " ".join(f"w{i}x{k}" for k in range(40)) for i, b in enumerate(base)]
+    near = [b + " changed" for b in base[:6]]
+    rows = [(None, base[0]), (None, near[0]), (None, base[1]), (5, near[1]), (7, base[2]), (7, base[3]), (8, near[2]),
+            (9, near[3]), (7, base[4]), (7, near[4]), (3, near[4]), (None, base[5]), (None, base[5]), (6, base[6]),
+            (6, base[6]), (None, None), (None, ""), (11, base[7]), (12, base[8]), (None, base[9]), (2, base[9]),
+            (2, base[10])]
+    prints = [brute.simhash(t) for _, t in rows]
+    groups = brute.simhash_groups(list(enumerate(prints)))          # by row: unique ids
+    want = []
+    for g in set(groups.values()):
+        mine = [rows[k] for k in groups if groups[k] == g]
+        want.append(min(mine, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or "")))
+    docs = frame(spark, rows)
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    out = stage(spark, docs, "")
+    assert out.columns == docs.columns and len(want) > 10
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=order) == sorted(want, key=order)
+    unique = frame(spark, list(enumerate(base + near)))
+    assert stage(spark, unique, "").count() == len(set(brute.simhash_groups(
+        [(i, brute.simhash(t)) for i, t in enumerate(base + near)]).values()))
+    assert stage(spark, docs.limit(0), "").count() == 0
