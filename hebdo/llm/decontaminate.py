@@ -15,14 +15,16 @@ many passes, each pass adding its hits to a state column of the same rows, so
 no row is shuffled and no pattern is dropped.
 
 Cases: a null or wordless text has zero words and no hits; a wordless item
-never occurs; equal windows of several items count for each of them; repeated
-rows are judged one by one; rows of other columns pass through unchanged; an
+never occurs; equal windows of several items count for each of them; items
+without an id are searched and covered like any other and count as one item, which
+the id list gives as null, last; repeated rows are judged one by one; rows of other columns pass through unchanged; an
 empty benchmark or an empty table gives no hits.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 from collections import defaultdict
 from collections.abc import Iterator
@@ -110,7 +112,7 @@ class PatternGroup:
         return np.concatenate(ends), np.concatenate(found)
 
 
-def compile_patterns(items: list[tuple[str, str | None]], window: int = WINDOW) -> list[PatternGroup]:
+def compile_patterns(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> list[PatternGroup]:
     by_length: dict[int, dict[tuple[bytes, ...], list[str]]] = defaultdict(lambda: defaultdict(list))
     for item_id, text in items:
         words = word_texts(text, ALNUM_WORDS)
@@ -155,16 +157,21 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _ordered(items) -> list[str | None]:
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
 def _pack(n_words: int, spans, items) -> bytes:
     flat = [x for s in spans for x in s]
-    return struct.pack(f"<qq{len(flat)}q", n_words, len(spans), *flat) + "\x00".join(sorted(items)).encode()
+    ids = json.dumps(_ordered(items)).encode() if items else b""
+    return struct.pack(f"<qq{len(flat)}q", n_words, len(spans), *flat) + ids
 
 
 def _unpack(state: bytes):
     n_words, k = struct.unpack_from("<qq", state)
     flat = struct.unpack_from(f"<{2 * k}q", state, 16)
     rest = state[16 + 16 * k:].decode()
-    return n_words, list(zip(flat[::2], flat[1::2])), set(rest.split("\x00")) if rest else set()
+    return n_words, list(zip(flat[::2], flat[1::2])), set(json.loads(rest)) if rest else set()
 
 
 def _with_state(docs: DataFrame, groups: list[PatternGroup], text: str, state: str,
@@ -192,7 +199,7 @@ def _with_state(docs: DataFrame, groups: list[PatternGroup], text: str, state: s
 def _item_blocks(benchmark: DataFrame, item: str, text: str,
                  limit: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
     """Number of passes and the items of each, at most about ``limit`` bytes of text a pass."""
-    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where("i is not null")
+    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t"))
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     passes = max(1, -(-size // limit))
     parts = [items] if passes == 1 else [items.where(F.pmod(F.xxhash64("i"), F.lit(passes)) == k)
@@ -230,11 +237,12 @@ def hit_digest(hits: DataFrame, keep: list[str], state: str = "benchmark_state")
         for batch in batches:
             out = [_unpack(s) for s in batch.column(state).to_pylist()]
             hit = [sum(b - a for a, b in s) for _, s, _ in out]
-            ids = [sorted(t) for _, _, t in out]
+            ids = [_ordered(t) for _, _, t in out]
             columns = [batch.column(i) for i in range(width)] + [
                 pa.array([n for n, _, _ in out], pa.int64()), pa.array(hit, pa.int64()),
                 pa.array([len(t) for t in ids], pa.int64()),
-                pa.array([hashlib.sha256(",".join(t).encode()).hexdigest() for t in ids], pa.string()),
+                pa.array([hashlib.sha256(",".join(i for i in t if i is not None).encode()).hexdigest()
+                          for t in ids], pa.string()),
                 pa.array([h > 0 for h in hit], pa.bool_()),
                 pa.array([[{"first": a, "end": b} for a, b in s] for _, s, _ in out],
                          pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),

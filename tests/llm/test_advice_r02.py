@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from hebdo.llm import licenses, toxicity
+from hebdo.llm import decontaminate, licenses, toxicity
 from hebdo.llm.bytescan import ALNUM_WORDS, word_texts
 from hebdo.llm.catalog import QUERIES, fold
 from tests.llm import brute
@@ -163,3 +163,15 @@ def test_near_duplicate_stage_goes_by_texts_not_ids(spark):
     assert stage(spark, unique, "").count() == len(set(brute.simhash_groups(
         [(i, brute.simhash(t)) for i, t in enumerate(base + near)]).values()))
     assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_decontamination_searches_items_without_an_id(spark):
+    lost, empty, named = ("null one two three four five", "void six seven eight", "named nine ten")
+    bench = spark.createDataFrame([(None, lost), ("", empty), ("a", named)], "item_id string, text string")
+    docs = frame(spark, [(0, "x " + lost), (1, empty + " y"), (2, f"{lost} {empty} {named}"), (3, "clean"), (4, named)])
+    docs = docs.select("doc_id", "text")
+    for limit in (1 << 20, 20):
+        hits = decontaminate.benchmark_hits(docs, bench, item_block_bytes=limit)
+        got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.hit_digest(hits, ["doc_id"]).collect()}
+        assert got == {0: (6, [None]), 1: (4, [""]), 2: (13, ["", "a", None]), 3: (0, []), 4: (3, ["a"])}
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()] == [3]
