@@ -87,6 +87,30 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one integer, zeros behind the end."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+def same_bytes(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray,
+               b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether each range of ``a`` holds the same bytes as the range of ``b`` beside it."""
+    size = a_end - a_start
+    same = size == b_end - b_start
+    left, right = _eights(a), _eights(b)
+    at, done = np.flatnonzero(same), 0
+    while len(at):
+        rest = size[at] - done
+        drop = (np.uint64(8) * (8 - np.minimum(rest, 8)).astype(np.uint64))
+        x, y = left[a_start[at] + np.minimum(done, size[at])], right[b_start[at] + np.minimum(done, size[at])]
+        differ = ((x ^ y) << np.minimum(drop, np.uint64(63)) != 0) & (rest > 0)
+        same[at[differ]] = False
+        done += 8
+        at = at[~differ & (rest > 8)]
+    return same
+
+
 class Words:
     """Words of a block: byte ranges ``start``/``end``, ``bounds`` (row r owns
     words bounds[r]:bounds[r + 1]) and, on request, ``hashes()``."""

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.llm import decontaminate as wu_manber
-from hebdo.llm import chat, licenses, quality, rules, sentencepiece_fst, simhash, suffix_dedup, token_files, toxicity
+from hebdo.llm import (chat, licenses, projection_forest, quality, ranked_search, rules, sentencepiece_fst, simhash,
+                       suffix_dedup, token_files, toxicity, vector_codes)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -169,3 +170,80 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs, ["doc_id"]).drop("detections")
+
+
+def op11_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds unrolled: a<t> assigns each part to an entry of b<t - 1>, b<t> holds the new entries."""
+    def assigned(t: int) -> str:
+        return f"""
+a{t} AS MATERIALIZED (
+  SELECT r, p, e, dist FROM (
+    SELECT r, p, e, dist, row_number() OVER (PARTITION BY r, p ORDER BY dist, e) AS n FROM (
+      SELECT c.r, c.p, b.e, sum((c.v - b.v) * (c.v - b.v)) AS dist
+      FROM c JOIN b{t - 1} b ON c.p = b.p AND c.d = b.d GROUP BY c.r, c.p, b.e) x) y WHERE n = 1)"""
+
+    def refined(t: int) -> str:
+        return f"""
+b{t} AS MATERIALIZED (
+  SELECT b.p, b.e, b.d, CASE WHEN m.n IS NULL THEN b.v
+                             ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS v
+  FROM b{t - 1} b LEFT JOIN (
+    SELECT c.p, a.e, c.d, sum(c.v) AS s, count(*) AS n FROM c JOIN a{t} a ON c.r = a.r AND c.p = a.p
+    GROUP BY c.p, a.e, c.d) m ON b.p = m.p AND b.e = m.e AND b.d = m.d)"""
+
+    steps = ",".join(assigned(t) + "," + refined(t) for t in range(1, rounds + 1))
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, embedding, len(embedding) // {parts} AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+j AS (SELECT r, w, unnest(embedding) AS x, unnest(range(len(embedding))) AS j FROM k),
+c AS MATERIALIZED (SELECT r, j // w AS p, j % w AS d, CAST(floor(4096 * CAST(x AS DOUBLE)) AS HUGEINT) AS v FROM j),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, d, v FROM c WHERE r <= {entries}),{steps},{assigned(rounds + 1)},
+o AS (SELECT r, string_agg(lower(lpad(hex(e), 2, '0')), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error
+      FROM a{rounds + 1} GROUP BY r)
+SELECT k.vec_id, k.label, o.code, o.error,
+       CAST(sum(o.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, d)) FROM b{rounds}) AS codebooks_sha256
+FROM k JOIN o ON k.r = o.r
+"""
+
+
+@query("op11_vector_code_tries", op11_sql())
+def op11(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                               'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d),
+q AS (SELECT i, item_id, t, count(*) AS times FROM (
+        SELECT i, item_id, unnest(regexp_extract_all(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+        FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark) b) x GROUP BY i, item_id, t),
+u AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS t FROM d),
+f AS MATERIALIZED (SELECT r, doc_id, n, t, count(*) AS tf FROM u WHERE t IN (SELECT t FROM q) GROUP BY r, doc_id, n, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT t, count(*) AS df FROM f GROUP BY t) y, s),
+g AS (SELECT f.r, f.doc_id, f.t, w.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * (75 + (25 * n * big_n) // big_l)))
+               AS gain FROM f JOIN w ON f.t = w.t, s),
+z AS (SELECT q.i, q.item_id, g.r, g.doc_id, CAST(sum(q.times * g.gain) AS BIGINT) AS score
+      FROM q JOIN g ON q.t = g.t GROUP BY q.i, q.item_id, g.r, g.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+  FROM z WHERE score > 0) y WHERE rank <= 20
+"""
+
+
+@query("op12_hybrid_ranked_search", OP12_SQL)
+def op12(spark, sf_dir):
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_projection_forest_neighbours")
+def op13(spark, sf_dir):
+    return projection_forest.neighbours(table(spark, sf_dir, "embeddings"))

@@ -22,14 +22,14 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels", "benchmark"):
+    for t in ("documents", "conversations", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     want = con.execute(ORACLE_SQL[name])
