@@ -8,10 +8,12 @@ sides in one job is ``sources.sinks.write_partitioned_by(..., 'date_issue')``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 REASON_COL = "date_issue"
+REASONS = ("unparsed", "missing", "before_min", "after_max")
+INPUT, VALID = "input", "valid"
 
 
 def date_issue(date_col: Column | str, raw_col: Column | str | None = None,
@@ -76,3 +78,21 @@ def split_plausible(df: DataFrame, date_col: str, raw_col: str | None = None,
 def date_issue_counts(tagged: DataFrame, reason_col: str = REASON_COL) -> DataFrame:
     """Rows per reason (NULL = valid); valid + quarantined always equals the input."""
     return tagged.groupBy(reason_col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def observe_issues(tagged: DataFrame, name: str, reason_col: str = REASON_COL) -> tuple[DataFrame, Observation]:
+    """``tagged`` unchanged, and the counts of its rows by reason as metrics of whatever job reads it:
+    the rows are counted while they pass, no scan is added.  The counts are there after the first
+    action on the returned frame (or on what is made of it)."""
+    counts = Observation(f"date issues of {name}")
+    reason = F.col(reason_col)
+    metrics = [F.count(F.lit(1)).alias(INPUT), F.count_if(reason.isNull()).alias(VALID)]
+    return tagged.observe(counts, *metrics, *[F.count_if(reason == r).alias(r) for r in REASONS]), counts
+
+
+def observed_counts(spark: SparkSession, counts: dict[str, Observation]) -> DataFrame:
+    """(feed, reason, n_rows) of observed feeds, reasons without a row left out; one small row each.
+
+    Waits for the jobs that were to read the feeds: call it after their action."""
+    rows = [(feed, reason, n) for feed, observed in counts.items() for reason, n in observed.get.items() if n]
+    return spark.createDataFrame(rows, "feed string, reason string, n_rows bigint")

@@ -22,6 +22,8 @@ from hebdo.plans.catalog import releases  # noqa: F401
 from hebdo.plans.catalog import national  # noqa: F401
 from hebdo.plans.catalog import inference  # noqa: F401
 from hebdo.plans.catalog import revisions  # noqa: F401
+from hebdo.plans.catalog import publishing  # noqa: F401
+from hebdo.plans.catalog import arrivals  # noqa: F401
 from hebdo.plans.catalog.registry import ORACLE_SQL, QUERIES, register
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hebdo.functions import dates as D
@@ -19,7 +19,7 @@ from hebdo.functions.text import normalize_label, recode
 from hebdo.operators.columns import computed_once, sum_of_columns
 from hebdo.operators.combine import outer_merge_measures, paged_full_join_on_values, union_by_name
 from hebdo.operators.nulls import fill_missing
-from hebdo.operators.quarantine import REASON_COL, date_in_range, tag_date_issues
+from hebdo.operators.quarantine import REASON_COL, date_in_range, observe_issues, tag_date_issues
 from hebdo.operators.rollup import daily_totals
 from hebdo.plans.specs import TIDY_KEYS, DateSpec, SourceSpec
 from hebdo.session import checkpoint_dir
@@ -173,6 +173,23 @@ def normalize_source(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return _with_constants(daily_totals(rows, ["country_name"], "report_date", how, spec.null_policy), spec)
 
 
+def normalize_observed(df: DataFrame, spec: SourceSpec) -> tuple[DataFrame, Observation]:
+    """``normalize_source``, and the feed's row counts by date issue, counted by the job that computes
+    the tidy rows (Q1 in the same pass; ``observed_counts`` reads them after that job)."""
+    if not spec.plausible:
+        raise ValueError(f"feed {spec.name!r} has no plausible date range")
+    tagged, counts = observe_issues(tag_report_rows(df, spec), spec.name)
+    rows = tagged.filter(F.col(REASON_COL).isNull()).drop(REASON_COL, "raw_date")
+    if spec.min_date:
+        rows = rows.filter(F.col("report_date") >= F.lit(spec.min_date).cast("date"))
+    if spec.drop_zero:
+        rows = rows.filter(F.col(spec.drop_zero) != 0)
+    if spec.aggregate_daily:
+        how = {m.name: m.aggregate for m in spec.measures}
+        rows = daily_totals(rows, ["country_name"], "report_date", how, spec.null_policy)
+    return _with_constants(rows, spec), counts
+
+
 def normalize_measure_pair(left: DataFrame, left_spec: SourceSpec,
                            right: DataFrame, right_spec: SourceSpec) -> DataFrame:
     """A feed published as two tables (e.g. admissions and ICU) merged on

@@ -79,7 +79,14 @@ def current_weekly_series(sources: list[DataFrame], spec: OutputSpec = OUTPUT_CU
     columns.  Ties go to the earlier feed, then the earlier date, then
     ``row_id_col`` when given.
     """
-    merged = combine_sources(sources).withColumn("epiweek", week_start(date_col))
+    return current_weeks(combine_sources(sources), spec, date_col, row_id_col)
+
+
+def current_weeks(merged: DataFrame, spec: OutputSpec = OUTPUT_CURRENT, date_col: str = "report_date",
+                  row_id_col: str | None = None) -> DataFrame:
+    """X14 on merged report rows (``combine_sources``).  A week's rows come from its own reports only,
+    so it can be computed for some weeks alone (``plans.refresh``)."""
+    merged = merged.withColumn("epiweek", week_start(date_col))
     tie = [SOURCE_ORDER_COL, date_col] + ([row_id_col] if row_id_col else [])
     best = top1_per_group(merged, ["epiweek", "country"], "new_hospitalization", tie_break=tie)
     best = add_week_numbers(best, "epiweek", spec.week_rule)
@@ -103,7 +110,27 @@ def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None
     ``weekly_aggregates`` sets a measure's weekly aggregate ('sum' for flows,
     'max' or 'last' for stocks such as occupied beds); default: both summed.
     """
-    merged = combine_sources(sources)
+    out = archived_weeks(combine_sources(sources), spec, country_names, freq_mode, weekly_aggregates)
+    own = out.columns
+    if materialize_weekly and latest_week != "keep":
+        out = materialize(out)
+    # a left join can't change the latest week, so it is dropped before the reference is read
+    if latest_week == "global":
+        out = drop_latest_week(out, "epiweek")
+    elif latest_week == "per_country":
+        out = drop_latest_week(out, "epiweek", per=["country"])
+    if reference is not None:
+        ref = reference.withColumnRenamed(reference_key, "country")
+        out = enrich(out, ref, "country", how="left", dedupe_reference=True)
+        if len(own) < len(spec.columns):      # the layout names its reference columns (O4)
+            out = out.select(*spec.columns)
+    return out
+
+
+def archived_weeks(merged: DataFrame, spec: OutputSpec = OUTPUT_ARCHIVED, country_names: dict | None = None,
+                   freq_mode: str = "reports", weekly_aggregates: dict[str, str] | None = None) -> DataFrame:
+    """X13 on merged report rows, up to the reference join: one row a country and week, each from the
+    reports of its own week."""
     if "new_icu" not in merged.columns:
         merged = merged.withColumn("new_icu", F.lit(None).cast("bigint"))
     daily = top1_per_group(merged, ["report_date", "country_name"], "new_hospitalization",
@@ -120,20 +147,7 @@ def archived_weekly_series(sources: list[DataFrame], reference: DataFrame | None
     names = REFERENCE_COUNTRY_NAMES if country_names is None else country_names
     weekly = weekly.withColumn("country", recode("country_name", names))
     own = [c for c in spec.columns if c in weekly.columns]
-    out = weekly.select(*own)
-    if materialize_weekly and latest_week != "keep":
-        out = materialize(out)
-    # a left join can't change the latest week, so it is dropped before the reference is read
-    if latest_week == "global":
-        out = drop_latest_week(out, "epiweek")
-    elif latest_week == "per_country":
-        out = drop_latest_week(out, "epiweek", per=["country"])
-    if reference is not None:
-        ref = reference.withColumnRenamed(reference_key, "country")
-        out = enrich(out, ref, "country", how="left", dedupe_reference=True)
-        if len(own) < len(spec.columns):      # the layout names its reference columns (O4)
-            out = out.select(*spec.columns)
-    return out
+    return weekly.select(*own)
 
 
 def ordered(df: DataFrame, spec: OutputSpec) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,3 +92,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder; its maker removes it with ``remove_folder``."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller made, with the file system that holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
