@@ -19,6 +19,7 @@ from hebdo.plans.catalog.registry import register
 from hebdo.plans.catalog.sql import PLACES, STATE_FEED
 from hebdo.plans.normalize import normalize_measure_pair, normalize_paged, normalize_source, to_report_rows
 from hebdo.plans.release import OUTPUT_LEGACY_REGION, OUTPUT_LEGACY_SHORT, archived_weekly_series
+from hebdo.sources.readers import promote_header_record
 
 SHIFT_DAYS = 9500
 LAST_DATE = "2024-01-31"
@@ -232,6 +233,63 @@ def stock_pair_feed(spark: SparkSession, d: str) -> DataFrame:
     return normalize_measure_pair(hosp, NF.NORWAY_ADMISSIONS, icu, beds)
 
 
+# --- X2: the sentinel feed: labels, seasons, month-first dates in several layouts, a first date ----
+
+SENTINEL_SHIFT = 110
+
+
+@register("us_sentinel_feed", f"""
+WITH s AS (
+  SELECT CASE event_id % 4 WHEN 0 THEN '2223' WHEN 1 THEN '2324' ELSE '2425' END AS season, event_id % 3 AS p,
+         CASE WHEN event_id % 10 <> 0 THEN CAST(floor(value * 10) AS BIGINT) END AS estimate, user_id % 5 AS strata,
+         CASE WHEN event_id % 17 <> 0 THEN CAST(ts AS DATE) + {SENTINEL_SHIFT} END AS day
+  FROM events)
+SELECT 'UNITED STATES OF AMERICA' AS country_name, day AS report_date, estimate AS new_hospitalization,
+       CAST(NULL AS BIGINT) AS new_icu, 'AMRO' AS WHO_REGION, 'USA' AS ISO_3_CODE
+FROM s WHERE p <> 0 AND strata <> 0 AND season IN ('2324', '2425') AND day >= DATE '2024-05-04'""")
+def us_sentinel_feed(spark: SparkSession, d: str) -> DataFrame:
+    e = feeds.table(spark, d, "events")
+    k, day = F.col("event_id"), F.date_add(F.to_date("ts"), SENTINEL_SHIFT)
+    time = (F.when(k % 17 == 0, "in week 18").when(k % 3 == 1, F.date_format(day, "MM/dd/yyyy"))
+            .otherwise(F.date_format(day, "MMMM d, yyyy")))
+    rows = e.select(
+        F.when(k % 4 == 0, "2223").when(k % 4 == 1, "2324").otherwise("2425").alias("season"),
+        F.when(k % 3 == 0, "Month").when(k % 3 == 1, " Week").otherwise("WEEK\t").alias("time_period"),
+        F.when(k % 10 == 0, "n/a").otherwise(F.floor(F.col("value") * 10).cast("string")).alias("estimate"),
+        F.when(F.col("user_id") % 5 == 0, "Age").otherwise("Overall").alias("strata"), time.alias("time"))
+    return normalize_source(rows, NF.CDC_SENTINEL)
+
+
+# --- X6: two tables with the country in the data, joined on (area, date) -------------
+
+@register("uk_feed", f"""
+WITH {SHIFTED},
+r AS (SELECT 'Area ' || CAST(c % 4 AS VARCHAR) AS area, * FROM shifted WHERE day >= DATE '2019-12-01'),
+l AS (SELECT area, day, {ADMISSIONS_SQL} AS h FROM r WHERE s <> 'O'),
+v AS (SELECT area, day, {ICU_SQL} AS i FROM r WHERE s = 'O')
+SELECT COALESCE(l.area, v.area) AS country_name, COALESCE(l.day, v.day) AS report_date,
+       {_sum("h", "new_hospitalization")}, {_sum("i", "new_icu")}
+FROM l FULL OUTER JOIN v ON l.area = v.area AND l.day = v.day GROUP BY 1, 2""")
+def uk_feed(spark: SparkSession, d: str) -> DataFrame:
+    rows = shifted(spark, d).select("s", F.concat(F.lit("Area "), F.col("c") % 4).alias("area_name"),
+                                    F.date_format("day", "yyyy-MM-dd").alias("date"),
+                                    _admissions().alias("new_admissions"), _icu().alias("covid_occupied_mv_beds"))
+    return normalize_measure_pair(rows.where("s <> 'O'"), NF.UK_ADMISSIONS, rows.where("s = 'O'"), NF.UK_VENTILATED)
+
+
+# --- X11: array records whose first one holds non-ASCII names -------------------------
+
+@register("bulgaria_feed", f"""
+WITH {SHIFTED}
+SELECT 'Bulgaria' AS country_name, day AS report_date, {_sum(ADMISSIONS_SQL, "new_hospitalization")}
+FROM shifted WHERE day >= DATE '2019-12-01' GROUP BY day""")
+def bulgaria_feed(spark: SparkSession, d: str) -> DataFrame:
+    records = shifted(spark, d).select(F.array(F.date_format("day", "yyyy-MM-dd"), _admissions()).alias("record"))
+    header = spark.range(1).select(F.array(*[F.lit(n) for n in NF.BG_FIELDS]).alias("record"))
+    rows = promote_header_record(records.unionByName(header), "record", list(NF.BG_FIELDS))
+    return normalize_source(rows, NF.BULGARIA)
+
+
 # --- Q1 end to end: what the flows sum and what they reject add up to the input ----
 
 @register("release_row_balance", f"""

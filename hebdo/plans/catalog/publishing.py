@@ -19,7 +19,8 @@ from hebdo.plans.refresh import SeriesStore, refresh
 from hebdo.plans.release import archived_weeks, combine_sources, current_weeks
 from hebdo.session import materialize, remove_folder, scratch_folder
 from hebdo.sources.footers import read_before_latest_week
-from hebdo.sources.sinks import write_parquet
+from hebdo.sources.readers import read_csv
+from hebdo.sources.sinks import write_parquet, write_single_csv
 from hebdo.sources.versions import publish_version, read_in_order
 
 INCREMENTS = 3
@@ -100,3 +101,18 @@ def top1_by_rank_query(spark: SparkSession, d: str) -> DataFrame:
     rows = o.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("report_date"),
                     feeds.null_when(k % 7 == 0, k % 10).alias("value"))
     return top1_by_rank(rows, ["o_custkey"], "value", tie_break=["o_orderkey"])
+
+
+@register("published_csv", f"""
+WITH {EVENTS_WEEKLY}
+SELECT event_type, epiweek, CASE WHEN reports > 1 THEN new_hospitalization END AS new_hospitalization, reports
+FROM events_weekly""")
+def published_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The weekly series as one CSV file, read again with its types."""
+    weekly = _events_weekly(spark, d).withColumn(
+        "new_hospitalization", F.when(F.col("reports") > 1, F.col("new_hospitalization")))
+    path = scratch_folder(spark, "published-csv")
+    write_single_csv(weekly, path, ["event_type", "epiweek"])
+    out = materialize(read_csv(spark, path, "event_type string, epiweek date, new_hospitalization bigint, reports bigint"))
+    remove_folder(spark, path)
+    return out

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 
 def write_single_csv(df: DataFrame, path: str, order_by: list[str]) -> None:
     """One CSV file with a header, NULL as an empty field, rows in ``order_by``
-    order (one task sorts them, so no range exchange is needed).  Meant for the
-    published weekly series (countries x weeks rows); large outputs go to
-    ``write_parquet``."""
-    (df.coalesce(1).sortWithinPartitions(*order_by)
+    order (one task sorts and writes them; the exchange in front of it keeps the
+    work before it parallel).  Meant for the published weekly series (countries
+    x weeks rows); large outputs go to ``write_parquet`` or ``versions``."""
+    (df.repartition(1).sortWithinPartitions(*order_by)
        .write.mode("overwrite").option("header", True).csv(path))
 
 
