@@ -1,8 +1,10 @@
 """Ids of distinct words, remembered by a worker: each distinct word of a block is encoded once.
 
-Words are known by their 64-bit hashes, in sorted arrays; the ids of all known
-words lie in one flat array.  The memory is bounded: beyond ``limit`` words it
-starts anew.
+Known words lie in arrays sorted by their 64-bit hashes; the bytes and the ids
+of all of them are two flat arrays.  A hash only proposes: every word of a
+block is compared, byte by byte, with the word whose ids it would get, and one
+that differs is encoded on its own.  The memory is bounded: beyond ``limit``
+words or ``LIMIT_BYTES`` of their bytes it starts anew.
 """
 
 from __future__ import annotations
@@ -11,7 +13,10 @@ from collections.abc import Callable
 
 import numpy as np
 
-LIMIT = 1_200_000               # words, about 40 bytes each
+from hebdo.llm.bytescan import same_bytes
+
+LIMIT = 1_200_000               # words, about 50 bytes each
+LIMIT_BYTES = 32 << 20
 
 #: (bytes, word starts, word ends) -> (flat ids, place of each word's ids in them, their number)
 Encode = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -25,6 +30,7 @@ class WordMemory:
     def _forget(self) -> None:
         self.known, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.begin, self.length, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def _learn(self, words, kinds: np.ndarray, example: np.ndarray) -> None:
         spot = np.searchsorted(self.known, kinds)
@@ -39,22 +45,40 @@ class WordMemory:
             self.at = np.insert(self.at, spot, place + len(self.flat))
             self.size = np.insert(self.size, spot, count)
             self.flat = np.concatenate((self.flat, flat))
+            length = words.end[at] - words.start[at]
+            ends = np.cumsum(length)
+            self.begin = np.insert(self.begin, spot, ends - length + len(self.bytes))
+            self.length = np.insert(self.length, spot, length)
+            total = int(ends[-1])
+            source = np.repeat(words.start[at] - (ends - length), length) + np.arange(total)
+            self.bytes = np.concatenate((self.bytes, words.data[source]))
 
     def rows(self, words, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in order, row offsets); with ``end_id`` every row ends with it.
 
         ``words`` has data, start, end, bounds and hashes(), as ``bytescan.Words``."""
         hashes = words.hashes()
-        if len(self.known) > self.limit:
+        if len(self.known) > self.limit or len(self.bytes) > LIMIT_BYTES:
             self._forget()
         order = np.argsort(hashes)
         ranked = hashes[order]
         first = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, bool)
-        kinds = ranked[first]
-        self._learn(words, kinds, order[first])
-        spot = np.empty(len(hashes), dtype=np.int64)
-        spot[order] = np.searchsorted(self.known, kinds)[np.cumsum(first) - 1]
+        kinds, example = ranked[first], order[first]
+        self._learn(words, kinds, example)
+        group = np.empty(len(hashes), dtype=np.int64)
+        group[order] = np.cumsum(first) - 1
+        place = np.searchsorted(self.known, kinds)
+        true = same_bytes(words.data, words.start[example], words.end[example],
+                          self.bytes, self.begin[place], self.begin[place] + self.length[place])
+        like = example[group]
+        alike = same_bytes(words.data, words.start, words.end, words.data, words.start[like], words.end[like])
+        spot, flat = place[group], self.flat
         size, source = self.size[spot], self.at[spot]
+        alone = np.flatnonzero(~(true[group] & alike))
+        if len(alone):                                            # another word of the same hash
+            more, at, count = self.encode(words.data, words.start[alone], words.end[alone])
+            size[alone], source[alone] = count, at + len(flat)
+            flat = np.concatenate((flat, more))
         total = np.concatenate(([0], np.cumsum(size)))
         per_row = total[words.bounds[1:]] - total[words.bounds[:-1]]
         extra = 0 if end_id is None else 1
@@ -63,5 +87,5 @@ class WordMemory:
         shift = np.repeat(np.arange(len(per_row)), np.diff(words.bounds)) * extra   # end ids before a word
         begin = total[:-1] + shift
         target = np.repeat(begin - total[:-1], size) + np.arange(int(total[-1]))
-        out[target] = self.flat[target + np.repeat(source - begin, size)]
+        out[target] = flat[target + np.repeat(source - begin, size)]
         return out, row_at
