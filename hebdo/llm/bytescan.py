@@ -63,18 +63,18 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES):
         yield lo, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    up, down = np.full(size, _BASE), np.full(size, inverse)
+@lru_cache(maxsize=4)
+def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    inverse = np.uint64(pow(base, -1, 1 << 64))
+    up, down = np.full(size, np.uint64(base)), np.full(size, inverse)
     up[0] = down[0] = 1
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Polynomial prefix sums and the inverse powers that normalise a slice of them."""
+def prefix_sums(data: np.ndarray, base: np.uint64 = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Polynomial prefix sums and the inverse powers that normalise a slice of them (``base`` is odd)."""
     size = 1 << max(16, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = _powers(size, int(base))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
     return sums, down
