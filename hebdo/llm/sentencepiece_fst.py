@@ -1,22 +1,32 @@
-"""SentencePiece encoding and decoding by composed finite-state transducers.
+"""SentencePiece encoding and decoding by a weighted finite-state transducer.
 
-Three transducers are compiled from the model file and composed with an input:
+Three machines are compiled from the model file into arc tables:
 
-* the normaliser puts one space in front of a text that has characters and
+* the normaliser writes a space in front of a text that has characters and
   rewrites spaces to the meta symbol (the model's normalisation is identity);
-* the piece transducer reads characters and writes piece ids.  Its states
-  remember the last piece; an arc to a next piece exists where the model's
-  merges never cross the seam of the two, which two pieces decide by
-  themselves (their merge histories run against each other, best score
-  first, leftmost on ties).  Such a chain of pieces is the model's encoding;
-* byte fallback reads a character without a piece and writes its UTF-8
-  bytes' ids, at weight one a byte; piece arcs weigh nothing.
-
-The encoding is the tropical-semiring shortest path of the composition.  The
-arcs leave one valid last piece for each prefix, so the path search keeps one
-state a position.  No piece crosses a seam between a character and a space,
-nor a line break (it has no piece), so the search runs on the distinct runs
-between those seams and a worker remembers them up to a bound.
+* the piece machine is a trie: an arc reads a character, and a node where a
+  piece ends has an arc that writes its id, at weight zero.  It is compiled
+  already composed with the normaliser, so its arcs read the text as it is;
+* byte fallback reads any character and writes the ids of its UTF-8 bytes, at
+  weight one a byte.
+
+A bigram machine restricts what may follow: piece b may come after piece a if
+the model's merges never cross their seam, which two pieces decide by
+themselves (their merge histories run against each other, best score first,
+leftmost on ties).  Its states are pieces; a fallback resets it.
+
+Composed with an input, the machine has a state for each pair of a position
+and a last piece.  ``shortest_path`` makes the states it needs and relaxes
+their arcs in the tropical semiring: weights add along a path and the least
+sum wins.  Weights are pushed first -- a character without a piece costs its
+bytes on every path, so that cost is taken out of the arcs -- which makes the
+arcs of most inputs free; arcs that are not free wait in a queue ordered by
+weight.  The least path is the model's encoding: pieces whose seams no merge
+crosses, bytes where there is no piece.
+
+No piece crosses a seam between a character and a space, nor a line break (it
+has no piece), so the search runs on the distinct runs between those seams and
+a worker remembers them up to a bound.
 
 Decoding writes each id's bytes, turns the meta symbol back to a space and
 drops the space that the normaliser had put in front.
@@ -29,6 +39,7 @@ columns pass through; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,7 +83,13 @@ class Transducer:
         if any(META in p.lstrip(META) for p in self.ids) or any("\n" in p for p in self.ids):
             raise ValueError("a piece crosses a word seam")
         self.byte_ids = {int(p.piece[1:-1], 16): i for i, p in enumerate(model.pieces) if p.type == _BYTE}
-        self.longest = max(map(len, self.ids))
+        # the normaliser's rewriting arcs, and the piece machine behind them: node -> {character: node}
+        self.rewrites = {" ": META, META: META}
+        self.arcs: list[dict[str, int]] = [{}]
+        self.writes: list[int] = [-1]                             # the piece that ends at a node
+        for piece, number in self.ids.items():
+            self._add_piece(piece, number)
+        self.single = {c for c, node in self.arcs[0].items() if self.writes[node] >= 0}
         self.histories: dict[int, tuple | None] = {}
         self.seams: dict[int, bool] = {}
         self.memory = WordMemory(self.encode_words, REMEMBER_RUNS)
@@ -80,6 +97,21 @@ class Transducer:
         self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
         self.raw_at = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
 
+    def _add_piece(self, piece: str, number: int) -> None:
+        node = 0
+        for c in piece:
+            after = self.arcs[node].get(c, -1)
+            if after < 0:
+                after = len(self.arcs)
+                self.arcs.append({})
+                self.writes.append(-1)
+                self.arcs[node][c] = after
+                for read, written in self.rewrites.items():       # composed: the arc reads what is rewritten to c
+                    if written == c:
+                        self.arcs[node][read] = after
+            node = after
+        self.writes[node] = number
+
     @staticmethod
     def _bytes_of(number: int, piece) -> bytes:
         if piece.type == _BYTE:
@@ -135,31 +167,80 @@ class Transducer:
             else:
                 j += 1
 
+    def follows(self, last: int, piece: int) -> bool:
+        """The bigram machine's arc: ``piece`` after ``last``, or at the start or after bytes (-1)."""
+        return self.seam(last, piece) if last >= 0 else self.history(piece) is not None
+
+    def fallback(self, character: str) -> tuple[int, list[int]]:
+        """The fallback machine's arc for a character: its weight and the ids it writes."""
+        raw = self.rewrites.get(character, character).encode()
+        return len(raw), [self.byte_ids[x] for x in raw]
+
+    def piece_arcs(self, run: str, start: int) -> Iterator[tuple[int, int]]:
+        """(end, piece) of the composed piece arcs that leave a position, shortest first."""
+        arcs, writes, node = self.arcs, self.writes, 0
+        for end in range(start, len(run)):
+            node = arcs[node].get(run[end], -1)
+            if node < 0:
+                return
+            if writes[node] >= 0:
+                yield end + 1, writes[node]
+
     def shortest_path(self, run: str) -> list[int]:
-        """Ids of a normalised run: the least-weight path, one state per position."""
-        ids, seam, n = self.ids, self.seam, len(run)
-        last, back = [-1] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - self.longest), i):
-                piece = ids.get(run[j:i])
-                if piece is not None and (last[j] < 0 or seam(last[j], piece)) and (
-                        last[j] >= 0 or self.history(piece) is not None):
-                    last[i], back[i] = piece, j
-                    break
-            else:
-                back[i] = i - 1                                   # byte fallback
-        out, i = [], n
-        while i:
-            if last[i] >= 0:
-                out.append(last[i])
+        """Ids of a run: the least-weight path of the machine composed with it."""
+        return self.least_path(run)[1]
+
+    def least_path(self, run: str) -> tuple[int, list[int]]:
+        """(weight, ids) of the least-weight path through the composition with ``run``."""
+        arcs, writes, single, seam, n = self.arcs, self.writes, self.single, self.seam, len(run)
+        came: dict[tuple[int, int], tuple[int, int]] = {(0, -1): (0, -1)}
+        free, queue, weight = [(0, -1)], [], 0
+        while True:
+            while free:                                           # states at the present pushed weight
+                state = free.pop()
+                start, last = state
+                if start == n:
+                    return weight + self._pushed(run), self._ids_of(run, came, state)
+                node = 0
+                for end in range(start, n):                       # piece arcs: no weight, longest tried first
+                    node = arcs[node].get(run[end], -1)
+                    if node < 0:
+                        break
+                    piece = writes[node]
+                    if piece >= 0 and (end + 1, piece) not in came and (
+                            seam(last, piece) if last >= 0 else self.history(piece) is not None):
+                        came[end + 1, piece] = state
+                        free.append((end + 1, piece))
+                after = (start + 1, -1)                           # the fallback arc
+                if run[start] not in single:
+                    if after not in came:                         # its weight is pushed out
+                        came[after] = state
+                        free.append(after)
+                else:
+                    heapq.heappush(queue, (weight + self.fallback(run[start])[0], after, state))
+            weight, after, state = heapq.heappop(queue)
+            if after not in came:
+                came[after] = state
+                free.append(after)
+
+    def _pushed(self, run: str) -> int:
+        """The weight that every path has: the bytes of the characters without a piece."""
+        return sum(self.fallback(c)[0] for c in run if c not in self.single)
+
+    def _ids_of(self, run: str, came: dict, state: tuple[int, int]) -> list[int]:
+        out: list[int] = []
+        while state[0]:
+            end, piece = state
+            if piece >= 0:
+                out.append(piece)
             else:
-                out.extend(self.byte_ids[x] for x in reversed(run[i - 1].encode()))
-            i = back[i]
+                out.extend(reversed(self.fallback(run[end - 1])[1]))
+            state = came[state]
         return out[::-1]
 
     def encode_words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray):
         raw = data.tobytes()
-        paths = [self.shortest_path(raw[s:e].decode().replace(" ", META))
+        paths = [self.shortest_path(raw[s:e].decode())
                  for s, e in zip(start.tolist(), end.tolist())]
         size = np.array([len(p) for p in paths], dtype=np.int64)
         flat = np.array([x for p in paths for x in p], dtype=np.uint32)
@@ -248,11 +329,19 @@ def decode(rows: DataFrame, model: str, keep: list[str], ids: str = "piece_ids",
     return rows.mapInArrow(run, schema)
 
 
-def encode_and_check(docs: DataFrame, model: str, keep: list[str], text: str = "text") -> DataFrame:
-    """``encode`` plus n_ids and ``round_trip``: decoding the ids gives the text (spaces for meta symbols)."""
-    check_free(keep, ["piece_ids", "n_ids", "round_trip"])
-    schema = docs.select(*keep).schema.add("piece_ids", T.ArrayType(T.IntegerType())).add("n_ids", "long").add(
-        "round_trip", "boolean")
+MADE = ["piece_ids", "n_ids", "round_trip"]
+
+
+def encode_and_check(docs: DataFrame, model: str, keep: list[str], text: str = "text",
+                     made: list[str] | None = None) -> DataFrame:
+    """``encode`` plus n_ids and ``round_trip``: decoding the ids gives the text (spaces for meta symbols).
+
+    ``made`` gives the three new columns other names."""
+    made = made or MADE
+    check_free(keep, made)
+    ids_col, n_col, same_col = made
+    schema = docs.select(*keep).schema.add(ids_col, T.ArrayType(T.IntegerType())).add(n_col, "long").add(
+        same_col, "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = _transducer(model)
@@ -268,5 +357,5 @@ def encode_and_check(docs: DataFrame, model: str, keep: list[str], text: str = "
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(c).slice(lo, len(at) - 1) for c in keep] + [lists, pa.array(np.diff(at)), pa.array(same)],
-                    names=[*keep, "piece_ids", "n_ids", "round_trip"])
+                    names=[*keep, *made])
     return docs.mapInArrow(run, schema)
