@@ -1,17 +1,16 @@
 """License scans by ordered signature rules.
 
 A text is read as its lower-cased words joined by single spaces.  A rule is a
-regular expression over that string with a label, a priority and keywords;
-it is tried only on texts that hold all its keywords (or a word that stands
-for one).  Its detections are
-word intervals.  Detections are taken in the order of priority (then length,
-then place); one that lies inside an interval already taken is suppressed,
-and so is one that equals it.
-
-The rules are made from hand-written name patterns, each put into the frames
-in which licenses are mentioned (grant, reference, identifier, ...), so there
-are several hundred expressions.  The keyword filter runs on word hashes of a
-whole block at once; most texts never meet an expression.
+regular expression over that string with a label, a priority and keywords; it
+is tried only on texts that hold all its keywords (or a word that stands for
+one).  Its detections are word intervals.  Detections are taken in the order
+of priority (then length, then place); one that lies inside an interval
+already taken is suppressed, and so is one that equals it.
+
+The rules are written out in ``license_rules``: clauses of the licenses' own
+texts, grants, titles, addresses, fields and identifiers.  An SPDX expression
+gives one detection a term.  The keyword filter runs on word hashes of a whole
+block at once; most texts never meet an expression.
 
 Base phrases are counted at all their places, are never suppressed, and need
 no rule.
@@ -32,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from hebdo.llm.bytescan import ALNUM_WORDS, LOWER, Words, text_blocks, word_hash
+from hebdo.llm.license_rules import EXPRESSIONS, RULES, SPDX, STEMS, expanded
 from hebdo.llm.names import check_free
 
 #: Phrases that are always counted, and their labels.
@@ -41,155 +41,6 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Joined by ``{v}`` in a name pattern: "version 2", "v 2", "v2" or "2".
-VERSION = r"(?:version |v ?)?"
-#: Joined by ``{p}``: what stands between a GNU license's name and its version.
-PUBLISHED = r"(?: as published by the free software foundation)?(?: either)?"
-
-#: Name patterns over words joined by spaces: label, keyword of the name, pattern.  Every alternative of the
-#: pattern holds the keyword; words of a keyword joined by | stand for each other.
-NAMES = (
-    ("mit", "mit", r"mit"),
-    ("mit-0", "attribution", r"mit no attribution"),
-    ("mit-0", "mit", r"mit 0"),
-    ("x11", "x11", r"x11|mit x11"),
-    ("apache", "apache", r"apache(?: software)?(?: style)?"),
-    ("apache-2", "apache", r"apache(?: software)?(?: licen[cs]e)? {v}2(?: 0)?"),
-    ("apache-1", "apache", r"apache(?: software)?(?: licen[cs]e)? {v}1(?: [01])?"),
-    ("bsd", "bsd", r"bsd(?: style| type)?"),
-    ("bsd-2-clause", "bsd", r"bsd 2 clause|2 clause bsd|simplified bsd|two clause bsd|bsd two clause"),
-    ("bsd-3-clause", "bsd", r"bsd 3 clause|3 clause bsd|new bsd|modified bsd|three clause bsd|revised bsd"
-                            r"|bsd three clause"),
-    ("bsd-4-clause", "bsd", r"bsd 4 clause|4 clause bsd|original bsd|four clause bsd|bsd four clause"),
-    ("0bsd", "0bsd|bsd", r"0bsd|zero clause bsd|bsd zero clause|bsd 0 clause|0 clause bsd"),
-    ("gpl", "gpl", r"(?:gnu )?gpl"),
-    ("gpl", "general", r"(?:gnu )?general public licen[cs]e"),
-    ("gpl-2", "gpl", r"(?:gnu )?gpl(?: licen[cs]e)?{p} {v}2(?: 0)?(?: only| or later)?"),
-    ("gpl-2", "gplv2|gpl2", r"(?:gnu )?gplv?2(?: 0)?(?: only| or later)?"),
-    ("gpl-2", "general", r"(?:gnu )?general public licen[cs]e{p} {v}2(?: 0)?(?: only| or later)?"),
-    ("gpl-3", "gpl", r"(?:gnu )?gpl(?: licen[cs]e)?{p} {v}3(?: 0)?(?: only| or later)?"),
-    ("gpl-3", "gplv3|gpl3", r"(?:gnu )?gplv?3(?: 0)?(?: only| or later)?"),
-    ("gpl-3", "general", r"(?:gnu )?general public licen[cs]e{p} {v}3(?: 0)?(?: only| or later)?"),
-    ("lgpl", "lgpl", r"(?:gnu )?lgpl"),
-    ("lgpl-2", "lgpl", r"(?:gnu )?lgpl(?: licen[cs]e)?{p} {v}2(?: [01])?(?: only| or later)?"),
-    ("lgpl-2", "lgplv2|lgpl2", r"(?:gnu )?lgplv?2(?: [01])?(?: only| or later)?"),
-    ("lgpl-3", "lgpl", r"(?:gnu )?lgpl(?: licen[cs]e)?{p} {v}3(?: 0)?(?: only| or later)?"),
-    ("lgpl-3", "lgplv3|lgpl3", r"(?:gnu )?lgplv?3(?: 0)?(?: only| or later)?"),
-    ("lgpl", "lesser|library", r"(?:gnu )?(?:lesser|library) general public licen[cs]e"),
-    ("lgpl-2", "lesser|library", r"(?:gnu )?(?:lesser|library) general public licen[cs]e{p} {v}2(?: [01])?(?: only| or later)?"),
-    ("lgpl-3", "lesser", r"(?:gnu )?lesser general public licen[cs]e{p} {v}3(?: 0)?(?: only| or later)?"),
-    ("agpl-3", "agpl", r"(?:gnu )?agpl(?:(?: licen[cs]e)?{p} {v}3(?: 0)?)?(?: only| or later)?"),
-    ("agpl-3", "agplv3|agpl3", r"(?:gnu )?agplv?3(?: 0)?(?: only| or later)?"),
-    ("agpl-3", "affero", r"(?:gnu )?affero general public licen[cs]e"),
-    ("agpl-3", "affero", r"(?:gnu )?affero general public licen[cs]e{p} {v}3(?: 0)?(?: only| or later)?"),
-    ("fdl", "documentation", r"(?:gnu )?free documentation licen[cs]e(?: {v}1(?: [123])?)?"),
-    ("mpl", "mozilla", r"mozilla public licen[cs]e"),
-    ("mpl", "mpl", r"mpl"),
-    ("mpl-1", "mozilla", r"mozilla public licen[cs]e {v}1(?: [01])?"),
-    ("mpl-1", "mpl", r"mpl {v}1(?: [01])?"),
-    ("mpl-2", "mozilla", r"mozilla public licen[cs]e {v}2(?: 0)?"),
-    ("mpl-2", "mpl", r"mpl {v}2(?: 0)?"),
-    ("mpl-2", "mplv2|mpl2", r"mplv?2(?: 0)?"),
-    ("epl", "eclipse", r"eclipse public licen[cs]e(?: {v}[12](?: 0)?)?"),
-    ("epl", "epl", r"epl(?: {v}[12](?: 0)?)?"),
-    ("edl", "eclipse", r"eclipse distribution licen[cs]e(?: {v}1(?: 0)?)?"),
-    ("cddl", "cddl", r"cddl(?: {v}1(?: [01])?)?"),
-    ("cddl", "development", r"common development and distribution licen[cs]e(?: {v}1(?: [01])?)?"),
-    ("isc", "isc", r"isc"),
-    ("zlib", "zlib", r"zlib(?: libpng)?"),
-    ("boost", "boost", r"boost software licen[cs]e(?: {v}1(?: 0)?)?"),
-    ("boost", "boost", r"boost"),
-    ("unlicense", "unlicense", r"unlicense"),
-    ("wtfpl", "wtfpl", r"wtfpl"),
-    ("artistic-2", "artistic", r"artistic licen[cs]e {v}2(?: 0)?"),
-    ("artistic", "artistic", r"artistic"),
-    ("perl", "perl", r"same terms as perl(?: itself)?"),
-    ("python-2", "python", r"python software foundation(?: licen[cs]e)?(?: {v}2)?"),
-    ("ruby", "ruby", r"ruby"),
-    ("php", "php", r"php(?: {v}3(?: 0[01])?)?"),
-    ("ofl", "font", r"(?:sil )?open font licen[cs]e(?: {v}1(?: 1)?)?"),
-    ("eupl", "european", r"european union public licen[cs]e(?: {v}1(?: [12])?)?"),
-    ("eupl", "eupl", r"eupl(?: {v}1(?: [12])?)?"),
-    ("osl", "osl", r"osl(?: {v}3(?: 0)?)?"),
-    ("osl", "software", r"open software licen[cs]e(?: {v}3(?: 0)?)?"),
-    ("ms-pl", "microsoft", r"microsoft public licen[cs]e"),
-    ("ms-rl", "microsoft", r"microsoft reciprocal licen[cs]e"),
-    ("odbl", "odbl", r"odbl(?: {v}1(?: 0)?)?"),
-    ("odbl", "database", r"open (?:data commons open )?database licen[cs]e(?: {v}1(?: 0)?)?"),
-    ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("cc-by", "cc", r"cc by(?: [1-4] [05])?(?! (?:nc|sa|nd))"),
-    ("cc-by-sa", "cc", r"cc by sa(?: [1-4] [05])?"),
-    ("cc-by-nd", "cc", r"cc by nd(?: [1-4] [05])?"),
-    ("cc-by-nc", "cc", r"cc by nc(?: [1-4] [05])?(?! (?:sa|nd))"),
-    ("cc-by-nc-sa", "cc", r"cc by nc sa(?: [1-4] [05])?"),
-    ("cc-by-nc-nd", "cc", r"cc by nc nd(?: [1-4] [05])?"),
-    ("cc", "commons", r"creative commons(?! (?:attribution|by|zero|cc0))"),
-    ("cc-by", "commons", r"creative commons (?:attribution|by)(?! (?:non|share|no|nc|sa|nd)){c}"),
-    ("cc-by-sa", "commons", r"creative commons (?:attribution share ?alike|by sa){c}"),
-    ("cc-by-nd", "commons", r"creative commons (?:attribution no ?deriv(?:ative)?s?(?: works)?|by nd){c}"),
-    ("cc-by-nc", "commons", r"creative commons (?:attribution non ?commercial|by nc)"
-                            r"(?! (?:share|no|sa|nd)){c}"),
-    ("cc-by-nc-sa", "commons", r"creative commons (?:attribution non ?commercial share ?alike|by nc sa){c}"),
-    ("cc-by-nc-nd", "commons", r"creative commons (?:attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?"
-                               r"|by nc nd){c}"),
-    ("cc0", "commons", r"creative commons (?:zero|cc0)(?: {v}1 0)?(?: universal)?"),
-    ("proprietary", "proprietary", r"proprietary"),
-)
-#: Joined by ``{c}``: version and port of a Creative Commons license.
-CC_VERSION = r"(?: {v}[1-4] [05])?(?: international| unported| generic)?(?: public)?"
-
-#: Frames: name, priority, keywords besides the name's, pattern around the name.  Higher priority goes first.
-_OF = r"(?:an? |the )?(?:terms (?:and conditions )?of )?(?:an? |the )?"
-FRAMES = (
-    ("identifier", 90, ("spdx",), r"spdx license identifier (?:{name})"),
-    ("grant", 80, ("under",), r"(?:is |are )?(?:released|licensed|licenced|distributed|available|provided|published"
-                              r"|covered) under " + _OF + r"(?:{name})(?: licen[cs]e)?"),
-    ("subject", 75, ("subject",), r"subject to " + _OF + r"(?:{name})(?: licen[cs]e)?"),
-    ("under", 70, ("under",), r"under " + _OF + r"(?:{name})(?: licen[cs]e)?"),
-    ("title", 60, ("licen",), r"(?:the )?(?:{name}) licen[cs]e(?: agreement)?"),
-    ("field", 50, ("licen",), r"licen[cs]e (?:{name})"),
-)
-
-#: Priority of a full name that stands alone (the heading of a license's text), and how such a name is known.
-HEADING = 60
-FULL_NAME = re.compile(r"(?:public|font|documentation|[np] software|database|distribution|reciprocal) licen"
-                       r"|^boost software licen|^artistic licen|^creative commons \(")
-
-#: Texts that grant or reserve without a license's name: label, priority, keywords, pattern.
-NOTICES = (
-    ("mit", 95, ("permission", "charge"), r"permission is hereby granted free of charge to any person "
-                                          r"obtaining a copy"),
-    ("isc", 95, ("permission", "purpose"), r"permission to use copy modify and (?:or )?distribute this software "
-                                           r"for any purpose"),
-    ("zlib", 95, ("permission", "freely"), r"permission is granted to anyone to use this software for any purpose "
-                                           r"including commercial applications and to alter it and redistribute it "
-                                           r"freely"),
-    ("boost", 96, ("permission", "charge"), r"permission is hereby granted free of charge to any person or "
-                                            r"organization obtaining a copy"),
-    ("unlicense", 95, ("unencumbered",), r"free and unencumbered software released into the public domain"),
-    ("wtfpl", 95, ("want", "public"), r"do what the [a-z]+ you want to public licen[cs]e"),
-    ("apache-2", 60, ("apache",), r"(?:the )?apache(?: software)? licen[cs]e (?:version |v ?)?2(?: 0)?"),
-    ("apache-1", 60, ("apache",), r"(?:the )?apache(?: software)? licen[cs]e (?:version |v ?)?1(?: [01])?"),
-    ("cc0", 60, ("cc0",), r"cc0 1 0 universal"),
-    ("bsd", 95, ("redistribution", "binary"), r"redistribution and use in source and binary forms with or without "
-                                              r"modification are permitted"),
-    ("public-domain", 65, ("domain",), r"(?:released |dedicated |placed )?(?:in|into|to) the public domain"),
-    ("all-rights-reserved", 40, ("rights", "reserved"), r"all rights reserved"),
-    ("apache-2", 85, ("apache", "licenses"), r"apache org licenses license 2 0"),
-    ("cc", 55, ("creativecommons",), r"creativecommons org (?:licenses|publicdomain) [a-z]+(?: [a-z]+){0,2}"),
-)
-
-#: Keyword stems of frames and the words that stand for them.
-STEMS = {"licen": ("license", "licence", "licensed", "licenses", "licences", "licenced")}
-
-
-def name_pattern(name: str) -> str:
-    """A name of ``NAMES`` with its versions written out."""
-    for mark, text in (("{c}", CC_VERSION), ("{p}", PUBLISHED), ("{v}", VERSION)):
-        name = name.replace(mark, text)
-    return name
-
-
 def keyword_words(keyword: str) -> tuple[str, ...]:
     """The words that stand for a keyword."""
     return STEMS.get(keyword, tuple(keyword.split("|")))
@@ -197,21 +48,40 @@ def keyword_words(keyword: str) -> tuple[str, ...]:
 
 @dataclass(frozen=True)
 class Rule:
-    label: str
+    """``label`` is None for an SPDX expression: its terms give the labels."""
+    label: str | None
     priority: int
     keywords: tuple[str, ...]
     pattern: re.Pattern
 
+    def matches(self, text: bytes) -> Iterator[tuple[int, int, int, str]]:
+        """(priority, first byte, end byte, label) of every place where the rule holds."""
+        for m in self.pattern.finditer(text):
+            if self.label is not None:
+                yield self.priority, m.start(), m.end(), self.label
+                continue
+            first = m.start()                                     # the first term's interval holds the tag
+            for term in _TERM.finditer(text, m.end("tag"), m.end()):
+                yield self.priority, first if first >= 0 else term.start(), term.end(), SPDX[term.group().decode()]
+                first = -1
+
+
+def _whole(pattern: str) -> re.Pattern:
+    """The pattern over whole words."""
+    return re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])".encode())
+
+
+_TERMS = "|".join(sorted(SPDX, key=len, reverse=True))
+_TERM = _whole(_TERMS)
+
 
 def compile_rules() -> list[Rule]:
-    """Every name in every frame, full names alone, and the notices, highest priority first."""
-    out = [Rule(label, priority, keys, re.compile(rf"(?<![^ ]){p}(?![^ ])".encode()))
-           for label, priority, keys, p in NOTICES]
-    for label, keyword, name in NAMES:
-        alone = [("heading", HEADING, (), "(?:the )?(?:{name})")] if FULL_NAME.search(name) else []
-        for _, priority, keys, frame in (*FRAMES, *alone):
-            p = frame.replace("{name}", name_pattern(name))
-            out.append(Rule(label, priority, (keyword, *keys), re.compile(rf"(?<![^ ])(?:{p})(?![^ ])".encode())))
+    """All rules, highest priority first."""
+    out = [Rule(label, priority, keys, _whole(expanded(p))) for label, priority, keys, p in RULES]
+    for priority, keys, tag, least in EXPRESSIONS:
+        more = "{%d,}" % (least - 1)
+        chain = f"(?P<tag>{expanded(tag)}) (?:{_TERMS})(?: (?:or|and|with) (?:{_TERMS})(?![^ ])){more}"
+        out.append(Rule(None, priority, keys, _whole(chain)))
     return sorted(out, key=lambda r: -r.priority)
 
 
@@ -236,6 +106,17 @@ class _Reach:
             i += i & -i
 
 
+def suppressed(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
+    """The detections that stand: by priority, then length, then place, those that lie in no interval taken before."""
+    found = sorted(found, key=lambda d: (-d[0], d[1] - d[2], d[1], d[3]))
+    kept, reach = [], _Reach(sorted({d[1] for d in found}))
+    for d in found:
+        if reach.end_from(d[1]) < d[2]:
+            kept.append(d)
+            reach.add(d[1], d[2])
+    return kept
+
+
 class Scanner:
     """Compiled rules, keyword table and base phrases."""
 
@@ -250,8 +131,8 @@ class Scanner:
         table = np.unique(np.concatenate(self.keyword_hashes))
         self.gate = np.zeros(1 << 16, dtype=bool)
         self.gate[(table >> np.uint64(48)).astype(np.int64)] = True
-        self.base = [(label, np.array([word_hash(w) for w in phrase.split()])) for phrase, label in
-                     BASE_PHRASES.items()]
+        self.base = [(label, phrase.encode(), np.array([word_hash(w) for w in phrase.split()]))
+                     for phrase, label in BASE_PHRASES.items()]
         self.needs = [frozenset(r.keywords) for r in self.rules]
 
     def _keywords_of(self, hashes: np.ndarray, rows: np.ndarray) -> dict[int, set[str]]:
@@ -268,29 +149,26 @@ class Scanner:
         found = []
         for rule, needs in zip(self.rules, self.needs):
             if needs <= keywords:
-                found += [(rule.priority, m.start(), m.end(), rule.label) for m in rule.pattern.finditer(text)]
-        found.sort(key=lambda d: (-d[0], d[1] - d[2], d[1], d[3]))
-        kept, reach = [], _Reach(sorted({d[1] for d in found}))
-        for d in found:
-            if reach.end_from(d[1]) < d[2]:
-                kept.append(d)
-                reach.add(d[1], d[2])
-        return kept
+                found += rule.matches(text)
+        return suppressed(found)
 
     def scan(self, data: np.ndarray, offsets: np.ndarray) -> list[dict]:
         """One result a row of a block."""
         words = Words(LOWER[data], offsets, ALNUM_WORDS)
         hashes, rows, counts = words.hashes(), words.rows(), words.counts()
         out = [{"n_words": int(n), "places": [], "found": []} for n in counts]
-        for label, phrase in self.base:
+        for label, raw, phrase in self.base:
             size = len(phrase)
             if len(hashes) >= size:
                 hit = rows[:len(rows) - size + 1] == rows[size - 1:]
                 for i in range(size):
                     hit &= hashes[i:len(hashes) - size + 1 + i] == phrase[i]
                 for at in np.flatnonzero(hit).tolist():
-                    r = int(rows[at])
-                    out[r]["places"].append((at - int(words.bounds[r]), label))
+                    said = b" ".join(words.data[s:e].tobytes() for s, e in
+                                     zip(words.start[at:at + size].tolist(), words.end[at:at + size].tolist()))
+                    if said == raw:
+                        r = int(rows[at])
+                        out[r]["places"].append((at - int(words.bounds[r]), label))
         for r, keywords in self._keywords_of(hashes, rows).items():
             if not any(needs <= keywords for needs in self.needs):
                 continue
