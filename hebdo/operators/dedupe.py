@@ -104,7 +104,7 @@ def packed_ranks(df: DataFrame, value: str, descending: bool = True,
     a fractional value is a number of its own.  Text has no fixed width: TypeError."""
     types = {f.name: f.dataType for f in df.schema.fields}
     packs: list[Column] = []
-    held, room = None, 1
+    held, room, alone = None, 1, None      # alone: the pack so far is the value by itself, as a plain integer
     for i, name in enumerate([value, *tie_break]):
         slot = _slot(F.col(name), types[name], descending and i == 0, nulls_last=i == 0)
         if slot is None:
@@ -115,11 +115,13 @@ def packed_ranks(df: DataFrame, value: str, descending: bool = True,
         column, size = slot
         if held is not None and room * size <= 10 ** _PACK_DIGITS:
             held = (held * _number(size)).cast(f"decimal({_PACK_DIGITS},0)") + column
-            held, room = held.cast(f"decimal({_PACK_DIGITS},0)"), room * size
+            held, room, alone = held.cast(f"decimal({_PACK_DIGITS},0)"), room * size, None
         else:
-            packs += [held] if held is not None else []
+            packs += [] if held is None else [held if alone is None else alone]
             held, room = column.cast(f"decimal({_PACK_DIGITS},0)"), size
-    return packs + ([held] if held is not None else [])
+            whole = _whole(F.col(name), types[name]).cast("bigint") if i == 0 else None
+            alone = whole if whole is None or not descending else F.bitwise_not(whole)      # min() leaves NULL last
+    return packs + ([] if held is None else [held if alone is None else alone])
 
 
 def top1_by_rank(df: DataFrame, keys: list[str], value: str, descending: bool = True,
