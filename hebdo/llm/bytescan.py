@@ -13,7 +13,6 @@ up to ``BLOCK_BYTES``; a longer row forms a block of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,18 +62,26 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES):
         yield lo, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
 
 
-@lru_cache(maxsize=4)
+CACHED_POWERS = 1 << 20         # powers that a worker keeps of a base; longer blocks make their own
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(base, -1, 1 << 64))
-    up, down = np.full(size, np.uint64(base)), np.full(size, inverse)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    """The powers of a base and of its inverse."""
+    known = _POWERS.get(base)
+    if known is None or len(known[0]) < size:
+        up, down = np.full(size, np.uint64(base)), np.full(size, np.uint64(pow(base, -1, 1 << 64)))
+        up[0] = down[0] = 1
+        known = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+        if size <= CACHED_POWERS:
+            _POWERS[base] = known
+    return known
 
 
 def prefix_sums(data: np.ndarray, base: np.uint64 = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """Polynomial prefix sums and the inverse powers that normalise a slice of them (``base`` is odd)."""
     size = 1 << max(16, int(len(data)).bit_length())
-    up, down = _powers(size, int(base))
+    up, down = _powers(size if size <= CACHED_POWERS else len(data) + 1, int(base))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
     return sums, down

@@ -13,19 +13,23 @@ text as in a short one.
 
 Only documents are labelled, not bags.  Round one trains every bag with its
 document's label; later rounds keep, of a toxic document, the bags that score
-above nearly all bags of clean documents (its highest one at least).
-
-Fitting uses at most about ``SAMPLE_ROWS`` labelled rows chosen by a hash of
-the id (documented bound; toxic rows come first because they are rare), of
-which at most ``SAMPLE_BYTES`` of text a class come to the driver.  A text of
-more than ``SHARE_BYTES`` counts with whole bags, chosen by hash up to that
-share, so no text ends the sample and at least 31 parts of 32 of the bytes are
-used where there is as much text.  Scoring covers every row and its whole text.
+above nearly all bags of clean documents (its highest one at least).  The cut
+weighs a missed toxic document like ``MISS`` false alarms.
+
+Fitting uses at most about ``SAMPLE_ROWS`` labelled rows of each class, chosen
+by a hash of the id (the documented bound), and all bags of their whole texts,
+however long.  Spark cuts the texts into bags, deals each round's bags out in a
+random order, as often as the round passes over them, and scores them between
+rounds; one task of a round reads that stream and trains, holding the model and
+one mini-batch at a time.  The driver gets the model.  A round passes over the
+bags until it has seen ``bags_seen`` of them (a parameter of the fit), twice at
+least and ``MOST_PASSES`` times at most.
+Scoring covers every row and its whole text.
 
 Cases: a null, empty or wordless text has no bag and gets the score of an
 empty bag; null labels are ignored; repeated label rows of an id use the
 smallest label, repeated document rows its smallest text; with one class only every score is 0.0; other columns may be
-kept.
+kept; ids are numbers or texts.
 """
 
 from __future__ import annotations
@@ -39,17 +43,20 @@ from pyspark.sql import functions as F
 
 from hebdo.llm.bytescan import ALNUM_WORDS, LOWER, Words, mix, text_blocks
 from hebdo.llm.names import check_free
+from hebdo.session import materialize
 
 SAMPLE_ROWS = 3_000             # of each class
-SAMPLE_BYTES = 7 << 20          # of each class
-SHARE_BYTES = SAMPLE_BYTES // 32    # of each text
-SEGMENT = 16
-GRAMS = (3, 4, 5)
+SEGMENT = 12
+GRAMS = (3, 4, 5, 6)
 LEAST = 120
 BITS = 17
 DIM = 8
-BAGS_SEEN = 120_000             # bags that each round trains on, in 2 to 24 epochs
+BAGS_SEEN = 160_000             # bags that each round trains on
+MOST_PASSES = 24
 ROUNDS = 3
+MISS = 3
+SNAPSHOT = 20                   # mini-batches between the models that a round averages
+BATCH = 512
 CUT = 0.3
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -105,17 +112,10 @@ class Grams:
 
 
 class Model:
-    """Embeddings E, softmax weights W and bias b; for scoring, one number per bucket."""
-
-    def __init__(self, embed=None, weights=None, bias=None, shift: float = 0.0):
-        self.embed, self.weights, self.bias, self.shift = embed, weights, bias, shift
-        self.unit = None if embed is None else (embed @ (weights[:, 1] - weights[:, 0])).astype(np.float32)
+    """What scoring needs of embeddings and softmax: their product, one number a bucket, the bias and the shift."""
 
-    def slim(self) -> Model:
-        """What scoring needs: bucket numbers, bias and shift."""
-        out = Model()
-        out.unit, out.bias, out.shift = self.unit, self.bias, self.shift
-        return out
+    def __init__(self, unit: np.ndarray | None = None, bias: float = 0.0, shift: float = 0.0):
+        self.unit, self.bias, self.shift = unit, bias, shift
 
     def bag_logits(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         size = np.diff(np.concatenate((starts, [len(ids)])))
@@ -124,7 +124,7 @@ class Model:
             s = starts[lo:lo + 4096]
             stop = s[-1] + size[lo + len(s) - 1]
             total[lo:lo + len(s)] = np.add.reduceat(self.unit[ids[s[0]:stop]].astype(np.float64), s - s[0])
-        return total / np.maximum(size, LEAST) + (self.bias[1] - self.bias[0])
+        return total / np.maximum(size, LEAST) + self.bias
 
     def block_scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = len(offsets) - 1
@@ -138,117 +138,220 @@ class Model:
             some = k > 0
             per_word[some] += total[g.first[some] + k[some]] - total[g.first[some]]
             counts += k
-        logit = np.full(n, float(self.bias[1] - self.bias[0]))
+        logit = np.full(n, self.bias)
         n_bags = int(bounds[-1])
         if n_bags:
             value = np.bincount(bag, weights=per_word, minlength=n_bags) / np.maximum(
-                np.bincount(bag, weights=counts, minlength=n_bags), LEAST) + (self.bias[1] - self.bias[0])
+                np.bincount(bag, weights=counts, minlength=n_bags), LEAST) + self.bias
             some = np.flatnonzero(np.diff(bounds))
             logit[some] = np.maximum.reduceat(value, bounds[some])
         return 1.0 / (1.0 + np.exp(-np.clip(logit - self.shift, -40, 40)))
 
 
-def _train(ids: np.ndarray, starts: np.ndarray, y: np.ndarray, weight: np.ndarray, rng, epochs: int,
-           batch: int = 512) -> Model:
-    """Joint Adagrad on embeddings and softmax over bags (ids[starts[i]:starts[i + 1]])."""
-    ends = np.concatenate((starts[1:], [len(ids)]))
-    embed = rng.normal(0, 0.02, (1 << BITS, DIM)).astype(np.float32)
-    weights, bias = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, dtype=np.float32)
-    seen = np.full((1 << BITS, 1), 1e-6, dtype=np.float32)
-    seen_w, seen_b = np.full((DIM, 2), 1e-6, np.float32), np.full(2, 1e-6, np.float32)
-    usable = np.flatnonzero(weight > 0)
-    for _ in range(epochs):
-        order = rng.permutation(usable)
-        for lo in range(0, len(order), batch):
-            rows = order[lo:lo + batch]
-            size = (ends - starts)[rows]
-            at = np.repeat(starts[rows] - np.concatenate(([0], np.cumsum(size)))[:-1], size) + np.arange(size.sum())
-            g, cut = ids[at], np.concatenate(([0], np.cumsum(size)))[:-1]
-            scale = 1.0 / np.maximum(size, LEAST)[:, None]
-            h = np.add.reduceat(embed[g], cut, axis=0) * scale
-            z = h @ weights + bias
-            z -= z.max(axis=1, keepdims=True)
-            p = np.exp(z)
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(rows)), y[rows]] -= 1
-            p *= (weight[rows] / len(rows) * 16)[:, None]
-            dh = (p @ weights.T) * scale
-            grad_w, grad_b = h.T @ p, p.sum(axis=0)
-            kinds, inverse = np.unique(g, return_inverse=True)
-            owner = np.repeat(np.arange(len(rows)), size)
-            grad = np.stack([np.bincount(inverse, weights=dh[owner, k], minlength=len(kinds)) for k in range(DIM)],
-                            axis=1).astype(np.float32)
-            seen[kinds] += (grad ** 2).mean(axis=1, keepdims=True)
-            embed[kinds] -= 0.3 * grad / np.sqrt(seen[kinds])
-            seen_w += grad_w ** 2
-            weights -= 0.1 * grad_w / np.sqrt(seen_w)
-            seen_b += grad_b ** 2
-            bias -= 0.1 * grad_b / np.sqrt(seen_b)
-    return Model(embed, weights, bias)
-
-
-def fit(ids: np.ndarray, starts: np.ndarray, doc: np.ndarray, y_doc: np.ndarray, seed: int = 11) -> Model:
-    """ids/starts: buckets of each bag; doc: document of each bag; y_doc: label of each document."""
-    if len(np.unique(y_doc)) < 2 or not len(starts):
-        return Model()
-    rng = np.random.default_rng(seed)
-    y = y_doc[doc].astype(np.int64)
-    weight = np.where(y == 1, (y == 0).sum() / max(1, (y == 1).sum()), 1.0).clip(0.2, 5).astype(np.float32)
-    model = Model()
-    for r in range(ROUNDS):
-        model = _train(ids, starts, y, weight, rng, int(np.clip(-(-BAGS_SEEN // len(starts)), 2, 24)))
-        logits = model.bag_logits(ids, starts)
-        level = np.quantile(logits[y_doc[doc] == 0], 0.999)
-        best = np.full(len(y_doc), -np.inf)
-        np.maximum.at(best, doc, logits)
-        toxic = y_doc[doc] == 1
-        chosen = toxic & ((logits > level) | (logits >= best[doc]))
-        y = chosen.astype(np.int64)                 # the other bags of a toxic document read as clean
-        weight = np.where(chosen, min(20.0, (~chosen).sum() / max(1, chosen.sum())), 1.0).astype(np.float32)
-        weight[toxic & ~chosen] = 0.3
-    good, bad = np.sort(best[y_doc == 0]), np.sort(best[y_doc == 1])
-    # the cut that separates the labelled documents best; it reads CUT
+class _Trainer:
+    """Joint Adagrad on embeddings and softmax over mini-batches of bags.
+
+    The model of a round is the mean of what the models of its second half say: the scores are
+    linear in ``unit``, so its mean is that of all these models together."""
+
+    def __init__(self, rng):
+        self.embed = rng.normal(0, 0.02, (1 << BITS, DIM)).astype(np.float32)
+        self.weights = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32)
+        self.bias = np.zeros(2, dtype=np.float32)
+        self.seen = np.full((1 << BITS, 1), 1e-6, dtype=np.float32)
+        self.seen_w, self.seen_b = np.full((DIM, 2), 1e-6, np.float32), np.full(2, 1e-6, np.float32)
+        self.unit, self.base, self.snapshots = np.zeros(1 << BITS), 0.0, 0
+
+    def snapshot(self) -> None:
+        self.unit += self.embed @ (self.weights[:, 1] - self.weights[:, 0])
+        self.base += float(self.bias[1]) - float(self.bias[0])
+        self.snapshots += 1
+
+    def model(self) -> tuple[np.ndarray, float]:
+        if not self.snapshots:
+            self.snapshot()
+        return (self.unit / self.snapshots).astype("<f4"), self.base / self.snapshots
+
+    def step(self, ids: np.ndarray, size: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
+        """One mini-batch: the buckets of its bags one after the other, and their numbers."""
+        cut = np.concatenate(([0], np.cumsum(size)))[:-1]
+        scale = 1.0 / np.maximum(size, LEAST)[:, None]
+        h = np.add.reduceat(self.embed[ids], cut, axis=0) * scale
+        z = h @ self.weights + self.bias
+        z -= z.max(axis=1, keepdims=True)
+        p = np.exp(z)
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(len(size)), y] -= 1
+        p *= (weight / len(size) * 16)[:, None]
+        dh = (p @ self.weights.T) * scale
+        grad_w, grad_b = h.T @ p, p.sum(axis=0)
+        kinds, inverse = np.unique(ids, return_inverse=True)
+        owner = np.repeat(np.arange(len(size)), size)
+        grad = np.stack([np.bincount(inverse, weights=dh[owner, k], minlength=len(kinds)) for k in range(DIM)],
+                        axis=1).astype(np.float32)
+        self.seen[kinds] += (grad ** 2).mean(axis=1, keepdims=True)
+        self.embed[kinds] -= 0.3 * grad / np.sqrt(self.seen[kinds])
+        self.seen_w += grad_w ** 2
+        self.weights -= 0.1 * grad_w / np.sqrt(self.seen_w)
+        self.seen_b += grad_b ** 2
+        self.bias -= 0.1 * grad_b / np.sqrt(self.seen_b)
+
+
+def bags_of(texts: DataFrame) -> DataFrame:
+    """(id, y, bag, words) of (id, y, t): the lower-cased words of every bag of the whole texts."""
+    schema = texts.select("id", "y").schema.add("bag", "long").add("words", "binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, data, offsets in text_blocks(b.column("t")):
+                words = Words(LOWER[data], offsets, ALNUM_WORDS)
+                if not len(words):
+                    continue
+                raw, begin = words.joined()
+                row, nth = words.rows(), np.arange(len(words)) - np.repeat(words.bounds[:-1], words.counts())
+                first = np.flatnonzero(nth % SEGMENT == 0)
+                stop = np.concatenate((begin[first[1:]], [len(raw)])) - 1      # without the last space
+                at = pa.array(row[first] + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("id").take(at), b.column("y").take(at), pa.array(nth[first] // SEGMENT),
+                     pa.array([raw[s:e] for s, e in zip(begin[first].tolist(), stop.tolist())], pa.binary())],
+                    names=["id", "y", "bag", "words"])
+    return texts.select("id", "y", "t").mapInArrow(run, schema)
+
+
+def _bag_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of the bags one after the other, their numbers) of a column of bags' words."""
+    ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for _, data, offsets in text_blocks(column.cast(pa.string())):
+        found, owner, bounds = Grams(data, offsets).bag_grams()
+        ids.append(found)
+        sizes.append(np.bincount(owner, minlength=int(bounds[-1])))
+    return np.concatenate(ids), np.concatenate(sizes)
+
+
+class _Target:
+    """What a round trains a bag on: its document's label, or what the model before says of the bag."""
+
+    def __init__(self, scale: float, model: Model | None = None, level: float = 0.0, best: dict | None = None):
+        self.scale, self.model, self.level, self.best = scale, model, level, best
+
+    def of(self, batch: pa.RecordBatch, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.int64)
+        if self.model is None:
+            return y, np.where(y == 1, self.scale, 1.0).astype(np.float32)
+        toxic = y == 1
+        logit = self.model.bag_logits(ids, np.cumsum(size) - size)
+        best = np.array([self.best.get(i, np.inf) for i in batch.column("id").to_pylist()])
+        chosen = toxic & ((logit > self.level) | (logit >= best - 1e-9))
+        weight = np.where(chosen, self.scale, np.where(toxic, 0.3, 1.0)).astype(np.float32)
+        return chosen.astype(np.int64), weight     # the other bags of a toxic document read as clean
+
+
+def _stream(bags: DataFrame, passes: int, seed: int) -> DataFrame:
+    """(id, y, words) of every bag ``passes`` times, in one partition: pass by pass in random orders."""
+    rows = bags.withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(passes))))
+    order = F.xxhash64("id", "bag", "pass", F.lit(seed))
+    return rows.repartition(1).sortWithinPartitions("pass", order, "id", "bag").select("id", "y", "words")
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a stream in mini-batches."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            part = batch.slice(at, BATCH - n)
+            held.append(part)
+            at, n = at + part.num_rows, n + part.num_rows
+            if n == BATCH:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _trained(bags: DataFrame, n: int, target: _Target, passes: int, seed: int) -> Model:
+    """One round over the ``n`` bags, by one task."""
+    half = passes * n // BATCH // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer = _Trainer(np.random.default_rng(seed))
+        for k, part in enumerate(_sliced(batches)):
+            ids, size = _bag_grams(part.column("words"))
+            trainer.step(ids, size, *target.of(part, ids, size))
+            if k >= half and (k - half) % SNAPSHOT == 0:
+                trainer.snapshot()
+        unit, bias = trainer.model()
+        yield pa.RecordBatch.from_arrays([pa.array([unit.tobytes()], pa.binary()), pa.array([bias])], names=["unit", "bias"])
+    found = _stream(bags, passes, seed).mapInArrow(run, "unit binary, bias double").collect()[0]
+    return Model(np.frombuffer(found["unit"], "<f4"), found["bias"])
+
+
+def _scored(bags: DataFrame, model: Model) -> DataFrame:
+    """(id, y, logit) of every bag."""
+    schema = bags.select("id", "y").schema.add("logit", "double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, size = _bag_grams(b.column("words"))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), b.column("y"), pa.array(model.bag_logits(ids, np.cumsum(size) - size))],
+                names=["id", "y", "logit"])
+    return bags.select("id", "y", "words").mapInArrow(run, schema)
+
+
+_STEPS = 256                                       # bins of one unit of a logit
+
+
+def _clean_level(scored: DataFrame, share: float) -> float:
+    """The logit below which about ``share`` of the bags of clean documents lie."""
+    place = F.least(F.greatest(F.floor(F.col("logit") * _STEPS), F.lit(-40 * _STEPS)), F.lit(40 * _STEPS))
+    bins = sorted((r["place"], r["count"]) for r in
+                  scored.where("y = 0").groupBy(place.alias("place")).count().collect())       # at most 20,481
+    total, seen = sum(n for _, n in bins), 0
+    for at, n in bins:
+        seen += n
+        if seen >= share * total:
+            return (at + 1) / _STEPS
+    return 0.0
+
+
+def _shift(good: np.ndarray, bad: np.ndarray) -> float:
+    """The logit that reads CUT: the cut between the labelled documents with the least errors,
+    a missed toxic document counting MISS times."""
     grid = np.unique(np.concatenate((good[-max(1, len(good) // 10):], bad)))
-    errors = (len(good) - np.searchsorted(good, grid, "left")) + np.searchsorted(bad, grid, "left")
+    errors = (len(good) - np.searchsorted(good, grid, "left")) + MISS * np.searchsorted(bad, grid, "left")
     low = grid[np.flatnonzero(errors == errors.min())]
     below = good[np.searchsorted(good, low[-1], "left") - 1] if np.searchsorted(good, low[-1], "left") else low[0]
-    model.shift = float((min(below, low[-1]) + low[-1]) / 2 - np.log(CUT / (1 - CUT)))
-    return model
+    return float((min(below, low[-1]) + low[-1]) / 2 - np.log(CUT / (1 - CUT)))
 
 
-def _share(raw: bytes, limit: int) -> str:
-    """Whole bags of a text, in their order, chosen by hash while their words fit; a text of longer
-    bags only gives the beginning of its shortest one."""
-    data = np.frombuffer(raw, dtype=np.uint8)
-    words = Words(LOWER[data], np.array([0, len(data)]), ALNUM_WORDS)
-    if not len(words):
-        return ""
-    first = np.arange(0, len(words), SEGMENT)
-    size = np.add.reduceat(words.end - words.start + 1, first)
-    order = np.argsort(mix((np.arange(len(first)).astype(np.uint64) + np.uint64(1)) * _BASE), kind="stable")
-    order = order[size[order] <= limit]
-    chosen = np.sort(order[np.cumsum(size[order]) <= limit])
-    if not len(chosen):
-        chosen = np.array([int(np.argmin(size))])
-    parts = [words.data[s:e].tobytes() for at in first[chosen].tolist()
-             for s, e in zip(words.start[at:at + SEGMENT].tolist(), words.end[at:at + SEGMENT].tolist())]
-    return b" ".join(parts)[:limit].decode("utf-8", "ignore")
-
-
-def _shared(rows: DataFrame, limit: int) -> DataFrame:
-    """(id, y, t) with texts of at most ``limit`` bytes: longer ones become whole bags of theirs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            buffers = [t.as_buffer() if t.is_valid else None for t in b.column("t")]
-            texts = [t if t is None else t.to_pybytes().decode() if t.size <= limit else _share(t.to_pybytes(), limit)
-                     for t in buffers]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(texts, pa.string())],
-                                             names=["id", "y", "t"])
-    return rows.select("id", "y", "t").mapInArrow(run, rows.select("id", "y", "t").schema)
+def fit(bags: DataFrame, seed: int = 11, bags_seen: int = BAGS_SEEN) -> Model:
+    """The model of labelled bags (``bags_of``), which are read again for every pass."""
+    counts = {r["y"]: r["count"] for r in bags.groupBy("y").count().collect()}
+    if len(counts) < 2:
+        return Model()
+    n = sum(counts.values())
+    passes = int(np.clip(-(-bags_seen // n), 2, MOST_PASSES))
+    rng = np.random.default_rng(seed)
+    target, model, best = _Target(float(np.clip(counts[0] / counts[1], 0.2, 5))), None, []
+    for _ in range(ROUNDS):
+        model = _trained(bags, n, target, passes, int(rng.integers(1 << 31)))
+        scored = materialize(_scored(bags, model))
+        level = _clean_level(scored, 0.999)
+        best = scored.groupBy("id").agg(F.min("y").alias("y"), F.max("logit").alias("best")).collect()  # sampled rows
+        highest = {r["id"]: r["best"] for r in best if r["y"] == 1}
+        chosen = scored.where("y = 1").where(F.col("logit") > level).count()
+        chosen += sum(x <= level for x in highest.values())
+        target = _Target(min(20.0, (n - chosen) / max(1, chosen)), model, level, highest)
+    good, bad = (np.sort([r["best"] for r in best if r["y"] == y]) for y in (0, 1))
+    model.shift = _shift(good, bad)
+    return model
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic",
-          rows: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text") -> Model:
+          rows: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text", bags_seen: int = BAGS_SEEN) -> Model:
     known = (labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("id"))
              .agg(F.min(label).cast("int").alias("y")).where(usable))
     totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
@@ -258,46 +361,17 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
     chosen = known.where(F.pmod(F.xxhash64("id", F.lit(23)), F.lit(1_000_000)) < share)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t"))
-
-    # a bounded number of bytes of each class: rows in hash order while their shares fit
-    lengths = sample.select("id", "y", F.octet_length("t").alias("n")).toPandas()
-    lengths["key"] = lengths["id"].map(lambda i: (int(i) * 2654435761) & 0xFFFFFFFF)
-    lengths = lengths.sort_values(["key", "id"])
-    lengths["n"] = lengths["n"].clip(upper=SHARE_BYTES)
-    fits = lengths[lengths.groupby("y")["n"].cumsum() <= SAMPLE_BYTES]
-    if set(fits["y"]) != set(lengths.dropna(subset="n")["y"]):
-        raise RuntimeError("no text of a labelled class fits the sample")
-    if not len(fits):
-        return Model()
-    wanted = docs.sparkSession.createDataFrame(fits[["id"]], "id bigint")
-    got = _shared(sample.join(F.broadcast(wanted), "id"), SHARE_BYTES).orderBy("id").toPandas()
-    grams, sizes, doc = [], [], []
-    for lo, data, offsets in text_blocks(pa.array(got.pop("t"), pa.string())):
-        found, owner, bounds = Grams(data, offsets).bag_grams()
-        grams.append(found)
-        sizes.append(np.bincount(owner, minlength=int(bounds[-1])))
-        doc.append(lo + np.repeat(np.arange(len(offsets) - 1), np.diff(bounds)))
-    sizes, doc, y = np.concatenate(sizes), np.concatenate(doc), got["y"].to_numpy()
-    ids = np.empty(int(sizes.sum()), dtype=np.int32)
-    at = 0
-    while grams:                                                  # one copy of the sample's grams at a time
-        part = grams.pop(0)
-        ids[at:at + len(part)] = part
-        at += len(part)
-    some = sizes > 0
-    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1][some]
-    return fit(ids, starts, doc[some], y)
+    return fit(materialize(bags_of(sample)), bags_seen=bags_seen)
 
 
 def with_scores(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` and ``toxic_score`` of every row."""
     check_free(keep, ["toxic_score"])
-    slim = model.slim()
     schema = docs.select(*keep).schema.add("toxic_score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [slim.block_scores(d, o) for _, d, o in text_blocks(b.column(text))]
+            parts = [model.block_scores(d, o) for _, d, o in text_blocks(b.column(text))]
             scores = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(scores)],
                                              names=[*keep, "toxic_score"])

@@ -1,11 +1,13 @@
 """Inputs named by the second review: the whole job on texts, names and ids the given tables do not hold."""
 
 import itertools
+import os
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -17,11 +19,7 @@ from tests.llm import brute
 from tests.llm.test_documents import ODD, WORDS, frame, labelled, texts
 
 
-def test_toxicity_sample_goes_on_after_a_text_above_its_limit(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "BAGS_SEEN", 20_000)
-    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 60_000)
-    monkeypatch.setattr(toxicity, "SHARE_BYTES", 60_000 // 32)
-
+def test_toxicity_sample_holds_very_long_texts_whole(spark):
     def insult(words, rng):
         for _ in range(4):
             words[rng.randrange(len(words))] = rng.choice(["worthless", "disgusting", "pathetic"])
@@ -31,20 +29,48 @@ def test_toxicity_sample_goes_on_after_a_text_above_its_limit(spark, monkeypatch
     rows = [(i, t if i not in first.values() else (t + " ") * 400, y) for i, t, y in rows]
     assert all(len(t) > 60_000 for i, t, _ in rows if i in first.values())
     docs = frame(spark, [(i, t) for i, t, _ in rows])
-    model = toxicity.learn(docs, labels, fold("id", 4) >= 0)
+    model = toxicity.learn(docs, labels, fold("id", 4) >= 0, bags_seen=20_000)
     got = {r["doc_id"]: r["toxic_score"] for r in toxicity.with_scores(docs, model, ["doc_id"]).collect()}
     right = [(got[i] >= toxicity.CUT) == (y == 1) for i, _, y in rows]
     assert sum(right) >= 0.95 * len(right)
 
 
-def test_toxicity_share_holds_whole_bags():
-    words = [w.encode() for w in " ".join(WORDS * 40).lower().replace(",", "").replace(".", "").split()]
-    n = toxicity.SEGMENT
-    bags = [b" ".join(words[k:k + n]) for k in range(0, len(words), n)]
-    got = word_texts(toxicity._share(b"  ".join(words), 900), ALNUM_WORDS)
-    assert 0 < len(b" ".join(got)) <= 900
-    assert all(b" ".join(got[k:k + n]) in bags for k in range(0, len(got), n))
-    assert toxicity._share(b"... ", 900) == "" and toxicity._share("é".encode() * 900, 901) == "é" * 450
+def test_toxicity_bags_hold_every_word(spark):
+    long = " ".join(WORDS * 4000)
+    rows = [(1, 0, long), (2, 1, "A b-c " * 5), (3, 1, None), (4, 0, "?!"), (5, 1, "x")]
+    bags = toxicity.bags_of(spark.createDataFrame(rows, "id bigint, y int, t string")).collect()
+    by_id = {i: sorted((b["bag"], bytes(b["words"])) for b in bags if b["id"] == i) for i, _, _ in rows}
+    for i, y, t in rows:
+        words = word_texts(t, ALNUM_WORDS)
+        n = toxicity.SEGMENT
+        assert by_id[i] == [(k // n, b" ".join(words[k:k + n])) for k in range(0, len(words), n)]
+    assert {(b["id"], b["y"]) for b in bags} == {(1, 0), (2, 1), (5, 1)}
+
+
+def test_toxicity_stream_holds_every_bag_once_a_pass(spark):
+    rows = [(i, i % 2, t) for i, t in enumerate(texts(9, 90, 80))]
+    bags = toxicity.bags_of(spark.createDataFrame(rows, "id bigint, y int, t string")).repartition(3).cache()
+    n = bags.count()
+    seen = [[(r["id"], bytes(r["words"])) for r in toxicity._stream(bags, 3, s).collect()] for s in (1, 2)]
+    for stream in seen:
+        passes = [stream[k * n:(k + 1) * n] for k in range(3)]
+        assert len(stream) == 3 * n and passes[0] != passes[1]
+        assert sorted(passes[0]) == sorted(passes[1]) == sorted(passes[2])
+    assert seen[0] != seen[1]
+    batch = pa.RecordBatch.from_pydict({"k": list(range(1300))})
+    parts = list(toxicity._sliced(iter([batch.slice(0, 700), batch.slice(700, 0), batch.slice(700)])))
+    assert [p.num_rows for p in parts] == [toxicity.BATCH] * 2 + [1300 - 2 * toxicity.BATCH]
+    assert [k for p in parts for k in p.column("k").to_pylist()] == list(range(1300))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables not present")
+def test_op8_finds_nine_of_ten_held_out_toxic_documents(spark):
+    d = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    got = [(labels[r["doc_id"]], r["predicted"]) for r in
+           QUERIES["op8_toxicity_subword_bags"](spark, d).where("held_out").collect() if r["doc_id"] in labels]
+    caught, toxic, flagged = sum(y and p for y, p in got), sum(y for y, _ in got), sum(p for _, p in got)
+    assert toxic >= 100 and caught >= 0.9 * toxic and caught >= 0.8 * flagged
 
 
 def test_op9_control_strings_as_in_the_untouched_library(spark, tmp_path):
@@ -70,6 +96,8 @@ def spelled(tree):
         name = str(op)
         if name == "LITERAL":
             parts.append([chr(arg)])
+        elif name == "NOT_LITERAL":
+            parts.append(["x"])
         elif name == "IN":
             parts.append([chr(v if str(o) == "LITERAL" else v[0]) for o, v in arg])
         elif name == "BRANCH":
@@ -93,12 +121,12 @@ def implied(pattern, keyword):
 
 
 def test_license_keywords_are_in_every_alternative_of_their_pattern():
-    for label, keyword, name in licenses.NAMES:
-        assert implied(licenses.name_pattern(name), keyword), (label, name)
-    for frame_name, _, keys, pattern in licenses.FRAMES:
-        assert all(implied(pattern.replace("{name}", "name"), k) for k in keys), frame_name
-    for label, _, keys, pattern in licenses.NOTICES:
-        assert all(implied(pattern, k) for k in keys), pattern
+    for label, _, keys, pattern in licenses.RULES:
+        assert keys
+        # long optional parts are the same for all rules: their alternatives hold no keyword but "under"
+        short = pattern.replace("{of}", "").replace("{c}", "").replace("{p}", "").replace("{v}", "").replace("{o}", "")
+        for k in keys:
+            assert implied(licenses.expanded(short), k), (label, k, pattern)
 
 
 GNU = "you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published by " \

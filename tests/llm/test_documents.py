@@ -282,16 +282,14 @@ def test_quality_held_out_accuracy_and_cases(spark):
                                ["doc_id"]).count() == 0
 
 
-def test_toxicity_held_out_accuracy_and_misspellings(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "BAGS_SEEN", 20_000)
-
+def test_toxicity_held_out_accuracy_and_misspellings(spark):
     def insult(words, rng):
         for _ in range(4):
             words[rng.randrange(len(words))] = rng.choice(["worthless", "disgusting", "pathetic"])
     rows, labels = labelled(spark, insult, 2, 360)
     more = [(1000, "alpha beta gamma wortthless eta theta " + " ".join(WORDS * 3)), (1001, " ".join(WORDS * 9))]
     docs = frame(spark, [(i, t) for i, t, _ in rows] + more)
-    model = toxicity.learn(docs, labels, fold("id", 4) != 2)
+    model = toxicity.learn(docs, labels, fold("id", 4) != 2, bags_seen=20_000)
     got = {r["doc_id"]: r["toxic_score"] for r in toxicity.with_scores(docs, model, ["doc_id"]).collect()}
     held = [(got[i] >= toxicity.CUT) == (y == 1) for i, _, y in rows if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean(held) >= 0.95
