@@ -9,10 +9,14 @@ then the bytes) confirms an occurrence.  Many positions advance at once:
 every row is cut into segments of ``SEGMENT`` end positions, each with its
 own cursor, so the skips run as vector operations.
 
-The pattern tables travel with the tasks.  Their size is bounded by
-``BLOCK_ITEM_BYTES`` of benchmark text: a larger benchmark is cut into that
-many passes, each pass adding its hits to a state column of the same rows, so
-no row is shuffled and no pattern is dropped.
+The items travel with the tasks, which build the pattern tables once a worker.
+Their size is bounded by ``BLOCK_ITEM_BYTES`` of benchmark text: a larger
+benchmark is searched in that many passes, one after the other, and the driver
+holds the items of one pass at a time.  For that, the documents are written
+once with a row number; a pass reads them and writes the hits of the few rows
+that have any, and the hits of all passes are merged by row number.  An item
+above ``PIECE_WORDS`` words is cut into pieces that overlap by a window less
+a word, so no window is lost and no item makes a pass larger.
 
 Cases: a null or wordless text has zero words and no hits; a wordless item
 never occurs; equal windows of several items count for each of them; items
@@ -36,11 +40,14 @@ from pyspark.sql import functions as F
 
 from hebdo.llm.bytescan import ALNUM_WORDS, LOWER, Words, mix, text_blocks, word_hash, word_texts
 from hebdo.llm.names import check_free, free_name
+from hebdo.session import materialize
 
 WINDOW = 10
 SEGMENT = 64
+PIECE_WORDS = 32_768
 TABLE_BITS = 16
 BLOCK_ITEM_BYTES = 2 << 20
+ITEM_COST = 64                  # bytes that an item costs besides its text
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -174,37 +181,65 @@ def _unpack(state: bytes):
     return n_words, list(zip(flat[::2], flat[1::2])), set(json.loads(rest)) if rest else set()
 
 
-def _with_state(docs: DataFrame, groups: list[PatternGroup], text: str, state: str,
-                keep: list[str]) -> DataFrame:
-    """One pass: adds the hits of ``groups`` to the binary state column, returns ``keep`` and it."""
-    out_schema = docs.select(*keep, state).schema
+Items = list[tuple[str | None, str | None]]
+_TABLES: dict[bytes, list[PatternGroup]] = {}
+
+
+def _tables(items: Items, window: int) -> list[PatternGroup]:
+    """The pattern tables of a pass, built once a worker; the tables of the pass before are let go."""
+    key = hashlib.sha256(json.dumps([window, items]).encode()).digest()
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = compile_patterns(items, window)
+    return _TABLES[key]
+
+
+def _with_state(docs: DataFrame, items: Items, window: int, text: str, state: str, keep: list[str],
+                earlier: str | None = None) -> DataFrame:
+    """``keep`` and a binary column with the word count and the hits of each row.
+
+    ``earlier`` names a column with lists of hits that were found before; they are added."""
+    out_schema = docs.select(*keep).schema.add(state, "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups = _tables(items, window)
         for batch in batches:
-            old = batch.column(state).to_pylist()
+            before = batch.column(earlier).to_pylist() if earlier else None
             new: list[bytes] = []
             for lo, data, offsets in text_blocks(batch.column(text)):
-                counts, spans, items = _scan(groups, data, offsets)
+                counts, spans, found = _scan(groups, data, offsets)
                 for i, n in enumerate(counts.tolist()):
-                    if old[lo + i] is not None:
-                        _, s, t = _unpack(old[lo + i])
+                    for hits in (before[lo + i] or []) if before else []:
+                        _, s, t = _unpack(hits)
                         spans[i] += s
-                        items[i] |= t
-                    new.append(_pack(n, _merge(spans[i]), items[i]))
+                        found[i] |= t
+                    new.append(_pack(n, _merge(spans[i]), found[i]))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(new, pa.binary())],
                                              names=[*keep, state])
     return docs.mapInArrow(run, out_schema)
 
 
-def _item_blocks(benchmark: DataFrame, item: str, text: str,
-                 limit: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
-    """Number of passes and the items of each, at most about ``limit`` bytes of text a pass."""
-    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t"))
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    passes = max(1, -(-size // limit))
-    parts = [items] if passes == 1 else [items.where(F.pmod(F.xxhash64("i"), F.lit(passes)) == k)
-                                         for k in range(passes)]
-    return passes, ([(r["i"], r["t"]) for r in part.collect()] for part in parts)
+_NO_HITS = "substring(`{0}`, 9, 8) = X'0000000000000000'"  # the state: word count, number of spans, eight bytes each
+
+
+def _pieces(benchmark: DataFrame, item: str, text: str, window: int) -> DataFrame:
+    """(i, t) of all items with words; long items in overlapping pieces."""
+    step = max(1, PIECE_WORDS - window + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = [], []
+            for i, t in zip(batch.column("i").to_pylist(), batch.column("t").to_pylist()):
+                words = word_texts(t, ALNUM_WORDS)
+                if len(words) <= PIECE_WORDS:
+                    cuts = [words] if words else []
+                else:
+                    cuts = [words[k:k + step + window - 1] for k in range(0, len(words) - window + 1, step)]
+                ids += [i] * len(cuts)
+                texts += [b" ".join(c).decode() for c in cuts]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=["i", "t"])
+    return benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).mapInArrow(
+        run, "i string, t string")
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id",
@@ -213,12 +248,24 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     """The columns ``keep`` (default: all) of ``docs`` and a binary state column
     that holds each row's hits (see ``hit_digest``)."""
     check_free(docs.columns, [state])
-    out = docs.withColumn(state, F.lit(None).cast("binary"))
-    passes, blocks = _item_blocks(benchmark, item, item_text, item_block_bytes)
-    for k, items in enumerate(blocks):
-        kept = docs.columns if keep is None or k + 1 < passes else keep
-        out = _with_state(out, compile_patterns(items, window), text, state, kept)
-    return out
+    keep = docs.columns if keep is None else keep
+    items = materialize(_pieces(benchmark, item, item_text, window))
+    size = items.agg(F.sum(F.octet_length("t") + F.lit(ITEM_COST))).first()[0] or 0
+    passes = max(1, -(-size // item_block_bytes))
+    collect = lambda rows: [(r["i"], r["t"]) for r in rows.collect()]  # noqa: E731  a pass at most
+    if passes == 1:
+        return _with_state(docs, collect(items), window, text, state, keep)
+    row, hits = free_name(docs, "row_number"), free_name(docs, "pass_hits")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()))     # written: the numbers are fixed
+    found = None
+    for k in range(passes):
+        part = collect(items.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == k))
+        new = _with_state(numbered.select(row, text), part, window, text, state, [row])
+        new = new.where(f"NOT {_NO_HITS.format(state)}")
+        found = materialize(new if found is None else found.unionByName(new))
+    merged = found.groupBy(F.col(row).alias("__row")).agg(F.collect_list(state).alias(hits))     # a list entry a pass
+    rows = numbered.join(merged, F.col(row) == F.col("__row"), "left").drop("__row", row)
+    return _with_state(rows, [], window, text, state, keep, earlier=hits)
 
 
 DIGEST = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, hit_spans " \
@@ -255,5 +302,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """``docs`` without the rows that hold a benchmark window; same columns."""
     state = free_name(docs, "benchmark_state")
     hits = benchmark_hits(docs, benchmark, state=state, **options)
-    # the state holds the word count, then the number of covered spans, eight bytes each
-    return hits.where(f"substring(`{state}`, 9, 8) = X'0000000000000000'").drop(state)
+    return hits.where(_NO_HITS.format(state)).drop(state)
