@@ -13,17 +13,26 @@ left of an empty window has a window of its own.  The loss mask of a window
 marks the escaped texts of the span's assistant turns; repeated turns are
 never marked, so each assistant text is a target once.
 
+Turns are rows: a window function numbers them, and the texts stay rows until a
+window is joined.  Only the token counts of a conversation are put into one
+array, for the running sum that cuts spans starts anew at each of them; the
+windows that a turn belongs to are joined back by its number.  ``window_rows``
+never holds a conversation's texts together; ``windows``, ``read_back`` and
+``digest`` put a conversation's windows into one row, because they return or
+hash the whole of it.
+
 Only built-in column expressions are used.
 
 Cases: null texts are empty, null roles too; turns of one number are ordered
 by role and text, null turn numbers come first; repeated rows stay as turns;
-rows without a conversation id form one conversation; other columns are
+a row without a conversation id belongs to no other: it is a conversation of
+one turn, so a table of such rows makes no group; other columns are
 ignored; an empty table gives no conversation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUDGET = 1024
@@ -53,56 +62,104 @@ def _unescape(text: str) -> str:
     return f"array_join(transform(split({text}, {quote(chr(92) * 4)}), p -> {part}), {quote(chr(92))})"
 
 
-def turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
-          text: str = "text") -> DataFrame:
-    """(conv_id, t): each conversation's turns in order with escaped parts, token and character counts."""
+def _said(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    """(conv_id, turn, role, text) without nulls in the last two."""
     r, x = F.coalesce(F.col(role), F.lit("")), F.coalesce(F.col(text), F.lit(""))
-    one = rows.select(F.col(conv).alias("conv_id"), F.struct(
-        F.col(turn).alias("turn"), r.alias("role"), x.alias("text")).alias("s"))
-    ordered = one.groupBy("conv_id").agg(F.array_sort(F.collect_list("s")).alias("s"))
-    made = F.transform("s", lambda s: F.struct(
-        (s["role"] == TARGET).alias("target"), (s["role"] == SYSTEM).alias("system"),
-        (F.size(F.array_remove(F.split(s["text"], "[\\x20\\x09-\\x0D]+"), "")) + TURN_TOKENS)
-        .cast("long").alias("tokens"),
-        F.concat(F.lit(_OPEN), escaped(s["role"], role=True), F.lit(":\n")).alias("head"),
-        escaped(s["text"]).alias("body")))
-    return ordered.select("conv_id", made.alias("t"))
+    return rows.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), r.alias("role"), x.alias("text"))
 
 
-def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, **names: str) -> DataFrame:
-    """(conv_id, windows): per conversation its windows in order, each with ``text``, ``repeated`` (how
-    many turns at its start were seen before) and ``loss`` (start, length of targets, in characters)."""
-    t = turns(rows, **names)
-    t = t.select("conv_id", "t", F.when(F.col("t")[0]["system"], 1).otherwise(0).alias("sys"))
-    t = t.select("conv_id", "t", "sys", F.expr(
-        f"greatest(1L, {budget - history} - case when sys = 1 then t[0].tokens else 0L end)").alias("room"), F.expr(
-        "transform(t, x -> struct(concat(x.head, x.body, '</turn>\\n') as f, "
-        "cast(char_length(x.head) as bigint) as h, cast(char_length(x.body) as bigint) as b, x.target as target, "
-        "x.tokens as tokens))").alias("u"))
+def _written(said: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and each turn's marks: f is the turn as written, h and b the characters of head and body."""
+    tokens = F.size(F.array_remove(F.split("text", "[\\x20\\x09-\\x0D]+"), "")) + TURN_TOKENS
+    head = F.concat(F.lit(_OPEN), escaped(F.col("role"), role=True), F.lit(":\n"))
+    made = said.select(*keys, (F.col("role") == TARGET).alias("target"), (F.col("role") == SYSTEM).alias("system"),
+                       tokens.cast("long").alias("tokens"), head.alias("head"), escaped(F.col("text")).alias("body"))
+    return made.select(*keys, "target", "system", "tokens", F.concat("head", "body", F.lit(_CLOSE + "\n")).alias("f"),
+                       F.char_length("head").cast("long").alias("h"), F.char_length("body").cast("long").alias("b"))
+
+
+def turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+          text: str = "text") -> DataFrame:
+    """(conv_id, i, target, system, tokens, f, h, b): each turn of a conversation with its number from 0."""
+    said = _said(rows.where(F.col(conv).isNotNull()), conv, turn, role, text)
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    return _written(said.withColumn("i", F.row_number().over(order) - 1), "conv_id", "i")
+
+
+def spans(t: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+    """(conv_id, window, s, e, h, sys): the span s..e - 1 of each window, the first turn of its history, and
+    whether the conversation begins with a system turn (1 or 0).  ``t`` is what ``turns`` gives."""
+    k = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("i", "tokens", "system"))).alias("k"))
+    k = k.select("conv_id", F.expr("transform(k, x -> x.tokens)").alias("k"),
+                 F.when(F.col("k")[0]["system"], 1).otherwise(0).alias("sys"))
+    k = k.withColumn("room", F.expr(f"greatest(1L, {budget - history} - case when sys = 1 then k[0] else 0L end)"))
     # span starts, by running over the token counts; the state is small and grows with the spans only
-    t = t.select("conv_id", "sys", "u", F.expr(
-        "aggregate(transform(u, (x, i) -> struct(cast(i as int) as i, if(i < sys, 0L, x.tokens) as k)), "
+    k = k.select("conv_id", "sys", "k", F.expr(
+        "aggregate(transform(k, (x, i) -> struct(cast(i as int) as i, if(i < sys, 0L, x) as k)), "
         "struct(array(0) as starts, 0L as used), (a, x) -> if(a.used > 0 and a.used + x.k > room, "
         "struct(concat(a.starts, array(x.i)) as starts, x.k as used), "
         "struct(a.starts as starts, a.used + x.k as used)), a -> a.starts)").alias("starts"))
     # the turns before a span that fit into the history: each has TURN_TOKENS tokens at least
     reach = history // TURN_TOKENS
-    t = t.select("conv_id", "sys", "u", F.expr(
-        f"transform(starts, (s, w) -> struct(s as s, if(w + 1 < size(starts), starts[w + 1], size(u)) as e, "
+    k = k.select("conv_id", "sys", F.expr(
+        f"transform(starts, (s, w) -> struct(w as window, s as s, if(w + 1 < size(starts), starts[w + 1], size(k)) as e, "
         f"if(s = 0, 0, s - aggregate(if(s > greatest(sys, s - {reach}), "
-        f"reverse(slice(u, greatest(sys, s - {reach}) + 1, s - greatest(sys, s - {reach}))), "
-        f"slice(u, 1, 0)), struct(0 as n, 0L as k, true as go), (a, x) -> "
-        f"if(a.go and a.k + x.tokens <= {history}, struct(a.n + 1 as n, a.k + x.tokens as k, true as go), "
+        f"reverse(slice(k, greatest(sys, s - {reach}) + 1, s - greatest(sys, s - {reach}))), "
+        f"slice(k, 1, 0)), struct(0 as n, 0L as k, true as go), (a, x) -> "
+        f"if(a.go and a.k + x <= {history}, struct(a.n + 1 as n, a.k + x as k, true as go), "
         f"struct(a.n as n, a.k as k, false as go)), a -> a.n)) as h))").alias("spans"))
-    t = t.select("conv_id", F.expr(
-        "transform(spans, p -> struct(p.s - p.h + if(p.s > 0, sys, 0) as repeated, "
-        "concat(if(p.s > 0, slice(u, 1, sys), slice(u, 1, 0)), slice(u, p.h + 1, p.e - p.h)) as v))").alias("w"))
-    return t.select("conv_id", F.expr(
-        "transform(w, p -> struct(array_join(transform(p.v, x -> x.f), '') as text, p.repeated as repeated, "
-        "aggregate(p.v, struct(0L as at, 0 as i, slice(array(struct(0L as start, 0L as length)), 1, 0) as m), "
-        "(a, x) -> struct(a.at + x.h + x.b + 8 as at, a.i + 1 as i, if(x.target and a.i >= p.repeated, "
-        "concat(a.m, array(struct(a.at + x.h as start, x.b as length))), a.m) as m), a -> a.m) as loss))"
-    ).alias("windows"))
+    # outer: there is always a span, and no test for one is pushed down into the expressions above
+    return k.select("conv_id", "sys", F.inline_outer("spans"))
+
+
+_ROW = "conv_id", "window", "text", "repeated", "loss"
+
+
+def _joined(v: DataFrame, *keys: str) -> DataFrame:
+    """The turns ``v`` of each window (in order, ``repeated`` of them seen before) as its text and loss mask."""
+    return v.select(*keys, F.expr("array_join(transform(v, x -> x.f), '')").alias("text"), "repeated", F.expr(
+        "aggregate(v, struct(0L as at, 0 as i, slice(array(struct(0L as start, 0L as length)), 1, 0) as m), "
+        "(a, x) -> struct(a.at + x.h + x.b + 8 as at, a.i + 1 as i, if(x.target and a.i >= repeated, "
+        "concat(a.m, array(struct(a.at + x.h as start, x.b as length))), a.m) as m), a -> a.m)").alias("loss"))
+
+
+def _loose_rows(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                text: str = "text") -> DataFrame:
+    """The windows of rows without a conversation id: one each, made where the row is."""
+    t = _written(_said(rows.where(F.col(conv).isNull()), conv, turn, role, text), "conv_id")
+    v = t.select("conv_id", F.lit(0).alias("window"), F.lit(0).alias("repeated"),
+                 F.array(F.struct("f", "h", "b", "target")).alias("v"))
+    return _joined(v, "conv_id", "window").select(*_ROW)
+
+
+def _numbered_rows(rows: DataFrame, budget: int, history: int, **names: str) -> DataFrame:
+    """The windows of conversations with an id."""
+    t = turns(rows, **names)
+    places = F.expr("concat(if(s > 0 and sys = 1, array(0), slice(array(0), 1, 0)), sequence(h, e - 1))")
+    again = F.expr("s - h + if(s > 0, sys, 0)")
+    members = spans(t, budget, history).select("conv_id", "window", again.alias("repeated"),
+                                               F.posexplode_outer(places).alias("nth", "i"))
+    held = members.join(t.select("conv_id", "i", "f", "h", "b", "target"), ["conv_id", "i"])
+    v = held.groupBy("conv_id", "window").agg(
+        F.max("repeated").alias("repeated"),
+        F.array_sort(F.collect_list(F.struct("nth", "f", "h", "b", "target"))).alias("v"))
+    return _joined(v, "conv_id", "window").select(*_ROW)
+
+
+def window_rows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, **names: str) -> DataFrame:
+    """One row a window: conv_id, window (from 0), text, repeated (how many turns at its start were seen
+    before), loss (start and length of its targets, in characters)."""
+    return _numbered_rows(rows, budget, history, **names).unionByName(_loose_rows(rows, **names))
+
+
+def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, **names: str) -> DataFrame:
+    """(conv_id, windows): per conversation its windows in order, each with ``text``, ``repeated`` and
+    ``loss`` as in ``window_rows``."""
+    held = F.array_sort(F.collect_list(F.struct("window", "text", "repeated", "loss")))
+    whole = _numbered_rows(rows, budget, history, **names).groupBy("conv_id").agg(held.alias("w"))
+    one = _loose_rows(rows, **names).select("conv_id", F.array(F.struct("window", "text", "repeated", "loss")).alias("w"))
+    return whole.unionByName(one).select("conv_id", F.expr(
+        "transform(w, x -> struct(x.text as text, x.repeated as repeated, x.loss as loss))").alias("windows"))
 
 
 def exploded(formatted: DataFrame) -> DataFrame:
