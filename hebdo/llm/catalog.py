@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hebdo.llm import decontaminate as wu_manber
 from hebdo.llm import (chat, licenses, projection_forest, quality, ranked_search, rules, sentencepiece_fst, simhash,
                        suffix_dedup, token_files, toxicity, vector_codes)
+from hebdo.session import materialize, remove_folder, scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -76,9 +77,11 @@ def op5(spark, sf_dir):
 @query("op9_token_id_files")
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = token_files.scratch_path(spark, "token-files")
+    path = scratch_folder(spark, "token-files")
     token_files.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"), control_ids=True)
-    return token_files.read_digest(spark, path)
+    out = materialize(token_files.read_digest(spark, path))
+    remove_folder(spark, path)
+    return out
 
 
 @query("op2_sentencepiece_transducer")
@@ -107,7 +110,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR n_symbols * 12 > word_chars
             OR (n_dup_lines * 2 > n_lines AND n_dup_lines >= 3)
-            OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 16 * n_words))) AS kept
+            OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 16 * n_words))) AS kept,
+       CAST(CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+            + CASE WHEN n_symbols * 12 > word_chars THEN 4 ELSE 0 END
+            + CASE WHEN n_dup_lines * 2 > n_lines AND n_dup_lines >= 3 THEN 8 ELSE 0 END
+            + CASE WHEN n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 16 * n_words) THEN 16 ELSE 0 END
+            AS BIGINT) AS failed_bits
 FROM a
 """
 
@@ -116,7 +124,27 @@ FROM a
 def op6(spark, sf_dir):
     rows = rules.ledger(table(spark, sf_dir, "documents"), ["doc_id"])
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       rules.failed(rules.BASE).alias("base_failed"), (~rules.failed(rules.CURRENT)).alias("kept"))
+                       rules.failed(rules.BASE).alias("base_failed"), (~rules.failed(rules.CURRENT)).alias("kept"),
+                       "failed_bits")
+
+
+def ablations_sql() -> str:
+    """What each policy would do without each of its rules, from the failure bits of ``OP6_SQL``."""
+    rows = " UNION ALL ".join(
+        f"SELECT '{p.name}' AS policy, {p.version} AS version, '{rules.RULES[k][0]}' AS rule, {p.mask} AS mask, {1 << k} AS bit"
+        for p in rules.POLICIES for k in p.bits)
+    return f"""
+WITH ledger AS ({OP6_SQL}), r AS ({rows})
+SELECT policy, CAST(version AS INTEGER) AS version, rule,
+       count(*) FILTER (WHERE failed_bits & mask <> 0) AS rejected, count(*) FILTER (WHERE failed_bits & bit <> 0) AS failed,
+       count(*) FILTER (WHERE failed_bits & mask = bit) AS only,
+       count(*) FILTER (WHERE failed_bits & mask IN (0, bit)) AS kept_without
+FROM ledger CROSS JOIN r GROUP BY policy, version, rule"""
+
+
+@query("rule_ablations", ablations_sql())
+def rule_ablations(spark, sf_dir):
+    return rules.ablations(rules.ledger(table(spark, sf_dir, "documents"), ["doc_id"]))
 
 
 OP3_SQL = r"""

@@ -234,12 +234,20 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     kept = docs.join(keepers.select(keeper), F.col(doc_id).cast("long") == F.col(keeper), "left_semi")
     if not keepers.where("n > 1").head(1):
         return kept
-    rest = [c for c in docs.columns if c not in (doc_id, text)]
-    order = F.struct(text, *[F.col(c) for c in rest])
-    least = kept.groupBy(doc_id).agg(F.min(order).alias(row))
+    least = kept.groupBy(doc_id).agg(F.min_by(F.struct(*docs.columns), _merit(docs, text, doc_id)).alias(row))
     return least.select(*[F.col(c) if c == doc_id else F.col(row)[c].alias(c) for c in docs.columns])
 
 
+def _merit(docs: DataFrame, text: str, doc_id: str):
+    """What rows of one id are told apart by: the text, then the other columns, then the id."""
+    rest = [c for c in docs.columns if c not in (doc_id, text)]
+    # a column that has no order (one that holds a map) counts by its JSON
+    def comparable(c):
+        held = docs.schema[c].dataType.simpleString()
+        return F.to_json(F.struct(c)) if "map<" in held or "variant" in held else F.col(c)
+    return F.struct(text, *[comparable(c).alias(f"c{i}") for i, c in enumerate(rest)], doc_id)
+
+
 def _tagged(docs: DataFrame, text: str, name: str, shingle: int) -> DataFrame:
     """``docs`` and the fingerprint of every row, as column ``name``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,8 +287,7 @@ def keep_one_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
         repeated, F.col("keeper") == repeated["id"], "left").where("keeper is null or id is not null")
     group = F.struct(*[F.col(c) for c in ("fp", "component", "keeper")])
     groups = groups.select(group.alias(row))
-    rest = [c for c in docs.columns if c not in (doc_id, text)]
-    order = F.struct(text, *rest, doc_id)
+    order = _merit(docs, text, doc_id)
     least = unsure.join(groups, (unsure[fp] == groups[row]["fp"]) & number.eqNullSafe(groups[row]["keeper"])).groupBy(
-        groups[row]["component"].alias(key)).agg(F.min(order).alias(row))
+        groups[row]["component"].alias(key)).agg(F.min_by(F.struct(*docs.columns), order).alias(row))
     return kept.unionByName(least.select(*[F.col(row)[c].alias(c) for c in docs.columns]))

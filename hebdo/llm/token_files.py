@@ -25,7 +25,6 @@ of their text; rows without an id come first; an empty table gives an empty resu
 from __future__ import annotations
 
 import os
-import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -36,7 +35,6 @@ from pyspark.sql import functions as F
 
 from hebdo.llm.bytescan import LOWER, SPACE_WORDS, Words, text_blocks
 from hebdo.llm.word_memory import WordMemory
-from hebdo.session import checkpoint_dir
 
 END_ID = 2
 BLOCK = 1 << 20
@@ -212,8 +210,3 @@ def read_digest(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path).select("doc_id", "ids", *_place())
     rows = rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, file_name string, nth bigint, ids_crc32 bigint")
     return _starts(rows, path).select("doc_id", "start", "n_tokens", "ids_crc32")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

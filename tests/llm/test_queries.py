@@ -21,7 +21,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 
 def test_every_operator_is_registered():
-    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
     assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
@@ -128,3 +128,28 @@ def test_op4_base_columns_match_brute_force(spark, texts):
                     if w[k:k + len(p.split())] == p.split())
         ends = (at[0][0], at[-1][0]) if at else (None, None)
         assert got[i] == (len(w), len(at), *ends, ",".join(sorted({label for _, label in at})))
+
+
+def test_stages_take_map_columns_repeated_ids_and_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr(
+        "*", "map('k', lang) AS meta", "1 AS piece_ids", "2 AS n_ids", "3 AS round_trip")
+    docs = docs.unionByName(docs.where("doc_id < 20")).unionByName(
+        docs.where("doc_id < 10").withColumn("doc_id", docs["doc_id"] * 0)).unionByName(
+        docs.where("doc_id between 30 and 40").selectExpr("cast(null AS bigint) AS doc_id", *docs.columns[1:]))
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        out = stage(spark, docs, SF)
+        assert out.count() > 0, name
+        if name != "sentencepiece_encoding":
+            assert out.columns == docs.columns and out.schema["meta"].dataType == docs.schema["meta"].dataType
+            docs = out
+    assert {"piece_ids", "_piece_ids", "_n_ids", "_round_trip"} <= set(out.columns)
+    assert out.where("not _round_trip or piece_ids <> 1").count() == 0
+
+
+def test_op9_leaves_no_files(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    from hebdo.session import checkpoint_dir
+    root = checkpoint_dir(spark).replace("file:", "", 1)
+    QUERIES["op9_token_id_files"](spark, SF).count()
+    assert not [f for f in os.listdir(root) if f.startswith("token-files")]
+    assert before in (None, spark.sparkContext.getCheckpointDir())
