@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hebdo.llm import decontaminate, quality, sentencepiece_fst, simhash, suffix_dedup
 from hebdo.llm.catalog import fold, table
+from hebdo.llm.names import free_name
 
 MODEL = "piece_bpe_32k.model"
 
@@ -43,9 +44,12 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every text, with their number and the result of decoding them again."""
+    """Piece ids of every text, with their number and the result of decoding them again.
+
+    A column of the documents that has the name of a new one keeps it; the new one gets an underscore."""
     keep = [c for c in docs.columns if c not in ("text", "n_chars")]
-    return sentencepiece_fst.encode_and_check(docs, public_tokenizers.path(MODEL), keep)
+    made = [free_name(docs.select(*keep), c) for c in sentencepiece_fst.MADE]
+    return sentencepiece_fst.encode_and_check(docs, public_tokenizers.path(MODEL), keep, made=made)
 
 
 STAGES = [
