@@ -14,7 +14,7 @@ from hebdo.sources.versions import publish_version, read_in_order
 from hebdo.streaming.merge_stream import WeeklyMerge, merged_series, start_weekly_merge
 
 PAGE_LIMIT = 2_000
-ARRIVALS = 4
+ARRIVALS = 3
 
 
 def land_pages(rows: DataFrame, order_by: list[str], path: str, limit: int) -> None:

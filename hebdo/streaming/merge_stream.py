@@ -62,11 +62,10 @@ def _sums(target: WeeklyMerge, reports) -> list:
 
 
 def closed_before(spark: SparkSession, target: WeeklyMerge, batch: int):
-    """The first week that is still open for a batch; None while there is no earlier batch."""
-    marks = _stored(spark, target.path("marks"), f"latest_week date, {BATCH_COL} bigint")
-    latest = marks.where(F.col(BATCH_COL) < batch).agg(F.max("latest_week").alias("w")).select(
-        F.date_sub("w", 7 * target.allowed_weeks).alias("w"))
-    return latest.first()["w"]
+    """The first week that is still open for a batch; None while there is no earlier one."""
+    stored = _stored(spark, target.path("partial"), f"{WEEK_COL} date, {BATCH_COL} bigint")
+    latest = stored.where(F.col(BATCH_COL) < batch).agg(F.max(WEEK_COL).alias("w"))
+    return latest.select(F.date_sub("w", 7 * target.allowed_weeks).alias("w")).first()["w"]
 
 
 def merge_batch(target: WeeklyMerge, rows: DataFrame, batch: int) -> None:
@@ -84,19 +83,16 @@ def merge_batch(target: WeeklyMerge, rows: DataFrame, batch: int) -> None:
         *_sums(target, F.count(F.lit(1))))
     partial = materialize(partial)
     _overwrite(partial, target.path("partial"), [YEAR_COL, BATCH_COL])
-    mark = partial.groupBy(BATCH_COL).agg(F.max(WEEK_COL).alias("latest_week"))
-    _overwrite(mark, target.path("marks"), [BATCH_COL])
     publish_weeks(target, partial)
 
 
 def publish_weeks(target: WeeklyMerge, partial: DataFrame) -> None:
     """Sum the weeks of ``partial`` again from all stored partial sums and publish them."""
     spark = partial.sparkSession
-    weeks = partial.select(YEAR_COL, F.col(WEEK_COL).alias("__week")).distinct()
-    years = [r[0] for r in weeks.select(YEAR_COL).distinct().collect()]             # a few dozen at most
+    years = [r[0] for r in partial.select(YEAR_COL).distinct().collect()]           # a few dozen at most
     if not years:
         return
-    weeks = weeks.drop(YEAR_COL)
+    weeks = partial.select(F.col(WEEK_COL).alias("__week")).distinct()
     touched = F.col(WEEK_COL) == F.col("__week")
     stored = _stored(spark, target.path("partial"), partial.schema).where(F.col(YEAR_COL).isin(years))
     fresh = stored.join(weeks, touched, "left_semi").groupBy(*target.keys, WEEK_COL, YEAR_COL).agg(
