@@ -57,7 +57,7 @@ def streamed_weekly_merge(spark: SparkSession, d: str) -> DataFrame:
         F.floor("value").cast("bigint").alias("new_hospitalization"))
     root = scratch_folder(spark, "streamed-series")
     landed = f"{root}/landed"
-    e.repartition(ARRIVALS, "event_id").write.parquet(landed)
+    e.repartition(ARRIVALS).write.parquet(landed)
     target = WeeklyMerge(f"{root}/target", ("event_type",), ("new_hospitalization",), allowed_weeks=5_200)
     stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(landed)
     start_weekly_merge(stream, target, f"{root}/checkpoint").awaitTermination()
