@@ -382,8 +382,8 @@ def neighbours(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     forest = Forest(units(sample) if len(sample) else np.zeros((0, width)), trees, depth)
     asked = rows.where(F.pmod("i", F.lit(every)) == 0)
     visits = trees * forest.leaves
-    if depth:
-        ids, queries = _bounded(asked, SAMPLE_QUERIES, -(-n // every))
+    ids, queries = _bounded(asked, SAMPLE_QUERIES, -(-n // every)) if depth else (np.zeros(0, np.int64), sample)
+    if len(ids):
         true = materialize(exact_neighbours(rows, ids, queries, top))
         true = rows.withColumnRenamed("i", "vec_id").join(F.broadcast(true), "vec_id").select("query_id", "v").toArrow()
         near: dict[int, list] = {}

@@ -1,11 +1,13 @@
 """Approximate nearest neighbours against all cosines."""
 
 import math
+import os
 
 import numpy as np
 import pytest
 
 from hebdo.llm import projection_forest as pf
+from hebdo.llm.catalog import QUERIES
 
 
 def brute(rows, every=50, top=5):
@@ -62,6 +64,12 @@ def test_small_and_empty_tables(spark, rows):
         run(spark, [(0, [1.0]), (1, [1.0, 2.0])])
 
 
+def test_a_table_without_queries(spark, rows):
+    assert run(spark, [(i, v) for i, v in rows if i % 50], leaf_rows=50) == {}
+    few = run(spark, [(i, v) for i, v in rows if i % 50 or i == 100], leaf_rows=50)
+    assert set(few) == {100} and len(few[100]) == 5
+
+
 @pytest.mark.parametrize("scale", [1e-300, 1e300])
 def test_extreme_lengths(spark, rows, scale):
     some = [(i, [x * scale * (1 + i % 7) for x in v]) for i, v in rows[:120]]
@@ -107,3 +115,19 @@ def test_the_queue_opens_leaves_by_falling_priority():
         own = [int(np.argmax([o == x % 16 for x in [y for y in order if y // 16 == t]])) for t, o in first.items()]
         assert own == [0, 0, 0]
     assert np.bincount(forest.leaf_of(unit)[:, 0], minlength=16).min() >= 10
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables not present")
+def test_op13_finds_nine_of_ten_neighbours(spark):
+    d = "/root/testdata/sf0.1"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{d}/embeddings.parquet").collect()]
+    ids, unit = np.array([i for i, _ in rows]), pf.units(np.array([v for _, v in rows]))
+    got: dict = {}
+    for r in QUERIES["op13_projection_forest_neighbours"](spark, d).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len(got[ids[q]] & set(ids[np.lexsort((ids, -score))[:5]].tolist()))
+    assert hits >= 0.9 * 5 * len(got) and len(got) == sum(ids % 50 == 0)
