@@ -24,6 +24,7 @@ alike, ``ambiguous`` is set and the month comes first.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -40,10 +41,18 @@ MISSING_TEXTS = ("", "NA")
 TRUE_TEXTS = ("T", "TRUE", "true", "True")
 FALSE_TEXTS = ("F", "FALSE", "false", "False")
 
+METHOD_LIMIT, HOTSPOT_METHOD = "spark.sql.codegen.hugeMethodLimit", 8000
+
 WHOLE = r"^[+-]?[0-9]+$"
 DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 STAMP = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?Z?$"
 
+# What a value of a number or a stamp can begin with: nothing above "9" in ASCII.
+_AFTER_DIGITS = ":"
+_PLAIN_LAYOUT = re.compile(r"(yyyy|M|d)([-/.])(yyyy|M|d)\2(yyyy|M|d)")
+_DIGITS = {"yyyy": r"\d{4}", "M": r"\d{1,2}", "d": r"\d{1,2}"}
+_IN_RANGE = {"yyyy": r"\d{4}", "M": "(?:0?[1-9]|1[0-2])", "d": "(?:0?[1-9]|[12][0-9]|3[01])"}
+
 # Date layouts in the order in which they are preferred.
 DATE_LAYOUTS = ("yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "d/M/yyyy", "d.M.yyyy")
 ISO_STAMP = "ISO 8601"
@@ -54,12 +63,32 @@ def _boolean(v: Column) -> Column:
 
 
 def _number(kind: str, shape: str) -> Callable[[Column], Column]:
-    return lambda v: F.when(v.rlike(shape), v.try_cast(kind))
+    return lambda v: F.when((v < _AFTER_DIGITS) & v.rlike(shape), v.try_cast(kind))
 
 
 def _stamp(v: Column) -> Column:
     # wall-clock time: a trailing Z is dropped, no zone is applied
-    return F.when(v.rlike(STAMP), F.rtrim(v, F.lit("Z")).try_cast("timestamp_ntz"))
+    return F.when(v.contains(":") & v.rlike(STAMP), F.rtrim(v, F.lit("Z")).try_cast("timestamp_ntz"))
+
+
+def _date(layout: str) -> Callable[[Column], Column]:
+    """The reader of a date layout.  The formatter reports a text that does not fit by an exception,
+    which costs far more than a date; so plain digits (four of a year, up to two of a month or day) are
+    read by a cast, behind a test of their ranges, and only other texts go to the formatter."""
+    parts = _PLAIN_LAYOUT.fullmatch(layout)
+    fields = (parts[1], parts[3], parts[4]) if parts else ()
+    if len(set(fields)) < 3:
+        return lambda v: parse_date_formats(v, (layout,))
+    sep = parts[2]
+    in_range, plain = (f"^{re.escape(sep).join(kinds[f] for f in fields)}\\z" for kinds in (_IN_RANGE, _DIGITS))
+
+    def read(v: Column) -> Column:
+        part = {f: F.split_part(v, F.lit(sep), F.lit(i + 1)) for i, f in enumerate(fields)}
+        iso = v if layout == "yyyy-M-d" else F.concat_ws("-", part["yyyy"], part["M"], part["d"])
+        day = (F.when(v.rlike(in_range), iso.try_cast("date")).when(v.rlike(plain), None)
+               .otherwise(parse_date_formats(v, (layout,))))
+        return F.when(v.contains(sep), day)
+    return read
 
 
 @dataclass(frozen=True)
@@ -80,24 +109,39 @@ def candidates(date_layouts: Iterable[str] = DATE_LAYOUTS) -> list[Candidate]:
             Candidate("int", None, _number("int", WHOLE)),
             Candidate("bigint", None, _number("bigint", WHOLE)),
             Candidate("double", None, _number("double", DECIMAL)),
-            *[Candidate("date", f, lambda v, f=f: parse_date_formats(v, (f,))) for f in date_layouts],
+            *[Candidate("date", f, _date(f)) for f in date_layouts],
             Candidate("timestamp_ntz", ISO_STAMP, _stamp)]
 
 
 def present(c: Column | str, missing: Iterable[str] = MISSING_TEXTS) -> Column:
     """The trimmed text, NULL where it counts as missing."""
-    text = trim_all(_col(c))
+    c = _col(c)
+    # text that begins and ends with a visible ASCII character has nothing to trim
+    clean = (c >= "!") & (c < "\x7f") & F.substring(c, -1, 1).between("!", "~")
+    text = F.when(clean, c).otherwise(trim_all(c))
     return F.when(~text.isin(*missing), text)
 
 
+def compiled_in_parts(df: DataFrame) -> DataFrame:
+    """``df``, whose session compiles long expressions as several methods.
+
+    The readers of all columns in one method pass 8,000 bytes of bytecode, beyond which HotSpot only
+    interprets it; Spark's manual advises this limit for HotSpot."""
+    conf = df.sparkSession.conf
+    if int(conf.get(METHOD_LIMIT, "65535")) > HOTSPOT_METHOD:
+        conf.set(METHOD_LIMIT, str(HOTSPOT_METHOD))
+    return df
+
+
 def type_state(df: DataFrame, by: Iterable[str] = (), date_layouts: Iterable[str] = DATE_LAYOUTS,
                missing: Iterable[str] = MISSING_TEXTS) -> DataFrame:
     """One row a text column (and a value of ``by``, e.g. the page): counts that add up."""
     keys, lattice = list(by), candidates(date_layouts)
     names = [c for c in df.columns if c not in keys]
-    values = F.array(*[present(f"`{c}`", missing) for c in names]) if names else F.array().cast("array<string>")
-    rows = df.select(*keys, F.posexplode(values).alias("position", "value"))
-    counts = [F.count_if(c.read(F.col("value")).isNotNull()).alias(c.count_col) for c in lattice]
+    values = F.array(*[F.col(f"`{c}`").cast("string") for c in names]) if names else F.array().cast("array<string>")
+    rows = compiled_in_parts(df).select(*keys, F.posexplode(values).alias("position", "value"))
+    rows = rows.withColumn("value", present("value", missing))
+    counts = [F.count(c.read(F.col("value"))).alias(c.count_col) for c in lattice]
     state = rows.groupBy(*keys, "position").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("value").isNull()).alias("n_missing"), *counts)
     column = F.element_at(F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>"),
@@ -163,12 +207,9 @@ def _reader(t: ColumnType) -> Callable[[Column], Column] | None:
 
 def apply_types(df: DataFrame, types: list[ColumnType], missing: Iterable[str] = MISSING_TEXTS) -> DataFrame:
     """The text columns as their types; values that do not fit become NULL, texts stay as they are."""
-    out = {}
-    for t in types:
-        read = _reader(t)
-        if read is not None:
-            out[t.column] = read(present(f"`{t.column}`", missing))
-    return df.withColumns(out)
+    readers = {t.column: read for t in types if (read := _reader(t)) is not None}
+    texts = compiled_in_parts(df).withColumns({c: present(f"`{c}`", missing) for c in readers})    # trimmed once, read after that
+    return texts.withColumns({c: read(F.col(f"`{c}`")) for c, read in readers.items()})
 
 
 def rejected_values(df: DataFrame, types: list[ColumnType], missing: Iterable[str] = MISSING_TEXTS) -> DataFrame:

@@ -1,11 +1,15 @@
 """Types inferred from text."""
 
+import itertools
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import d, rows
-from hebdo.operators.infer import (ColumnType, apply_types, collect_types, decide_types, infer_types, merge_type_states,
+from hebdo.functions.dates import parse_date_formats
+from hebdo.functions.text import trim_all
+from hebdo.operators.infer import (DATE_LAYOUTS, ColumnType, candidates, present, apply_types, collect_types, decide_types, infer_types, merge_type_states,
                                    read_csv_inferred, read_json_inferred, rejected_values, type_state)
 
 
@@ -99,3 +103,29 @@ def test_one_hash_aggregate_without_python(spark):
     plan = infer_types(df)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "Python" not in plan
     assert collect_types(infer_types(df)) == [ColumnType("a", "int"), ColumnType("b", "int")]
+
+
+def test_dates_are_read_as_the_formatter_reads_them(spark):
+    """Days of another layout never reach the formatter, whose failures are exceptions; the values stay its own."""
+    fields = ("0", "1", "02", "12", "13", "29", "30", "31", "32", "002", "2023", "2024", "0000", "12345", "+12024", "-2024", "")
+    texts = [sep.join(t) for sep in "-/." for t in itertools.product(fields, repeat=3)]
+    texts += [" 1/2/2024", "1/2/2024\u0085", "\t2024-1-2\n", "1/2-2024", "1/2/2024x", "\x1c1/2/2024", "1.2", "é", "", "NA", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string").repartition(4)
+    trimmed = F.when(~trim_all("x").isin("", "NA"), trim_all("x"))
+    both = df.select(trimmed.alias("before"), present("x").alias("now"))
+    assert both.where(~F.col("before").eqNullSafe(F.col("now"))).count() == 0
+    dates = [c for c in candidates((*DATE_LAYOUTS, "yyyy.M.d", "MM/dd/yyyy")) if c.kind == "date"]
+    differ = [F.count_if(~parse_date_formats("before", (c.layout,)).eqNullSafe(c.read(F.col("now")))) for c in dates]
+    fits = [F.count(c.read(F.col("now"))) for c in dates]
+    assert list(both.agg(*differ).first()) == [0] * len(dates)
+    assert min(both.agg(*fits).first()) > 10
+
+
+def test_texts_are_trimmed_once_and_code_is_compiled_in_parts(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(limit)
+    df = spark.createDataFrame([("1/2/2024",)], "x string")
+    out = apply_types(df, [ColumnType("x", "date", "M/d/yyyy")])
+    assert int(spark.conf.get(limit)) <= 8000
+    assert type_state(df)._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 2
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 2
