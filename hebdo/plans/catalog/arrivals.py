@@ -10,19 +10,20 @@ from hebdo.plans.catalog.registry import register
 from hebdo.plans.catalog.rollups import EVENTS_WEEKLY
 from hebdo.session import materialize, remove_folder, scratch_folder
 from hebdo.sources.paged import FORMAT, PagedJson
-from hebdo.sources.versions import publish_version, read_in_order
+from hebdo.sources.versions import publish_version, read_in_order, read_manifest
 from hebdo.streaming.merge_stream import WeeklyMerge, merged_series, start_weekly_merge
 
 PAGE_LIMIT = 2_000
+PART_PAGES = 250                # pages of rows that one task sorts
 ARRIVALS = 3
 
 
 def land_pages(rows: DataFrame, order_by: list[str], path: str, limit: int) -> None:
     """Rows as the pages that an API with ``limit`` and ``offset`` answers, one folder a page."""
     spark, root = rows.sparkSession, scratch_folder(rows.sparkSession, "page-order")
-    publish_version(rows, root, order_by)
+    publish_version(rows, root, order_by, part_rows=PART_PAGES * limit)
     placed = read_in_order(spark, root)
-    n = placed.count()
+    n = read_manifest(spark, root).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     paged = placed.withColumn("offset", F.floor((F.col("position") - 1) / limit) * limit).drop("position")
     paged.repartition("offset").write.mode("error").partitionBy("offset").json(path)
     if n % limit == 0:                                      # the page that shows the end

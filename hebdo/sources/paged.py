@@ -2,15 +2,16 @@
 
 Pages are landed as ``<path>/offset=<n>/<file>``: what the API answered for
 that offset, as a JSON array of records or as JSON lines.  The source plans
-one partition a page and proves from the folder names, before anything is
-read, that the offsets run 0, limit, 2 * limit, ... without gap or overlap.
+one partition a page, of many pages one for a run of them (``pages_a_task``),
+and proves from the folder names, before anything is read, that the offsets
+run 0, limit, 2 * limit, ... without gap or overlap.
 The tasks prove the rest from the records: every page but the last is full,
 and the last one is not -- an API shows its end by a page with fewer records
 (an empty one, if the number of records is a multiple of the limit).  A page
 that breaks this fails the query with its offset.
 
 Names and pages are read through the Arrow file systems (local, HDFS, S3,
-GCS, ...); a page is one task's memory.
+GCS, ...); a task reads its pages one after another, so a page is its memory.
 
     spark.dataSource.register(PagedJson)
     spark.read.format("paged_json").schema("state string, date string").option("limit", 50000).load(path)
@@ -35,22 +36,33 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 FORMAT = "paged_json"
 _FOLDER = re.compile(r"offset=(\d+)$")
+FEW_PAGES = 64                  # so many pages have a partition each
+TASK_RECORDS = 64_000           # a run of pages stops at so many records
 
 
 class IncompletePages(ValueError):
     """The landed pages are not the whole answer of the API."""
 
 
-@dataclass
-class Page(InputPartition):
+@dataclass(frozen=True)
+class Page:
     """The files of one offset range; ``last`` marks the page that ends the answer."""
     offset: int
     folder: str
     last: bool
 
-    def __init__(self, offset: int, folder: str, last: bool):
-        super().__init__((offset, folder, last))
-        self.offset, self.folder, self.last = offset, folder, last
+
+class PageRun(InputPartition):
+    """Pages that one task reads, in the order of their offsets."""
+
+    def __init__(self, pages: list[Page]):
+        super().__init__(pages)
+        self.pages = pages
+
+
+def pages_a_task(n_pages: int, limit: int) -> int:
+    """How many pages one task reads: a task has a fixed cost, which a page of many would pay each time."""
+    return max(1, min(-(-n_pages // FEW_PAGES), TASK_RECORDS // limit))
 
 
 def page_gaps(offsets: list[int], limit: int) -> list[str]:
@@ -108,16 +120,22 @@ class PagedReader(DataSourceReader):
         if self.limit < 1:
             raise ValueError("limit must be positive")
 
-    def partitions(self) -> list[Page]:
+    def partitions(self) -> list[PageRun]:
         pages = landed_pages(self.path)
         issues = page_gaps([offset for offset, _ in pages], self.limit)
         if issues:
             more = f" and {len(issues) - 5} more" if len(issues) > 5 else ""
             raise IncompletePages(f"{self.path}: {'; '.join(issues[:5])}{more}")
-        return [Page(offset, folder, i + 1 == len(pages)) for i, (offset, folder) in enumerate(pages)]
+        found = [Page(offset, folder, i + 1 == len(pages)) for i, (offset, folder) in enumerate(pages)]
+        step = pages_a_task(len(found), self.limit)
+        return [PageRun(found[i:i + step]) for i in range(0, len(found), step)]
 
-    def read(self, page: Page) -> Iterator[pa.RecordBatch]:
+    def read(self, run: PageRun) -> Iterator[pa.RecordBatch]:
         store, _ = arrow_fs.FileSystem.from_uri(self.path)
+        for page in run.pages:
+            yield self._page(store, page)
+
+    def _page(self, store: arrow_fs.FileSystem, page: Page) -> pa.RecordBatch:
         where = f"page at offset {page.offset}"
         try:
             records = page_records(store, page.folder)
@@ -135,7 +153,7 @@ class PagedReader(DataSourceReader):
             if isinstance(field.dataType, T.StringType):
                 values = [_text(v) for v in values]
             columns.append(pa.array(values, kind))
-        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
 
 class PagedJson(DataSource):

@@ -143,5 +143,6 @@ def read_in_order(spark: SparkSession, root: str, position_col: str = "position"
     rows = read_version(spark, root, version)
     number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-", 1).cast("int")
     placed = rows.select("*", number.alias("part"), F.col("_metadata.row_index").alias("__place"))
-    return placed.join(starts, "part").withColumn(position_col, F.col("__start") + F.col("__place") + 1).drop(
+    # one small row a part: the rows stay where they are
+    return placed.join(F.broadcast(starts), "part").withColumn(position_col, F.col("__start") + F.col("__place") + 1).drop(
         "part", "__start", "__place")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from hebdo.operators.rollup import weekly_rollup
-from hebdo.sources.paged import FORMAT, PagedJson, landed_pages, page_gaps
+from hebdo.sources.paged import FORMAT, PagedJson, landed_pages, page_gaps, pages_a_task
 from hebdo.streaming import merge_stream as M
 
 SCHEMA = "id bigint, name string, extra string"
@@ -63,6 +63,21 @@ def test_incomplete_pages_fail(spark, tmp_path, pages, said):
         read(spark, land(tmp_path / "p", pages)).collect()
 
 
+def test_many_pages_are_read_in_runs(spark, tmp_path):
+    pages = {o: answer(o, o + 10) for o in range(0, 2000, 10)} | {2000: answer(2000, 2003)}
+    out = read(spark, land(tmp_path / "a", pages))
+    assert out.rdd.getNumPartitions() <= 64               # 201 pages: a task's fixed cost is not paid for each
+    assert sorted(r["id"] for r in out.collect()) == list(range(2003))
+    pages[1230] = answer(1230, 1239)                      # a page inside a run
+    with pytest.raises(PySparkException, match="offset 1230: 9 records instead of 10"):
+        read(spark, land(tmp_path / "b", pages)).collect()
+
+
+def test_large_pages_stay_apart():
+    assert [pages_a_task(n, 10) for n in (1, 64, 65, 1000)] == [1, 1, 2, 16]
+    assert pages_a_task(18_000, 2_000) == 32 and pages_a_task(18_000, 100_000) == 1
+
+
 def test_gaps_in_words():
     assert page_gaps([0, 50, 100], 50) == [] and page_gaps([100, 0, 50], 50) == []
     assert len(page_gaps([0, 40, 200], 50)) == 2
