@@ -67,6 +67,7 @@ WINDOW = 50
 GRAM = 25
 BATCH_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
+SCAN_BYTES = 1 << 17            # a batch is scanned in blocks: their arrays hold 8 bytes for each byte of text
 BUCKETS = 1024                  # more only when a bucket would pass LARGE_BUCKET bytes of text
 LARGE_BUCKET = 64 << 20
 SPLIT = 4096
@@ -140,7 +141,7 @@ class Batch:
         self.data, self.offsets = utf8_buffer(table.column(text).combine_chunks()
                                               if table.num_rows else pa.array([], pa.string()))
         self.blocks, self.row_of_block = [], []
-        for lo, hi in row_blocks(self.offsets):
+        for lo, hi in row_blocks(self.offsets, SCAN_BYTES):
             self.row_of_block.append(lo)
             self.blocks.append(Stretches(self.data[self.offsets[lo]:self.offsets[hi]],
                                          self.offsets[lo:hi + 1] - self.offsets[lo], window))
@@ -539,7 +540,7 @@ class Passes:
             begin = b.first[member[at]] + np.repeat(rel, count)
             np.add.at(cut, begin, 1)
             np.add.at(cut, begin + self.window, -1)
-        return b, np.cumsum(cut[:-1]) > 0
+        return b, np.cumsum(cut[:-1], out=cut[:-1]) > 0
 
     def spans(self, b: Batch, gone: np.ndarray) -> list[list[tuple[int, int]]]:
         """Maximal removed runs of each row (byte positions in its text)."""
@@ -668,6 +669,13 @@ def digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
         F.sha2(body.cast("binary"), 256).alias("kept_sha256"), F.array().cast(span).alias("removed")))
 
 
+def _kept_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """The bytes that stay when only characters that are gone whole go."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)                  # the others are bytes inside a character
+    whole = np.logical_and.reduceat(gone, lead) if len(lead) else np.zeros(0, bool)
+    return ~np.repeat(whole, np.diff(np.concatenate((lead, [len(data)]))))
+
+
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars",
                     window: int = WINDOW, **sizes) -> DataFrame:
     """``docs`` with the repeated bytes taken out of the texts; same columns.
@@ -677,10 +685,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     schema = docs.schema
 
     def finish(run: Passes, b: Batch, gone: np.ndarray, table: pa.Table) -> pa.Table:
-        tail = (b.data & 0xC0) == 0x80                            # bytes inside a character
-        lead = np.flatnonzero(~tail)
-        whole = np.logical_and.reduceat(gone, lead) if len(lead) else np.zeros(0, bool)
-        keep = ~np.repeat(whole, np.diff(np.concatenate((lead, [len(b.data)]))))
+        keep = np.ones(len(b.data), bool)
+        for lo, hi in row_blocks(b.offsets, SCAN_BYTES):          # characters never cross rows
+            part = slice(int(b.offsets[lo]), int(b.offsets[hi]))
+            keep[part] = _kept_characters(b.data[part], gone[part])
         old = table.column(text).to_pylist()
         texts = [None if o is None else b.data[lo:hi][keep[lo:hi]].tobytes().decode("utf-8", "replace")
                  for o, lo, hi in zip(old, b.offsets[:-1].tolist(), b.offsets[1:].tolist())]
