@@ -94,7 +94,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _eights(data: np.ndarray) -> np.ndarray:
+def eights(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on as one integer, zeros behind the end."""
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
     return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
@@ -105,7 +105,7 @@ def same_bytes(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray,
     """Whether each range of ``a`` holds the same bytes as the range of ``b`` beside it."""
     size = a_end - a_start
     same = size == b_end - b_start
-    left, right = _eights(a), _eights(b)
+    left, right = eights(a), eights(b)
     at, done = np.flatnonzero(same), 0
     while len(at):
         rest = size[at] - done
@@ -120,9 +120,10 @@ def same_bytes(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray,
 
 class Words:
     """Words of a block: byte ranges ``start``/``end``, ``bounds`` (row r owns
-    words bounds[r]:bounds[r + 1]) and, on request, ``hashes()``."""
+    words bounds[r]:bounds[r + 1]) and, on request, ``hashes()``.  ``cuts`` marks
+    bytes inside words at which another word begins."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray, cuts: np.ndarray | None = None):
         self.data, self.offsets = data, offsets
         keep = table[data]
         before = np.empty(len(data), dtype=bool)
@@ -137,6 +138,9 @@ class Words:
         stops[first] = before[first] if len(first) else False
         if len(data):
             stops[len(data)] = keep[-1]
+        if cuts is not None:
+            begins |= cuts
+            stops[:-1] |= cuts
         self.start, self.end = np.flatnonzero(begins), np.flatnonzero(stops)
         self.bounds = np.searchsorted(self.start, offsets)
 
@@ -150,10 +154,11 @@ class Words:
         """Row of each word."""
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts())
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, some: np.ndarray | slice = slice(None)) -> np.ndarray:
         sums, down = prefix_sums(self.data)
-        h = (sums[self.end] - sums[self.start]) * down[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64) * _BASE)
+        start, end = self.start[some], self.end[some]
+        h = (sums[end] - sums[start]) * down[start]
+        return mix(h + (end - start).astype(np.uint64) * _BASE)
 
     def joined(self) -> tuple[bytes, np.ndarray]:
         """The words separated by single spaces, and each word's start in that buffer."""

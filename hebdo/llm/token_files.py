@@ -10,9 +10,11 @@ over the files, and a running sum inside each file.
 
 Encoding calls the tokenizer library on distinct words.  All texts of a block
 are cut at ASCII white space, which no token spans and every rule of the
-tokenizer treats alike, and each distinct word is encoded once; a worker
-remembers words up to a bound.  The encoded words travel to the library as
-one text, joined by a NUL word, whose token marks the seams.
+tokenizer treats alike, and, in words of ASCII and Latin-1 characters, before
+an ASCII mark that follows a letter or digit, where every token ends
+(contractions begin with their mark).  Each distinct word is encoded once; a
+worker remembers words up to a bound.  The encoded words travel to the library in texts of a few dozen, joined by a
+NUL word, whose token marks the seams.
 
 Cases: a null or empty text has only the end id; control strings of the
 tokenizer inside a text are ordinary text, or with ``control_ids`` the control
@@ -33,14 +35,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hebdo.llm.bytescan import LOWER, SPACE_WORDS, Words, text_blocks
+from hebdo.llm.bytescan import SPACE_WORDS, Words, text_blocks
 from hebdo.llm.word_memory import WordMemory
 
 END_ID = 2
 BLOCK = 1 << 20
-CALL_WORDS = 1_000
+CALL_WORDS = 64                 # longer texts cost the library more a word
 LONG_WORD = 256
 FILE_BYTES = 32 << 20
+#: Kinds of bytes, a bit each: the last of an ASCII or Latin-1 letter or a digit (0xC3 0x97 and 0xC3 0xB7 are
+#: signs), an ASCII mark, A-Z, behind 0xC3 the second of a capital letter, and one of no ASCII or Latin-1 letter.
+LETTER, MARK, CAPITAL, SECOND, OTHER = 1, 2, 4, 8, 16
+KIND = bytes(
+    LETTER * (chr(b).isalnum() if b < 0x80 else b < 0xC0 and b not in (0x97, 0xB7))
+    + MARK * (0x20 < b < 0x7F and not chr(b).isalnum()) + CAPITAL * (0x41 <= b <= 0x5A)
+    + SECOND * (0x80 <= b <= 0x9E and b != 0x97) + OTHER * (b >= 0x80 and b != 0xC3) for b in range(256))
 _WORKER: dict[tuple[str, bool], WordEncoder] = {}
 
 
@@ -103,29 +112,37 @@ class WordEncoder:
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in order, row offsets); every row ends with ``end_id``."""
-        return self.memory.rows(Words(_lowered(data, self.controls), offsets, SPACE_WORDS), end_id)
+        lowered, cuts = _lowered(data, self.controls)
+        return self.memory.rows(Words(lowered, offsets, SPACE_WORDS, cuts), end_id)
 
 
-def _lowered(data: np.ndarray, controls: Iterable[bytes] = ()) -> np.ndarray:
+def _lowered(data: np.ndarray, controls: Iterable[bytes] = ()) -> tuple[np.ndarray, np.ndarray]:
     """The bytes with A-Z and capital Latin-1 letters in lower case, in words of nothing but
-    ASCII and Latin-1 letters.  The tokenizer lower-cases too, so fewer words are distinct;
-    other words stay, because composition of marks comes before the lower case there, and so
-    do words that hold one of ``controls`` in any letter case, which count as written."""
-    after = np.empty(len(data), dtype=bool)
-    after[:1] = False
+    ASCII and Latin-1 letters, and where such words are cut.  The tokenizer lower-cases and cuts
+    there too, so fewer words are distinct; other words stay, because composition of marks comes
+    before the lower case there, and so do words that hold one of ``controls`` in any letter
+    case, which count as written."""
+    raw = data.tobytes()
+    kind = np.frombuffer(raw.translate(KIND), dtype=np.uint8)
+    after, cuts = np.zeros((2, len(data)), dtype=bool)
     after[1:] = data[:-1] == 0xC3
-    odd = (data >= 0x80) & (data != 0xC3) & ~after
-    raw = LOWER[data].tobytes() if controls else b""
+    cuts[1:] = (kind[1:] & MARK != 0) & (kind[:-1] & LETTER != 0)
+    odd = (kind & OTHER != 0) & ~after
+    folded = raw.lower() if controls else b""
     for c in controls:
-        at = raw.find(c)
+        at = folded.find(c)
         while at >= 0:
             odd[at] = True
-            at = raw.find(c, at + len(c))
-    capital = (data >= 0x41) & (data <= 0x5A) | after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+            at = folded.find(c, at + len(c))
+    capital = (kind & CAPITAL != 0) | after & (kind & SECOND != 0)
     if odd.any():
         word = np.cumsum(~SPACE_WORDS[data])                      # bytes of one word share a number
-        capital &= ~np.isin(word, np.unique(word[odd]))
-    return np.where(capital, data + 0x20, data)
+        plain = np.ones(int(word[-1]) + 1, dtype=bool)
+        plain[word[odd]] = False
+        plain = plain[word]
+        capital &= plain
+        cuts &= plain
+    return data + capital * np.uint8(0x20), cuts
 
 
 def _encoder(path: str, control_ids: bool) -> WordEncoder:
